@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import c, numeric_columns, string_columns
 from ..functions.ranks import average_ranks
 from ..functions.columns import unpivot_numeric
-from ..functions.stats import pearson
+from ..functions.stats import pearson, rnd
 from .profile import correlation_long, pair_list
 
 BROADCAST_RANK_ROWS = 2_000_000
@@ -50,8 +50,8 @@ def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def high_correlations(corr_long: DataFrame, threshold: float = 0.7, decimals: int = 3) -> DataFrame:
     """Pairs with |r| >= threshold: (feature1, feature2, correlation, abs_correlation)."""
     return corr_long.where(F.abs("correlation") >= threshold).select(
-        "feature1", "feature2", F.round("correlation", decimals).alias("correlation"),
-        F.round(F.abs("correlation"), decimals).alias("abs_correlation"))
+        "feature1", "feature2", rnd("correlation", decimals).alias("correlation"),
+        rnd(F.abs("correlation"), decimals).alias("abs_correlation"))
 
 
 def contingency_counts(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -87,7 +87,7 @@ def cramers_v_pairs(df: DataFrame, pairs: list[tuple[str, str]], decimals: int |
     min_dim = F.least(F.col("nr"), F.col("nc")) - 1
     v = F.when(min_dim <= 0, F.lit(0.0)).otherwise(F.sqrt(chi2 / (F.col("n") * min_dim)))
     if decimals is not None:
-        v = F.round(v, decimals)
+        v = rnd(v, decimals)
     return per.select(*k, v.alias("cramers_v"), chi2.alias("chi2"), "n")
 
 
@@ -107,7 +107,7 @@ def target_association(df: DataFrame, target: str, cols: list[str] | None = None
     """(feature, cramers_v, association_strength) of each string feature with the target."""
     cols = cols if cols is not None else string_columns(df, [target])
     v = cramers_v_pairs(df, [(x, target) for x in cols], decimals=None)
-    return v.select(F.col("feature1").alias("feature"), F.round("cramers_v", 3).alias("cramers_v"),
+    return v.select(F.col("feature1").alias("feature"), rnd("cramers_v", 3).alias("cramers_v"),
                     association_strength(F.col("cramers_v")).alias("association_strength"))
 
 
@@ -123,7 +123,7 @@ def point_biserial(df: DataFrame, target: str, cols: list[str] | None = None) ->
     arr = F.array(*[F.struct(F.lit(x).alias("feature"), pearson(F.col(x), F.col("_ind")).alias("r"))
                     for x in cols])
     return filled.agg(arr.alias("s"), F.count(F.lit(1)).alias("n")).select(F.inline("s"), "n") \
-        .select("feature", F.round(F.coalesce("r", F.lit(0.0)), 3).alias("correlation"), "n")
+        .select("feature", rnd(F.coalesce("r", F.lit(0.0)), 3).alias("correlation"), "n")
 
 
 # -- Student t tail for the p-value: evaluated on the driver over one row per feature.

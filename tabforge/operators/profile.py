@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c, numeric_columns, string_columns, unpivot_numeric, unpivot_strings
 from ..functions.ranks import exact_quantiles, quantiles_wide
-from ..functions.stats import pearson, sample_kurtosis, sample_skewness
+from ..functions.stats import pearson, sample_kurtosis, sample_skewness, rnd
 from ..sources.schema import dtype_counts as _dtype_counts
 
 HIST_BINS = 30
@@ -34,7 +34,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
                                  F.count_if(c(x).isNull()).alias("missing")) for x in df.columns])
     return df.agg(structs.alias("s"), n.alias("n")).select(F.inline("s"), "n").select(
         "feature", "missing",
-        F.round(F.try_divide(F.col("missing") * 100.0, F.col("n")), 2).alias("missing_pct"))
+        rnd(F.try_divide(F.col("missing") * 100.0, F.col("n")), 2).alias("missing_pct"))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -78,9 +78,9 @@ def univariate_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFram
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
           for p, n in [(0.25, "q25"), (0.5, "median"), (0.75, "q75")]])
     j = m.join(q, "feature", "left")
-    return j.select("feature", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"),
-                    F.round("std", 2).alias("std"), F.round("skewness", 2).alias("skewness"),
-                    F.round("kurtosis", 2).alias("kurtosis"), "min", "max", "q25", "q75")
+    return j.select("feature", rnd("mean", 2).alias("mean"), rnd("median", 2).alias("median"),
+                    rnd("std", 2).alias("std"), rnd("skewness", 2).alias("skewness"),
+                    rnd("kurtosis", 2).alias("kurtosis"), "min", "max", "q25", "q75")
 
 
 def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = HIST_BINS) -> DataFrame:
@@ -176,8 +176,8 @@ def numeric_by_target(df: DataFrame, target: str, cols: list[str] | None = None,
     q = exact_quantiles(long, ["feature", "target"], [0.5]).select("feature", "target",
                                                                     F.col("quantile").alias("median"))
     return m.join(q, ["feature", "target"], "left").select(
-        "feature", "target", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"),
-        F.round("std", 2).alias("std"))
+        "feature", "target", rnd("mean", 2).alias("mean"), rnd("median", 2).alias("median"),
+        rnd("std", 2).alias("std"))
 
 
 def crosstab_pct(df: DataFrame, target: str, cols: list[str] | None = None,

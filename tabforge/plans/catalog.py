@@ -9,6 +9,7 @@ decimals on both sides.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
+_ROUND = re.compile(r"\bround\(", re.IGNORECASE)
+
+
+def nudge_rounding(sql: str) -> str:
+    """Apply the same 1e-9 rounding nudge as the Spark side (see functions.stats.rnd)."""
+    return _ROUND.sub("round(1e-9 + ", sql)
+
+
 def query(name: str, sql: str | None = None):
+    if sql is not None:
+        sql = nudge_rounding(sql)
+
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
