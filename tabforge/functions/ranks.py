@@ -58,27 +58,27 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_cols
         # bounds has one row per group: size bounded by the number of groups.
         b = df.join(F.broadcast(bounds), group_cols, "left")
         bucket = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda x: x < c(order_col))), F.lit(0))
-        b = b.withColumn("_bucket", bucket).drop("_bounds")
+        b = b.withColumn("_pbk", bucket).drop("_bounds")
     else:
         arr = bounds.first()["_bounds"] or []
         lits = F.array(*[F.lit(x) for x in arr]) if arr else F.array().cast(
             T.ArrayType(df.schema[order_col].dataType))
-        b = df.withColumn("_bucket", F.size(F.filter(lits, lambda x: x < c(order_col))))
-    per_bucket = b.groupBy(*gc, "_bucket").agg(*[F.sum(c(v)).alias(f"_bs_{v}") for v in value_cols])
-    wb = Window.partitionBy(*gc).orderBy("_bucket")
+        b = df.withColumn("_pbk", F.size(F.filter(lits, lambda x: x < c(order_col))))
+    per_bucket = b.groupBy(*gc, "_pbk").agg(*[F.sum(c(v)).alias(f"_bs_{v}") for v in value_cols])
+    wb = Window.partitionBy(*gc).orderBy("_pbk")
     wg = Window.partitionBy(*gc)
     offsets = per_bucket.select(
-        *gc, "_bucket",
+        *gc, "_pbk",
         *[F.coalesce(F.sum(f"_bs_{v}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                      F.lit(0)).alias(f"_off_{v}") for v in value_cols],
         *[F.sum(f"_bs_{v}").over(wg).alias(f"tot_{v}") for v in value_cols])
     # offsets has (groups x buckets) rows: bounded, safe to broadcast.
-    b = b.join(F.broadcast(offsets), group_cols + ["_bucket"], "inner")
-    w = Window.partitionBy(*gc, "_bucket").orderBy(c(order_col)) \
+    b = b.join(F.broadcast(offsets), group_cols + ["_pbk"], "inner")
+    w = Window.partitionBy(*gc, "_pbk").orderBy(c(order_col)) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = b.select("*", *[(F.sum(c(v)).over(w) + F.col(f"_off_{v}")).alias(f"cum_{v}")
                           for v in value_cols])
-    return out.drop("_bucket", *[f"_off_{v}" for v in value_cols])
+    return out.drop("_pbk", *[f"_off_{v}" for v in value_cols])
 
 
 def value_counts(long_df: DataFrame, group_cols: list[str], value_col: str = "value") -> DataFrame:

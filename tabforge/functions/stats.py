@@ -44,6 +44,17 @@ def r6(x: Column) -> Column:
     return rnd(x, 6)
 
 
+def rsig(x, digits: int = 12) -> Column:
+    """Round to ``digits`` significant digits: x is scaled by an exact power of ten
+    (multiplication or division by 10^m, m <= 22, both correctly rounded), rounded to
+    an integer and scaled back, so any IEEE engine produces the same double."""
+    col = (F.col(x) if isinstance(x, str) else x).cast("double")
+    m = (F.lit(digits - 1) - F.floor(F.log10(F.abs(col)))).cast("int")
+    up = rnd(col * F.pow(F.lit(10.0), m), 0) / F.pow(F.lit(10.0), m)
+    down = rnd(col / F.pow(F.lit(10.0), -m), 0) * F.pow(F.lit(10.0), -m)
+    return F.when(col.isNull() | (col == 0), col).when(m >= 0, up).otherwise(down)
+
+
 def md5_unit(x: Column) -> Column:
     """Deterministic number in [0, 1) from the first 8 hex digits of md5(x)."""
     return F.conv(F.substring(F.md5(x.cast("string")), 1, 8), 16, 10).cast("double") / 4294967296.0

@@ -65,8 +65,9 @@ def split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int
             sel = sel.where(c(stratify_by).eqNullSafe(F.lit(r[stratify_by])))
         m = int(r["_k"] - r["_before"])
         last = sel.select(order.alias("_o")).orderBy("_o").limit(m).agg(F.max("_o").alias("m")).first()["m"]
+        bound_row = F.struct(*[F.lit(v).alias(nm) for v, nm in zip(last, ["_h", *key_cols])])
         cond = (F.col("_bucket") < F.lit(r["_cut"])) | (
-            (F.col("_bucket") == F.lit(r["_cut"])) & (order <= F.struct(*[F.lit(v).alias(nm) for v, nm in zip(last, ["_h", *key_cols])]))))
+            (F.col("_bucket") == F.lit(r["_cut"])) & (order <= bound_row))
         if stratify_by:
             cond = c(stratify_by).eqNullSafe(F.lit(r[stratify_by])) & cond
         bound = cond if bound is None else (bound | cond)

@@ -1,3 +1,77 @@
-"""Registered queries."""
+"""Queries for feature selection (section I)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.stats import r6, rsig
+from ..operators import select as I
+from . import sqlgen as S
+from .catalog import query
+from .fixtures import c360, table, with_views
+
+MI_DISCRETE = ["region", "segment", "last_priority", "n_orders", "returned_items"]
+MI_CONT = ["acctbal", "avg_discount"]
+MI_ALL = MI_DISCRETE + MI_CONT
+
+
+def _mi_features() -> list[tuple[str, str]]:
+    feats = [(x, x) for x in MI_DISCRETE]
+    for x in MI_CONT:
+        mn, mx = f"(SELECT min({x}) FROM c360)", f"(SELECT max({x}) FROM c360)"
+        feats.append((x, f"CASE WHEN {x} IS NULL THEN NULL WHEN {mx} = {mn} THEN 0 ELSE "
+                         f"CAST(least(floor((CAST({x} AS DOUBLE) - {mn}) / ({mx} - {mn}) * 10), 9) AS INTEGER) END"))
+    return feats
+
+
+@query("mutual_information", with_views(["c360"], f"SELECT feature, round(mi, 6) AS mi FROM "
+                                        f"{S.mi_sql('c360', _mi_features(), 'churn')}"))
+def mutual_information(spark, d):
+    mi = I.mutual_information(c360(spark, d), MI_ALL, "churn", continuous=MI_CONT, bins=10)
+    return mi.select("feature", r6(F.col("mi")).alias("mi"))
+
+
+CHI_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def _chi2_sql() -> str:
+    parts = []
+    for x in CHI_COLS:
+        sh = f"(CAST({x} AS DOUBLE) - (SELECT min({x}) FROM lineitem) + 1.0)"
+        parts.append(f"""SELECT '{x}' AS feature, round(sum(pow(obs - e, 2) / e), 6) AS chi2 FROM (
+  SELECT obs, ny * 1.0 / (SELECT count(*) FROM lineitem WHERE l_returnflag IS NOT NULL)
+         * (SELECT sum({sh}) FROM lineitem WHERE l_returnflag IS NOT NULL) AS e
+  FROM (SELECT l_returnflag, sum({sh}) AS obs, count(*) AS ny FROM lineitem
+        WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag))""")
+    return S.union(parts)
+
+
+@query("chi2_scores", _chi2_sql())
+def chi2_scores(spark, d):
+    sc = I.chi2_scores(table(spark, d, "lineitem"), CHI_COLS, "l_returnflag")
+    return sc.select("feature", r6(F.col("chi2")).alias("chi2"))
+
+
+VAR_COLS = ["acctbal", "tenure_months", "n_orders", "total_charges", "avg_charges", "returned_items",
+            "avg_discount"]
+
+
+@query("variance_select", with_views(["c360"], S.union([
+    f"SELECT '{x}' AS feature, {S.rsig(f'var_pop({x})')} AS variance, var_pop({x}) > 0.01 AS selected FROM c360"
+    for x in VAR_COLS])))
+def variance_select(spark, d):
+    df = c360(spark, d)
+    v = I.variances(df, VAR_COLS)
+    return v.select("feature", rsig(F.col("variance")).alias("variance"), (F.col("variance") > 0.01).alias("selected"))
+
+
+@query("select_k_best", with_views(["c360"], f"""SELECT feature, position FROM (
+  SELECT m.feature, p.position FROM {S.mi_sql('c360', _mi_features(), 'churn')} m
+  JOIN (SELECT * FROM (VALUES {', '.join(f"('{x}', {i})" for i, x in enumerate(MI_ALL))}) t(feature, position)) p
+    ON m.feature = p.feature
+  ORDER BY m.mi DESC, m.feature LIMIT 3)"""))
+def select_k_best(spark, d):
+    df = c360(spark, d)
+    chosen = I.select_k_best(I.mutual_information(df, MI_ALL, "churn", continuous=MI_CONT), MI_ALL, 3, "mi")
+    # chosen is the k names in input order (bounded by k).
+    return spark.createDataFrame([(x, MI_ALL.index(x)) for x in chosen], "feature string, position int")
