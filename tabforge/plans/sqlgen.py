@@ -9,6 +9,7 @@ from __future__ import annotations
 
 def rsig(x: str, digits: int = 12) -> str:
     """SQL twin of :func:`tabforge.functions.stats.rsig`."""
+    x = f"({x})"
     m = f"CAST({digits - 1} - floor(log10(abs({x}))) AS INTEGER)"
     return (f"(CASE WHEN {x} IS NULL OR {x} = 0 THEN {x} WHEN {m} >= 0 "
             f"THEN round({x} * pow(10.0, {m}), 0) / pow(10.0, {m}) "
