@@ -42,7 +42,7 @@ def _bounds(df: DataFrame, group_cols: list[str], order_col: str, n_buckets: int
     srt = F.array_sort(F.collect_set("_v"))
     step = F.greatest(F.size("_s") / n_buckets, F.lit(1.0))
     pick = F.transform(F.sequence(F.lit(1), F.lit(n_buckets - 1)),
-                       lambda i: F.element_at("_s", (i * step).cast("int") + 1))
+                       lambda i: F.try_element_at("_s", (i * step).cast("int") + 1))
     return smp.groupBy(*gc).agg(srt.alias("_s")).select(
         *gc, F.array_distinct(F.filter(pick, lambda x: x.isNotNull())).alias("_bounds"))
 
@@ -86,14 +86,54 @@ def value_counts(long_df: DataFrame, group_cols: list[str], value_col: str = "va
         F.count(F.lit(1)).alias("_n"))
 
 
+# A group whose distinct-value count is below this is served by Spark's exact
+# ``percentile`` aggregate: its per-group state is a value->count map, so memory is
+# bounded by the distinct count (not the row count).  Larger groups go through the
+# distributed prefix-sum path.
+EXACT_PERCENTILE_MAX_DISTINCT = 1_000_000
+
+
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float],
-                    value_col: str = "value", n_buckets: int | None = None) -> DataFrame:
+                    value_col: str = "value", n_buckets: int | None = None,
+                    method: str = "auto") -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, SQL ``quantile_cont``),
-    exact, computed without funnelling a group through one task.
+    exact.  ``method``: ``auto`` routes each group by its approximate distinct count
+    (one cheap aggregate), ``map`` forces the built-in aggregate, ``prefix`` forces the
+    distributed path that never funnels a group through one task.
 
     Returns (group_cols..., prob double, quantile double); NULL values are ignored.
     """
-    vc = value_counts(long_df.where(c(value_col).isNotNull()), group_cols, value_col)
+    data = long_df.where(c(value_col).isNotNull())
+    if method == "prefix" or (method == "auto" and not group_cols):
+        return _prefix_quantiles(data, group_cols, probs, value_col, n_buckets)
+    if method == "map":
+        return _map_quantiles(data, group_cols, probs, value_col)
+    card = data.groupBy(*[c(g) for g in group_cols]).agg(
+        F.approx_count_distinct(c(value_col)).alias("_k"))
+    rows = card.collect()  # one row per group (features x classes): bounded
+    small = [r for r in rows if r["_k"] <= EXACT_PERCENTILE_MAX_DISTINCT]
+    if len(small) == len(rows):
+        return _map_quantiles(data, group_cols, probs, value_col)
+    if not small:
+        return _prefix_quantiles(data, group_cols, probs, value_col, n_buckets)
+    keys = F.broadcast(card.where(F.col("_k") <= EXACT_PERCENTILE_MAX_DISTINCT).drop("_k"))
+    a = _map_quantiles(data.join(keys, group_cols, "left_semi"), group_cols, probs, value_col)
+    b = _prefix_quantiles(data.join(keys, group_cols, "left_anti"), group_cols, probs, value_col, n_buckets)
+    return a.unionByName(b)
+
+
+def _map_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], value_col: str) -> DataFrame:
+    q = F.percentile(c(value_col).cast("double"), [float(p) for p in probs])
+    agg = data.groupBy(*[c(g) for g in group_cols]).agg(q.alias("_q"))
+    return agg.select(*[c(g) for g in group_cols], F.posexplode("_q").alias("_i", "quantile")).select(
+        *[c(g) for g in group_cols],
+        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
+        F.col("quantile").cast("double").alias("quantile"))
+
+
+def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], value_col: str,
+                      n_buckets: int | None) -> DataFrame:
+    vc = value_counts(data, group_cols, value_col)
     ps = prefix_sums(vc, group_cols, value_col, ["_n"], n_buckets)
     parr = F.array(*[F.lit(float(p)) for p in probs])
     first_pos = F.col("cum__n") - F.col("_n")

@@ -64,7 +64,8 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
         depth = hp.get("max_depth")
         kw = dict(numTrees=int(hp.get("n_estimators", 100)),
                   maxDepth=MAX_SPARK_DEPTH if depth is None else min(int(depth), MAX_SPARK_DEPTH),
-                  minInstancesPerNode=int(hp.get("min_samples_leaf", 1)), seed=seed, **common)
+                  minInstancesPerNode=int(hp.get("min_samples_leaf", 1)), seed=seed,
+                  maxMemoryInMB=int(hp.get("max_memory_mb", 1024)), **common)
         if problem_type == "classification":
             return RandomForestClassifier(featureSubsetStrategy="sqrt", **kw)
         return RandomForestRegressor(featureSubsetStrategy="onethird", **kw)

@@ -64,7 +64,8 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
                        model_types: tuple[str, ...] = ("random_forest", "logistic_regression"),
                        test_size: float = 0.2, seed: int = 42) -> TrainingResult:
     ensure_checkpoint_dir(spark)
-    base = prepare(c360(spark, sf_dir))
+    # The customer table comes out of two large joins: materialise it once.
+    base = prepare(c360(spark, sf_dir)).checkpoint(eager=True)
     s = split(base, KEY, test_size, seed, stratify_by=TARGET).checkpoint(eager=True)
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     # Fit every step on the training part only.
@@ -84,8 +85,9 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     feats = [x for x in numeric_columns(tr2, KEY + [TARGET]) if x != "is_test"]
     scaled = cont + [f"{x}_target_encoded" for x in TARGET_ENCODED]
     pre.tables["scale"] = fit_scaler(tr2, "standard", [x for x in feats if x in scaled])
-    tr3 = _scale(tr2, pre)
-    te3 = _scale(te2, pre)
+    # Cut the lineage once preprocessing is fixed: selection and every fit reuse it.
+    tr3 = _scale(tr2, pre).checkpoint(eager=True)
+    te3 = _scale(te2, pre).checkpoint(eager=True)
     chosen = feature_selection(tr3, feats, TARGET, "mutual_info", k_features, continuous=cont)
     models, parts = {}, []
     for mt in model_types:
