@@ -123,10 +123,17 @@ def label_encode(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, D
 
 
 def encode_categorical(df: DataFrame, strategy: str = "onehot", cols: list[str] | None = None,
-                       max_categories: int = 10):
+                       max_categories: int = 10, target: str | None = None):
     """Auto routing (D3): one-hot when strategy is onehot and the column has at most
-    max_categories values; label when strategy is label or cardinality is larger;
-    ``target`` is routed to :func:`target_encode` by the caller."""
+    max_categories values; label when strategy is label or cardinality is larger.
+    ``target`` (documented but unimplemented in the reference) routes to smoothed
+    target encoding (D4) and needs the target column."""
+    if strategy == "target":
+        if target is None:
+            raise ValueError("strategy 'target' needs the target column")
+        cols = [x for x in (cols if cols is not None else string_columns(df, [target])) if x in df.columns]
+        g, table = fit_target_encoding(df, cols, target)
+        return apply_target_encoding(df, cols, g, table), {"target": table, "global_mean": g}
     if strategy not in ("onehot", "label"):
         raise ValueError(f"Unknown encoding strategy: {strategy}")
     cols = [x for x in (cols if cols is not None else string_columns(df)) if x in df.columns]

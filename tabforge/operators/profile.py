@@ -237,6 +237,21 @@ def trend_line_top_pairs(df: DataFrame, cols: list[str] | None = None, threshold
     return trend_lines(df, pairs)
 
 
+def eda_key_findings(corr_long: DataFrame, cramers_long: DataFrame, importance: DataFrame,
+                     corr_threshold: float = 0.7, assoc_threshold: float = 0.5, top: int = 5) -> DataFrame:
+    """J18 summary row: number of numeric pairs with |r| >= 0.7, of categorical pairs
+    with V > 0.5, and the top features by importance (comma separated, best first)."""
+    nc = corr_long.agg(F.count_if(F.abs("correlation") >= corr_threshold).alias("n")).first()["n"]
+    na = cramers_long.agg(F.count_if(F.col("cramers_v") > assoc_threshold).alias("n")).first()["n"]
+    # importance has one row per feature: bounded.
+    tf = importance.agg(F.sort_array(F.collect_list(F.struct((-F.col("mi")).alias("k"), "feature")))
+                        .alias("s")).select(
+        F.array_join(F.slice(F.transform("s", lambda x: x["feature"]), 1, top), ",").alias("t")).first()["t"]
+    spark = corr_long.sparkSession
+    return spark.createDataFrame([(int(nc), int(na), tf)],
+                                 "n_high_correlations bigint, n_high_associations bigint, top_features string")
+
+
 def eda_report_long(df: DataFrame, target: str | None = None) -> DataFrame:
     """Union of overview, missing and numeric statistics as (section, feature, stat, value)."""
     num = numeric_columns(df, [target] if target else [])

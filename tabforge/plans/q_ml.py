@@ -198,3 +198,14 @@ def stream_score(spark, d):
     rows.repartition(4, "customer_id").write.mode("overwrite").parquet(f"{base}/landing")
     run_scoring_stream(spark, m, f"{base}/landing", f"{base}/scored", f"{base}/checkpoint", STREAM_SCHEMA, KEY)
     return spark.read.parquet(f"{base}/scored").drop("prediction_timestamp")
+
+
+@query("scoring_job")
+def scoring_job(spark, d):
+    """Q2: saved model -> predictions with class probabilities and metadata."""
+    tr, _ = _c360_split(spark, d)
+    m = M.train(tr, FEATS, "churn", "random_forest", "classification", {"n_estimators": 30, "max_depth": 6})
+    base = scratch_path(spark, "scoring-job")
+    path = M.save_model(m, f"{base}/model")
+    out = Q.scoring_job(spark, path, c360(spark, d).select(*KEY, *FEATS), f"{base}/predictions", KEY)
+    return spark.read.parquet(out).drop("prediction_timestamp")

@@ -246,14 +246,39 @@ JOIN mi_y y ON a.feature = y.feature AND a.y = y.y JOIN mi_n n ON a.feature = n.
 GROUP BY a.feature) ORDER BY mi DESC, feature LIMIT {top}""")
 
 
-def feature_importance(df, target: str, str_cols: list[str], num_cols: list[str], top: int):
+def feature_importance(df, target: str, str_cols: list[str], num_cols: list[str], top: int | None):
+    """MI of dummy-encoded features with the target, best first; ``top`` keeps the
+    report's top-k (None: all features)."""
     enc = dummy_encode(df.select(target, *str_cols, *num_cols), str_cols)
     feats = [x for x in enc.columns if x != target]
-    mi = mutual_information(enc, feats, target)
-    return mi.orderBy(F.col("mi").desc(), "feature").limit(top)
+    mi = mutual_information(enc, feats, target).orderBy(F.col("mi").desc(), "feature")
+    return mi.limit(top) if top else mi
 
 
 @query("feature_importance_mi", _importance_sql(15))
 def feature_importance_mi(spark, d):
     mi = feature_importance(c360(spark, d), "churn", MI_STR, MI_NUM, 15)
     return mi.select("feature", r6(F.col("mi")).alias("mi"))
+
+
+def _key_findings_sql() -> str:
+    from .q_profile import C360_CORR as NUMS
+    corr = S.pearson_long("c360", NUMS)
+    cv = S.cramers_v_grid("c360", S.pairs(MI_STR), 3)
+    imp = _importance_sql(10 ** 6)
+    imp_body = imp[imp.index("SELECT feature, round(mi, 6)"):]
+    return with_views(["c360"], f"""SELECT
+  (SELECT count(*) FROM ({corr}) WHERE abs(correlation) >= 0.7) AS n_high_correlations,
+  (SELECT count(*) FROM {cv} WHERE cramers_v > 0.5) AS n_high_associations,
+  (SELECT string_agg(feature, ',' ORDER BY mi DESC, feature) FROM (
+     SELECT * FROM ({imp_body}) ORDER BY mi DESC, feature LIMIT 5)) AS top_features""")
+
+
+@query("eda_key_findings", _key_findings_sql())
+def eda_key_findings(spark, d):
+    from ..operators.assoc import cramers_v_matrix
+    df = c360(spark, d)
+    imp = feature_importance(df, "churn", MI_STR, MI_NUM, None)
+    # MI rounded as in the importance report, so ties order the same way as the oracle.
+    imp = imp.select("feature", r6(F.col("mi")).alias("mi"))
+    return P.eda_key_findings(P.correlation_long(df, C360_CORR), cramers_v_matrix(df, MI_STR), imp)

@@ -164,3 +164,11 @@ def test_unknown_strategies_raise(spark):
         scale.fit_scaler(df, "zscore", ["a"])
     with pytest.raises(ValueError):
         fit_impute(df, "knn")
+
+
+def test_target_strategy_routes_to_target_encoding(spark):
+    rows = [("x", 1)] * 12 + [("y", 0)] * 12
+    df = spark.createDataFrame(rows, "cat string, y int")
+    out, fitted = encode.encode_categorical(df, "target", ["cat"], target="y")
+    got = {r["cat"]: r["cat_target_encoded"] for r in out.distinct().collect()}
+    assert got["x"] == pytest.approx((12 * 1 + 0.5) / 13)
