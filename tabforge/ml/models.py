@@ -206,8 +206,10 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
     (fold, side, metric, value) with fold = -1 for 'mean' and -2 for 'std' rows."""
     preds, folds = _fold_predictions(df, features, label, key_cols, model_type, problem_type,
                                      hyperparameters, cv_folds, seed)
+    # All fold predictions are materialised once (reliable checkpoint) before the
+    # grouped metrics, which read them several times.
     preds = preds.withColumn("prediction", F.col("prediction").cast("double")) \
-        .withColumn("label", F.col("label").cast("double"))
+        .withColumn("label", F.col("label").cast("double")).checkpoint(eager=True)
     long, _ = model_comparison(preds, "model", "label", "prediction",
                                "score" if problem_type == "classification" else None, problem_type)
     per = long.select(F.split("model", r"\|")[0].cast("int").alias("fold"),
@@ -241,7 +243,7 @@ def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: lis
     for p in parts[1:]:
         preds = preds.unionByName(p)
     preds = preds.withColumn("prediction", F.col("prediction").cast("double")) \
-        .withColumn("label", F.col("label").cast("double"))
+        .withColumn("label", F.col("label").cast("double")).checkpoint(eager=True)
     long, _ = model_comparison(preds, "model", "label", "prediction", None, problem_type)
     per = long.where(F.col("metric") == metric).select(
         F.split("model", r"\|")[0].cast("double").alias("train_size"),
