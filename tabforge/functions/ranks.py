@@ -1,79 +1,53 @@
 """Distributed running totals, exact quantiles and average ranks.
 
-No global ``Window.orderBy`` (one partition) is used anywhere.  The pattern is
-
-1. collapse the input to value counts (``groupBy(group, value).count()``, map-side
-   combined, so a hot value becomes one row),
-2. split each group's value range into buckets from approximate bounds (a small,
-   bounded table: groups x buckets),
-3. per-bucket totals -> exclusive offsets (window over the tiny bucket table),
-4. running sum inside ``(group, bucket)`` windows + offset.
-
-Everything stays JVM-side; the only driver traffic is the bounds table, whose
-size is fixed by (number of groups x number of buckets).
+No global ``Window.orderBy`` (one partition) is used anywhere.  Running totals are
+computed as follows:
+
+1. callers first collapse their input to value counts where possible
+   (``groupBy(group, value).count()``, map-side combined, so a hot value is one row);
+2. the table is range-partitioned on ``(group, order)`` with Spark's range
+   partitioner (sampled bounds, binary search per row), and the partition id is
+   recorded.  The result is checkpointed to the shared checkpoint folder, so the
+   partition ids stay fixed if a stage is recomputed or an executor is lost;
+3. per-(group, partition) totals (a table of about ``partitions + groups`` rows)
+   give exclusive offsets through a window over that small table;
+4. the running sum inside each ``(group, partition)`` window plus the offset is
+   the global running sum.
+
+The window partitions are range partitions, so they are balanced by construction.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .columns import c
 
 
-def default_buckets(spark) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(4096, 2 * n))
-
-
-def _bounds(df: DataFrame, group_cols: list[str], order_col: str, n_buckets: int) -> DataFrame:
-    dt = df.schema[order_col].dataType
-    gc = [c(g) for g in group_cols]
-    if isinstance(dt, T.NumericType):
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        agg = F.array_distinct(F.percentile_approx(c(order_col), probs, 10000))
-        return df.groupBy(*gc).agg(agg.alias("_bounds"))
-    # Non-numeric order (strings): bounds from a bounded random sample per group.
-    n = df.count()
-    frac = min(1.0, 64.0 * n_buckets / max(n, 1))
-    smp = df.select(*gc, c(order_col).alias("_v")).where(F.col("_v").isNotNull()) \
-        .sample(False, frac, seed=17)
-    srt = F.array_sort(F.collect_set("_v"))
-    step = F.greatest(F.size("_s") / n_buckets, F.lit(1.0))
-    pick = F.transform(F.sequence(F.lit(1), F.lit(n_buckets - 1)),
-                       lambda i: F.try_element_at("_s", (i * step).cast("int") + 1))
-    return smp.groupBy(*gc).agg(srt.alias("_s")).select(
-        *gc, F.array_distinct(F.filter(pick, lambda x: x.isNotNull())).alias("_bounds"))
+def default_partitions(spark) -> int:
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_cols: list[str],
-                n_buckets: int | None = None) -> DataFrame:
+                n_partitions: int | None = None) -> DataFrame:
     """Add ``cum_<v>`` (running sum up to and including the current order value,
     ties included) and ``tot_<v>`` (group total) for every ``v`` in value_cols."""
-    B = n_buckets or default_buckets(df.sparkSession)
+    P = n_partitions or default_partitions(df.sparkSession)
     gc = [c(g) for g in group_cols]
-    bounds = _bounds(df, group_cols, order_col, B)
-    if group_cols:
-        # bounds has one row per group: size bounded by the number of groups.
-        b = df.join(F.broadcast(bounds), group_cols, "left")
-        bucket = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda x: x < c(order_col))), F.lit(0))
-        b = b.withColumn("_pbk", bucket).drop("_bounds")
-    else:
-        arr = bounds.first()["_bounds"] or []
-        lits = F.array(*[F.lit(x) for x in arr]) if arr else F.array().cast(
-            T.ArrayType(df.schema[order_col].dataType))
-        b = df.withColumn("_pbk", F.size(F.filter(lits, lambda x: x < c(order_col))))
-    per_bucket = b.groupBy(*gc, "_pbk").agg(*[F.sum(c(v)).alias(f"_bs_{v}") for v in value_cols])
+    ranged = df.repartitionByRange(P, *gc, c(order_col)).withColumn("_pbk", F.spark_partition_id())
+    # Reliable checkpoint: partition ids must not change if this is recomputed.
+    ranged = ranged.checkpoint(eager=True)
+    per_part = ranged.groupBy(*gc, "_pbk").agg(*[F.sum(c(v)).alias(f"_bs_{v}") for v in value_cols])
     wb = Window.partitionBy(*gc).orderBy("_pbk")
     wg = Window.partitionBy(*gc)
-    offsets = per_bucket.select(
+    offsets = per_part.select(
         *gc, "_pbk",
         *[F.coalesce(F.sum(f"_bs_{v}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                      F.lit(0)).alias(f"_off_{v}") for v in value_cols],
         *[F.sum(f"_bs_{v}").over(wg).alias(f"tot_{v}") for v in value_cols])
-    # offsets has (groups x buckets) rows: bounded, safe to broadcast.
-    b = b.join(F.broadcast(offsets), group_cols + ["_pbk"], "inner")
+    # offsets has at most (partitions + groups) rows: bounded, safe to broadcast.
+    b = ranged.join(F.broadcast(offsets), group_cols + ["_pbk"], "inner")
     w = Window.partitionBy(*gc, "_pbk").orderBy(c(order_col)) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = b.select("*", *[(F.sum(c(v)).over(w) + F.col(f"_off_{v}")).alias(f"cum_{v}")
@@ -94,7 +68,7 @@ EXACT_PERCENTILE_MAX_DISTINCT = 1_000_000
 
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float],
-                    value_col: str = "value", n_buckets: int | None = None,
+                    value_col: str = "value", n_partitions: int | None = None,
                     method: str = "auto") -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, SQL ``quantile_cont``),
     exact.  ``method``: ``auto`` routes each group by its approximate distinct count
@@ -105,7 +79,7 @@ def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float
     """
     data = long_df.where(c(value_col).isNotNull())
     if method == "prefix" or (method == "auto" and not group_cols):
-        return _prefix_quantiles(data, group_cols, probs, value_col, n_buckets)
+        return _prefix_quantiles(data, group_cols, probs, value_col, n_partitions)
     if method == "map":
         return _map_quantiles(data, group_cols, probs, value_col)
     card = data.groupBy(*[c(g) for g in group_cols]).agg(
@@ -115,10 +89,10 @@ def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float
     if len(small) == len(rows):
         return _map_quantiles(data, group_cols, probs, value_col)
     if not small:
-        return _prefix_quantiles(data, group_cols, probs, value_col, n_buckets)
+        return _prefix_quantiles(data, group_cols, probs, value_col, n_partitions)
     keys = F.broadcast(card.where(F.col("_k") <= EXACT_PERCENTILE_MAX_DISTINCT).drop("_k"))
     a = _map_quantiles(data.join(keys, group_cols, "left_semi"), group_cols, probs, value_col)
-    b = _prefix_quantiles(data.join(keys, group_cols, "left_anti"), group_cols, probs, value_col, n_buckets)
+    b = _prefix_quantiles(data.join(keys, group_cols, "left_anti"), group_cols, probs, value_col, n_partitions)
     return a.unionByName(b)
 
 
@@ -132,9 +106,9 @@ def _map_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], v
 
 
 def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], value_col: str,
-                      n_buckets: int | None) -> DataFrame:
+                      n_partitions: int | None) -> DataFrame:
     vc = value_counts(data, group_cols, value_col)
-    ps = prefix_sums(vc, group_cols, value_col, ["_n"], n_buckets)
+    ps = prefix_sums(vc, group_cols, value_col, ["_n"], n_partitions)
     parr = F.array(*[F.lit(float(p)) for p in probs])
     first_pos = F.col("cum__n") - F.col("_n")
     last_pos = F.col("cum__n") - 1
@@ -163,27 +137,27 @@ def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float]
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float],
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None) -> DataFrame:
     """Exact quantiles of several numeric columns at once: (feature, prob, quantile)."""
     from .columns import unpivot_numeric
-    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_buckets=n_buckets)
+    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_partitions=n_partitions)
 
 
 def quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], names: list[str],
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None) -> DataFrame:
     """(feature, <name_i>...) — one row per feature with each requested quantile."""
-    q = quantile_table(df, cols, probs, n_buckets)
+    q = quantile_table(df, cols, probs, n_partitions)
     return q.groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n)
         for p, n in zip(probs, names)])
 
 
 def average_ranks(long_df: DataFrame, group_cols: list[str], value_col: str = "value",
-                  n_buckets: int | None = None) -> DataFrame:
+                  n_partitions: int | None = None) -> DataFrame:
     """Average (1-based) rank of every distinct value within its group, as
     pandas ``rank(method='average')``: (group..., value, rank)."""
     vc = value_counts(long_df.where(c(value_col).isNotNull()), group_cols, value_col)
-    ps = prefix_sums(vc, group_cols, value_col, ["_n"], n_buckets)
+    ps = prefix_sums(vc, group_cols, value_col, ["_n"], n_partitions)
     rank = F.col("cum__n") - (F.col("_n") - 1) / 2.0
     return ps.select(*[c(g) for g in group_cols], c(value_col), rank.cast("double").alias("rank"),
                      F.col("_n").alias("n"), F.col("cum__n").alias("cum_n"),

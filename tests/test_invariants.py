@@ -32,7 +32,7 @@ def test_exact_quantiles_match_numpy(spark, seed, method):
     df = spark.createDataFrame(rows, "id long, g string, value double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r["g"], r["prob"]): r["quantile"]
-           for r in exact_quantiles(df, ["g"], probs, method=method, n_buckets=7).collect()}
+           for r in exact_quantiles(df, ["g"], probs, method=method, n_partitions=7).collect()}
     for g in "abc":
         vals = np.array([v for _, gg, v in rows if gg == g])
         for p in probs:
@@ -42,11 +42,11 @@ def test_exact_quantiles_match_numpy(spark, seed, method):
 def test_prefix_sums_and_ranks_match_brute_force(spark):
     rows = _rows(3, 1500)
     df = spark.createDataFrame(rows, "id long, g string, value double")
-    ps = prefix_sums(df.withColumn("one", F.lit(1)), ["g"], "value", ["one"], n_buckets=5).collect()
+    ps = prefix_sums(df.withColumn("one", F.lit(1)), ["g"], "value", ["one"], n_partitions=5).collect()
     for r in ps[:200]:
         expect = sum(1 for _, gg, v in rows if gg == r["g"] and v <= r["value"])
         assert r["cum_one"] == expect
-    rk = {(r["g"], r["value"]): r["rank"] for r in average_ranks(df, ["g"], n_buckets=5).collect()}
+    rk = {(r["g"], r["value"]): r["rank"] for r in average_ranks(df, ["g"], n_partitions=5).collect()}
     for g in "abc":
         vals = sorted(v for _, gg, v in rows if gg == g)
         for v in set(vals[:50]):
@@ -58,7 +58,7 @@ def test_prefix_sums_and_ranks_match_brute_force(spark):
 def test_prefix_sums_on_strings(spark):
     words = [f"w{random.Random(5).randint(0, 50):03d}{i % 7}" for i in range(400)]
     df = spark.createDataFrame([(w,) for w in words], "value string").distinct().withColumn("one", F.lit(1))
-    got = {r["value"]: r["cum_one"] for r in prefix_sums(df, [], "value", ["one"], n_buckets=9).collect()}
+    got = {r["value"]: r["cum_one"] for r in prefix_sums(df, [], "value", ["one"], n_partitions=9).collect()}
     for i, w in enumerate(sorted(set(words))):
         assert got[w] == i + 1
 
