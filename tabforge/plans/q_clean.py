@@ -120,3 +120,54 @@ def impute_constant(spark, d):
                                   {x: _mode_sql(x) for x in IMPUTE_CAT}))
 def impute_mode(spark, d):
     return _impute(spark, d, "most_frequent", "most_frequent")
+
+
+# ------------------------------------------------------------------ C5: KNN imputation
+
+KNN_COLS = ["p_size", "p_retailprice", "name_len"]
+
+
+def part_nulls(spark, d):
+    pa = table(spark, d, "part")
+    k = F.col("p_partkey")
+    return pa.select(
+        "p_partkey",
+        F.when((k % 10 == 0) | (k % 20 == 3), F.lit(None)).otherwise(F.col("p_size").cast("double")).alias("p_size"),
+        F.when((k % 10 == 1) | (k % 20 == 3), F.lit(None)).otherwise(F.col("p_retailprice")).alias("p_retailprice"),
+        F.when(k % 10 == 2, F.lit(None)).otherwise(F.length("p_name").cast("double")).alias("name_len"))
+
+
+PART_NULLS_SQL = """SELECT p_partkey,
+  CASE WHEN p_partkey % 10 = 0 OR p_partkey % 20 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS x0,
+  CASE WHEN p_partkey % 10 = 1 OR p_partkey % 20 = 3 THEN NULL ELSE p_retailprice END AS x1,
+  CASE WHEN p_partkey % 10 = 2 THEN NULL ELSE CAST(length(p_name) AS DOUBLE) END AS x2
+FROM part"""
+
+
+def _knn_sql(k: int = 5) -> str:
+    p = len(KNN_COLS)
+    parts = []
+    for j in range(p):
+        others = [i for i in range(p) if i != j]
+        m = " + ".join(f"CAST(r.x{i} IS NOT NULL AND d.x{i} IS NOT NULL AS INTEGER)" for i in others)
+        ssq = " + ".join(f"coalesce((r.x{i} - d.x{i}) * (r.x{i} - d.x{i}), 0.0)" for i in others)
+        parts.append(f"""SELECT {j} AS j, r.p_partkey AS rk, d.p_partkey AS dk, d.x{j} AS xj,
+  CASE WHEN ({m}) > 0 THEN sqrt(({p}.0 / ({m})) * ({ssq})) END AS dist
+FROM t r JOIN t d ON r.x{j} IS NULL AND d.x{j} IS NOT NULL""")
+    pairs = " UNION ALL ".join(parts)
+    fill = ", ".join(
+        f"round(coalesce(x{j}, (SELECT v FROM imp WHERE imp.rk = t.p_partkey AND imp.j = {j}), "
+        f"(SELECT avg(x{j}) FROM t)), 6) AS {col}" for j, col in enumerate(KNN_COLS))
+    return f"""WITH t AS ({PART_NULLS_SQL}),
+pairs AS ({pairs}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY j, rk ORDER BY dist NULLS LAST, dk) AS rn
+           FROM pairs WHERE dist IS NOT NULL),
+imp AS (SELECT j, rk, avg(xj) AS v FROM ranked WHERE rn <= {k} GROUP BY j, rk)
+SELECT p_partkey, {fill} FROM t"""
+
+
+@query("impute_knn", _knn_sql())
+def impute_knn(spark, d):
+    from ..operators.knn import knn_impute
+    out = knn_impute(part_nulls(spark, d), KNN_COLS, "p_partkey", k=5)
+    return out.select("p_partkey", *[r6(F.col(x)).alias(x) for x in KNN_COLS])
