@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import c
+from ..session import reliable_checkpoint
 
 
 def default_partitions(spark) -> int:
@@ -37,7 +38,7 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_cols
     gc = [c(g) for g in group_cols]
     ranged = df.repartitionByRange(P, *gc, c(order_col)).withColumn("_pbk", F.spark_partition_id())
     # Reliable checkpoint: partition ids must not change if this is recomputed.
-    ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.transform(reliable_checkpoint)
     per_part = ranged.groupBy(*gc, "_pbk").agg(*[F.sum(c(v)).alias(f"_bs_{v}") for v in value_cols])
     wb = Window.partitionBy(*gc).orderBy("_pbk")
     wg = Window.partitionBy(*gc)

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import c
 from ..operators.metrics import balanced_weights, model_comparison
 from ..operators.split import assign_folds, split
+from ..session import reliable_checkpoint
 
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
 REGRESSORS = ("random_forest", "linear_regression")
@@ -209,7 +210,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
     # All fold predictions are materialised once (reliable checkpoint) before the
     # grouped metrics, which read them several times.
     preds = preds.withColumn("prediction", F.col("prediction").cast("double")) \
-        .withColumn("label", F.col("label").cast("double")).checkpoint(eager=True)
+        .withColumn("label", F.col("label").cast("double")).transform(reliable_checkpoint)
     long, _ = model_comparison(preds, "model", "label", "prediction",
                                "score" if problem_type == "classification" else None, problem_type)
     per = long.select(F.split("model", r"\|")[0].cast("int").alias("fold"),
@@ -243,7 +244,7 @@ def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: lis
     for p in parts[1:]:
         preds = preds.unionByName(p)
     preds = preds.withColumn("prediction", F.col("prediction").cast("double")) \
-        .withColumn("label", F.col("label").cast("double")).checkpoint(eager=True)
+        .withColumn("label", F.col("label").cast("double")).transform(reliable_checkpoint)
     long, _ = model_comparison(preds, "model", "label", "prediction", None, problem_type)
     per = long.where(F.col("metric") == metric).select(
         F.split("model", r"\|")[0].cast("double").alias("train_size"),

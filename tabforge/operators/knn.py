@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, c
+from ..session import reliable_checkpoint
 
 TARGET_PER_CELL = 32
 MAX_EDGES_PER_DIM = 4096
@@ -65,10 +66,10 @@ def _bottom_k(df: DataFrame, group: list[str], key: str, k: int) -> DataFrame:
     rest = df
     for _ in range(k):
         # Each round's picks are materialised: keeps the lineage of the k rounds short.
-        m = rest.groupBy(*group).agg(F.min(key).alias(key)).checkpoint(eager=True)
+        m = rest.groupBy(*group).agg(F.min(key).alias(key)).transform(reliable_checkpoint)
         picked = m if picked is None else picked.unionByName(m)
         rest = rest.join(m, group + [key], "left_anti")
-    return df.join(picked.checkpoint(eager=True), group + [key], "left_semi")
+    return df.join(picked.transform(reliable_checkpoint), group + [key], "left_semi")
 
 
 _CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
@@ -126,7 +127,7 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
         best = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
         vals = best.groupBy("_qk", "_j").agg(F.avg("_xj").alias("_v"))
         wide = vals.groupBy("_qk").agg(*[F.max(F.when(F.col("_j") == i, F.col("_v"))).alias(f"_v{i}")
-                                         for i in range(p)]).checkpoint(eager=True)
+                                         for i in range(p)]).transform(reliable_checkpoint)
         out = base.join(wide, base["_k"] == wide["_qk"], "left")
     else:
         out = base.select("*", *[F.lit(None).cast("double").alias(f"_v{i}") for i in range(p)])
@@ -169,7 +170,7 @@ def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], com
     donors = _bottom_k(donors, ["_pd", "_j", *[f"_x{i}" for i in dims]], "_k", k)
     donors = buck.transform(donors).select(
         F.col("_k").alias("_dk"), "_pd", "_j", "_xj", *[F.col(f"_x{i}").alias(f"_d{i}") for i in dims],
-        *[F.col(f"_c{i}").cast("int").alias(f"_c{i}") for i in dims]).checkpoint(eager=True)
+        *[F.col(f"_c{i}").cast("int").alias(f"_c{i}") for i in dims]).transform(reliable_checkpoint)
 
     queries = base.join(F.broadcast(combo_df), base["_pat"] == F.col("_pr")).select(
         F.col("_k").alias("_qk"), "_pd", "_j", *[f"_x{i}" for i in dims])
@@ -191,7 +192,7 @@ def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], com
         return F.least(*terms)
 
     kept = None
-    active = queries.checkpoint(eager=True)
+    active = queries.transform(reliable_checkpoint)
     rho = 0
     # No round cap: the loop ends at the latest when the visited block covers the grid
     # (lower bound = inf), so every receiver gets its exact k nearest donors.
@@ -217,13 +218,13 @@ def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], com
         pool = pairs if kept is None else kept.unionByName(pairs)
         w = Window.partitionBy("_qk", "_pd", "_j").orderBy("_dist", "_dk")
         kept = pool.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r") \
-            .checkpoint(eager=True)
+            .transform(reliable_checkpoint)
         stat = kept.groupBy("_qk", "_pd", "_j").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_kd"))
         chk = active.join(stat, ["_qk", "_pd", "_j"], "left").withColumn("_lb", lower_bound(rho))
         # Strict: a donor outside the block may sit exactly on the bound.
         done = (F.col("_lb") == math.inf) | (
             (F.col("_n") >= k) & (F.col("_kd") < F.lit(math.sqrt(weight)) * F.col("_lb")))
-        active = chk.where(~F.coalesce(done, F.lit(False))).select(*queries.columns).checkpoint(eager=True)
+        active = chk.where(~F.coalesce(done, F.lit(False))).select(*queries.columns).transform(reliable_checkpoint)
         if active.isEmpty():
             break
         rho += 1

@@ -26,7 +26,7 @@ from ..operators.outliers import fit_outliers
 from ..operators.scale import fit_scaler
 from ..operators.select import feature_selection
 from ..operators.split import split
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from ..sources.schema import require_columns
 from .fixtures import c360
 
@@ -65,8 +65,8 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
                        test_size: float = 0.2, seed: int = 42) -> TrainingResult:
     ensure_checkpoint_dir(spark)
     # The customer table comes out of two large joins: materialise it once.
-    base = prepare(c360(spark, sf_dir)).checkpoint(eager=True)
-    s = split(base, KEY, test_size, seed, stratify_by=TARGET).checkpoint(eager=True)
+    base = prepare(c360(spark, sf_dir)).transform(reliable_checkpoint)
+    s = split(base, KEY, test_size, seed, stratify_by=TARGET).transform(reliable_checkpoint)
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     # Fit every step on the training part only.
     num = [x for x in numeric_columns(base, KEY + [TARGET])]
@@ -86,8 +86,8 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     scaled = cont + [f"{x}_target_encoded" for x in TARGET_ENCODED]
     pre.tables["scale"] = fit_scaler(tr2, "standard", [x for x in feats if x in scaled])
     # Cut the lineage once preprocessing is fixed: selection and every fit reuse it.
-    tr3 = _scale(tr2, pre).checkpoint(eager=True)
-    te3 = _scale(te2, pre).checkpoint(eager=True)
+    tr3 = _scale(tr2, pre).transform(reliable_checkpoint)
+    te3 = _scale(te2, pre).transform(reliable_checkpoint)
     chosen = feature_selection(tr3, feats, TARGET, "mutual_info", k_features, continuous=cont)
     models, parts = {}, []
     for mt in model_types:

@@ -64,3 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for an intermediate table under the shared folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tabforge-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (set up first
+    when the session has none, local mode only).  Cuts lineage so that a lost
+    executor does not force recomputation of everything upstream."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
