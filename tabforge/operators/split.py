@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.ranks import prefix_sums
+from ..session import reliable_checkpoint
 
 
 def hash_order(key_cols: list[str], seed: int) -> Column:
@@ -48,30 +49,30 @@ def split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int
         raise ValueError(f"Target column {stratify_by} not found")
     n = df.count()
     digits = _prefix_digits(n)
-    groups = [stratify_by] if stratify_by else []
     h = hash_order(key_cols, seed)
     order = F.struct(F.col("_h"), *[c(k) for k in key_cols])
-    hashed = df.select("*", h.alias("_h")).withColumn(
+    # _grp is the class (NULL is a class of its own) or one constant group.
+    grp = c(stratify_by) if stratify_by else F.lit(0)
+    hashed = df.select("*", h.alias("_h"), grp.alias("_grp")).withColumn(
         "_bucket", F.conv(F.substring("_h", 1, digits), 16, 10).cast("bigint"))
-    cuts = _cutoffs(hashed, groups, test_size, digits)  # one row per group: bounded
-    cut_rows = cuts.collect()
-    if not cut_rows:
-        return df.withColumn(flag, F.lit(False))
-    # The boundary row of every group: the (k - before)-th smallest order inside the cut bucket.
-    bound = None
-    for r in cut_rows:
-        sel = hashed.where(F.col("_bucket") == r["_cut"])
-        if stratify_by:
-            sel = sel.where(c(stratify_by).eqNullSafe(F.lit(r[stratify_by])))
-        m = int(r["_k"] - r["_before"])
-        last = sel.select(order.alias("_o")).orderBy("_o").limit(m).agg(F.max("_o").alias("m")).first()["m"]
-        bound_row = F.struct(*[F.lit(v).alias(nm) for v, nm in zip(last, ["_h", *key_cols])])
-        cond = (F.col("_bucket") < F.lit(r["_cut"])) | (
-            (F.col("_bucket") == F.lit(r["_cut"])) & (order <= bound_row))
-        if stratify_by:
-            cond = c(stratify_by).eqNullSafe(F.lit(r[stratify_by])) & cond
-        bound = cond if bound is None else (bound | cond)
-    return hashed.withColumn(flag, F.coalesce(bound, F.lit(False))).drop("_h", "_bucket")
+    # One row per group: the cut bucket, the rows before it and k (bounded by classes).
+    cuts = reliable_checkpoint(_cutoffs(hashed, ["_grp"], test_size, digits)
+                               .withColumnRenamed("_grp", "_cgrp"))
+    # Order only the rows of each group's cut bucket (a few hundred rows per group)
+    # and keep the (k - before)-th row as the group's boundary.
+    in_cut = hashed.join(F.broadcast(cuts), hashed["_grp"].eqNullSafe(cuts["_cgrp"])) \
+        .where(F.col("_bucket") == F.col("_cut"))
+    w = Window.partitionBy("_cgrp").orderBy("_h", *[c(k) for k in key_cols])
+    bound = in_cut.withColumn("_rn", F.row_number().over(w)) \
+        .where(F.col("_rn") == F.col("_k") - F.col("_before")) \
+        .select(F.col("_cgrp").alias("_bgrp"), order.alias("_bound"))
+    marks = cuts.join(bound, cuts["_cgrp"].eqNullSafe(bound["_bgrp"]), "left").drop("_bgrp")
+    # marks has one row per group: bounded, broadcast.
+    j = hashed.join(F.broadcast(marks), hashed["_grp"].eqNullSafe(marks["_cgrp"]), "left")
+    test = (F.col("_bucket") < F.col("_cut")) | (
+        (F.col("_bucket") == F.col("_cut")) & (order <= F.col("_bound")))
+    return j.withColumn(flag, F.coalesce(test, F.lit(False))) \
+        .drop("_h", "_grp", "_cgrp", "_bucket", "_k", "_cut", "_before", "_bound")
 
 
 def train_test(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42,

@@ -131,3 +131,13 @@ def test_models_learn_a_planted_label(spark, sf_dir):
 def test_unsupported_model_raises(spark):
     with pytest.raises(ValueError):
         M.build_estimator("xgboost", "classification", {}, 10)
+
+
+def test_stratified_split_null_class_is_its_own_stratum(spark):
+    rows = [(i, None if i % 4 == 0 else ("a" if i % 3 else "b")) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, cls string")
+    s = L.split(df, ["id"], 0.3, 5, stratify_by="cls")
+    got = {r["cls"]: (r["n"], r["t"]) for r in s.groupBy("cls").agg(
+        F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    for cls, (n, t) in got.items():
+        assert t == int(np.ceil(0.3 * n)), cls
