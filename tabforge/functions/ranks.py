@@ -48,7 +48,14 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_cols
                      F.lit(0)).alias(f"_off_{v}") for v in value_cols],
         *[F.sum(f"_bs_{v}").over(wg).alias(f"tot_{v}") for v in value_cols])
     # offsets has at most (partitions + groups) rows: bounded, safe to broadcast.
-    b = ranged.join(F.broadcast(offsets), group_cols + ["_pbk"], "inner")
+    # Null-safe on the group columns: a NULL group is a group of its own.
+    off = offsets.select(*[c(g).alias(f"_og{i}") for i, g in enumerate(group_cols)],
+                         F.col("_pbk").alias("_opbk"), *[x for x in offsets.columns
+                                                         if x not in group_cols and x != "_pbk"])
+    cond = [F.col("_pbk") == F.col("_opbk")] + [c(g).eqNullSafe(F.col(f"_og{i}"))
+                                                for i, g in enumerate(group_cols)]
+    b = ranged.join(F.broadcast(off), cond, "inner") \
+        .drop("_opbk", *[f"_og{i}" for i in range(len(group_cols))])
     w = Window.partitionBy(*gc, "_pbk").orderBy(c(order_col)) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = b.select("*", *[(F.sum(c(v)).over(w) + F.col(f"_off_{v}")).alias(f"cum_{v}")
