@@ -43,7 +43,7 @@ sf AS (SELECT cls, support, p, r, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r /
 
 
 @query("classification_report", with_views(["order_preds_mc"], f"""SELECT row, round(precision, 6) AS precision,
-  round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+  round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM (
 WITH {PER_CLASS_SQL}
 SELECT cls AS row, p AS precision, r AS recall, f AS f1, support FROM sf
 UNION ALL SELECT 'accuracy', a, a, a, n FROM

@@ -51,6 +51,10 @@ def _rows(cols, rows, tol):
     return sorted((tuple(_norm(r[i], tol) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
+
+
 def compare(spark, sf_dir, name, fn, sql, con):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -61,6 +65,9 @@ def compare(spark, sf_dir, name, fn, sql, con):
         return {"name": name, "status": "rows-only", "rows": len(srows), "spark_s": round(t1 - t0, 2)}
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
+    dtypes = {d[0]: str(d[1]) for d in cur.description}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
     drows = cur.fetchall()
     res = {"name": name, "rows": len(srows), "oracle_rows": len(drows), "spark_s": round(t1 - t0, 2)}
     if sorted(scols) != sorted(dcols):
@@ -69,6 +76,10 @@ def compare(spark, sf_dir, name, fn, sql, con):
     if len(srows) != len(drows):
         res["status"] = "ROWCOUNT"
         return res
+    tdiff = {k: (stypes[k], dtypes[k]) for k in stypes if stypes[k] != dtypes.get(k)}
+    if tdiff:
+        res["status"] = f"TYPES {tdiff}"
+        return res
     if _rows(scols, srows, False) == _rows(dcols, drows, False):
         res["status"] = "ok"
     elif _rows(scols, srows, True) == _rows(dcols, drows, True):
