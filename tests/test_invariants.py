@@ -141,3 +141,52 @@ def test_stratified_split_null_class_is_its_own_stratum(spark):
         F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
     for cls, (n, t) in got.items():
         assert t == int(np.ceil(0.3 * n)), cls
+
+
+def _knn_brute(rows, k=5):
+    """Reference KNN imputation (NaN-Euclidean, ties by key) in plain Python."""
+    p = len(rows[0]) - 1
+    out = {}
+    for key, *x in rows:
+        filled = list(x)
+        for j in range(p):
+            if x[j] is not None:
+                continue
+            cands = []
+            for dkey, *y in rows:
+                if y[j] is None:
+                    continue
+                co = [i for i in range(p) if i != j and x[i] is not None and y[i] is not None]
+                if not co:
+                    continue
+                dist = (p / len(co) * sum((x[i] - y[i]) ** 2 for i in co)) ** 0.5
+                cands.append((dist, dkey, y[j]))
+            cands.sort()
+            if cands:
+                filled[j] = sum(v for _, _, v in cands[:k]) / len(cands[:k])
+            else:
+                filled[j] = sum(r[j + 1] for r in rows if r[j + 1] is not None) / sum(
+                    1 for r in rows if r[j + 1] is not None)
+        out[key] = filled
+    return out
+
+
+def test_knn_matches_brute_force_with_a_hot_point(spark):
+    from tabforge.operators.knn import knn_impute
+    rnd = random.Random(11)
+    rows = []
+    for i in range(300):
+        if i % 3 == 0:                       # a third of the rows share one point
+            x = [1.0, 2.0, 3.0]
+        else:
+            x = [float(rnd.randint(0, 20)), rnd.random() * 10, float(rnd.randint(0, 5))]
+        if i % 7 == 0:
+            x[i % 3] = None
+        if i % 29 == 0:
+            x[(i + 1) % 3] = None
+        rows.append((i, *x))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    got = {r["id"]: [r["a"], r["b"], r["c"]] for r in knn_impute(df, ["a", "b", "c"], "id", 5).collect()}
+    exp = _knn_brute(rows)
+    for key, vals in exp.items():
+        assert got[key] == pytest.approx(vals, rel=1e-12, abs=1e-12), key
