@@ -122,16 +122,22 @@ TYPE_CASE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'i
   WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"""
 
 
+def _non_null_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{x}' AS feature, count({x}) AS n_non_null FROM lineitem" for x in LI_COLUMNS)
+
+
 @query("feature_types", f"""SELECT CAST(ordinal_position AS INTEGER) AS position, column_name AS feature,
   {TYPE_CASE} AS dtype,
   CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric'
-       WHEN data_type = 'VARCHAR' THEN 'object' ELSE 'other' END AS kind
-FROM information_schema.columns WHERE table_name = 'lineitem'""")
+       WHEN data_type = 'VARCHAR' THEN 'object' ELSE 'other' END AS kind, nn.n_non_null
+FROM information_schema.columns JOIN ({_non_null_sql()}) nn ON nn.feature = column_name
+WHERE table_name = 'lineitem'""")
 def feature_types(spark, d):
     return schema.feature_types(table(spark, d, "lineitem"))
 
 
-@query("dtype_counts", f"""SELECT {TYPE_CASE} AS dtype, count(*) AS n_columns
-FROM information_schema.columns WHERE table_name = 'lineitem' GROUP BY 1""")
+@query("dtype_counts", f"""SELECT {TYPE_CASE} AS dtype, count(*) AS n_columns, CAST(sum(nn.n_non_null) AS BIGINT) AS n_values
+FROM information_schema.columns JOIN ({_non_null_sql()}) nn ON nn.feature = column_name
+WHERE table_name = 'lineitem' GROUP BY 1""")
 def dtype_counts(spark, d):
     return schema.dtype_counts(table(spark, d, "lineitem"))

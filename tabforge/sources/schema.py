@@ -52,16 +52,19 @@ def _kind(dt: T.DataType) -> str:
 
 
 def feature_types(df: DataFrame) -> DataFrame:
-    """(position, feature, dtype, kind) with kind in numeric / object / other."""
+    """(position, feature, dtype, kind, n_non_null): kind is numeric / object / other;
+    the non-null counts of all columns come from one aggregate over the table."""
     spark = df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString(), _kind(f.dataType))
+    counts = df.agg(*[F.count(c(f.name)).alias(f"_n{i}") for i, f in enumerate(df.schema.fields)]).first()
+    rows = [(i + 1, f.name, f.dataType.simpleString(), _kind(f.dataType), int(counts[f"_n{i}"]))
             for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, feature string, dtype string, kind string")
+    return spark.createDataFrame(rows, "position int, feature string, dtype string, kind string, n_non_null bigint")
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
-    """Number of columns per type name (J2)."""
-    return feature_types(df).groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"))
+    """Number of columns per type name (J2) and their non-null values."""
+    return feature_types(df).groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"),
+                                                  F.sum("n_non_null").alias("n_values"))
 
 
 def split_types(df: DataFrame) -> tuple[list[str], list[str]]:
