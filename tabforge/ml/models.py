@@ -184,16 +184,24 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
     return fitted.bestModel, results, json.loads(rows[best_i][0])
 
 
-def _fold_predictions(df, features, label, key_cols, model_type, problem_type, hp, k, seed):
-    folds = assign_folds(df, key_cols, k, seed,
-                         stratify_by=label if problem_type == "classification" else None).cache()
+def _fold_predictions(df, features, label, key_cols, model_type, problem_type, hp, k, seed, parallelism=1):
+    folds = reliable_checkpoint(assign_folds(df, key_cols, k, seed,
+                                             stratify_by=label if problem_type == "classification" else None))
+
+    def fit(i):
+        return train(folds.where(F.col("fold") != i), features, label, model_type, problem_type, hp)
+
+    # Independent fits run as concurrent Spark jobs (like CrossValidator's parallelism).
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(fit, range(k)))
+    else:
+        models = [fit(i) for i in range(k)]
     parts = []
-    for i in range(k):
-        tr = folds.where(F.col("fold") != i)
-        m = train(tr, features, label, model_type, problem_type, hp)
-        for side, part in (("train", tr), ("test", folds.where(F.col("fold") == i))):
-            p = predict(m, part, key_cols, label).withColumn("model", F.lit(f"{i}|{side}"))
-            parts.append(p)
+    for i, m in enumerate(models):
+        for side, part in (("train", folds.where(F.col("fold") != i)), ("test", folds.where(F.col("fold") == i))):
+            parts.append(predict(m, part, key_cols, label).withColumn("model", F.lit(f"{i}|{side}")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -202,11 +210,12 @@ def _fold_predictions(df, features, label, key_cols, model_type, problem_type, h
 
 def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: list[str],
                    model_type: str = "random_forest", problem_type: str = "classification",
-                   hyperparameters: dict | None = None, cv_folds: int = 5, seed: int = 42) -> DataFrame:
+                   hyperparameters: dict | None = None, cv_folds: int = 5, seed: int = 42,
+                   parallelism: int = 1) -> DataFrame:
     """Per-fold train and test scores plus mean and population std per (side, metric):
     (fold, side, metric, value) with fold = -1 for 'mean' and -2 for 'std' rows."""
     preds, folds = _fold_predictions(df, features, label, key_cols, model_type, problem_type,
-                                     hyperparameters, cv_folds, seed)
+                                     hyperparameters, cv_folds, seed, parallelism)
     # All fold predictions are materialised once (reliable checkpoint) before the
     # grouped metrics, which read them several times.
     preds = preds.withColumn("prediction", F.col("prediction").cast("double")) \
@@ -216,10 +225,8 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
     per = long.select(F.split("model", r"\|")[0].cast("int").alias("fold"),
                       F.split("model", r"\|")[1].alias("side"), "metric", "value")
     summ = per.groupBy("side", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    out = per.unionByName(summ.select(F.lit(-1).alias("fold"), "side", "metric", F.col("mean").alias("value"))) \
+    return per.unionByName(summ.select(F.lit(-1).alias("fold"), "side", "metric", F.col("mean").alias("value"))) \
         .unionByName(summ.select(F.lit(-2).alias("fold"), "side", "metric", F.col("std").alias("value")))
-    folds.unpersist()
-    return out
 
 
 def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: list[str],

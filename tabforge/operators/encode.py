@@ -187,12 +187,10 @@ def fit_frequency(df: DataFrame, cols: list[str]) -> DataFrame:
         .select("feature", "value", (F.col("n") / F.col("t")).alias("freq"))
 
 
-def frequency_encode(df: DataFrame, cols: list[str] | None = None, exclude: list[str] = (),
-                     suffix: str = "_frequency") -> DataFrame:
-    cols = cols if cols is not None else string_columns(df, exclude)
-    table = fit_frequency(df, cols)
-    present = {r["feature"] for r in table.select("feature").distinct().collect()}
+def apply_frequency(df: DataFrame, cols: list[str], table: DataFrame, suffix: str = "_frequency") -> DataFrame:
+    """Join the fitted shares; values unseen at fit time (and NULL) get NULL."""
     out = df
+    present = {r["feature"] for r in table.select("feature").distinct().collect()}  # <= len(cols) rows
     for col in cols:
         if col not in present:
             continue
@@ -202,3 +200,9 @@ def frequency_encode(df: DataFrame, cols: list[str] | None = None, exclude: list
         right = F.broadcast(m) if n <= BROADCAST_MAP_ROWS else m
         out = out.join(right, c(col) == F.col("_fv"), "left").drop("_fv")
     return out
+
+
+def frequency_encode(df: DataFrame, cols: list[str] | None = None, exclude: list[str] = (),
+                     suffix: str = "_frequency") -> DataFrame:
+    cols = cols if cols is not None else string_columns(df, exclude)
+    return apply_frequency(df, cols, fit_frequency(df, cols), suffix)

@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
-from ..ml.models import evaluate, load_model, predict, save_model, train
+from ..ml.models import cross_validate, evaluate, load_model, predict, save_model, train
 from ..ml.scoring import Preprocessor, batch_predict
 from ..operators import clean
 from ..operators import features as G
-from ..operators.encode import apply_target_encoding, fit_onehot, fit_target_encoding
+from ..operators.encode import (apply_frequency, apply_target_encoding, fit_frequency, fit_onehot,
+                                fit_target_encoding)
 from ..operators.impute import fit_impute
 from ..operators.metrics import classification_report, confusion_matrix, model_comparison
 from ..operators.outliers import fit_outliers
+from ..operators.profile import eda_report_long
 from ..operators.scale import fit_scaler
 from ..operators.select import feature_selection
 from ..operators.split import split
 from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..sources.files import save_eda_report
 from ..sources.schema import require_columns
 from .fixtures import c360
 
@@ -47,6 +50,8 @@ LR_PARAMS = {"C": 0.1, "max_iter": 2000, "class_weight": "balanced", "random_sta
 class TrainingResult:
     metrics: DataFrame          # (model, metric, value) on the test part
     best: DataFrame             # (metric, best_model, value)
+    cv: DataFrame | None        # (model, fold, side, metric, value); fold -1 mean, -2 std
+    eda: DataFrame | None       # long EDA statistics of the training part
     features: list[str]
     preprocessor: Preprocessor
     models: dict
@@ -60,13 +65,26 @@ def prepare(df: DataFrame) -> DataFrame:
     return G.tenure_buckets(df, "tenure_months")
 
 
-def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, k_features: int = 12,
+def _parallel(fn, items, workers):
+    """Run independent Spark fits as concurrent jobs from driver threads."""
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
+def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, k_features: int = 25,
                        model_types: tuple[str, ...] = ("random_forest", "logistic_regression"),
-                       test_size: float = 0.2, seed: int = 42) -> TrainingResult:
+                       test_size: float = 0.2, seed: int = 42, cv_folds: int | None = 5,
+                       eda: bool = True, parallelism: int = 4) -> TrainingResult:
+    """Q1: scan -> check -> dedup -> features -> split -> (fit on train) impute ->
+    target / frequency encode -> one-hot -> cap -> scale -> EDA -> select k -> fit the
+    models -> test metrics -> k-fold CV on the training part -> save."""
     ensure_checkpoint_dir(spark)
     # The customer table comes out of two large joins: materialise it once.
-    base = prepare(c360(spark, sf_dir)).transform(reliable_checkpoint)
-    s = split(base, KEY, test_size, seed, stratify_by=TARGET).transform(reliable_checkpoint)
+    base = reliable_checkpoint(prepare(c360(spark, sf_dir)))
+    s = reliable_checkpoint(split(base, KEY, test_size, seed, stratify_by=TARGET))
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     # Fit every step on the training part only.
     num = [x for x in numeric_columns(base, KEY + [TARGET])]
@@ -77,6 +95,9 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     g, tmap = fit_target_encoding(tr1, TARGET_ENCODED, TARGET)
     tr1 = apply_target_encoding(tr1, TARGET_ENCODED, g, tmap)
     te1 = apply_target_encoding(te1, TARGET_ENCODED, g, tmap)
+    freq = fit_frequency(tr1, TARGET_ENCODED + ONEHOT)
+    tr1 = apply_frequency(tr1, TARGET_ENCODED + ONEHOT, freq)
+    te1 = apply_frequency(te1, TARGET_ENCODED + ONEHOT, freq)
     cont = [x for x in num if not x.startswith(("tenure_group_", "is_"))]
     pre.tables["outliers"] = fit_outliers(tr1, "iqr", 1.5, cont)
     pre.tables["onehot"] = fit_onehot(tr1, ONEHOT, 10)
@@ -85,28 +106,39 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     feats = [x for x in numeric_columns(tr2, KEY + [TARGET]) if x != "is_test"]
     scaled = cont + [f"{x}_target_encoded" for x in TARGET_ENCODED]
     pre.tables["scale"] = fit_scaler(tr2, "standard", [x for x in feats if x in scaled])
-    # Cut the lineage once preprocessing is fixed: selection and every fit reuse it.
-    tr3 = _scale(tr2, pre).transform(reliable_checkpoint)
-    te3 = _scale(te2, pre).transform(reliable_checkpoint)
+    # Cut the lineage once preprocessing is fixed: EDA, selection and every fit reuse it.
+    tr3 = reliable_checkpoint(_scale(tr2, pre))
+    te3 = reliable_checkpoint(_scale(te2, pre))
+    eda_long = eda_report_long(tr3.drop("is_test"), TARGET) if eda else None
     chosen = feature_selection(tr3, feats, TARGET, "mutual_info", k_features, continuous=cont)
-    models, parts = {}, []
-    for mt in model_types:
-        hp = RF_PARAMS if mt == "random_forest" else LR_PARAMS
-        m = train(tr3, chosen, TARGET, mt, "classification", hp)
-        models[mt] = m
-        parts.append(predict(m, te3, KEY, TARGET).withColumn("model", F.lit(mt)))
+
+    def fit(mt):
+        return mt, train(tr3, chosen, TARGET, mt, "classification", RF_PARAMS if mt == "random_forest" else LR_PARAMS)
+
+    models = dict(_parallel(fit, list(model_types), parallelism))
+    parts = [predict(m, te3, KEY, TARGET).withColumn("model", F.lit(mt)) for mt, m in models.items()]
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
     preds = preds.withColumn("prediction", F.col("prediction").cast("int"))
     metrics, best = model_comparison(preds, "model", "label", "prediction", "score")
+    cv = None
+    if cv_folds:
+        cvs = [cross_validate(tr3, chosen, TARGET, KEY, mt, "classification",
+                              RF_PARAMS if mt == "random_forest" else LR_PARAMS, cv_folds, seed, parallelism)
+               .withColumn("model", F.lit(mt)) for mt in model_types]
+        cv = cvs[0]
+        for x in cvs[1:]:
+            cv = cv.unionByName(x)
     if out_dir:
         pre.save(f"{out_dir}/preprocessor")
+        if eda_long is not None:
+            save_eda_report(eda_long, f"{out_dir}/eda")
         for mt, m in models.items():
             save_model(m, f"{out_dir}/models/{mt}", {"model_type": mt, "problem_type": "classification",
                                                      "features_count": len(chosen)},
                        registry_dir=f"{out_dir}/registry")
-    return TrainingResult(metrics, best, chosen, pre, models)
+    return TrainingResult(metrics, best, cv, eda_long, chosen, pre, models)
 
 
 def _tail(df: DataFrame, pre: Preprocessor) -> DataFrame:

@@ -170,8 +170,12 @@ def apply_params(spark, d):
 
 @query("churn_training_job")
 def churn_training_job(spark, d):
+    """Q1 end to end; returns test metrics and the CV summary (fold -1 mean, -2 std)."""
     res = Q.churn_training_job(spark, d, scratch_path(spark, "training-job"))
-    return res.metrics.select("model", "metric", r6(F.col("value")).alias("value"))
+    test = res.metrics.select("model", F.lit("test").alias("side"), F.lit(None).cast("int").alias("fold"),
+                              "metric", "value")
+    cv = res.cv.where(F.col("fold") < 0).select("model", "side", "fold", "metric", "value")
+    return test.unionByName(cv).select("model", "side", "fold", "metric", r6(F.col("value")).alias("value"))
 
 
 @query("validation_job")
