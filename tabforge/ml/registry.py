@@ -42,6 +42,22 @@ def leaderboard_from_predictions(spark, sf_dir: str) -> DataFrame:
     return leaderboard(long, trained)
 
 
+METRICS_SCHEMA = "accuracy double, precision double, recall double, f1_score double"
+
+
+def read_registry(spark, registry_dir: str) -> DataFrame:
+    """Leaderboard from registry rows written by :func:`tabforge.ml.models.save_model`
+    (one JSON row per saved model; ``evaluation_metrics`` is a JSON string)."""
+    reg = spark.read.schema("model_path string, model_type string, problem_type string, training_date string, "
+                            "dataset_size bigint, features_count int, evaluation_metrics string") \
+        .json(registry_dir)
+    m = F.from_json("evaluation_metrics", METRICS_SCHEMA)
+    return reg.select("model_type", m["accuracy"].alias("accuracy"), m["precision"].alias("precision"),
+                      m["recall"].alias("recall"), m["f1_score"].alias("f1_score"),
+                      F.to_timestamp("training_date").alias("training_date"), "model_path",
+                      "dataset_size", "features_count")
+
+
 def recommend(lb: DataFrame) -> DataFrame:
     """Highest accuracy (> 0), confidence label, improvement % over the runner-up (0 if none)."""
     w = Window.orderBy(F.col("accuracy").desc(), F.col("model_type"))

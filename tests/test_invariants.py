@@ -190,3 +190,22 @@ def test_knn_matches_brute_force_with_a_hot_point(spark):
     exp = _knn_brute(rows)
     for key, vals in exp.items():
         assert got[key] == pytest.approx(vals, rel=1e-12, abs=1e-12), key
+
+
+def test_registry_roundtrip(spark, sf_dir, tmp_path):
+    from tabforge.ml import registry as P
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax").limit(200) \
+        .withColumn("y", (F.col("l_quantity") > 25).cast("int"))
+    m = M.train(li, ["l_quantity", "l_discount"], "y", "logistic_regression", "classification", {"max_iter": 20})
+    reg = str(tmp_path / "registry")
+    for name, acc, when in [("lr_a", 0.81, "2024-01-01T10:00:00"), ("lr_b", 0.75, "2024-02-01T11:30:00")]:
+        M.save_model(m, str(tmp_path / name), {"model_type": name, "training_date": when,
+                                               "evaluation_metrics": {"accuracy": acc, "precision": acc,
+                                                                      "recall": acc, "f1_score": acc}},
+                     registry_dir=reg)
+    lb = P.read_registry(spark, reg)
+    rec = P.recommend(lb).first()
+    assert rec["recommended_model"] == "lr_a" and rec["confidence"] == "high"
+    assert rec["improvement_pct"] == pytest.approx((0.81 - 0.75) / 0.75 * 100)
+    cur = P.current_model(lb).first()
+    assert cur["model_type"] == "lr_b" and cur["version_id"] == "lr_b_v20240201_1130"
