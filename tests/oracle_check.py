@@ -93,11 +93,20 @@ def compare(spark, sf_dir, name, fn, sql, con):
 
 def main(argv):
     sf = "/root/testdata/sf0.01"
+    plain = False
+    if argv and argv[0] == "--plain":  # a default session, as an outside driver would build
+        plain, argv = True, argv[1:]
     if argv and argv[0] == "--sf":
         sf, argv = argv[1], argv[2:]
     import __spark_entry__ as E
-    from tabforge.session import build_session
-    spark = build_session("local[8]", 8)
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tabforge.session import build_session
+        spark = build_session("local[8]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     names = argv or list(qs)
     con = duck(sf)
