@@ -117,7 +117,8 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
     for s in sorted({cb[3] for cb in combos}):
         dims = _mask_cols(s, p)
         cs = [cb for cb in combos if cb[3] == s]
-        imputed_parts.append(_search(spark, base, p, k, s, dims, cs))
+        n_s = sum(cnt for pt, cnt in pats.items() if pt & s == s)  # rows having all of S
+        imputed_parts.append(_search(spark, base, p, k, s, dims, cs, n_s))
     # Best k over all donor patterns, per (receiver, column).
     if imputed_parts:
         cand = imputed_parts[0]
@@ -139,12 +140,12 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
     return j.select(*[c(x) for x in df.columns])
 
 
-def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], combos):
+def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], combos, n_s: int):
     m = len(dims)
     weight = p / m
     # Equal-frequency edges per dimension of S from rows having all of S.
     has_s = base.where(F.expr(" AND ".join(f"_x{i} IS NOT NULL" for i in dims)))
-    n = max(has_s.count(), 1)
+    n = max(n_s, 1)
     g = int(min(MAX_EDGES_PER_DIM, max(1, math.ceil((n / TARGET_PER_CELL) ** (1.0 / m)))))
     probs = [i / g for i in range(1, g)]
     edges = {}
