@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..operators.metrics import balanced_weights, model_comparison
-from ..operators.split import assign_folds, split
+from ..operators.split import assign_folds, hash_positions
 from ..session import reliable_checkpoint
 
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
@@ -232,21 +233,34 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
 def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: list[str],
                    model_type: str = "logistic_regression", problem_type: str = "classification",
                    train_sizes: list[float] | None = None, cv_folds: int = 5, seed: int = 42,
-                   metric: str = "accuracy") -> DataFrame:
-    """For each train fraction and fold: fit on an exact-size hash subset of the fold's
-    training part, score train subset and test fold.  (train_size, n_train, side, mean, std)."""
+                   metric: str = "accuracy", parallelism: int = 4) -> DataFrame:
+    """For each train fraction and fold: fit on the first ``ceil(size * n)`` rows (hash
+    order) of the fold's training part, score that subset and the test fold.
+    Returns (train_size, side, mean, std) over folds."""
     sizes = train_sizes or [round(0.1 * i, 1) for i in range(1, 11)]
-    folds = assign_folds(df, key_cols, cv_folds, seed,
-                         stratify_by=label if problem_type == "classification" else None).cache()
-    parts = []
+    folds = reliable_checkpoint(assign_folds(df, key_cols, cv_folds, seed,
+                                             stratify_by=label if problem_type == "classification" else None))
+    tasks = []
     for i in range(cv_folds):
-        tr_all = folds.where(F.col("fold") != i)
-        te = folds.where(F.col("fold") == i)
+        tr_all = reliable_checkpoint(hash_positions(folds.where(F.col("fold") != i), key_cols, seed + i))
+        n_i = tr_all.count()
         for s in sizes:
-            tr = tr_all if s >= 1.0 else split(tr_all, key_cols, s, seed + i).where(F.col("is_test")).drop("is_test")
-            m = train(tr, features, label, model_type, problem_type)
-            for side, part in (("train", tr), ("test", te)):
-                parts.append(predict(m, part, key_cols, label).withColumn("model", F.lit(f"{s}|{i}|{side}")))
+            tr = tr_all.where(F.col("_pos") < int(math.ceil(s * n_i))).drop("_pos")
+            tasks.append((s, i, tr, folds.where(F.col("fold") == i)))
+
+    def fit(t):
+        return train(t[2], features, label, model_type, problem_type)
+
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(fit, tasks))
+    else:
+        models = [fit(t) for t in tasks]
+    parts = []
+    for (s, i, tr, te), m in zip(tasks, models):
+        for side, part in (("train", tr), ("test", te)):
+            parts.append(predict(m, part, key_cols, label).withColumn("model", F.lit(f"{s}|{i}|{side}")))
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
@@ -256,9 +270,7 @@ def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: lis
     per = long.where(F.col("metric") == metric).select(
         F.split("model", r"\|")[0].cast("double").alias("train_size"),
         F.split("model", r"\|")[2].alias("side"), "value")
-    out = per.groupBy("train_size", "side").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    folds.unpersist()
-    return out
+    return per.groupBy("train_size", "side").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
 def rfe_select(df: DataFrame, features: list[str], label: str, k: int, step: int = 1,

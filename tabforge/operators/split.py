@@ -86,17 +86,16 @@ def holdout_anti_join(df: DataFrame, sample: DataFrame, key_cols: list[str]) ->
     return df.join(sample.select(*[c(k) for k in key_cols]), key_cols, "left_anti")
 
 
-def assign_folds(df: DataFrame, key_cols: list[str], k: int = 5, seed: int = 42,
-                 stratify_by: str | None = None, fold_col: str = "fold") -> DataFrame:
-    """fold = (position in hash order within class) mod k.
-
-    The position is exact without ordering a class as a whole: rows are ranked
-    inside their hash-prefix bucket (a few hundred rows each, so a hot class is
-    spread over many buckets), and the bucket's offset comes from running totals
-    over the per-bucket count table."""
+def hash_positions(df: DataFrame, key_cols: list[str], seed: int = 42, group: str | None = None,
+                   pos_col: str = "_pos") -> DataFrame:
+    """0-based position of every row in ``md5(key|seed)`` order (then key) within its
+    group, exact, without ordering a group as a whole: rows are ranked inside their
+    hash-prefix bucket (a few hundred rows each, so a hot group is spread over many
+    buckets) and the bucket's offset comes from running totals over the small
+    per-bucket count table."""
     n = df.count()
     digits = _prefix_digits(n)
-    grp = c(stratify_by) if stratify_by else F.lit(0)
+    grp = c(group) if group else F.lit(0)
     hashed = df.select("*", hash_order(key_cols, seed).alias("_h"), grp.alias("_grp")).withColumn(
         "_bucket", F.conv(F.substring("_h", 1, digits), 16, 10).cast("bigint"))
     cnt = hashed.groupBy("_grp", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -105,6 +104,12 @@ def assign_folds(df: DataFrame, key_cols: list[str], k: int = 5, seed: int = 42,
         (F.col("cum__n") - F.col("_n")).alias("_off"))
     j = hashed.join(offs, hashed["_grp"].eqNullSafe(offs["_ogrp"]) & (hashed["_bucket"] == offs["_obucket"]))
     w = Window.partitionBy("_grp", "_bucket").orderBy("_h", *[c(x) for x in key_cols])
-    pos = F.row_number().over(w) - 1 + F.col("_off")
-    return j.withColumn(fold_col, (pos % k).cast("int")) \
+    return j.withColumn(pos_col, F.row_number().over(w) - 1 + F.col("_off")) \
         .drop("_h", "_grp", "_bucket", "_ogrp", "_obucket", "_off")
+
+
+def assign_folds(df: DataFrame, key_cols: list[str], k: int = 5, seed: int = 42,
+                 stratify_by: str | None = None, fold_col: str = "fold") -> DataFrame:
+    """fold = (position in hash order within class) mod k (see :func:`hash_positions`)."""
+    pos = hash_positions(df, key_cols, seed, stratify_by, "_pos")
+    return pos.withColumn(fold_col, (F.col("_pos") % k).cast("int")).drop("_pos")

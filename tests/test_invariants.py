@@ -209,3 +209,14 @@ def test_registry_roundtrip(spark, sf_dir, tmp_path):
     assert rec["improvement_pct"] == pytest.approx((0.81 - 0.75) / 0.75 * 100)
     cur = P.current_model(lb).first()
     assert cur["model_type"] == "lr_b" and cur["version_id"] == "lr_b_v20240201_1130"
+
+
+def test_hash_positions_are_the_md5_order(spark):
+    import hashlib
+    rows = [(i, "hot" if i % 3 else ("x" if i % 2 else None)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g string")
+    got = {r["id"]: r["_pos"] for r in L.hash_positions(df, ["id"], 7, "g").collect()}
+    for g in {r[1] for r in rows}:
+        ids = [i for i, gg in rows if gg == g]
+        order = sorted(ids, key=lambda i: (hashlib.md5(f"{i}|7".encode()).hexdigest(), i))
+        assert [got[i] for i in order] == list(range(len(order)))
