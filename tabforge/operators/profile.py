@@ -253,22 +253,41 @@ def eda_key_findings(corr_long: DataFrame, cramers_long: DataFrame, importance:
 
 
 def eda_report_long(df: DataFrame, target: str | None = None) -> DataFrame:
-    """Union of overview, missing and numeric statistics as (section, feature, stat, value)."""
+    """The EDA report as one long table (section, feature, stat, value):
+
+    * ``overview``: n_rows, n_columns;  ``missing``: missing, missing_pct per column;
+    * ``describe``: count, mean, std, min, quartiles, max per numeric column;
+    * ``shape``: bias-corrected skewness and excess kurtosis per numeric column;
+    * ``categorical``: n_unique per string column;
+    * ``correlation``: Pearson r per numeric pair (feature ``a|b``);
+    * ``target``: class counts of the target, when given.
+    """
     num = numeric_columns(df, [target] if target else [])
-    parts = [overview_shape(df).select(F.lit("overview").alias("section"), F.lit("*").alias("feature"),
-                                       F.explode(F.create_map(F.lit("n_rows"), F.col("n_rows").cast("double"),
-                                                              F.lit("n_columns"),
-                                                              F.col("n_columns").cast("double"))))]
-    mp = missing_profile(df)
-    parts.append(mp.select(F.lit("missing").alias("section"), "feature",
-                           F.explode(F.create_map(F.lit("missing"), F.col("missing").cast("double"),
-                                                  F.lit("missing_pct"), F.col("missing_pct")))))
+    strs = string_columns(df, [target] if target else [])
+
+    def long(d, section, stats, feature=F.col("feature")):
+        return d.select(F.lit(section).alias("section"), feature.alias("feature"),
+                        F.explode(F.create_map(*[x for st in stats for x in (F.lit(st), F.col(st).cast("double"))])))
+
+    parts = [long(overview_shape(df), "overview", ["n_rows", "n_columns"], F.lit("*")),
+             long(missing_profile(df), "missing", ["missing", "missing_pct"])]
     if num:
-        d = describe_numeric(df, num)
-        stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-        parts.append(d.select(F.lit("describe").alias("section"), "feature",
-                              F.explode(F.create_map(*[x for s in stats for x in
-                                                       (F.lit(s), F.col(s).cast("double"))]))))
+        parts.append(long(describe_numeric(df, num), "describe",
+                          ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]))
+        shape = unpivot_numeric(df, num).groupBy("feature").agg(
+            sample_skewness(F.col("value")).alias("skewness"), sample_kurtosis(F.col("value")).alias("kurtosis"))
+        parts.append(long(shape, "shape", ["skewness", "kurtosis"]))
+    if strs:
+        nu = unpivot_strings(df, strs, drop_nulls=True).distinct().groupBy("feature") \
+            .agg(F.count(F.lit(1)).alias("n_unique"))
+        parts.append(long(nu, "categorical", ["n_unique"]))
+    if len(num) > 1:
+        corr = correlation_long(df, num)
+        parts.append(long(corr, "correlation", ["correlation"],
+                          F.concat_ws("|", F.col("feature1"), F.col("feature2"))))
+    if target:
+        td = target_distribution(df, target)
+        parts.append(long(td, "target", ["n"], F.col("value").cast("string")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -93,7 +93,11 @@ def params_roundtrip(spark, d):
     return back.select("op", "feature", "key", r6(F.col("num")).alias("num"), "text")
 
 
+LI_STRINGS = ["l_returnflag", "l_linestatus"]
+
+
 def _eda_sql():
+    from .sqlgen import pearson_long
     parts = ["SELECT 'overview' AS section, '*' AS feature, 'n_rows' AS stat, CAST(count(*) AS DOUBLE) AS value "
              "FROM lineitem",
              f"SELECT 'overview', '*', 'n_columns', CAST({len(LI_COLUMNS)} AS DOUBLE)"]
@@ -105,8 +109,14 @@ def _eda_sql():
         for stat, e in [("count", f"CAST(count({x}) AS DOUBLE)"), ("mean", f"avg({x})"),
                         ("std", f"stddev_samp({x})"), ("min", f"CAST(min({x}) AS DOUBLE)"),
                         ("q25", f"quantile_cont({x}, 0.25)"), ("q50", f"quantile_cont({x}, 0.5)"),
-                        ("q75", f"quantile_cont({x}, 0.75)"), ("max", f"CAST(max({x}) AS DOUBLE)")]:
-            parts.append(f"SELECT 'describe', '{x}', '{stat}', round({e}, 6) FROM lineitem")
+                        ("q75", f"quantile_cont({x}, 0.75)"), ("max", f"CAST(max({x}) AS DOUBLE)"),
+                        ("skewness", f"skewness({x})"), ("kurtosis", f"kurtosis({x})")]:
+            section = "shape" if stat in ("skewness", "kurtosis") else "describe"
+            parts.append(f"SELECT '{section}', '{x}', '{stat}', round({e}, 6) FROM lineitem")
+    for x in LI_STRINGS:
+        parts.append(f"SELECT 'categorical', '{x}', 'n_unique', CAST(count(DISTINCT {x}) AS DOUBLE) FROM lineitem")
+    parts.append(f"SELECT 'correlation', feature1 || '|' || feature2, 'correlation', round(correlation, 6) "
+                 f"FROM ({pearson_long('lineitem', LI_NUMERIC)})")
     return "\nUNION ALL\n".join(parts)
 
 
