@@ -32,13 +32,16 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v, tol):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
         if tol:
             return round(v, 6) + 0.0
-        return v + 0.0
+        return repr(v) if STRICT else v + 0.0
     if isinstance(v, _dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
