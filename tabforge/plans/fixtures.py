@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stats import md5_unit
+from ..session import reliable_checkpoint
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,12 @@ FROM lineitem"""
 # ------------------------------------------------------------------ c360
 
 def c360(spark, d) -> DataFrame:
+    """The customer feature table, materialised once (see :func:`c360_plan`)."""
+    return reliable_checkpoint(c360_plan(spark, d))
+
+
+def c360_plan(spark, d) -> DataFrame:
+    """Lazy plan of the customer feature table (filters reach the scans)."""
     orders = table(spark, d, "orders")
     li = table(spark, d, "lineitem")
     cust = table(spark, d, "customer")
@@ -90,13 +97,15 @@ def c360(spark, d) -> DataFrame:
     out = per.join(cust, F.col("o_custkey") == F.col("c_custkey")) \
         .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left") \
         .join(lines, "o_custkey", "left").join(later, "o_custkey", "left")
-    return out.select(
+    # c360() materialises this once: the operators built on it make several passes
+    # (fits, cardinality checks, apply); recomputing two large joins each time is waste.
+    return (out.select(
         F.col("c_custkey").alias("customer_id"), "region", F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").alias("acctbal"),
         F.floor(F.datediff(cut, F.col("first_order")) / 30).cast("bigint").alias("tenure_months"),
         "n_orders", "total_charges", "avg_charges", "last_priority",
         F.coalesce("returned_items", F.lit(0)).cast("bigint").alias("returned_items"), "avg_discount",
-        F.when(F.col("_later").isNull(), 1).otherwise(0).cast("int").alias("churn"))
+        F.when(F.col("_later").isNull(), 1).otherwise(0).cast("int").alias("churn")))
 
 
 C360_SQL = """SELECT c.c_custkey AS customer_id, r.r_name AS region, c.c_mktsegment AS segment,

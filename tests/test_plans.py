@@ -35,8 +35,8 @@ def test_flagship_prunes_columns_and_pushes_filters(spark, sf_dir):
 
 
 def test_c360_cutoff_reaches_the_scans(spark, sf_dir):
-    from tabforge.plans.fixtures import c360
-    plan = _plan(c360(spark, sf_dir))
+    from tabforge.plans.fixtures import c360_plan
+    plan = _plan(c360_plan(spark, sf_dir))
     pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*\]", plan))
     assert "LessThan(o_orderdate" in pushed and "LessThan(l_shipdate" in pushed
 
