@@ -58,18 +58,28 @@ def _ring(m: int, rho: int) -> list[tuple[int, ...]]:
 
 def _bottom_k(df: DataFrame, group: list[str], key: str, k: int) -> DataFrame:
     """Rows with the k smallest keys of every group, by k rounds of grouped min
-    (map-side combined; no group is sorted in one task)."""
+    (map-side combined; no group is sorted in one task).  Group columns may hold
+    NULL (masked coordinates), so every join is null-safe."""
     most = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_m")).agg(F.max("_m").alias("m")).first()["m"]
     if most is None or most <= k:
         return df  # no point has more than k coinciding donors
+
+    def on(left, right):
+        cond = left[key] == right["_pk"]
+        for i, g in enumerate(group):
+            cond = cond & left[g].eqNullSafe(right[f"_pg{i}"])
+        return cond
+
     picked = None
     rest = df
     for _ in range(k):
         # Each round's picks are materialised: keeps the lineage of the k rounds short.
-        m = rest.groupBy(*group).agg(F.min(key).alias(key)).transform(reliable_checkpoint)
+        m = reliable_checkpoint(rest.groupBy(*group).agg(F.min(key).alias("_pk"))
+                                .select(*[F.col(g).alias(f"_pg{i}") for i, g in enumerate(group)], "_pk"))
         picked = m if picked is None else picked.unionByName(m)
-        rest = rest.join(m, group + [key], "left_anti")
-    return df.join(picked.transform(reliable_checkpoint), group + [key], "left_semi")
+        rest = rest.join(m, on(rest, m), "left_anti")
+    picked = reliable_checkpoint(picked)
+    return df.join(picked, on(df, picked), "left_semi")
 
 
 _CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
@@ -113,12 +123,7 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
                     s = pr & pd
                     if s:
                         combos.append((pr, pd, j, s))
-    imputed_parts = []
-    for s in sorted({cb[3] for cb in combos}):
-        dims = _mask_cols(s, p)
-        cs = [cb for cb in combos if cb[3] == s]
-        n_s = sum(cnt for pt, cnt in pats.items() if pt & s == s)  # rows having all of S
-        imputed_parts.append(_search(spark, base, p, k, s, dims, cs, n_s))
+    imputed_parts = [_search_all(spark, base, p, k, combos, pats)] if combos else []
     # Best k over all donor patterns, per (receiver, column).
     if imputed_parts:
         cand = imputed_parts[0]
@@ -140,92 +145,157 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
     return j.select(*[c(x) for x in df.columns])
 
 
-def _search(spark, base: DataFrame, p: int, k: int, s: int, dims: list[int], combos, n_s: int):
-    m = len(dims)
-    weight = p / m
-    # Equal-frequency edges per dimension of S from rows having all of S.
-    has_s = base.where(F.expr(" AND ".join(f"_x{i} IS NOT NULL" for i in dims)))
-    n = max(n_s, 1)
-    g = int(min(MAX_EDGES_PER_DIM, max(1, math.ceil((n / TARGET_PER_CELL) ** (1.0 / m)))))
-    probs = [i / g for i in range(1, g)]
-    edges = {}
-    if probs:
-        row = has_s.agg(*[F.percentile_approx(f"_x{i}", probs, 10000).alias(f"e{i}") for i in dims]).first()
-        for i in dims:
-            edges[i] = sorted(set(float(v) for v in row[f"e{i}"]))
-    else:
-        edges = {i: [] for i in dims}
-    # Bucketizer needs at least three splits; any grid keeps the search exact.
-    splits = {i: [-math.inf] + (edges[i] or [0.0]) + [math.inf] for i in dims}
-    ncell = {i: len(splits[i]) - 1 for i in dims}
-    buck = Bucketizer(splitsArray=[splits[i] for i in dims], inputCols=[f"_x{i}" for i in dims],
-                      outputCols=[f"_c{i}" for i in dims], handleInvalid="keep")
-
-    combo_df = spark.createDataFrame([(pr, pd, j) for pr, pd, j, _ in combos], "_pr int, _pd int, _j int")
-    # Donors: rows of a donor pattern having column j, reduced per coinciding point.
-    # The donor pattern contains j, so x_j is present on every donor row.
-    donors = base.join(F.broadcast(combo_df.select("_pd", "_j").distinct()), base["_pat"] == F.col("_pd"))
-    donors = donors.select("_k", "_pd", "_j", *[f"_x{i}" for i in dims],
-                           F.expr("element_at(array(" + ",".join(f"_x{i}" for i in range(p)) + "), _j + 1)")
-                           .alias("_xj"))
-    donors = _bottom_k(donors, ["_pd", "_j", *[f"_x{i}" for i in dims]], "_k", k)
-    donors = buck.transform(donors).select(
-        F.col("_k").alias("_dk"), "_pd", "_j", "_xj", *[F.col(f"_x{i}").alias(f"_d{i}") for i in dims],
-        *[F.col(f"_c{i}").cast("int").alias(f"_c{i}") for i in dims]).transform(reliable_checkpoint)
-
-    queries = base.join(F.broadcast(combo_df), base["_pat"] == F.col("_pr")).select(
-        F.col("_k").alias("_qk"), "_pd", "_j", *[f"_x{i}" for i in dims])
-    queries = buck.transform(queries).select(
-        "_qk", "_pd", "_j", *[f"_x{i}" for i in dims], *[F.col(f"_c{i}").cast("int").alias(f"_c{i}") for i in dims])
-    # Lower bound helpers: edges as literal arrays (bounded by MAX_EDGES_PER_DIM).
-    edge_arr = {i: F.array(*[F.lit(v) for v in splits[i]]) for i in dims}
+def _when_s(values: dict[int, object], default=None, col: str = "_s"):
+    """CASE _s WHEN S THEN value ... : one expression covering every subspace."""
+    expr = None
+    for sv, v in values.items():
+        lit = v if hasattr(v, "alias") else F.lit(v)
+        expr = F.when(F.col(col) == sv, lit) if expr is None else expr.when(F.col(col) == sv, lit)
+    if default is not None:
+        expr = expr.otherwise(default if hasattr(default, "alias") else F.lit(default))
+    return expr
+
+
+def _search_all(spark, base: DataFrame, p: int, k: int, combos, pats) -> DataFrame:
+    """Ring search for every co-present subspace at once (one loop, shared jobs).
+
+    Rows carry ``_s`` (the subspace bitmask); per-subspace constants (grid edges,
+    cell counts, weights, ring offsets) enter as CASE expressions on ``_s``."""
+    subspaces = sorted({cb[3] for cb in combos})
+    dims = {sv: _mask_cols(sv, p) for sv in subspaces}
+    # Grid edges: equal-frequency cuts per (subspace, dimension), all in one aggregate.
+    g = {}
+    aggs = []
+    for sv in subspaces:
+        n_s = max(1, sum(cnt for pt, cnt in pats.items() if pt & sv == sv))  # rows having all of S
+        m = len(dims[sv])
+        g[sv] = int(min(MAX_EDGES_PER_DIM, max(1, math.ceil((n_s / TARGET_PER_CELL) ** (1.0 / m)))))
+        probs = [i / g[sv] for i in range(1, g[sv])]
+        has = F.expr(" AND ".join(f"_x{i} IS NOT NULL" for i in dims[sv]))
+        for i in dims[sv]:
+            if probs:
+                aggs.append(F.percentile_approx(F.when(has, F.col(f"_x{i}")), probs, 10000).alias(f"e_{sv}_{i}"))
+    row = base.agg(*aggs).first().asDict() if aggs else {}
+    splits, ncell = {}, {}
+    for sv in subspaces:
+        for i in dims[sv]:
+            e = sorted(set(float(v) for v in (row.get(f"e_{sv}_{i}") or []) if v is not None))
+            # Bucketizer needs at least three splits; any grid keeps the search exact.
+            splits[(sv, i)] = [-math.inf] + (e or [0.0]) + [math.inf]
+            ncell[(sv, i)] = len(splits[(sv, i)]) - 1
+    keys = sorted(splits)
+    # One input copy per (subspace, dimension): each has its own splits.
+    buck = Bucketizer(splitsArray=[splits[kk] for kk in keys], inputCols=[f"_in_{kk[0]}_{kk[1]}" for kk in keys],
+                      outputCols=[f"_b_{kk[0]}_{kk[1]}" for kk in keys], handleInvalid="keep")
+
+    def cells(df):
+        """Per-dimension cell of the row in its own subspace (0 off the subspace)."""
+        out = buck.transform(df.select("*", *[F.col(f"_x{kk[1]}").alias(f"_in_{kk[0]}_{kk[1]}") for kk in keys]))
+        cols = []
+        for i in range(p):
+            per = {sv: F.col(f"_b_{sv}_{i}").cast("int") for sv in subspaces if i in dims[sv]}
+            cols.append((_when_s(per, 0) if per else F.lit(0)).alias(f"_c{i}"))
+        return out.select(*[x for x in df.columns], *cols)
+
+    # Mixed-radix cell id per subspace (cells per dimension <= MAX_EDGES_PER_DIM + 1).
+    def cell_id(prefix: str):
+        per = {}
+        for sv in subspaces:
+            e, mult = None, 1
+            for i in dims[sv]:
+                term = F.col(f"{prefix}{i}").cast("long") * F.lit(mult)
+                e = term if e is None else e + term
+                mult *= ncell[(sv, i)]
+            per[sv] = e
+        return _when_s(per)
+
+    combo_df = spark.createDataFrame([(pr, pd, j, sv) for pr, pd, j, sv in combos],
+                                     "_pr int, _pd int, _j int, _s int")
+    xs = [f"_x{i}" for i in range(p)]
+    # Donors: one row per (donor, column j, subspace); coordinates outside S masked.
+    donors = base.join(F.broadcast(combo_df.select("_pd", "_j", "_s").distinct()),
+                       base["_pat"] == F.col("_pd"))
+    masked = [F.when(((F.col("_s").bitwiseAND(F.lit(1 << i))) != 0), F.col(f"_x{i}")).alias(f"_x{i}")
+              for i in range(p)]
+    xj = F.element_at(F.array(*[F.col(x) for x in xs]), F.col("_j") + 1)
+    donors = donors.select("_k", "_pd", "_j", "_s", xj.alias("_xj"), *masked)
+    donors = _bottom_k(donors, ["_s", "_pd", "_j", *xs], "_k", k)
+    donors = cells(donors)
+    donors = reliable_checkpoint(donors.select(
+        F.col("_k").alias("_dk"), "_pd", "_j", "_s", "_xj", *[F.col(f"_x{i}").alias(f"_d{i}") for i in range(p)],
+        cell_id("_c").alias("_cell")))
+    queries = base.join(F.broadcast(combo_df), base["_pat"] == F.col("_pr")) \
+        .select(F.col("_k").alias("_qk"), "_pd", "_j", "_s", *masked)
+    queries = reliable_checkpoint(cells(queries))
+    weight = _when_s({sv: p / len(dims[sv]) for sv in subspaces})
+    edge_arr = {kk: F.array(*[F.lit(v) for v in splits[kk]]) for kk in keys}
 
     def lower_bound(rho: int):
-        terms = []
-        for i in dims:
-            lo_idx = F.col(f"_c{i}") - rho          # lowest visited cell
-            hi_idx = F.col(f"_c{i}") + rho          # highest visited cell
-            lo_edge = F.when(lo_idx <= 0, F.lit(math.inf)).otherwise(
-                F.col(f"_x{i}") - F.element_at(edge_arr[i], lo_idx + 1))
-            hi_edge = F.when(hi_idx >= ncell[i] - 1, F.lit(math.inf)).otherwise(
-                F.element_at(edge_arr[i], hi_idx + 2) - F.col(f"_x{i}"))
-            terms += [lo_edge, hi_edge]
-        return F.least(*terms)
+        per = {}
+        for sv in subspaces:
+            terms = []
+            for i in dims[sv]:
+                lo_idx = F.col(f"_c{i}") - rho
+                hi_idx = F.col(f"_c{i}") + rho
+                terms.append(F.when(lo_idx <= 0, F.lit(math.inf)).otherwise(
+                    F.col(f"_x{i}") - F.element_at(edge_arr[(sv, i)], lo_idx + 1)))
+                terms.append(F.when(hi_idx >= ncell[(sv, i)] - 1, F.lit(math.inf)).otherwise(
+                    F.element_at(edge_arr[(sv, i)], hi_idx + 2) - F.col(f"_x{i}")))
+            per[sv] = F.least(*terms) if len(terms) > 1 else terms[0]
+        return _when_s(per)
+
+    def inside(prefix: str):
+        per = {}
+        for sv in subspaces:
+            conds = [(F.col(f"{prefix}{i}") >= 0) & (F.col(f"{prefix}{i}") < ncell[(sv, i)]) for i in dims[sv]]
+            e = conds[0]
+            for cnd in conds[1:]:
+                e = e & cnd
+            per[sv] = e
+        return _when_s(per, False)
 
     kept = None
-    active = queries.transform(reliable_checkpoint)
+    active = queries
     rho = 0
-    # No round cap: the loop ends at the latest when the visited block covers the grid
-    # (lower bound = inf), so every receiver gets its exact k nearest donors.
+    # No round cap: the loop ends at the latest when every visited block covers its
+    # grid (lower bound = inf), so every receiver gets its exact k nearest donors.
     while True:
-        offs = _ring(m, rho)
-        arr = F.array(*[F.struct(*[F.lit(o[t]).alias(f"_o{i}") for t, i in enumerate(dims)]) for o in offs])
-        probe = active.select("*", F.inline(arr)).select(
-            "_qk", "_pd", "_j", *[f"_x{i}" for i in dims],
-            *[(F.col(f"_c{i}") + F.col(f"_o{i}")).alias(f"_t{i}") for i in dims])
-        # Both sides derive from the same base table: join on aliased, distinct names.
+        ring = {}
+        for sv in subspaces:
+            offs = _ring(len(dims[sv]), rho)
+            full_offs = []
+            for o in offs:
+                v = [0] * p
+                for t, i in enumerate(dims[sv]):
+                    v[i] = o[t]
+                full_offs.append(F.struct(*[F.lit(v[i]).alias(f"_o{i}") for i in range(p)]))
+            ring[sv] = F.array(*full_offs)
+        probe = active.select("*", F.inline(_when_s(ring))).select(
+            "_qk", "_pd", "_j", "_s", *xs, *[(F.col(f"_c{i}") + F.col(f"_o{i}")).alias(f"_t{i}") for i in range(p)])
+        probe = probe.where(inside("_t")).select("_qk", "_pd", "_j", "_s", *xs, cell_id("_t").alias("_tcell"))
         q = probe.alias("q")
         dd = donors.alias("dd")
-        cond = [F.col("q._pd") == F.col("dd._pd"), F.col("q._j") == F.col("dd._j")] + \
-               [F.col(f"q._t{i}") == F.col(f"dd._c{i}") for i in dims]
+        cond = [F.col("q._pd") == F.col("dd._pd"), F.col("q._j") == F.col("dd._j"),
+                F.col("q._s") == F.col("dd._s"), F.col("q._tcell") == F.col("dd._cell")]
         sq = None
-        for i in dims:
+        for i in range(p):
             d = F.col(f"q._x{i}") - F.col(f"dd._d{i}")
-            sq = d * d if sq is None else sq + d * d
+            term = F.coalesce(d * d, F.lit(0.0))
+            sq = term if sq is None else sq + term
         pairs = q.join(dd, cond).select(
             F.col("q._qk").alias("_qk"), F.col("q._pd").alias("_pd"), F.col("q._j").alias("_j"),
-            F.col("dd._dk").alias("_dk"), F.col("dd._xj").alias("_xj"),
-            F.sqrt(F.lit(weight) * sq).alias("_dist"))
+            F.col("q._s").alias("_s"), F.col("dd._dk").alias("_dk"), F.col("dd._xj").alias("_xj"),
+            F.sqrt(_when_s({sv: p / len(dims[sv]) for sv in subspaces}, col="q._s") * sq).alias("_dist"))
         pool = pairs if kept is None else kept.unionByName(pairs)
-        w = Window.partitionBy("_qk", "_pd", "_j").orderBy("_dist", "_dk")
-        kept = pool.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r") \
-            .transform(reliable_checkpoint)
-        stat = kept.groupBy("_qk", "_pd", "_j").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_kd"))
-        chk = active.join(stat, ["_qk", "_pd", "_j"], "left").withColumn("_lb", lower_bound(rho))
+        w = Window.partitionBy("_qk", "_pd", "_j", "_s").orderBy("_dist", "_dk")
+        kept = reliable_checkpoint(pool.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r"))
+        stat = kept.groupBy("_qk", "_pd", "_j", "_s").agg(F.count(F.lit(1)).alias("_n"),
+                                                          F.max("_dist").alias("_kd"))
+        chk = active.join(stat, ["_qk", "_pd", "_j", "_s"], "left").withColumn("_lb", lower_bound(rho))
         # Strict: a donor outside the block may sit exactly on the bound.
         done = (F.col("_lb") == math.inf) | (
-            (F.col("_n") >= k) & (F.col("_kd") < F.lit(math.sqrt(weight)) * F.col("_lb")))
-        active = chk.where(~F.coalesce(done, F.lit(False))).select(*queries.columns).transform(reliable_checkpoint)
+            (F.col("_n") >= k) & (F.col("_kd") < F.sqrt(weight) * F.col("_lb")))
+        active = reliable_checkpoint(chk.where(~F.coalesce(done, F.lit(False))).select(*queries.columns))
         if active.isEmpty():
             break
         rho += 1
