@@ -172,3 +172,13 @@ def test_target_strategy_routes_to_target_encoding(spark):
     out, fitted = encode.encode_categorical(df, "target", ["cat"], target="y")
     got = {r["cat"]: r["cat_target_encoded"] for r in out.distinct().collect()}
     assert got["x"] == pytest.approx((12 * 1 + 0.5) / 13)
+
+
+@pytest.mark.parametrize("r,n,expected", [
+    (0.5, 10, 0.14111),     # t = 1.633, 8 dof
+    (0.3, 50, 0.034286),    # t = 2.179, 48 dof
+    (0.0, 30, 1.0),
+    (-0.9, 5, 0.037386),    # t = -3.576, 3 dof
+])
+def test_pearson_p_value_matches_student_t(r, n, expected):
+    assert assoc.pearson_p_value(r, n) == pytest.approx(expected, abs=2e-5)
