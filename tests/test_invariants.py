@@ -220,3 +220,33 @@ def test_hash_positions_are_the_md5_order(spark):
         ids = [i for i, gg in rows if gg == g]
         order = sorted(ids, key=lambda i: (hashlib.md5(f"{i}|7".encode()).hexdigest(), i))
         assert [got[i] for i in order] == list(range(len(order)))
+
+
+@pytest.mark.parametrize("op", ["target", "label", "frequency", "cramers", "mi", "describe", "auc"])
+def test_operators_do_not_depend_on_partitioning(spark, sf_dir, op):
+    from tabforge.operators import assoc, encode, metrics, profile, select
+    from tabforge.plans.fixtures import doc_label, order_preds
+
+    def run(df_fn):
+        if op == "target":
+            return encode.target_encode(df_fn(doc_label(spark, sf_dir)), ["lang", "source"], "quality")
+        if op == "label":
+            return encode.label_encode(df_fn(table(spark, sf_dir, "part")), ["p_brand", "p_name"])[0]
+        if op == "frequency":
+            return encode.frequency_encode(df_fn(table(spark, sf_dir, "customer")), ["c_mktsegment"])
+        if op == "cramers":
+            return assoc.cramers_v_pairs(df_fn(table(spark, sf_dir, "orders")),
+                                         [("o_orderstatus", "o_orderpriority")], None)
+        if op == "mi":
+            return select.mutual_information(df_fn(table(spark, sf_dir, "orders")), ["o_orderpriority"],
+                                             "o_orderstatus")
+        if op == "describe":
+            return profile.describe_numeric(df_fn(table(spark, sf_dir, "lineitem")), ["l_quantity", "l_tax"])
+        return metrics.roc_auc(df_fn(order_preds(spark, sf_dir)))
+
+    def canon(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+    a = canon(run(lambda d: d))
+    b = canon(run(lambda d: d.repartition(11)))
+    assert a == b
