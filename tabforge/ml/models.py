@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import c
 from ..operators.metrics import balanced_weights, model_comparison
 from ..operators.split import assign_folds, hash_positions
-from ..session import reliable_checkpoint
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
 REGRESSORS = ("random_forest", "linear_regression")
@@ -67,7 +67,10 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
         kw = dict(numTrees=int(hp.get("n_estimators", 100)),
                   maxDepth=MAX_SPARK_DEPTH if depth is None else min(int(depth), MAX_SPARK_DEPTH),
                   minInstancesPerNode=int(hp.get("min_samples_leaf", 1)), seed=seed,
-                  maxMemoryInMB=int(hp.get("max_memory_mb", 1024)), **common)
+                  maxMemoryInMB=int(hp.get("max_memory_mb", 1024)),
+                  # Node ids are cached on the executors (checkpointed every 10 iterations)
+                  # instead of shipping the growing trees each level: same model, ~2x faster.
+                  cacheNodeIds=True, checkpointInterval=10, **common)
         if problem_type == "classification":
             return RandomForestClassifier(featureSubsetStrategy="sqrt", **kw)
         return RandomForestRegressor(featureSubsetStrategy="onethird", **kw)
@@ -88,6 +91,7 @@ def train(df: DataFrame, features: list[str], label: str, model_type: str = "ran
     """Fit ``VectorAssembler -> estimator``.  Feature columns must be numeric and
     imputed (see :mod:`tabforge.operators.impute`)."""
     _check(model_type, problem_type)
+    ensure_checkpoint_dir(df.sparkSession)  # tree fits checkpoint their node-id cache
     hp = dict(hyperparameters or {})
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
     data = df
