@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c, numeric_columns, string_columns
 from ..functions.ranks import average_ranks
-from ..functions.columns import unpivot_numeric
+from ..functions.columns import as_double, unpivot_numeric
 from ..functions.stats import pearson, rnd
 from .profile import correlation_long, pair_list
 
-BROADCAST_RANK_ROWS = 2_000_000
 
 
 def pearson_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -34,17 +33,31 @@ def pearson_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Spearman r per pair, exactly as pandas: each pair is ranked over its own
+    complete rows (average ranks for ties).
+
+    One explode of the pairs per row, average ranks from per-(pair, side) value
+    counts (distributed prefix sums), two joins that attach the ranks, and one
+    grouped Pearson aggregate; no per-pair loop."""
     cols = cols if cols is not None else numeric_columns(df)
-    ranks = average_ranks(unpivot_numeric(df, cols), ["feature"]).select("feature", "value", "rank")
-    out = df.select(*[c(x).cast("double").alias(x) for x in cols])
-    for x in cols:
-        r = ranks.where(F.col("feature") == x).select(F.col("value").alias("_rv"),
-                                                      F.col("rank").alias(f"_rank_{x}"))
-        n = r.count()
-        right = F.broadcast(r) if n <= BROADCAST_RANK_ROWS else r
-        out = out.join(right, F.col(x) == F.col("_rv"), "left").drop("_rv")
-    rk = out.select(*[F.col(f"_rank_{x}").alias(x) for x in cols])
-    return correlation_long(rk, cols)
+    pairs = pair_list(cols)
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    arr = F.array(*[F.struct(F.lit(i).alias("_p"), as_double(a, types[a]).alias("_va"),
+                             as_double(b, types[b]).alias("_vb")) for i, (a, b) in enumerate(pairs)])
+    long = df.select(F.inline(arr)).where(F.col("_va").isNotNull() & F.col("_vb").isNotNull())
+    sides = long.select("_p", F.lit("a").alias("_side"), F.col("_va").alias("value")).unionByName(
+        long.select("_p", F.lit("b").alias("_side"), F.col("_vb").alias("value")))
+    ranks = average_ranks(sides, ["_p", "_side"]).select("_p", "_side", "value", "rank")
+    ra = ranks.where(F.col("_side") == "a").select("_p", F.col("value").alias("_va"), F.col("rank").alias("_ra"))
+    rb = ranks.where(F.col("_side") == "b").select("_p", F.col("value").alias("_vb"), F.col("rank").alias("_rb"))
+    j = long.join(ra, ["_p", "_va"]).join(rb, ["_p", "_vb"])
+    r = j.groupBy("_p").agg(pearson(F.col("_ra"), F.col("_rb")).alias("correlation"))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                            "_p int, feature1 string, feature2 string")
+    # names has one row per pair: bounded.
+    return F.broadcast(names).join(r, "_p", "left").select("feature1", "feature2", "correlation")
 
 
 def high_correlations(corr_long: DataFrame, threshold: float = 0.7, decimals: int = 3) -> DataFrame:

@@ -250,3 +250,20 @@ def test_operators_do_not_depend_on_partitioning(spark, sf_dir, op):
     a = canon(run(lambda d: d))
     b = canon(run(lambda d: d.repartition(11)))
     assert a == b
+
+
+def test_spearman_matches_pandas_with_nulls(spark):
+    import pandas as pd
+    from tabforge.operators import assoc
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        a = float(rnd.randint(0, 30)) if i % 7 else None
+        b = (a or 0) * 0.5 + rnd.random() * 10 if i % 5 else None
+        c = float(rnd.randint(0, 4)) if i % 11 else None
+        rows.append((a, b, c))
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["feature1"], r["feature2"]): r["correlation"] for r in assoc.spearman_matrix(df, ["a", "b", "c"]).collect()}
+    exp = pd.DataFrame(rows, columns=["a", "b", "c"]).corr(method="spearman")
+    for (x, y), v in got.items():
+        assert v == pytest.approx(exp.loc[x, y], rel=1e-9, abs=1e-12)
