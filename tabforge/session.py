@@ -17,6 +17,16 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
+def _default_driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: up to 16g, but never more than
+    60 % of the machine's physical memory."""
+    try:
+        total_mb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (1024 * 1024)
+        return f"{max(1024, min(16384, int(total_mb * 0.6)))}m"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tabforge", extra: dict | None = None) -> SparkSession:
     """Session with the settings every operator here assumes (UTC, AQE, no UI)."""
@@ -29,7 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("TABFORGE_DRIVER_MEMORY", "16g")))
+         .config("spark.driver.memory", os.environ.get("TABFORGE_DRIVER_MEMORY", _default_driver_memory())))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
