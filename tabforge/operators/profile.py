@@ -49,35 +49,41 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def _moments(long: DataFrame, group: list[str]) -> DataFrame:
-    return long.groupBy(*group).agg(
+def _moments_and_quartiles(long: DataFrame, names: dict[float, str]) -> DataFrame:
+    """Moments and exact quartiles per feature in two passes: the moments aggregate
+    also carries the distinct-count estimate that routes the quantile computation
+    (its result has one row per feature, so it is collected), then one quantile pass."""
+    from ..functions.ranks import EXACT_PERCENTILE_MAX_DISTINCT, _map_quantiles
+    stats_df = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"), sample_skewness(F.col("value")).alias("skewness"),
-        sample_kurtosis(F.col("value")).alias("kurtosis"))
+        sample_kurtosis(F.col("value")).alias("kurtosis"),
+        F.approx_count_distinct("value").alias("_k"))
+    rows = stats_df.collect()
+    spark = long.sparkSession
+    stats = spark.createDataFrame(rows, stats_df.schema).drop("_k")
+    probs = list(names)
+    if all(r["_k"] <= EXACT_PERCENTILE_MAX_DISTINCT for r in rows):
+        q = _map_quantiles(long.where(F.col("value").isNotNull()), ["feature"], probs, "value")
+    else:
+        q = exact_quantiles(long, ["feature"], probs)
+    qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
+                                    for p, n in names.items()])
+    return stats.join(qw, "feature", "left")
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """pandas ``describe``: count, mean, std (n-1), min, 25/50/75 % (exact), max."""
     cols = cols if cols is not None else numeric_columns(df)
-    long = unpivot_numeric(df, cols)
-    m = _moments(long, ["feature"])
-    q = exact_quantiles(long, ["feature"], [0.25, 0.5, 0.75])
-    qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
-                                    for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-    return m.join(qw, "feature", "left").select("feature", "count", "mean", "std", "min",
-                                                "q25", "q50", "q75", "max")
+    j = _moments_and_quartiles(unpivot_numeric(df, cols), {0.25: "q25", 0.5: "q50", 0.75: "q75"})
+    return j.select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def univariate_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """mean, median, std, skewness, kurtosis rounded to 2 decimals; min, max, q25, q75."""
     cols = cols if cols is not None else numeric_columns(df)
-    long = unpivot_numeric(df, cols)
-    m = _moments(long, ["feature"])
-    q = exact_quantiles(long, ["feature"], [0.25, 0.5, 0.75]).groupBy("feature").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
-          for p, n in [(0.25, "q25"), (0.5, "median"), (0.75, "q75")]])
-    j = m.join(q, "feature", "left")
+    j = _moments_and_quartiles(unpivot_numeric(df, cols), {0.25: "q25", 0.5: "median", 0.75: "q75"})
     return j.select("feature", rnd("mean", 2).alias("mean"), rnd("median", 2).alias("median"),
                     rnd("std", 2).alias("std"), rnd("skewness", 2).alias("skewness"),
                     rnd("kurtosis", 2).alias("kurtosis"), "min", "max", "q25", "q75")
