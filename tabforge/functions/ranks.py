@@ -77,7 +77,7 @@ EXACT_PERCENTILE_MAX_DISTINCT = 1_000_000
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float],
                     value_col: str = "value", n_partitions: int | None = None,
-                    method: str = "auto") -> DataFrame:
+                    method: str = "auto", max_distinct: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, SQL ``quantile_cont``),
     exact.  ``method``: ``auto`` routes each group by its approximate distinct count
     (one cheap aggregate), ``map`` forces the built-in aggregate, ``prefix`` forces the
@@ -86,6 +86,10 @@ def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float
     Returns (group_cols..., prob double, quantile double); NULL values are ignored.
     """
     data = long_df.where(c(value_col).isNotNull())
+    if method == "auto" and max_distinct is not None:
+        # The caller already knows the largest distinct count (e.g. from its own
+        # aggregate): route without another pass over the data.
+        method = "map" if max_distinct <= EXACT_PERCENTILE_MAX_DISTINCT else "prefix"
     if method == "prefix" or (method == "auto" and not group_cols):
         return _prefix_quantiles(data, group_cols, probs, value_col, n_partitions)
     if method == "map":
@@ -145,16 +149,17 @@ def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float]
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float],
-                   n_partitions: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None, max_distinct: int | None = None) -> DataFrame:
     """Exact quantiles of several numeric columns at once: (feature, prob, quantile)."""
     from .columns import unpivot_numeric
-    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_partitions=n_partitions)
+    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_partitions=n_partitions,
+                           max_distinct=max_distinct)
 
 
 def quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], names: list[str],
-                   n_partitions: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None, max_distinct: int | None = None) -> DataFrame:
     """(feature, <name_i>...) — one row per feature with each requested quantile."""
-    q = quantile_table(df, cols, probs, n_partitions)
+    q = quantile_table(df, cols, probs, n_partitions, max_distinct)
     return q.groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n)
         for p, n in zip(probs, names)])

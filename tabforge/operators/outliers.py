@@ -16,10 +16,11 @@ from ..functions.params import load_params, params_from_rows
 from ..functions.ranks import quantiles_wide
 
 
-def _non_binary(df: DataFrame, cols: list[str]) -> list[str]:
-    # HLL++ is exact at these tiny cardinalities; one aggregate for all columns.
+def _cardinalities(df: DataFrame, cols: list[str]) -> dict[str, int]:
+    # HLL++ is exact at tiny cardinalities; one aggregate for all columns.  The same
+    # estimates route the quantile computation, so it needs no pass of its own.
     row = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols]).first()
-    return [x for x in cols if row[x] > 2]
+    return {x: row[x] for x in cols}
 
 
 def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
@@ -28,14 +29,17 @@ def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
     if method not in ("iqr", "zscore"):
         raise ValueError(f"Unknown outlier method: {method}")
     cols = present(df, cols) if cols is not None else default_outlier_columns(df, targets)
+    card = _cardinalities(df, cols) if cols else {}
     if cols and not include_binary:
-        cols = _non_binary(df, cols)
+        cols = [x for x in cols if card[x] > 2]
+    most = max((card[x] for x in cols), default=0)
     spark = df.sparkSession
     rows = []
     if not cols:
         return params_from_rows(spark, rows)
     if method == "iqr":
-        q = {r["feature"]: r for r in quantiles_wide(df, cols, [0.25, 0.75], ["q25", "q75"]).collect()}
+        q = {r["feature"]: r for r in quantiles_wide(df, cols, [0.25, 0.75], ["q25", "q75"],
+                                                     max_distinct=most).collect()}
         for col in cols:
             r = q.get(col)
             if r is None:
@@ -44,7 +48,8 @@ def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
             rows += [("iqr", col, "lo", r["q25"] - threshold * iqr, None),
                      ("iqr", col, "hi", r["q75"] + threshold * iqr, None)]
     else:
-        med = {r["feature"]: r["q50"] for r in quantiles_wide(df, cols, [0.5], ["q50"]).collect()}
+        med = {r["feature"]: r["q50"] for r in quantiles_wide(df, cols, [0.5], ["q50"],
+                                                              max_distinct=most).collect()}
         mom = {r["feature"]: r for r in unpivot_numeric(df, cols).groupBy("feature").agg(
             F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()}
         for col in cols:
