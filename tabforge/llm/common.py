@@ -12,6 +12,9 @@
 from __future__ import annotations
 
 import atexit
+import os
+import tempfile
+import zipfile
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +63,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers once per application, so that operators
+    also run where it is not installed on the executors."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tabforge-code-")), "tabforge.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        file = os.path.join(folder, name)
+                        z.write(file, os.path.relpath(file, os.path.dirname(top)))
+        sc.addPyFile(path)
+        _shipped.add(sc.applicationId)
+    return spark
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once per row.  A plain column would be
     inlined by the optimizer and evaluated again inside every lambda call."""
@@ -145,8 +169,9 @@ def mix64(x):
     return x ^ (x >> np.uint64(33))
 
 
-def text_tokens(data, offsets):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of consecutive texts, A-Z lower-cased.
+def text_tokens(data, offsets, inside=None):
+    """Words ``[^\\x20\\x09-\\x0D]+`` of consecutive texts, A-Z lower-cased (or the
+    runs of the byte values marked in ``inside``).
 
     Returns (first, hashes, starts, ends): text t has words ``first[t]:first[t+1]``;
     ``hashes`` are 64-bit values of the lower-cased UTF-8 bytes and their length;
@@ -156,7 +181,7 @@ def text_tokens(data, offsets):
     if n == 0:
         z = np.zeros(0, np.int64)
         return np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64), z, z
-    word = ~_WS[data]
+    word = ~_WS[data] if inside is None else inside[data]
     begin = word.copy()
     begin[1:] &= ~word[:-1]
     cuts = offsets[(offsets > 0) & (offsets < n)]

@@ -20,6 +20,14 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_simhash_dedup")
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash_dedup import simhash_groups
+    out = simhash_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      F.col("first.doc_id").alias("component_id"))
+
+
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_llr import quality_rules
@@ -53,3 +61,99 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import line_dedup
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item; clean documents have none."""
+    from .spaced_seed import contaminated
+    out = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.groupBy("doc_id", "item_id").agg(F.max("n_agree").alias("n_agree"), F.max("item_tokens").alias("item_tokens"),
+                                                F.min("start").alias("start"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secret_spans, span_text
+    out = secret_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def count(test):
+        return F.size(F.filter("spans", test)).cast("long")
+
+    return out.select("doc_id", count(lambda s: s["kind"] == 0).alias("n_assign"),
+                      count(lambda s: s["kind"] == 1).alias("n_access"), count(lambda s: s["kind"] == 2).alias("n_hex"),
+                      F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+                      count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"))
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n (a NULL id counts as the empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_knn import quality_scores
+    labels = table(spark, sf_dir, "labels").where(_remainder(4) != 2)
+    out = quality_scores(table(spark, sf_dir, "documents"), labels)
+    return out.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the corpus after three batches: every document is inserted, exact
+    copies are deleted (the smallest id of a text stays), and documents whose text
+    changes when runs of blanks are collapsed get a revised count.  The first batch is
+    delivered twice, as after a lost acknowledgement."""
+    from .common import hash128, materialise, new_scratch
+    from .token_rollup import TokenRollup, with_token_counts
+    version = F.lit("byte_bpe_50k").alias("version")
+    docs = table(spark, sf_dir, "documents").where("doc_id is not null")
+    rollup = TokenRollup(spark, new_scratch(spark, "token-rollup"))
+
+    def facts(rows, op, seq):
+        return with_token_counts(rows.select("doc_id", version, "source", "lang", "text")).select(
+            "doc_id", "version", "source", "lang", F.lit(op).alias("op"), "n_tokens", F.lit(seq).alias("seq"))
+
+    inserts = facts(docs, "set", 1)
+    rollup.apply(1, inserts)
+    rollup.apply(1, inserts)
+    text = F.coalesce("text", F.lit(""))
+    hashed = docs.select("doc_id", "source", "lang", *hash128(text))
+    firsts = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
+    copies = materialise(hashed.join(firsts.select("doc_id"), "doc_id", "left_anti"), "copies")
+    rollup.apply(2, copies.select("doc_id", version, "source", "lang", F.lit("delete").alias("op"),
+                                  F.lit(0).cast("long").alias("n_tokens"), F.lit(1).alias("seq")))
+    clean = F.regexp_replace(text, r"[\x20\t]{2,}", " ")
+    revised = (docs.join(copies.select("doc_id"), "doc_id", "left_anti").withColumn("clean", clean)
+               .where(F.col("clean") != text).withColumn("text", F.col("clean")))
+    rollup.apply(3, facts(revised, "set", 1))
+    return rollup.totals()
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+    labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0)
+    out = toxicity_scores(table(spark, sf_dir, "documents"), labels)
+    return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, their score, and whether decoding them gives the text."""
+    from .sentencepiece_scan import decode, encode
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), "text")
+    return decode(encode(docs)).select("row.doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "score",
+                                       (F.sha2("text", 256) == F.col("row.sha")).alias("decoded"))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .context_mixing import lm_scores
+    out = lm_scores(table(spark, sf_dir, "documents"), _remainder(7) != 2)
+    return out.withColumn("held_out", _remainder(7) == 2)
