@@ -218,9 +218,10 @@ def check_quality(rows, docs, labels):
         if all(d is None for d in ds):
             continue
         marks = [min(q) == 1 for d in ds if d is not None and (q := [x for x in labels.get(d, []) if x is not None])]
-        raw.update(grams(t))
-        if marks and all(marks):
-            target.update(grams(t))
+        for _ in range(ds.count(min(d for d in ds if d is not None))):
+            raw.update(grams(t))
+            if marks and all(marks):
+                target.update(grams(t))
     nr, nt, size = sum(raw.values()), sum(target.values()), quality_llr.BUCKETS
     for r, t in rows:
         base = brute_base(t)
