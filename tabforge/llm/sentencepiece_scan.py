@@ -352,5 +352,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", **kw) -> DataFrame:
-    """Pipeline form: the columns of ``docs`` but the text, with ids and n_ids."""
+    """Pipeline form: the columns of ``docs`` but the text, with ids and n_ids (columns
+    that have these names already are replaced)."""
+    docs = docs.drop(*{"ids", "n_ids"} & set(docs.columns))
     return encode(docs, text_col, **kw).select("row.*", "ids", F.size("ids").alias("n_ids"))

@@ -222,13 +222,12 @@ def check_quality(rows, docs, labels):
             raw.update(grams(t))
             if marks and all(marks):
                 target.update(grams(t))
-    nr, nt, size = sum(raw.values()), sum(target.values()), quality_llr.BUCKETS
+    nr, nt, k = sum(raw.values()), sum(target.values()), quality_llr.SMOOTH
     for r, t in rows:
         base = brute_base(t)
         assert base == (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-        total = sum(round(1e6 * (math.log((target[b] + 1) / (nt + size)) - math.log((raw[b] + 1) / (nr + size))))
-                    for b in grams(t))
+        total = sum(round(1e6 * math.log((target[b] + k) / (raw[b] * nt / nr + k))) for b in grams(t))
         assert (r.base_failed, r.n_grams, r.llr_sum) == (failed, 2 * base[0], total)
         assert r.kept == (not failed and total >= quality_llr.MIN_MEAN_LLR * 1e6 * 2 * base[0])
 
@@ -448,7 +447,7 @@ def test_decontamination_tolerates_substitutions(spark):
         out = list(item)
         for i in rnd.sample(range(len(out)), n):
             out[i] = "SUBSTITUTED"
-        return prose(n, 100, 5000) + " " + " ".join(out).upper() + " " + prose(n + 50, 100, 5000)
+        return prose(n, 100, 5000) + " " + re.sub("[a-z]", lambda m: m[0].upper(), " ".join(out)) + " " + prose(n + 50, 100, 5000)
 
     rows = [(n, planted(n)) for n in range(5)] + [
         (10, prose(60, 300, 5000)), (11, "x " + " ".join(short) + " y"), (12, "unusual five token test thing"),
