@@ -1,9 +1,10 @@
 """Quality classifier by nearest-neighbour voting in a latent-semantic space.
 
-Terms are hashed byte trigrams (``TERMS`` of them) and two counts that trigrams cannot
-show, immediately repeated words and lines; weights are log(1 + count) times the
-inverse document frequency over all documents.  The space is the truncated singular
-value decomposition of the neighbours' term vectors.
+Terms are hashed byte trigrams (``TERMS`` of them), weighted by log(1 + count) times the
+inverse document frequency over all documents and brought to unit length, and the
+shares of immediately repeated words, repeated lines, capital letters and symbols,
+which trigrams blur.  The space is the truncated singular value decomposition of the
+neighbours' term vectors.
 
 Neighbours are at most ``MAX_NEIGHBOURS`` distinct labelled texts, the first by a hash
 of the text, so copies count once and the broadcast is bounded (neighbours x DIMS
@@ -24,17 +25,27 @@ from pyspark.sql import functions as F
 from .common import hash128, materialise, ship, text_buffers, text_slices, text_tokens
 
 TERMS = 1024
-EXTRA = 2
+EXTRA = 4
+EXTRA_WEIGHT = 2.0  # of the shares, beside trigram vectors of length 1
 DIMS = 48
 VOTERS = 15
 MAX_NEIGHBOURS = 4096
 BLOCK = 512
 
 
+_CAPITAL = np.zeros(256, np.int64)
+_CAPITAL[65:91] = 1
+_SYMBOL = np.zeros(256, np.int64)
+_SYMBOL[list(b"!#$%&*+/<=>?@[]^_{|}~")] = 1
+
+
 def term_counts(data, off) -> np.ndarray:
-    """Row per text: hashed byte trigrams, repeated words, repeated lines."""
+    """Row per text: hashed byte trigrams, then the shares of repeated words, repeated
+    lines, capital letters and symbols (symbols threefold, up to 1)."""
     n = len(off) - 1
     out = np.zeros((n, TERMS + EXTRA), np.float32)
+    capitals = np.concatenate(([0], np.cumsum(_CAPITAL[data])))
+    symbols = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
     d = data.astype(np.uint32)
     if len(d) > 2:
         h = (d[:-2] * np.uint32(0x9E3779B1) + d[1:-1] * np.uint32(0x85EBCA77) + d[2:] * np.uint32(0xC2B2AE3D))
@@ -47,32 +58,36 @@ def term_counts(data, off) -> np.ndarray:
             out[i, :TERMS] = np.bincount(h[a:b - 2], minlength=TERMS)
         s, e = first[i], first[i + 1]
         if e - s > 1:
-            out[i, TERMS] = 64 * same[s + 1:e].mean()
+            out[i, TERMS] = same[s + 1:e].mean()
+        if b > a:
             lines = data[a:b].tobytes().split(b"\n")
-            out[i, TERMS + 1] = 64 * (1 - len(set(lines)) / len(lines))
+            out[i, TERMS + 1] = 1 - len(set(lines)) / len(lines)
+            out[i, TERMS + 2] = (capitals[b] - capitals[a]) / (b - a)
+            out[i, TERMS + 3] = min(1, 3 * (symbols[b] - symbols[a]) / (b - a))
     return out
 
 
 def _weighted(counts, idf):
-    return np.log1p(counts) * idf
+    terms = np.log1p(counts[:, :TERMS]) * idf
+    return np.hstack((unit(terms), EXTRA_WEIGHT * counts[:, TERMS:]))
 
 
 def _document_frequency(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
-    """Documents per term and their number: TERMS + EXTRA + 1 rows reach the driver."""
+    """Documents per term and their number: TERMS + 1 rows reach the driver."""
     def run(batches):
         import pyarrow as pa
-        df = np.zeros(TERMS + EXTRA + 1, np.int64)
+        df = np.zeros(TERMS + 1, np.int64)
         for batch in batches:
             data, off = text_buffers(batch.column(0))
             for i, j in text_slices(off):
                 c = term_counts(data[off[i]:off[j]], off[i:j + 1] - off[i])
-                df[:-1] += (c > 0).sum(axis=0)
+                df[:-1] += (c[:, :TERMS] > 0).sum(axis=0)
                 df[-1] += j - i
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
 
     rows = (docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).mapInArrow(run, "term long, df long")
             .groupBy("term").agg(F.sum("df").alias("df")).collect())
-    df = np.zeros(TERMS + EXTRA + 1, np.int64)
+    df = np.zeros(TERMS + 1, np.int64)
     for r in rows:
         df[r.term] = r.df
     return df[:-1], int(df[-1])
