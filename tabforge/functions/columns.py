@@ -43,6 +43,18 @@ def as_double(name: str, dt: T.DataType | None = None) -> Column:
     return col
 
 
+def is_missing(name: str, dt: T.DataType) -> Column:
+    """NULL, or NaN in a float column (pandas counts both as missing)."""
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return c(name).isNull() | F.isnan(c(name))
+    return c(name).isNull()
+
+
+def numeric(df: DataFrame, name: str) -> Column:
+    """The column as double, NaN as NULL."""
+    return as_double(name, df.schema[name].dataType)
+
+
 def normalise_nan(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Replace NaN by NULL in float columns so that aggregates follow pandas' skipna."""
     cols = set(cols) if cols is not None else None

@@ -21,13 +21,6 @@ def params_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, PARAMS_SCHEMA)
 
 
-def params_union(*tables: DataFrame) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
-
-
 def load_params(params: DataFrame, op: str | None = None) -> dict[str, dict[str, object]]:
     """{column: {key: value}} for one op (bounded: columns x keys)."""
     if op is not None:
@@ -39,15 +32,9 @@ def load_params(params: DataFrame, op: str | None = None) -> dict[str, dict[str,
 
 
 def save_params(params: DataFrame, path: str) -> str:
-    params.coalesce(1).write.mode("overwrite").parquet(path)
+    params.write.mode("overwrite").parquet(path)
     return path
 
 
 def read_params(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PARAMS_SCHEMA).parquet(path)
-
-
-def wide_row_to_params(row: dict, op: str, spec: dict[str, tuple[str, str]]) -> list[tuple]:
-    """Turn one aggregate row into params rows; spec maps agg alias -> (feature, key)."""
-    return [(op, col, key, None if row[a] is None else float(row[a]), None)
-            for a, (col, key) in spec.items()]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import c
-from ..session import reliable_checkpoint
+from ..session import materialise, reliable_checkpoint
 
 
 def default_partitions(spark) -> int:
@@ -47,14 +47,14 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_cols
         *[F.coalesce(F.sum(f"_bs_{v}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                      F.lit(0)).alias(f"_off_{v}") for v in value_cols],
         *[F.sum(f"_bs_{v}").over(wg).alias(f"tot_{v}") for v in value_cols])
-    # offsets has at most (partitions + groups) rows: bounded, safe to broadcast.
-    # Null-safe on the group columns: a NULL group is a group of its own.
+    # offsets has at most (partitions + groups) rows; written, so that the planner knows
+    # its size and chooses the join by it.  Null-safe on the group columns: a NULL group is a group of its own.
     off = offsets.select(*[c(g).alias(f"_og{i}") for i, g in enumerate(group_cols)],
                          F.col("_pbk").alias("_opbk"), *[x for x in offsets.columns
                                                          if x not in group_cols and x != "_pbk"])
     cond = [F.col("_pbk") == F.col("_opbk")] + [c(g).eqNullSafe(F.col(f"_og{i}"))
                                                 for i, g in enumerate(group_cols)]
-    b = ranged.join(F.broadcast(off), cond, "inner") \
+    b = ranged.join(materialise(off, "offsets"), cond, "inner") \
         .drop("_opbk", *[f"_og{i}" for i in range(len(group_cols))])
     w = Window.partitionBy(*gc, "_pbk").orderBy(c(order_col)) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,53 +68,68 @@ def value_counts(long_df: DataFrame, group_cols: list[str], value_col: str = "va
         F.count(F.lit(1)).alias("_n"))
 
 
-# A group whose distinct-value count is below this is served by Spark's exact
-# ``percentile`` aggregate: its per-group state is a value->count map, so memory is
-# bounded by the distinct count (not the row count).  Larger groups go through the
-# distributed prefix-sum path.
-EXACT_PERCENTILE_MAX_DISTINCT = 1_000_000
+# Exact quantiles from bracketed ranks.  A sketch (bounded state, combined before the
+# shuffle) gives values around each wanted rank; SKETCH is its accuracy, so its ranks
+# are off by at most n / SKETCH, and the bracket NEAR is wider than that.
+SKETCH = 10_000
+NEAR, WIDE = 6.0 / SKETCH, 0.02
 
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], probs: list[float],
-                    value_col: str = "value", n_partitions: int | None = None,
-                    method: str = "auto", max_distinct: int | None = None) -> DataFrame:
+                    value_col: str = "value", n_partitions: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, SQL ``quantile_cont``),
-    exact.  ``method``: ``auto`` routes each group by its approximate distinct count
-    (one cheap aggregate), ``map`` forces the built-in aggregate, ``prefix`` forces the
-    distributed path that never funnels a group through one task.
-
-    Returns (group_cols..., prob double, quantile double); NULL values are ignored.
-    """
-    data = long_df.where(c(value_col).isNotNull())
-    if method == "auto" and max_distinct is not None:
-        # The caller already knows the largest distinct count (e.g. from its own
-        # aggregate): route without another pass over the data.
-        method = "map" if max_distinct <= EXACT_PERCENTILE_MAX_DISTINCT else "prefix"
-    if method == "prefix" or (method == "auto" and not group_cols):
-        return _prefix_quantiles(data, group_cols, probs, value_col, n_partitions)
-    if method == "map":
-        return _map_quantiles(data, group_cols, probs, value_col)
-    card = data.groupBy(*[c(g) for g in group_cols]).agg(
-        F.approx_count_distinct(c(value_col)).alias("_k"))
-    rows = card.collect()  # one row per group (features x classes): bounded
-    small = [r for r in rows if r["_k"] <= EXACT_PERCENTILE_MAX_DISTINCT]
-    if len(small) == len(rows):
-        return _map_quantiles(data, group_cols, probs, value_col)
-    if not small:
-        return _prefix_quantiles(data, group_cols, probs, value_col, n_partitions)
-    keys = F.broadcast(card.where(F.col("_k") <= EXACT_PERCENTILE_MAX_DISTINCT).drop("_k"))
-    a = _map_quantiles(data.join(keys, group_cols, "left_semi"), group_cols, probs, value_col)
-    b = _prefix_quantiles(data.join(keys, group_cols, "left_anti"), group_cols, probs, value_col, n_partitions)
-    return a.unionByName(b)
-
-
-def _map_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], value_col: str) -> DataFrame:
-    q = F.percentile(c(value_col).cast("double"), [float(p) for p in probs])
-    agg = data.groupBy(*[c(g) for g in group_cols]).agg(q.alias("_q"))
-    return agg.select(*[c(g) for g in group_cols], F.posexplode("_q").alias("_i", "quantile")).select(
-        *[c(g) for g in group_cols],
-        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
-        F.col("quantile").cast("double").alias("quantile"))
+    exact, by one plan for every size:
+
+    1. per group, the row count and approximate quantiles a little below and above
+       every wanted rank (a bounded sketch per group);
+    2. one aggregate keyed by (group, wanted rank, value) counts the rows below the
+       bracket and the values inside it; a bracket holds about ``2 * NEAR`` of the
+       group's rows (everything for groups too small to matter);
+    3. running sums inside each bracket find the exact neighbours of the rank.
+
+    No task receives a group as a whole.  Returns (group_cols..., prob double,
+    quantile double); NULL values are ignored."""
+    probs = [float(p) for p in probs]
+    gc = [c(g) for g in group_cols]
+    data = long_df.where(c(value_col).isNotNull()).select(*gc, c(value_col).cast("double").alias("_v"))
+    asked = [0.0, 1.0] + [min(1.0, max(0.0, p + d)) for p in probs for d in (-NEAR, NEAR, -WIDE, WIDE)]
+    ends = data.groupBy(*gc).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", asked, SKETCH).alias("_e"))
+
+    def bracket(i: int, side: int):
+        near, wide = F.col("_e")[2 + 4 * i + side], F.col("_e")[4 + 4 * i + side]
+        return (F.when(F.col("_n") >= 4 / NEAR, near).when(F.col("_n") >= 4 / WIDE, wide)
+                .otherwise(F.col("_e")[side]))
+
+    marks = F.array(*[F.struct(F.lit(i).alias("i"), bracket(i, 0).alias("lo"), bracket(i, 1).alias("hi"))
+                      for i in range(len(probs))])
+    ends = materialise(ends.select(*[c(g).alias(f"_g{k}") for k, g in enumerate(group_cols)], "_n",
+                                   marks.alias("_m")), "quantile-brackets")
+    if group_cols:
+        same = [c(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(group_cols)]
+        joined = data.join(ends, same).drop(*[f"_g{k}" for k in range(len(group_cols))])
+    else:
+        joined = data.join(F.broadcast(ends))  # one row
+    hits = F.filter("_m", lambda m: F.col("_v") <= m["hi"])
+    inside = joined.select(*gc, "_n", "_v", F.explode(hits).alias("_b")).groupBy(
+        *gc, F.col("_b.i").alias("_i"), F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_k"), F.first("_n").alias("_n"))
+    # NULL, the rows below the bracket, sorts first: the running sum is the rank.
+    w = Window.partitionBy(*gc, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1)
+    pos = (F.col("_n") - 1).cast("double") * prob
+    ranked = inside.withColumn("_last", F.sum("_k").over(w) - 1).withColumn("_first", F.col("_last") - F.col("_k") + 1)
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col("_v")))
+
+    out = ranked.groupBy(*gc, prob.alias("prob")).agg(
+        at(F.floor(pos)).alias("_lo"), at(F.ceil(pos)).alias("_hi"), F.max(pos - F.floor(pos)).alias("_f"))
+    out = materialise(out.select(*gc, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
+                                 .alias("quantile")), "quantiles")
+    if not out.where(F.col("quantile").isNull()).isEmpty():  # a sketch off by more than it promises
+        return _prefix_quantiles(data, group_cols, probs, "_v", n_partitions)
+    return out
 
 
 def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float], value_col: str,
@@ -149,17 +164,16 @@ def _prefix_quantiles(data: DataFrame, group_cols: list[str], probs: list[float]
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float],
-                   n_partitions: int | None = None, max_distinct: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None) -> DataFrame:
     """Exact quantiles of several numeric columns at once: (feature, prob, quantile)."""
     from .columns import unpivot_numeric
-    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_partitions=n_partitions,
-                           max_distinct=max_distinct)
+    return exact_quantiles(unpivot_numeric(df, cols), ["feature"], probs, n_partitions=n_partitions)
 
 
 def quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], names: list[str],
-                   n_partitions: int | None = None, max_distinct: int | None = None) -> DataFrame:
+                   n_partitions: int | None = None) -> DataFrame:
     """(feature, <name_i>...) — one row per feature with each requested quantile."""
-    q = quantile_table(df, cols, probs, n_partitions, max_distinct)
+    q = quantile_table(df, cols, probs, n_partitions)
     return q.groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n)
         for p, n in zip(probs, names)])

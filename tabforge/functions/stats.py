@@ -58,7 +58,3 @@ def rsig(x, digits: int = 12) -> Column:
 def md5_unit(x: Column) -> Column:
     """Deterministic number in [0, 1) from the first 8 hex digits of md5(x)."""
     return F.conv(F.substring(F.md5(x.cast("string")), 1, 8), 16, 10).cast("double") / 4294967296.0
-
-
-def md5_prefix_int(x: Column, digits: int = 8) -> Column:
-    return F.conv(F.substring(F.md5(x.cast("string")), 1, digits), 16, 10).cast("bigint")

@@ -3,10 +3,10 @@ N10, N11, I3).
 
 Parameter mapping from the reference's estimator arguments:
 
-* random forest: n_estimators -> numTrees, max_depth -> maxDepth (Spark caps at 30;
-  None -> 30), min_samples_leaf -> minInstancesPerNode, random_state -> seed,
-  feature subset 'sqrt' (classifier) / 'onethird' (regressor); min_samples_split has
-  no Spark equivalent and is ignored.
+* random forest: n_estimators -> numTrees, max_depth -> maxDepth (None -> 30, Spark's
+  limit; more raises), min_samples_leaf -> minInstancesPerNode, random_state -> seed,
+  feature subset 'sqrt' (classifier) / 'all' (regressor); min_samples_split has no
+  Spark equivalent and is accepted without effect.  Unknown arguments raise.
 * logistic regression / linear SVM: C -> regParam = 1 / (C * n) (scikit-learn sums
   the loss, Spark averages it), max_iter -> maxIter, class_weight='balanced' -> a
   weight column n / (k * n_class).  The SVM is linear (RBF kernels have no
@@ -41,6 +41,18 @@ from ..session import ensure_checkpoint_dir, reliable_checkpoint
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
 REGRESSORS = ("random_forest", "linear_regression")
 MAX_SPARK_DEPTH = 30
+HYPERPARAMETERS = {
+    "random_forest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "random_state",
+                      "max_memory_mb", "class_weight"},
+    "logistic_regression": {"C", "max_iter", "class_weight", "random_state"},
+    "svm": {"C", "max_iter", "class_weight", "random_state"},
+    "linear_regression": set(),
+}
+
+
+SCORING = {"classification": {"accuracy": "accuracy", "f1": "f1", "precision": "weightedPrecision",
+                              "recall": "weightedRecall"},
+           "regression": {x: x for x in ("mse", "rmse", "mae", "r2")}}
 
 
 class UnsupportedModelError(ValueError):
@@ -60,12 +72,17 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
                     n_classes: int = 2, label: str = "label", weight_col: str | None = None):
     _check(model_type, problem_type)
     hp = dict(hp or {})
+    unknown = set(hp) - HYPERPARAMETERS[model_type]
+    if unknown:
+        raise ValueError(f"Unknown arguments for {model_type}: {', '.join(sorted(unknown))}")
     seed = int(hp.get("random_state", 42))
     common = {"featuresCol": "features", "labelCol": label}
     if model_type == "random_forest":
         depth = hp.get("max_depth")
+        if depth is not None and int(depth) > MAX_SPARK_DEPTH:
+            raise ValueError(f"max_depth {depth}: Spark's trees have at most {MAX_SPARK_DEPTH} levels")
         kw = dict(numTrees=int(hp.get("n_estimators", 100)),
-                  maxDepth=MAX_SPARK_DEPTH if depth is None else min(int(depth), MAX_SPARK_DEPTH),
+                  maxDepth=MAX_SPARK_DEPTH if depth is None else int(depth),
                   minInstancesPerNode=int(hp.get("min_samples_leaf", 1)), seed=seed,
                   maxMemoryInMB=int(hp.get("max_memory_mb", 1024)),
                   # Node ids are cached on the executors (checkpointed every 10 iterations)
@@ -73,7 +90,7 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
                   cacheNodeIds=True, checkpointInterval=10, **common)
         if problem_type == "classification":
             return RandomForestClassifier(featureSubsetStrategy="sqrt", **kw)
-        return RandomForestRegressor(featureSubsetStrategy="onethird", **kw)
+        return RandomForestRegressor(featureSubsetStrategy="all", **kw)
     if model_type == "linear_regression":
         return LinearRegression(regParam=0.0, solver="normal", **common)
     reg = 1.0 / (float(hp.get("C", 1.0)) * max(n_rows, 1))
@@ -83,7 +100,7 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
                                   maxIter=int(hp.get("max_iter", 1000)), **wkw, **common)
     svc = LinearSVC(regParam=reg, maxIter=int(hp.get("max_iter", 1000)), standardization=False, **wkw,
                     **common)
-    return svc if n_classes <= 2 else OneVsRest(classifier=svc, **common)
+    return svc if n_classes <= 2 else OneVsRest(classifier=svc, **wkw, **common)
 
 
 def train(df: DataFrame, features: list[str], label: str, model_type: str = "random_forest",
@@ -118,6 +135,11 @@ def predict(model: PipelineModel, df: DataFrame, key_cols: list[str], label: str
     return out.select(*cols)
 
 
+def class_list(model: PipelineModel) -> list[float]:
+    """The class that each place of ``probability`` stands for."""
+    return [float(i) for i in range(getattr(model.stages[-1], "numClasses", 0))]
+
+
 def evaluate(model: PipelineModel, df: DataFrame, key_cols: list[str], label: str,
              problem_type: str = "classification") -> DataFrame:
     """Long metrics (metric, value) of one model on one table."""
@@ -134,9 +156,11 @@ def save_model(model: PipelineModel, path: str, metadata: dict | None = None,
     """Write the pipeline (overwrite) and, with ``registry_dir``, append one registry
     row (model_type, problem_type, training_date, metrics JSON ...)."""
     model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    meta = dict(metadata or {})
+    spark.createDataFrame([(json.dumps({**meta, "classes": class_list(model)}, default=str),)], "meta string") \
+        .write.mode("overwrite").text(f"{path.rstrip('/')}_metadata")
     if registry_dir is not None:
-        spark = SparkSession.getActiveSession()
-        meta = dict(metadata or {})
         row = {"model_path": path,
                "model_type": str(meta.get("model_type", "unknown")),
                "problem_type": str(meta.get("problem_type", "classification")),
@@ -153,15 +177,22 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_metadata(spark: SparkSession, path: str) -> dict:
+    """What :func:`save_model` was told about the model, and its class list."""
+    return json.loads(spark.read.text(f"{path.rstrip('/')}_metadata").where("value <> ''").first()[0])
+
+
 def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[str],
                 model_type: str = "random_forest", problem_type: str = "classification",
                 param_grid: dict | None = None, cv_folds: int = 5, seed: int = 42,
-                parallelism: int = 2):
+                parallelism: int = 2, scoring: str | None = None, hyperparameters: dict | None = None):
     """k-fold grid search (deterministic hash folds), refit of the best model on all
-    rows.  Returns (best PipelineModel, results DataFrame(params, mean_score), best params)."""
+    rows.  ``scoring``: accuracy, f1, precision, recall (weighted) or mse, rmse, mae, r2;
+    ``hyperparameters`` are the fixed ones.  Returns (best PipelineModel, results
+    DataFrame(params, mean_score), best params)."""
     _check(model_type, problem_type)
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
-    est = build_estimator(model_type, problem_type, {}, stats["n"], stats["k"], label)
+    est = build_estimator(model_type, problem_type, hyperparameters, stats["n"], stats["k"], label)
     asm = VectorAssembler(inputCols=features, outputCol="features")
     pipe = Pipeline(stages=[asm, est])
     builder = ParamGridBuilder()
@@ -175,17 +206,19 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
     grid = builder.build()
     folds = assign_folds(df, key_cols, cv_folds, seed,
                          stratify_by=label if problem_type == "classification" else None)
-    ev = (MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-          if problem_type == "classification" else
-          RegressionEvaluator(labelCol=label, metricName="mse"))
+    scoring = scoring or ("accuracy" if problem_type == "classification" else "mse")
+    known = SCORING[problem_type]
+    if scoring not in known:
+        raise ValueError(f"Unknown scoring: {scoring}")
+    ev = (MulticlassClassificationEvaluator if problem_type == "classification" else RegressionEvaluator)(
+        labelCol=label, metricName=known[scoring])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=cv_folds,
                         foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = cv.fit(folds)
     spark = df.sparkSession
     rows = [(json.dumps({p.name: v for p, v in pm.items()}), float(m)) for pm, m in zip(grid, fitted.avgMetrics)]
     results = spark.createDataFrame(rows, "params string, mean_score double")
-    best_i = max(range(len(rows)), key=lambda i: rows[i][1]) if problem_type == "classification" else \
-        min(range(len(rows)), key=lambda i: rows[i][1])
+    best_i = (max if ev.isLargerBetter() else min)(range(len(rows)), key=lambda i: rows[i][1])
     return fitted.bestModel, results, json.loads(rows[best_i][0])
 
 

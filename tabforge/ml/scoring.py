@@ -1,10 +1,11 @@
 """Scoring (section O): re-applied preprocessing, prediction, batch and one-off inference.
 
-A :class:`Preprocessor` bundles every fitted table of the training run (imputation,
-scaling, one-hot categories, outlier caps) plus the feature configuration and
-fitted bin edges.  It is saved as Parquet tables + one JSON file under a folder and
-re-applied with exactly the code used at training time (the reference's writer and
-reader disagree on file names, so its encoders are never found at inference).
+A :class:`Preprocessor` holds everything a training run fitted and the order in which it
+is applied: domain features, imputation, target / frequency / label maps, generic
+features with their bin edges, outlier caps, one-hot categories, scaling and the chosen
+columns.  Training and scoring go through the same ``apply``.  It is saved as Parquet
+tables + one JSON file under a folder (the reference's writer and reader disagree on
+file names, so its encoders are never found at inference).
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.params import PARAMS_SCHEMA, read_params, save_params
-from ..operators.encode import apply_onehot
+from ..functions.params import PARAMS_SCHEMA
+from ..operators import features as G
+from ..operators.encode import apply_frequency, apply_label, apply_onehot, apply_target_encoding
 from ..operators.features import feature_engineering
 from ..operators.impute import apply_impute
 from ..operators.outliers import apply_outliers
@@ -24,45 +26,81 @@ from ..operators.scale import apply_scaler
 from ..sources.files import save_predictions
 from .models import load_model, predict
 
-STEPS = ("impute", "outliers", "onehot", "scale")
+STEPS = ("domain", "impute", "target", "frequency", "label", "features", "outliers", "onehot", "scale")
 
 
 @dataclass
 class Preprocessor:
+    """``tables`` holds fitted tables by step.  ``ratios`` ([numerator, denominator, name])
+    and ``buckets`` (columns cut into tenure groups) are the domain features;
+    ``target_mean`` fills categories that the target map does not hold; ``order`` is the
+    order of the steps (those without anything fitted are skipped)."""
     tables: dict[str, DataFrame] = field(default_factory=dict)
     feature_config: dict = field(default_factory=dict)
     bin_edges: dict = field(default_factory=dict)
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        out = df
-        if "impute" in self.tables:
-            out = apply_impute(out, self.tables["impute"])
-        if self.feature_config:
-            out, _ = feature_engineering(out, self.feature_config, self.bin_edges)
-        if "outliers" in self.tables:
-            out = apply_outliers(out, self.tables["outliers"])
-        if "onehot" in self.tables:
-            out = apply_onehot(out, self.tables["onehot"])
-        if "scale" in self.tables:
-            out = apply_scaler(out, self.tables["scale"])
-        return out
+    ratios: list = field(default_factory=list)
+    buckets: list = field(default_factory=list)
+    target_mean: float | None = None
+    order: list = field(default_factory=lambda: list(STEPS))
+    columns: list | None = None
+
+    def _mapped(self, step: str) -> list[str]:
+        # one row per encoded column
+        return sorted(r["feature"] for r in self.tables[step].select("feature").distinct().collect())
+
+    def _step(self, step: str, df: DataFrame) -> DataFrame:
+        if step == "domain":
+            for num, den, name in self.ratios:
+                df = G.ratio(df, num, den, name)
+            for col in self.buckets:
+                df = G.tenure_buckets(df, col)
+            return df
+        if step == "features":
+            return feature_engineering(df, self.feature_config, self.bin_edges)[0] if self.feature_config else df
+        if step not in self.tables:
+            return df
+        t = self.tables[step]
+        if step == "impute":
+            return apply_impute(df, t)
+        if step == "target":
+            return apply_target_encoding(df, self._mapped(step), self.target_mean, t)
+        if step == "frequency":
+            return apply_frequency(df, self._mapped(step), t)
+        if step == "label":
+            for col in self._mapped(step):
+                df = apply_label(df, col, t.where(F.col("feature") == col))
+            return df
+        if step == "outliers":
+            return apply_outliers(df, t)
+        if step == "onehot":
+            return apply_onehot(df, t)
+        return apply_scaler(df, t)
+
+    def apply(self, df: DataFrame, steps: list[str] | None = None) -> DataFrame:
+        """Apply all steps, or those named (in this preprocessor's order)."""
+        for step in self.order:
+            if steps is None or step in steps:
+                df = self._step(step, df)
+        return df
 
     def save(self, path: str) -> str:
         """Persist every fitted table by name (A7) and the configuration."""
         spark = SparkSession.getActiveSession()
         for name, t in self.tables.items():
-            save_params(t, f"{path}/{name}")
-        meta = {"steps": sorted(self.tables), "feature_config": self.feature_config,
-                "bin_edges": self.bin_edges}
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-            .write.mode("overwrite").text(f"{path}/_meta")
+            t.write.mode("overwrite").parquet(f"{path}/{name}")
+        meta = {"steps": sorted(self.tables), "feature_config": self.feature_config, "bin_edges": self.bin_edges,
+                "ratios": self.ratios, "buckets": self.buckets, "target_mean": self.target_mean,
+                "order": self.order, "columns": self.columns}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{path}/_meta")
         return path
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Preprocessor:
-        meta = json.loads(spark.read.text(f"{path}/_meta").first()[0])
-        tables = {name: read_params(spark, f"{path}/{name}") for name in meta["steps"]}
-        return Preprocessor(tables, meta.get("feature_config") or {}, meta.get("bin_edges") or {})
+        meta = json.loads(spark.read.text(f"{path}/_meta").where("value <> ''").first()[0])
+        tables = {name: spark.read.parquet(f"{path}/{name}") for name in meta["steps"]}
+        return Preprocessor(tables, meta.get("feature_config") or {}, meta.get("bin_edges") or {},
+                            meta.get("ratios") or [], meta.get("buckets") or [], meta.get("target_mean"),
+                            meta.get("order") or list(STEPS), meta.get("columns"))
 
 
 def apply_preprocessing(df: DataFrame, pre: Preprocessor | dict | None) -> DataFrame:
@@ -75,10 +113,10 @@ def apply_preprocessing(df: DataFrame, pre: Preprocessor | dict | None) -> DataF
 
 
 def batch_predict(spark: SparkSession, model_path: str, data_path: str, output_path: str,
-                  key_cols: list[str], batch_size: int = 1000, data_format: str = "parquet",
+                  key_cols: list[str], batch_size: int | None = None, data_format: str = "parquet",
                   preprocess: Preprocessor | None = None, n_classes: int | None = 2) -> str:
-    """O2: file -> file scoring; partitions are scored in parallel and ``batch_size``
-    bounds the rows per output file (the reference's 1,000-row chunk loop)."""
+    """O2: file -> file scoring; partitions are scored in parallel.  ``batch_size``, if
+    given, bounds the rows per output file."""
     model = load_model(model_path)
     df = spark.read.format(data_format).load(data_path)
     pred = predict(model, apply_preprocessing(df, preprocess), key_cols)

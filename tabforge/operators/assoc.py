@@ -1,9 +1,8 @@
 """Association measures (section K).
 
 * Pearson (K1): upper triangle in one aggregate, pairwise-complete, NULL for constants.
-* Spearman (K2): average ranks per column from distributed value counts, joined back
-  by value, then Pearson on ranks.  Ranks are taken per column over its non-null
-  values (pandas re-ranks each pair's complete rows; identical when nulls are absent).
+* Spearman (K2): average ranks per pair over its complete rows (as pandas), from
+  distributed value counts, joined back by value, then Pearson on ranks.
 * Cramér's V (K4/K5): chi-square from observed cells only,
   ``chi2 = sum(O^2 / E) - n`` (zero cells contribute nothing), and for 2x2 tables the
   Yates-corrected form ``max(|d| - 0.5, 0)^2 * n * sum(1/r_i) * sum(1/c_j)`` where
@@ -16,10 +15,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, numeric_columns, string_columns
+from ..functions.columns import c, numeric, numeric_columns, string_columns
 from ..functions.ranks import average_ranks
 from ..functions.columns import as_double, unpivot_numeric
 from ..functions.stats import pearson, rnd
@@ -82,18 +81,21 @@ def cramers_v_pairs(df: DataFrame, pairs: list[tuple[str, str]], decimals: int |
     for 2x2 tables; degenerate tables (one row or column) give V = 0."""
     k = ["feature1", "feature2"]
     o = contingency_counts(df, pairs)
-    rows = o.groupBy(*k, "v1").agg(F.sum("o").alias("r"))
-    cols = o.groupBy(*k, "v2").agg(F.sum("o").alias("cc"))
-    n = rows.groupBy(*k).agg(F.sum("r").alias("n"), F.count(F.lit(1)).alias("nr"),
-                             F.sum(1.0 / F.col("r")).alias("inv_r"))
-    m = cols.groupBy(*k).agg(F.count(F.lit(1)).alias("nc"), F.sum(1.0 / F.col("cc")).alias("inv_c"))
-    cell = o.join(rows, k + ["v1"]).join(cols, k + ["v2"]).join(n, k)
+
+    def margin(*by):
+        return Window.partitionBy(*k, *by)
+
+    # Row and column totals are window sums over the cells (never larger than the cells);
+    # 1 / (cells of the row) makes each row count once in the sums over all cells.
+    cell = (o.withColumn("r", F.sum("o").over(margin("v1"))).withColumn("in_r", F.count("*").over(margin("v1")))
+            .withColumn("cc", F.sum("o").over(margin("v2"))).withColumn("in_c", F.count("*").over(margin("v2"))))
+    n = o.groupBy(*k).agg(F.sum("o").alias("n"))
+    cell = cell.join(n, k)
     e = F.col("r") * F.col("cc") / F.col("n")
-    per = cell.groupBy(*k).agg(F.sum(F.col("o") * F.col("o") / e).alias("s"),
-                               F.max(F.abs(F.col("o") - e)).alias("d"),
-                               F.first("n").alias("n"), F.first("nr").alias("nr"),
-                               F.first("inv_r").alias("inv_r"))
-    per = per.join(m, k)
+    per = cell.groupBy(*k).agg(
+        F.sum(F.col("o") * F.col("o") / e).alias("s"), F.max(F.abs(F.col("o") - e)).alias("d"), F.first("n").alias("n"),
+        F.round(F.sum(1.0 / F.col("in_r"))).alias("nr"), F.round(F.sum(1.0 / F.col("in_c"))).alias("nc"),
+        F.sum(1.0 / F.col("r") / F.col("in_r")).alias("inv_r"), F.sum(1.0 / F.col("cc") / F.col("in_c")).alias("inv_c"))
     yates = F.pow(F.greatest(F.col("d") - 0.5, F.lit(0.0)), 2) * F.col("n") * F.col("inv_r") * F.col("inv_c")
     chi2 = F.when((F.col("nr") == 2) & (F.col("nc") == 2), yates) \
         .otherwise(F.greatest(F.col("s") - F.col("n"), F.lit(0.0)))
@@ -124,19 +126,22 @@ def target_association(df: DataFrame, target: str, cols: list[str] | None = None
                     association_strength(F.col("cramers_v")).alias("association_strength"))
 
 
-def point_biserial(df: DataFrame, target: str, cols: list[str] | None = None) -> DataFrame:
-    """Pearson r of (mean-filled feature, indicator of the first sorted target class):
-    (feature, correlation rounded to 3, n).  One aggregate for all features."""
-    cols = cols if cols is not None else numeric_columns(df, [target])
+def _point_biserial(df: DataFrame, target: str, cols: list[str]):
+    """One row: r of every (mean-filled feature, indicator of the first sorted target
+    class) and the number of rows."""
     first = df.agg(F.min(c(target)).alias("f")).first()["f"]
     ind = F.coalesce(c(target) == F.lit(first), F.lit(False)).cast("double")
-    means = df.agg(*[F.avg(c(x)).alias(x) for x in cols]).first()
-    filled = df.select(ind.alias("_ind"), *[F.coalesce(c(x).cast("double"), F.lit(means[x])).alias(x)
-                                            for x in cols])
-    arr = F.array(*[F.struct(F.lit(x).alias("feature"), pearson(F.col(x), F.col("_ind")).alias("r"))
-                    for x in cols])
-    return filled.agg(arr.alias("s"), F.count(F.lit(1)).alias("n")).select(F.inline("s"), "n") \
-        .select("feature", rnd(F.coalesce("r", F.lit(0.0)), 3).alias("correlation"), "n")
+    means = df.agg(*[F.avg(numeric(df, x)).alias(x) for x in cols]).first()
+    filled = df.select(ind.alias("_ind"), *[F.coalesce(numeric(df, x), F.lit(means[x])).alias(x) for x in cols])
+    return filled.agg(*[pearson(F.col(x), F.col("_ind")).alias(x) for x in cols], F.count(F.lit(1)).alias("_n"))
+
+
+def point_biserial(df: DataFrame, target: str, cols: list[str] | None = None) -> DataFrame:
+    """(feature, correlation rounded to 3, n); an undefined correlation is 0."""
+    cols = cols if cols is not None else numeric_columns(df, [target])
+    pairs = F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("r")) for x in cols])
+    return _point_biserial(df, target, cols).select(F.inline(pairs), F.col("_n").alias("n")).select(
+        "feature", rnd(F.coalesce("r", F.lit(0.0)), 3).alias("correlation"), "n")
 
 
 # -- Student t tail for the p-value: evaluated on the driver over one row per feature.
@@ -195,15 +200,8 @@ def point_biserial_with_p(df: DataFrame, target: str, cols: list[str] | None = N
     """Adds p_value (4 decimals) and significant (p < 0.05); failure -> (0, 1, false)."""
     spark = df.sparkSession
     cols = cols if cols is not None else numeric_columns(df, [target])
-    filled = df.select(c(target), *[c(x) for x in cols])
     rows = []
-    first = filled.agg(F.min(c(target)).alias("f")).first()["f"]
-    ind = F.coalesce(c(target) == F.lit(first), F.lit(False)).cast("double")
-    means = filled.agg(*[F.avg(c(x)).alias(x) for x in cols]).first()
-    f2 = filled.select(ind.alias("_ind"), *[F.coalesce(c(x).cast("double"), F.lit(means[x])).alias(x)
-                                            for x in cols])
-    agg = f2.agg(*[pearson(F.col(x), F.col("_ind")).alias(x) for x in cols],
-                 F.count(F.lit(1)).alias("_n")).first()
+    agg = _point_biserial(df, target, cols).first()
     for x in cols:
         r = agg[x]
         if r is None or math.isnan(r):

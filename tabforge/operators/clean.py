@@ -7,10 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c
-
-# Above this many literal values a membership filter becomes a broadcast semi join.
-ISIN_LITERAL_LIMIT = 1000
+from ..functions.columns import c, is_missing, normalise_nan
 
 
 def dedup_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -52,17 +49,12 @@ def range_filter(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
 
 
 def membership_filter(df: DataFrame, col: str, values) -> DataFrame:
-    """``col IN values``; a large list (or a DataFrame of values) becomes a semi join."""
+    """``col IN values``: a list is a literal predicate whatever its length (pushed to
+    the scan); values that are data come as a DataFrame and are a semi join."""
     if isinstance(values, DataFrame):
         v = values.select(values.columns[0]).withColumnRenamed(values.columns[0], "_v")
         return df.join(v, c(col) == F.col("_v"), "left_semi")
-    values = list(values)
-    if len(values) <= ISIN_LITERAL_LIMIT:
-        return df.where(c(col).isin(values))
-    spark = df.sparkSession
-    vdf = spark.createDataFrame([(x,) for x in values], [ "_v"])
-    # The list came from the driver, so its size is known: broadcast is safe.
-    return df.join(F.broadcast(vdf), c(col) == F.col("_v"), "left_semi")
+    return df.where(c(col).isin(list(values)))
 
 
 def blank_to_number(df: DataFrame, col: str, blank: str = " ", out: str | None = None) -> DataFrame:
@@ -72,10 +64,6 @@ def blank_to_number(df: DataFrame, col: str, blank: str = " ", out: str | None =
     return df.withColumn(out or col, v)
 
 
-def count_nulls(df: DataFrame, col: str) -> int:
-    return df.agg(F.count_if(c(col).isNull()).alias("n")).first()["n"]
-
-
 def recode_values(df: DataFrame, col: str, mapping: dict, out: str | None = None,
                   value_type: str | None = None) -> DataFrame:
     """Dictionary recode; an unmapped value (or NULL) becomes NULL.  For a mapping
@@ -100,13 +88,13 @@ def recode_values(df: DataFrame, col: str, mapping: dict, out: str | None = None
 
 
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=subset)
+    return normalise_nan(df, subset or df.columns).na.drop("any", subset=subset)
 
 
 def null_ratios(df: DataFrame, cols: list[str] | None = None) -> dict[str, float]:
-    """Null ratio of every column in one aggregate (one row comes back)."""
+    """Missing ratio (NULL or NaN) of every column in one aggregate (one row comes back)."""
     cols = cols or df.columns
-    row = df.agg(*[F.avg(c(x).isNull().cast("double")).alias(x) for x in cols]).first()
+    row = df.agg(*[F.avg(is_missing(x, df.schema[x].dataType).cast("double")).alias(x) for x in cols]).first()
     return {x: (row[x] if row[x] is not None else 0.0) for x in cols}
 
 

@@ -9,9 +9,8 @@
   dummy encoding with drop-first (D6).
 
 Category lists that go through the driver are bounded by ``max_categories``.
-Per-value maps (label, target, frequency) stay DataFrames and are joined; the join
-is broadcast only when the map's row count has been checked against
-``BROADCAST_MAP_ROWS``.
+Per-value maps (label, target, frequency) stay DataFrames and are joined; Spark
+chooses the join by the map's size in bytes and splits skewed keys at run time.
 """
 
 from __future__ import annotations
@@ -23,14 +22,12 @@ from ..functions.columns import c, string_columns, unpivot_strings
 from ..functions.params import params_from_rows
 from ..functions.ranks import prefix_sums
 
-BROADCAST_MAP_ROWS = 1_000_000
 NULL_LABEL = "nan"
 
 
 def _join_map(df: DataFrame, m: DataFrame, left_col, right_col: str) -> DataFrame:
-    n = m.count()
-    right = F.broadcast(m) if n <= BROADCAST_MAP_ROWS else m
-    return df.join(right, left_col.eqNullSafe(F.col(right_col)), "left").drop(right_col)
+    # Maps hold no NULL value: a plain equality, so that NULL rows need no partner.
+    return df.join(m, left_col == F.col(right_col), "left").drop(right_col)
 
 
 def distinct_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
@@ -77,7 +74,9 @@ def apply_onehot(df: DataFrame, params: DataFrame, as_type: str = "double") -> D
     for col in [x for x in df.columns if x in got]:
         for _, label, val in sorted(got[col]):
             ind = c(col).isNull() if val is None else F.coalesce(c(col) == F.lit(val), F.lit(False))
-            new.append(ind.cast(as_type).alias(f"{col}_{label}"))
+            # A NULL next to the literal text "nan": the text keeps the name, NULL gets one of its own.
+            clash = val is None and any(v == NULL_LABEL for _, _, v in got[col])
+            new.append(ind.cast(as_type).alias(f"{col}_{label}" + ("_null" if clash else "")))
     return df.select(*keep, *new)
 
 
@@ -105,7 +104,7 @@ def fit_label(df: DataFrame, col: str) -> DataFrame:
 
 
 def apply_label(df: DataFrame, col: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
-    m = mapping.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"))
+    m = mapping.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"))  # other columns may be there
     j = _join_map(df, m, F.coalesce(c(col).cast("string"), F.lit(NULL_LABEL)), "_lv")
     target = out or col
     cols = [F.col("_lc").alias(target) if x == target else c(x) for x in df.columns]
@@ -196,9 +195,7 @@ def apply_frequency(df: DataFrame, cols: list[str], table: DataFrame, suffix: st
             continue
         m = table.where(F.col("feature") == col).select(F.col("value").alias("_fv"),
                                                          F.col("freq").alias(col + suffix))
-        n = m.count()
-        right = F.broadcast(m) if n <= BROADCAST_MAP_ROWS else m
-        out = out.join(right, c(col) == F.col("_fv"), "left").drop("_fv")
+        out = _join_map(out, m, c(col), "_fv")
     return out
 
 

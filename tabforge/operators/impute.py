@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, numeric_columns, string_columns, unpivot_numeric, unpivot_strings
+from ..functions.columns import c, numeric, numeric_columns, string_columns, unpivot_numeric, unpivot_strings
 from ..functions.params import load_params, params_from_rows
 from ..functions.ranks import quantile_table
 from .clean import drop_null_rows, drop_sparse_columns
+from .knn import knn_impute
 
 NUMERIC_STRATEGIES = ("mean", "median", "constant", "most_frequent")
 CATEGORICAL_STRATEGIES = ("most_frequent", "constant")
@@ -78,7 +79,7 @@ def apply_impute(df: DataFrame, params: DataFrame) -> DataFrame:
     for f in df.columns:
         if f in num:
             v = num[f].get("fill")
-            col = c(f).cast("double")
+            col = numeric(df, f)
             out.append((F.coalesce(col, F.lit(v).cast("double")) if v is not None else col).alias(f))
         elif f in cat:
             v = cat[f].get("fill")
@@ -90,11 +91,22 @@ def apply_impute(df: DataFrame, params: DataFrame) -> DataFrame:
 
 def handle_missing_values(df: DataFrame, strategy: str = "simple", numeric_strategy: str = "mean",
                           categorical_strategy: str = "most_frequent", threshold: float = 0.5,
-                          exclude: list[str] = ()) -> tuple[DataFrame, DataFrame | None]:
-    """Drop sparse columns, then impute (``simple``) or drop rows (``drop``)."""
+                          exclude: list[str] = (), key: str | None = None, n_neighbors: int = 5,
+                          donors: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Drop sparse columns, then impute (``simple``), impute numeric columns from the
+    nearest rows and strings by their mode (``knn``; ``key`` orders equal distances and
+    ``donors`` are the training rows, by default the table itself), or drop rows
+    (``drop``)."""
     kept, _ = drop_sparse_columns(df, threshold)
     if strategy == "drop":
         return drop_null_rows(kept), None
+    if strategy == "knn":
+        if key is None:
+            raise ValueError("strategy 'knn' needs a key column")
+        num = [x for x in numeric_columns(kept, [*exclude, key]) if donors is None or x in donors.columns]
+        params = fit_impute(kept if donors is None else donors, "mean", categorical_strategy, numeric_cols=[],
+                            categorical_cols=string_columns(kept, [*exclude, key]))
+        return apply_impute(knn_impute(kept, num, key, n_neighbors, donors), params), params
     if strategy != "simple":
         raise ValueError(f"Unknown strategy: {strategy}")
     params = fit_impute(kept, numeric_strategy, categorical_strategy, exclude=exclude)

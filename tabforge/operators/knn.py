@@ -25,8 +25,14 @@ Distributed exact algorithm:
    border of the visited block), or when the block covers the whole grid.
 5. The best ``k`` over all donor patterns give the mean.
 
-Work per receiver is bounded by the occupancy of the cells it visits, never by
-the table size.
+Work per receiver is bounded by the occupancy of the cells it visits.  The grid has at
+most ``MAX_EDGES_PER_DIM`` cuts per dimension (edges are literals of the plan, and the
+quantile sketch resolves no more), so with m co-present columns occupancy stays at
+``TARGET_PER_CELL`` up to ``TARGET_PER_CELL * MAX_EDGES_PER_DIM ** m`` donors and grows
+in proportion to the donors beyond that; results stay exact.
+
+``key`` orders donors at equal distance; NULL and repeated keys are allowed (a row number
+decides among them) and every row comes back once.
 """
 
 from __future__ import annotations
@@ -39,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, c
-from ..session import reliable_checkpoint
+from ..session import materialise, reliable_checkpoint
 
 TARGET_PER_CELL = 32
 MAX_EDGES_PER_DIM = 4096
@@ -85,9 +91,11 @@ def _bottom_k(df: DataFrame, group: list[str], key: str, k: int) -> DataFrame:
 _CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
 
 
-def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5) -> DataFrame:
-    """Impute NULLs of ``cols`` (numeric) from the k nearest rows; ``key`` must be a
-    unique, orderable column (it breaks distance ties).  Imputed columns are double."""
+def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5,
+               donors: DataFrame | None = None) -> DataFrame:
+    """Impute NULLs of ``cols`` (numeric) from the k nearest rows of ``donors`` (the rows
+    seen at fit time; by default ``df`` itself); ``key`` is an orderable column that
+    breaks distance ties.  Imputed columns are double."""
     spark = df.sparkSession
     # Catalyst's constraint rewriting fails on the union of checkpointed candidate
     # tables used by the ring search (an optimizer bug, not a data issue); it is
@@ -95,21 +103,32 @@ def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5) -> DataFram
     before = spark.conf.get(_CONSTRAINTS, "true")
     spark.conf.set(_CONSTRAINTS, "false")
     try:
-        return _knn_impute(df, cols, key, k)
+        return _knn_impute(df, cols, key, k, donors)
     finally:
         spark.conf.set(_CONSTRAINTS, before)
 
 
-def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
+def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int, donors: DataFrame | None) -> DataFrame:
     spark = df.sparkSession
     p = len(cols)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    x = [as_double(col, types[col]).alias(f"_x{i}") for i, col in enumerate(cols)]
     pat = sum((F.col(f"_x{i}").isNotNull().cast("int") * (1 << i)) for i in range(p))
-    base = df.select(c(key).alias("_k"), *x).withColumn("_pat", pat)
+
+    def points(rows: DataFrame) -> DataFrame:
+        x = [as_double(col, rows.schema[col].dataType).alias(f"_x{i}") for i, col in enumerate(cols)]
+        return rows.select(F.struct(c(key).alias("key"), "_row").alias("_k"), *x).withColumn("_pat", pat)
+
+    def counts(rows: DataFrame) -> dict[int, int]:
+        return {r["_pat"]: r["n"] for r in rows.groupBy("_pat").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    # Row numbers are fixed by writing them once.
+    df = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "knn-rows")
+    base = points(df)
+    given = base if donors is None else points(materialise(
+        donors.select(c(key), *[c(x) for x in cols]).withColumn("_row", F.monotonically_increasing_id()), "knn-donors"))
     full = (1 << p) - 1
-    pats = {r["_pat"]: r["n"] for r in base.groupBy("_pat").agg(F.count(F.lit(1)).alias("n")).collect()}
-    means = base.agg(*[F.avg(f"_x{i}").alias(f"m{i}") for i in range(p)]).first()
+    pats = counts(base)
+    given_pats = pats if donors is None else counts(given)
+    means = given.agg(*[F.avg(f"_x{i}").alias(f"m{i}") for i in range(p)]).first()
 
     combos = []  # (receiver pattern, donor pattern, j, S)
     for pr in pats:
@@ -118,12 +137,12 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
         for j in range(p):
             if pr >> j & 1:
                 continue
-            for pd in pats:
+            for pd in given_pats:
                 if pd >> j & 1:
                     s = pr & pd
                     if s:
                         combos.append((pr, pd, j, s))
-    imputed_parts = [_search_all(spark, base, p, k, combos, pats)] if combos else []
+    imputed_parts = [_search_all(spark, base, given, p, k, combos, given_pats)] if combos else []
     # Best k over all donor patterns, per (receiver, column).
     if imputed_parts:
         cand = imputed_parts[0]
@@ -139,10 +158,9 @@ def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int) -> DataFrame:
         out = base.select("*", *[F.lit(None).cast("double").alias(f"_v{i}") for i in range(p)])
     filled = [F.coalesce(F.col(f"_x{i}"), F.col(f"_v{i}"), F.lit(means[f"m{i}"])).alias(col)
               for i, col in enumerate(cols)]
-    res = out.select(F.col("_k").alias("_key_"), *filled)
-    others = [x for x in df.columns if x not in cols and x != key]
-    j = df.select(c(key), *[c(x) for x in others]).join(res, c(key) == F.col("_key_"), "inner")
-    return j.select(*[c(x) for x in df.columns])
+    res = out.select(F.col("_k._row").alias("_row"), *filled)
+    j = df.drop(*cols).join(res, "_row")
+    return j.select(*[c(x) for x in df.columns if x != "_row"])
 
 
 def _when_s(values: dict[int, object], default=None, col: str = "_s"):
@@ -156,7 +174,7 @@ def _when_s(values: dict[int, object], default=None, col: str = "_s"):
     return expr
 
 
-def _search_all(spark, base: DataFrame, p: int, k: int, combos, pats) -> DataFrame:
+def _search_all(spark, base: DataFrame, given: DataFrame, p: int, k: int, combos, pats) -> DataFrame:
     """Ring search for every co-present subspace at once (one loop, shared jobs).
 
     Rows carry ``_s`` (the subspace bitmask); per-subspace constants (grid edges,
@@ -175,7 +193,7 @@ def _search_all(spark, base: DataFrame, p: int, k: int, combos, pats) -> DataFra
         for i in dims[sv]:
             if probs:
                 aggs.append(F.percentile_approx(F.when(has, F.col(f"_x{i}")), probs, 10000).alias(f"e_{sv}_{i}"))
-    row = base.agg(*aggs).first().asDict() if aggs else {}
+    row = given.agg(*aggs).first().asDict() if aggs else {}
     splits, ncell = {}, {}
     for sv in subspaces:
         for i in dims[sv]:
@@ -213,8 +231,8 @@ def _search_all(spark, base: DataFrame, p: int, k: int, combos, pats) -> DataFra
                                      "_pr int, _pd int, _j int, _s int")
     xs = [f"_x{i}" for i in range(p)]
     # Donors: one row per (donor, column j, subspace); coordinates outside S masked.
-    donors = base.join(F.broadcast(combo_df.select("_pd", "_j", "_s").distinct()),
-                       base["_pat"] == F.col("_pd"))
+    donors = given.join(F.broadcast(combo_df.select("_pd", "_j", "_s").distinct()),
+                        given["_pat"] == F.col("_pd"))
     masked = [F.when(((F.col("_s").bitwiseAND(F.lit(1 << i))) != 0), F.col(f"_x{i}")).alias(f"_x{i}")
               for i in range(p)]
     xj = F.element_at(F.array(*[F.col(x) for x in xs]), F.col("_j") + 1)

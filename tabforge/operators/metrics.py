@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c
+from ..functions.columns import c, numeric
 from ..functions.ranks import prefix_sums
+from ..session import materialise
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -17,81 +18,90 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
                     F.count(F.lit(1)).alias("n"))
 
 
-def class_list(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> list:
-    """Sorted union of labels and predictions (bounded by the number of classes)."""
-    vals = pred.select(c(label).alias("v")).union(pred.select(c(prediction).alias("v"))) \
-        .where(F.col("v").isNotNull()).distinct().collect()
-    return sorted(r["v"] for r in vals)
+def _counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(label, prediction, n): the only pass over the predictions."""
+    return pred.groupBy(c(label).alias("label"), c(prediction).alias("prediction")) \
+        .agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n) for every pair of classes, zeros included."""
-    classes = class_list(pred, label, prediction)
-    spark = pred.sparkSession
-    dt = pred.schema[label].dataType.simpleString()
-    grid = spark.createDataFrame([(a, b) for a in classes for b in classes], f"label {dt}, prediction {dt}")
-    cnt = pred.groupBy(c(label).alias("label"), c(prediction).alias("prediction")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    # grid has classes^2 rows (classes are few): broadcast.
-    return F.broadcast(grid).join(cnt, ["label", "prediction"], "left") \
-        .select("label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    """(label, prediction, n) for every pair of classes, zeros included.  The grid is
+    made by Spark from the distinct classes of the counts (classes^2 rows are the
+    result itself)."""
+    cnt = materialise(_counts(pred, label, prediction), "confusion")
+    classes = cnt.select(F.col("label").alias("v")).union(cnt.select(F.col("prediction").alias("v"))) \
+        .where(F.col("v").isNotNull()).distinct()
+    zero = F.lit(0).cast("bigint")
+    grid = classes.select(F.col("v").alias("label")).join(classes.select(F.col("v").alias("prediction")), how="cross")
+    return grid.select("label", "prediction", zero.alias("n")).unionByName(
+        cnt.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())) \
+        .groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+
+
+def _class_scores(cnt: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """(keys..., cls, tp, pred_n, support, precision, recall, f1) from counts (keys...,
+    label, prediction, n): every count goes to its label and to its prediction, one
+    aggregate; zero division -> 0."""
+    zero = F.lit(0).cast("bigint")
+    same = F.col("label") == F.col("prediction")
+    sides = F.array(
+        F.struct(F.col("label").alias("cls"), F.when(same, F.col("n")).otherwise(zero).alias("tp"),
+                 F.col("n").alias("support"), zero.alias("pred_n")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("tp"), zero.alias("support"), F.col("n").alias("pred_n")))
+    agg = cnt.select(*keys, F.inline(sides)).where(F.col("cls").isNotNull()).groupBy(*keys, "cls").agg(
+        *[F.sum(x).alias(x) for x in ("tp", "support", "pred_n")])
+    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred_n")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
+    f = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return agg.select(*keys, "cls", "tp", "pred_n", "support", p.alias("precision"), r.alias("recall"), f.alias("f1"))
 
 
 def per_class_scores(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(cls, precision, recall, f1, support); zero division -> 0."""
-    cm = confusion_matrix(pred, label, prediction)
-    tp = cm.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    sup = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pc = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("pred_n"))
-    j = tp.join(sup, "cls").join(pc, "cls")
-    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred_n")), F.lit(0.0))
-    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    f = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
-    return j.select("cls", p.alias("precision"), r.alias("recall"), f.alias("f1"),
-                    F.col("support").cast("bigint").alias("support"))
+    return _class_scores(_counts(pred, label, prediction)).select("cls", "precision", "recall", "f1", "support")
+
+
+def _averages(scores: DataFrame):
+    """One row: accuracy, macro and weighted averages, samples and label classes."""
+    def weighted(x):
+        return F.try_divide(F.sum(F.col(x) * F.col("support")), F.sum("support"))
+
+    return scores.agg(
+        F.try_divide(F.sum("tp").cast("double"), F.sum("support")).alias("acc"), F.sum("support").cast("bigint").alias("n"),
+        *[F.avg(x).alias("macro_" + x) for x in ("precision", "recall", "f1")],
+        *[weighted(x).alias("weighted_" + x) for x in ("precision", "recall", "f1")],
+        F.count_if(F.col("support") > 0).alias("k"))
 
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                           class_names: dict | None = None) -> DataFrame:
     """Rows per class plus ``accuracy``, ``macro avg``, ``weighted avg``:
-    (row, precision, recall, f1, support)."""
-    pcs = per_class_scores(pred, label, prediction)
+    (row, precision, recall, f1, support).  One pass over the predictions; everything
+    else is arithmetic on the table of counts."""
+    pcs = materialise(_class_scores(_counts(pred, label, prediction)), "class-scores")
     name = F.col("cls").cast("string")
     if class_names:
         m = F.create_map(*[x for k, v in class_names.items() for x in (F.lit(str(k)), F.lit(v))])
         name = F.coalesce(m[name], name)
-    rows = pcs.select(name.alias("row"), "precision", "recall", "f1", "support")
-    tot = pcs.agg(F.sum("support").alias("n"), F.avg("precision").alias("mp"), F.avg("recall").alias("mr"),
-                  F.avg("f1").alias("mf"),
-                  (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-                  (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-                  (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    a = accuracy(pred, label, prediction).first()["accuracy"]  # one scalar
-    extra = tot.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("row"), F.lit(a).cast("double").alias("precision"),
-                 F.lit(a).cast("double").alias("recall"), F.lit(a).cast("double").alias("f1"),
-                 F.col("n").cast("bigint").alias("support")),
-        F.struct(F.lit("macro avg").alias("row"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("n").cast("bigint").alias("support")),
-        F.struct(F.lit("weighted avg").alias("row"), F.col("wp").alias("precision"),
-                 F.col("wr").alias("recall"), F.col("wf").alias("f1"),
-                 F.col("n").cast("bigint").alias("support")))))
+    rows = pcs.select(name.alias("row"), "precision", "recall", "f1", F.col("support").cast("bigint").alias("support"))
+
+    def line(row, p, r, f):
+        return F.struct(F.lit(row).alias("row"), F.col(p).alias("precision"), F.col(r).alias("recall"),
+                        F.col(f).alias("f1"), F.col("n").alias("support"))
+
+    extra = _averages(pcs).select(F.inline(F.array(
+        line("accuracy", "acc", "acc", "acc"), line("macro avg", "macro_precision", "macro_recall", "macro_f1"),
+        line("weighted avg", "weighted_precision", "weighted_recall", "weighted_f1"))))
     return rows.unionByName(extra)
 
 
 def macro_weighted_scores(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: accuracy, macro / weighted precision, recall, f1, n_samples, n_classes."""
-    rep = classification_report(pred, label, prediction)
-    r = {x["row"]: x for x in rep.where(F.col("row").isin("accuracy", "macro avg", "weighted avg")).collect()}
-    spark = pred.sparkSession
-    nl = pred.agg(F.countDistinct(c(label)).alias("k")).first()["k"]
-    return spark.createDataFrame([(
-        r["accuracy"]["precision"], r["macro avg"]["precision"], r["macro avg"]["recall"], r["macro avg"]["f1"],
-        r["weighted avg"]["precision"], r["weighted avg"]["recall"], r["weighted avg"]["f1"],
-        int(r["accuracy"]["support"]), int(nl))],
-        "accuracy double, precision_macro double, recall_macro double, f1_macro double, "
-        "precision_weighted double, recall_weighted double, f1_weighted double, n_samples bigint, "
-        "n_classes bigint")
+    return _averages(_class_scores(_counts(pred, label, prediction))).select(
+        F.col("acc").alias("accuracy"), F.col("macro_precision").alias("precision_macro"),
+        F.col("macro_recall").alias("recall_macro"), F.col("macro_f1").alias("f1_macro"),
+        F.col("weighted_precision").alias("precision_weighted"), F.col("weighted_recall").alias("recall_weighted"),
+        F.col("weighted_f1").alias("f1_weighted"), F.col("n").alias("n_samples"), F.col("k").alias("n_classes"))
 
 
 def _score_counts(pred: DataFrame, label: str, score: str, positive=1) -> DataFrame:
@@ -119,7 +129,7 @@ def roc_curve(pred: DataFrame, label: str = "label", score: str = "score", posit
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    y, p = c(label).cast("double"), c(prediction).cast("double")
+    y, p = numeric(pred, label), numeric(pred, prediction)
     e = y - p
     return pred.agg(F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"),
                     F.avg(F.abs(e)).alias("mae"),
@@ -129,7 +139,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 def residual_stats(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """MAPE %, explained variance and residual mean / population std / min / max."""
-    y, p = c(label).cast("double"), c(prediction).cast("double")
+    y, p = numeric(pred, label), numeric(pred, prediction)
     e = y - p
     return pred.agg(
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
@@ -150,15 +160,8 @@ def model_comparison(preds: DataFrame, model_col: str = "model", label: str = "l
     if problem_type == "classification":
         cm = preds.groupBy(c(model_col).alias("model"), c(label).alias("label"),
                            c(prediction).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
-        tp = cm.where(F.col("label") == F.col("prediction")).select("model", F.col("label").alias("cls"),
-                                                                   F.col("n").alias("tp"))
-        sup = cm.groupBy("model", F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-        pc = cm.groupBy("model", F.col("prediction").alias("cls")).agg(F.sum("n").alias("pred_n"))
-        j = sup.join(pc, ["model", "cls"], "full").join(tp, ["model", "cls"], "left").fillna(0)
-        pr = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred_n")), F.lit(0.0))
-        rc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-        f1 = F.coalesce(F.try_divide(2 * pr * rc, pr + rc), F.lit(0.0))
-        per = j.select("model", "support", "tp", pr.alias("p"), rc.alias("r"), f1.alias("f"))
+        per = _class_scores(cm, ["model"]).select("model", "support", "tp", F.col("precision").alias("p"),
+                                                  F.col("recall").alias("r"), F.col("f1").alias("f"))
         m = per.groupBy("model").agg(
             (F.sum("tp") / F.sum("support")).alias("accuracy"),
             (F.sum(F.col("p") * F.col("support")) / F.sum("support")).alias("precision"),
@@ -170,7 +173,7 @@ def model_comparison(preds: DataFrame, model_col: str = "model", label: str = "l
             m = m.join(auc, "model", "left")
             names.append("roc_auc")
     else:
-        y, p = c(label).cast("double"), c(prediction).cast("double")
+        y, p = numeric(preds, label), numeric(preds, prediction)
         e = y - p
         m = preds.groupBy(c(model_col).alias("model")).agg(
             F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
@@ -178,10 +181,11 @@ def model_comparison(preds: DataFrame, model_col: str = "model", label: str = "l
         names = ["mse", "rmse", "mae", "r2"]
     long = m.select("model", F.inline(F.array(*[F.struct(F.lit(x).alias("metric"), F.col(x).alias("value"))
                                                 for x in names])))
-    best_val = long.groupBy("metric").agg(
-        F.when(F.col("metric").isin(*LOWER_IS_BETTER), F.min("value")).otherwise(F.max("value")).alias("value"))
-    best = long.join(best_val, ["metric", "value"]).groupBy("metric").agg(
-        F.min("model").alias("best_model"), F.first("value").alias("value"))
+    # The best value is picked by (value, name) in one aggregate; NaN and NULL never win.
+    real = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    order = F.when(F.col("metric").isin(*LOWER_IS_BETTER), F.col("value")).otherwise(-F.col("value"))
+    best = real.groupBy("metric").agg(F.min(F.struct(order.alias("o"), F.col("model").alias("best_model"), "value")).alias("b")) \
+        .select("metric", "b.best_model", "b.value")
     return long, best
 
 
@@ -190,7 +194,9 @@ def _grouped_auc(preds: DataFrame, model_col: str, label: str, score: str, posit
     sc = preds.where(c(score).isNotNull()).groupBy(c(model_col).alias("model"),
                                                   c(score).cast("double").alias("score")) \
         .agg(F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg"))
-    ps = prefix_sums(sc, ["model"], "score", ["pos", "neg"])
+    # Defined for two classes only (one-against-rest scores are not comparable).
+    two = preds.groupBy(c(model_col).alias("model")).agg(F.count_distinct(c(label)).alias("k")).where("k <= 2")
+    ps = prefix_sums(sc.join(two.select("model"), "model", "left_semi"), ["model"], "score", ["pos", "neg"])
     below = F.col("cum_neg") - F.col("neg")
     return ps.groupBy("model").agg(F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))),
                                                 F.first("tot_pos").cast("double") * F.first("tot_neg"))
@@ -202,5 +208,6 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     cnt = df.groupBy(c(label).alias("_cls")).agg(F.count(F.lit(1)).alias("_nc"))
     tot = cnt.agg(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k")).first()
     w = cnt.select("_cls", (F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("_nc"))).alias(weight_col))
-    # one row per class: bounded.
-    return df.join(F.broadcast(w), c(label).eqNullSafe(F.col("_cls")), "left").drop("_cls")
+    # One row per class; written, so that the planner knows its size.
+    w = materialise(w, "class-weights")
+    return df.join(w, c(label).eqNullSafe(F.col("_cls")), "left").drop("_cls")

@@ -11,16 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, default_outlier_columns, present, unpivot_numeric
+from ..functions.columns import c, default_outlier_columns, numeric, present, unpivot_numeric
 from ..functions.params import load_params, params_from_rows
 from ..functions.ranks import quantiles_wide
 
 
-def _cardinalities(df: DataFrame, cols: list[str]) -> dict[str, int]:
-    # HLL++ is exact at tiny cardinalities; one aggregate for all columns.  The same
-    # estimates route the quantile computation, so it needs no pass of its own.
-    row = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols]).first()
-    return {x: row[x] for x in cols}
+def _many_valued(df: DataFrame, cols: list[str]) -> list[str]:
+    """Columns with more than two values, exactly: some value lies strictly between the
+    smallest and the largest.  Two aggregates for all columns."""
+    ends = df.agg(*[f(numeric(df, x)).alias(f"{n}{i}") for i, x in enumerate(cols)
+                    for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    inner = df.agg(*[F.count_if((numeric(df, x) > F.lit(ends[f"lo{i}"])) & (numeric(df, x) < F.lit(ends[f"hi{i}"])))
+                     .alias(f"n{i}") for i, x in enumerate(cols)]).first()
+    return [x for i, x in enumerate(cols) if inner[f"n{i}"]]
 
 
 def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
@@ -29,17 +32,14 @@ def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
     if method not in ("iqr", "zscore"):
         raise ValueError(f"Unknown outlier method: {method}")
     cols = present(df, cols) if cols is not None else default_outlier_columns(df, targets)
-    card = _cardinalities(df, cols) if cols else {}
     if cols and not include_binary:
-        cols = [x for x in cols if card[x] > 2]
-    most = max((card[x] for x in cols), default=0)
+        cols = _many_valued(df, cols)
     spark = df.sparkSession
     rows = []
     if not cols:
         return params_from_rows(spark, rows)
     if method == "iqr":
-        q = {r["feature"]: r for r in quantiles_wide(df, cols, [0.25, 0.75], ["q25", "q75"],
-                                                     max_distinct=most).collect()}
+        q = {r["feature"]: r for r in quantiles_wide(df, cols, [0.25, 0.75], ["q25", "q75"]).collect()}
         for col in cols:
             r = q.get(col)
             if r is None:
@@ -48,8 +48,7 @@ def fit_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5,
             rows += [("iqr", col, "lo", r["q25"] - threshold * iqr, None),
                      ("iqr", col, "hi", r["q75"] + threshold * iqr, None)]
     else:
-        med = {r["feature"]: r["q50"] for r in quantiles_wide(df, cols, [0.5], ["q50"],
-                                                              max_distinct=most).collect()}
+        med = {r["feature"]: r["q50"] for r in quantiles_wide(df, cols, [0.5], ["q50"]).collect()}
         mom = {r["feature"]: r for r in unpivot_numeric(df, cols).groupBy("feature").agg(
             F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()}
         for col in cols:
@@ -78,7 +77,7 @@ def apply_outliers(df: DataFrame, params: DataFrame) -> DataFrame:
         if f not in p:
             out.append(c(f))
             continue
-        x = c(f).cast("double")
+        x = numeric(df, f)
         q = p[f]
         if "lo" in q:
             # least/greatest skip NULLs, so guard NULL explicitly.
@@ -96,7 +95,7 @@ def outlier_counts(df: DataFrame, params: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], "feature string, outliers bigint")
-    row = df.agg(*[F.count_if(F.coalesce(_flag(p[x], x, c(x).cast("double")), F.lit(False))).alias(x)
+    row = df.agg(*[F.count_if(F.coalesce(_flag(p[x], x, numeric(df, x)), F.lit(False))).alias(x)
                    for x in cols]).first()
     rows = [(x, int(row[x])) for x in cols]
     rows.append(("__total__", sum(v for _, v in rows)))

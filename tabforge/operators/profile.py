@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, numeric_columns, string_columns, unpivot_numeric, unpivot_strings
+from ..functions.columns import c, is_missing, numeric, numeric_columns, string_columns, unpivot_numeric, unpivot_strings
 from ..functions.ranks import exact_quantiles, quantiles_wide
 from ..functions.stats import pearson, sample_kurtosis, sample_skewness, rnd
 from ..sources.schema import dtype_counts as _dtype_counts
@@ -31,7 +31,8 @@ def missing_profile(df: DataFrame) -> DataFrame:
     """(feature, missing, missing_pct) with the percentage rounded to 2 decimals."""
     n = F.count(F.lit(1))
     structs = F.array(*[F.struct(F.lit(x).alias("feature"),
-                                 F.count_if(c(x).isNull()).alias("missing")) for x in df.columns])
+                                 F.count_if(is_missing(x, df.schema[x].dataType)).alias("missing"))
+                        for x in df.columns])
     return df.agg(structs.alias("s"), n.alias("n")).select(F.inline("s"), "n").select(
         "feature", "missing",
         rnd(F.try_divide(F.col("missing") * 100.0, F.col("n")), 2).alias("missing_pct"))
@@ -50,24 +51,13 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 
 def _moments_and_quartiles(long: DataFrame, names: dict[float, str]) -> DataFrame:
-    """Moments and exact quartiles per feature in two passes: the moments aggregate
-    also carries the distinct-count estimate that routes the quantile computation
-    (its result has one row per feature, so it is collected), then one quantile pass."""
-    from ..functions.ranks import EXACT_PERCENTILE_MAX_DISTINCT, _map_quantiles
-    stats_df = long.groupBy("feature").agg(
+    """Moments (one aggregate) and exact quartiles per feature."""
+    stats = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"), sample_skewness(F.col("value")).alias("skewness"),
-        sample_kurtosis(F.col("value")).alias("kurtosis"),
-        F.approx_count_distinct("value").alias("_k"))
-    rows = stats_df.collect()
-    spark = long.sparkSession
-    stats = spark.createDataFrame(rows, stats_df.schema).drop("_k")
-    probs = list(names)
-    if all(r["_k"] <= EXACT_PERCENTILE_MAX_DISTINCT for r in rows):
-        q = _map_quantiles(long.where(F.col("value").isNotNull()), ["feature"], probs, "value")
-    else:
-        q = exact_quantiles(long, ["feature"], probs)
+        sample_kurtosis(F.col("value")).alias("kurtosis"))
+    q = exact_quantiles(long, ["feature"], list(names))
     qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                                     for p, n in names.items()])
     return stats.join(qw, "feature", "left")
@@ -113,8 +103,7 @@ def _box(long: DataFrame, group: list[str]) -> DataFrame:
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - WHISKER * F.col("iqr")
     hi = F.col("q3") + WHISKER * F.col("iqr")
-    # q has one row per group (features x classes): bounded, broadcast.
-    j = long.join(F.broadcast(q), group)
+    j = long.join(q, group)
     return j.groupBy(*group).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.first("iqr").alias("iqr"),
@@ -211,7 +200,7 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
     arr = F.array(*[F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                             pearson(c(a).cast("double"), c(b).cast("double")).alias("correlation"))
+                             pearson(numeric(df, a), numeric(df, b)).alias("correlation"))
                     for a, b in pairs])
     return df.agg(arr.alias("s")).select(F.inline("s"))
 
@@ -227,8 +216,8 @@ def top_numeric_pairs(df: DataFrame, cols: list[str] | None = None, threshold: f
 def trend_lines(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Degree-1 least-squares fit y = slope*x + intercept per pair (pairwise-complete)."""
     arr = F.array(*[F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                             F.regr_slope(c(b).cast("double"), c(a).cast("double")).alias("slope"),
-                             F.regr_intercept(c(b).cast("double"), c(a).cast("double")).alias("intercept"))
+                             F.regr_slope(numeric(df, b), numeric(df, a)).alias("slope"),
+                             F.regr_intercept(numeric(df, b), numeric(df, a)).alias("intercept"))
                     for a, b in pairs])
     return df.agg(arr.alias("s")).select(F.inline("s"))
 

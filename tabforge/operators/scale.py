@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, default_scale_columns, present, unpivot_numeric
+from ..functions.columns import c, default_scale_columns, numeric, present, unpivot_numeric
 from ..functions.params import load_params, params_from_rows
 from ..functions.ranks import quantiles_wide
 
@@ -67,7 +67,7 @@ def apply_scaler(df: DataFrame, params: DataFrame | None) -> DataFrame:
     for f in df.columns:
         if f in p:
             ctr, scl = p[f].get("center"), p[f].get("scale")
-            x = c(f).cast("double")
+            x = numeric(df, f)
             out.append(((x - F.lit(ctr)) / F.lit(scl)).alias(f) if ctr is not None else x.alias(f))
         else:
             out.append(c(f))

@@ -2,8 +2,9 @@
 
 * mutual information (I1): plug-in estimate in nats from counts,
   ``sum p(x,y) ln(p(x,y) / (p(x) p(y)))``.  Discrete columns are exact; continuous
-  columns are first cut into ``bins`` equal-width bins (documented divergence from
-  the reference's nearest-neighbour estimator).
+  columns (by default every float or decimal column, so that an ID-like column of
+  unique values does not look informative) are first cut into ``bins`` quantile bins
+  (documented divergence from the reference's nearest-neighbour estimator).
 * chi2 (I2): scikit-learn's ``chi2`` on ``X - min + 1``: observed = per-class sums,
   expected = class share x column total.
 * variance threshold (I4): population variance strictly above the threshold.
@@ -17,35 +18,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import c, unpivot_numeric
+from ..functions.columns import c, is_numeric, numeric, unpivot_numeric
+from ..functions.ranks import quantile_table
 
 
 def discretised(df: DataFrame, cols: list[str], continuous: list[str], bins: int = 10) -> DataFrame:
-    """Long (feature, x string) with continuous columns cut into equal-width bins."""
-    rng = df.agg(*[F.min(c(x)).alias(f"mn{i}") for i, x in enumerate(continuous)],
-                 *[F.max(c(x)).alias(f"mx{i}") for i, x in enumerate(continuous)]).first() \
-        if continuous else None
+    """One string column per feature, continuous ones cut at their exact quantiles (a
+    value equal to a cut belongs to the bin below it; equal cuts are one)."""
+    cuts: dict[str, set[float]] = {}
+    if continuous:
+        probs = [k / bins for k in range(1, bins)]
+        for r in quantile_table(df, list(continuous), probs).collect():  # columns x (bins - 1) rows
+            cuts.setdefault(r["feature"], set()).add(r["quantile"])
     vals = []
     for x in cols:
+        v = numeric(df, x) if is_numeric(df.schema[x].dataType) else c(x)
         if x in continuous:
-            i = continuous.index(x)
-            mn, mx = rng[f"mn{i}"], rng[f"mx{i}"]
-            v = c(x).cast("double")
-            if mn is None or mx == mn:
-                code = F.when(v.isNotNull(), F.lit(0))
-            else:
-                code = F.least(F.floor((v - F.lit(mn)) / F.lit(mx - mn) * bins).cast("int"), F.lit(bins - 1))
-            vals.append(code.cast("string"))
-        else:
-            vals.append(c(x).cast("string"))
+            code = sum([(v > F.lit(q)).cast("int") for q in sorted(cuts.get(x, ()))], F.lit(0))
+            v = F.when(v.isNotNull(), code)
+        vals.append(v.cast("string"))
     return vals
 
 
+def continuous_columns(df: DataFrame, cols: list[str]) -> list[str]:
+    return [x for x in cols if isinstance(df.schema[x].dataType, (T.DoubleType, T.FloatType, T.DecimalType))]
+
+
 def mutual_information(df: DataFrame, features: list[str], target: str,
-                       continuous: list[str] = (), bins: int = 10) -> DataFrame:
+                       continuous: list[str] | None = None, bins: int = 10) -> DataFrame:
     """(feature, mi) for every feature against a class target; rows with a NULL
-    feature value or target are left out of that feature's estimate."""
-    continuous = [x for x in continuous if x in features]
+    feature value or target are left out of that feature's estimate.  ``continuous``
+    names the columns to bin (None: :func:`continuous_columns`)."""
+    continuous = (continuous_columns(df, features) if continuous is None else
+                  [x for x in continuous if x in features])
     vals = discretised(df, features, continuous, bins)
     arr = F.array(*[F.struct(F.lit(x).alias("feature"), v.alias("x")) for x, v in zip(features, vals)])
     long = df.select(c(target).cast("string").alias("y"), F.inline(arr)) \
@@ -62,8 +67,8 @@ def mutual_information(df: DataFrame, features: list[str], target: str,
 
 def chi2_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """(feature, chi2) of scikit-learn's chi2 on the min-shifted features (+1)."""
-    mins = df.agg(*[F.min(c(x)).alias(x) for x in features]).first()
-    shifted = [(c(x).cast("double") - F.lit(float(mins[x] or 0.0)) + 1.0) for x in features]
+    mins = df.agg(*[F.min(numeric(df, x)).alias(x) for x in features]).first()
+    shifted = [(numeric(df, x) - F.lit(float(mins[x] or 0.0)) + 1.0) for x in features]
     per_class = df.where(c(target).isNotNull()).groupBy(c(target).alias("y")).agg(
         F.count(F.lit(1)).alias("ny"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(shifted)])
     long = per_class.select("y", "ny", F.inline(F.array(*[
@@ -92,7 +97,7 @@ def select_k_best(scores: DataFrame, features: list[str], k: int, score_col: str
 
 
 def feature_selection(df: DataFrame, features: list[str], target: str, method: str = "mutual_info",
-                      k: int = 20, continuous: list[str] = ()) -> list[str]:
+                      k: int = 20, continuous: list[str] | None = None) -> list[str]:
     """Return the selected column names (apply with ``select``)."""
     if method == "mutual_info":
         return select_k_best(mutual_information(df, features, target, continuous), features, k, "mi")
@@ -101,14 +106,9 @@ def feature_selection(df: DataFrame, features: list[str], target: str, method: s
     if method == "variance":
         kept = variance_select(df, features)
         if len(kept) > k:
-            return select_k_best(mutual_information(df, kept, target, [x for x in continuous if x in kept]),
-                                 kept, k, "mi")
+            return select_k_best(mutual_information(df, kept, target, continuous), kept, k, "mi")
         return kept
     if method == "rfe":
         from ..ml.models import rfe_select
         return rfe_select(df, features, target, k)
     raise ValueError(f"Unknown selection method: {method}")
-
-
-def is_double(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.ranks import prefix_sums
-from ..session import reliable_checkpoint
+from ..session import materialise
 
 
 def hash_order(key_cols: list[str], seed: int) -> Column:
@@ -42,37 +42,29 @@ def _cutoffs(hashed: DataFrame, group_cols: list[str], test_size: float, digits:
 
 def split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42,
           stratify_by: str | None = None, flag: str = "is_test") -> DataFrame:
-    """Add a boolean ``is_test``.  Keys must be unique (identical keys would tie)."""
+    """Add a boolean ``is_test``: exactly ``ceil(test_size * n)`` rows (per class when
+    stratified).  Rows of one key are ordered by a hash of the whole row; rows that are
+    equal as a whole are interchangeable."""
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be within [0, 1]")
     if stratify_by is not None and stratify_by not in df.columns:
         raise ValueError(f"Target column {stratify_by} not found")
     n = df.count()
     digits = _prefix_digits(n)
-    h = hash_order(key_cols, seed)
-    order = F.struct(F.col("_h"), *[c(k) for k in key_cols])
     # _grp is the class (NULL is a class of its own) or one constant group.
     grp = c(stratify_by) if stratify_by else F.lit(0)
-    hashed = df.select("*", h.alias("_h"), grp.alias("_grp")).withColumn(
+    hashed = df.select("*", hash_order(key_cols, seed).alias("_h"), grp.alias("_grp")).withColumn(
         "_bucket", F.conv(F.substring("_h", 1, digits), 16, 10).cast("bigint"))
-    # One row per group: the cut bucket, the rows before it and k (bounded by classes).
-    cuts = reliable_checkpoint(_cutoffs(hashed, ["_grp"], test_size, digits)
-                               .withColumnRenamed("_grp", "_cgrp"))
-    # Order only the rows of each group's cut bucket (a few hundred rows per group)
-    # and keep the (k - before)-th row as the group's boundary.
-    in_cut = hashed.join(F.broadcast(cuts), hashed["_grp"].eqNullSafe(cuts["_cgrp"])) \
-        .where(F.col("_bucket") == F.col("_cut"))
-    w = Window.partitionBy("_cgrp").orderBy("_h", *[c(k) for k in key_cols])
-    bound = in_cut.withColumn("_rn", F.row_number().over(w)) \
-        .where(F.col("_rn") == F.col("_k") - F.col("_before")) \
-        .select(F.col("_cgrp").alias("_bgrp"), order.alias("_bound"))
-    marks = cuts.join(bound, cuts["_cgrp"].eqNullSafe(bound["_bgrp"]), "left").drop("_bgrp")
-    # marks has one row per group: bounded, broadcast.
-    j = hashed.join(F.broadcast(marks), hashed["_grp"].eqNullSafe(marks["_cgrp"]), "left")
-    test = (F.col("_bucket") < F.col("_cut")) | (
-        (F.col("_bucket") == F.col("_cut")) & (order <= F.col("_bound")))
-    return j.withColumn(flag, F.coalesce(test, F.lit(False))) \
-        .drop("_h", "_grp", "_cgrp", "_bucket", "_k", "_cut", "_before", "_bound")
+    # One row per group: the cut bucket, the rows before it and k.  Written, so that
+    # the planner knows its size and chooses the join by it.
+    cuts = materialise(_cutoffs(hashed, ["_grp"], test_size, digits).withColumnRenamed("_grp", "_cgrp"), "cuts")
+    j = hashed.join(cuts, hashed["_grp"].eqNullSafe(cuts["_cgrp"]), "left")
+    at_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
+    # Only the rows of each group's cut bucket (a few hundred) are ordered.
+    w = Window.partitionBy("_grp").orderBy("_h", *[c(k) for k in key_cols], F.xxhash64(*[c(x) for x in df.columns]))
+    inside = j.where(at_cut).withColumn(flag, F.row_number().over(w) <= F.col("_k") - F.col("_before"))
+    outside = j.where(~at_cut).withColumn(flag, F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)))
+    return outside.unionByName(inside).drop("_h", "_grp", "_cgrp", "_bucket", "_k", "_cut", "_before")
 
 
 def train_test(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42,

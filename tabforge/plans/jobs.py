@@ -15,12 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
-from ..ml.models import cross_validate, evaluate, load_model, predict, save_model, train
+from ..ml.models import cross_validate, evaluate, load_metadata, load_model, predict, save_model, train
 from ..ml.scoring import Preprocessor, batch_predict
 from ..operators import clean
-from ..operators import features as G
-from ..operators.encode import (apply_frequency, apply_target_encoding, fit_frequency, fit_onehot,
-                                fit_target_encoding)
+from ..operators.encode import fit_frequency, fit_onehot, fit_target_encoding
 from ..operators.impute import fit_impute
 from ..operators.metrics import classification_report, confusion_matrix, model_comparison
 from ..operators.outliers import fit_outliers
@@ -28,7 +26,7 @@ from ..operators.profile import eda_report_long
 from ..operators.scale import fit_scaler
 from ..operators.select import feature_selection
 from ..operators.split import split
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..session import ensure_checkpoint_dir, materialise, reliable_checkpoint
 from ..sources.files import save_eda_report
 from ..sources.schema import require_columns
 from .fixtures import c360
@@ -55,14 +53,16 @@ class TrainingResult:
     features: list[str]
     preprocessor: Preprocessor
     models: dict
+    predictions: DataFrame      # test rows: key, label, prediction, score, model
+
+
+RATIOS = [["total_charges", "tenure_months", "avg_monthly_charges"], ["avg_charges", "n_orders", "charges_per_order"]]
+BUCKETS = ["tenure_months"]
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    """Schema check, dedup, domain features (pure projections)."""
-    df = clean.dedup_rows(require_columns(df, C360_REQUIRED))
-    df = G.ratio(df, "total_charges", "tenure_months", "avg_monthly_charges")
-    df = G.ratio(df, "avg_charges", "n_orders", "charges_per_order")
-    return G.tenure_buckets(df, "tenure_months")
+    """Schema check and duplicate removal."""
+    return clean.dedup_rows(require_columns(df, C360_REQUIRED))
 
 
 def _parallel(fn, items, workers):
@@ -76,41 +76,41 @@ def _parallel(fn, items, workers):
 
 def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, k_features: int = 25,
                        model_types: tuple[str, ...] = ("random_forest", "logistic_regression"),
-                       test_size: float = 0.2, seed: int = 42, cv_folds: int | None = 5,
+                       test_size: float = 0.3, seed: int = 42, cv_folds: int | None = 5,
                        eda: bool = True, parallelism: int = 4) -> TrainingResult:
-    """Q1: scan -> check -> dedup -> features -> split -> (fit on train) impute ->
-    target / frequency encode -> one-hot -> cap -> scale -> EDA -> select k -> fit the
-    models -> test metrics -> k-fold CV on the training part -> save."""
+    """Q1: scan -> check -> dedup -> split -> (fit on train) domain features -> impute ->
+    EDA -> target / frequency encode -> cap -> one-hot -> scale -> select k -> fit the
+    models -> test metrics -> k-fold CV on the training part -> save.  Every step is
+    part of the saved preprocessor, and both parts go through its ``apply``."""
     ensure_checkpoint_dir(spark)
     # The customer table comes out of two large joins: materialise it once.
     base = reliable_checkpoint(prepare(c360(spark, sf_dir)))
     s = reliable_checkpoint(split(base, KEY, test_size, seed, stratify_by=TARGET))
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    # Fit every step on the training part only.
-    num = [x for x in numeric_columns(base, KEY + [TARGET])]
-    imp = fit_impute(tr, "median", "most_frequent", numeric_cols=num,
-                     categorical_cols=TARGET_ENCODED + ONEHOT)
-    pre = Preprocessor({"impute": imp})
-    tr1, te1 = pre.apply(tr), pre.apply(te)
-    g, tmap = fit_target_encoding(tr1, TARGET_ENCODED, TARGET)
-    tr1 = apply_target_encoding(tr1, TARGET_ENCODED, g, tmap)
-    te1 = apply_target_encoding(te1, TARGET_ENCODED, g, tmap)
-    freq = fit_frequency(tr1, TARGET_ENCODED + ONEHOT)
-    tr1 = apply_frequency(tr1, TARGET_ENCODED + ONEHOT, freq)
-    te1 = apply_frequency(te1, TARGET_ENCODED + ONEHOT, freq)
+    # Fit every step on the training part only, each on the output of those before it.
+    pre = Preprocessor(ratios=RATIOS, buckets=BUCKETS)
+    tr1 = pre.apply(tr, ["domain"])
+    num = [x for x in numeric_columns(tr1, KEY + [TARGET])]
+    pre.tables["impute"] = fit_impute(tr1, "median", "most_frequent", numeric_cols=num,
+                                      categorical_cols=TARGET_ENCODED + ONEHOT)
+    tr1 = reliable_checkpoint(pre.apply(tr, ["domain", "impute"]))
+    # The report describes the cleaned table, before anything is encoded, capped or scaled.
+    eda_long = materialise(eda_report_long(tr1.drop("is_test", *KEY), TARGET), "eda") if eda else None
+    pre.target_mean, target_map = fit_target_encoding(tr1, TARGET_ENCODED, TARGET)
+    pre.tables["target"] = materialise(target_map, "target-map")
+    pre.tables["frequency"] = materialise(fit_frequency(tr1, TARGET_ENCODED + ONEHOT), "frequency-map")
     cont = [x for x in num if not x.startswith(("tenure_group_", "is_"))]
     pre.tables["outliers"] = fit_outliers(tr1, "iqr", 1.5, cont)
     pre.tables["onehot"] = fit_onehot(tr1, ONEHOT, 10)
-    tr2 = _tail(tr1, pre)
-    te2 = _tail(te1, pre)
+    tr2 = pre.apply(tr, [x for x in pre.order if x != "scale"])
     feats = [x for x in numeric_columns(tr2, KEY + [TARGET]) if x != "is_test"]
     scaled = cont + [f"{x}_target_encoded" for x in TARGET_ENCODED]
     pre.tables["scale"] = fit_scaler(tr2, "standard", [x for x in feats if x in scaled])
-    # Cut the lineage once preprocessing is fixed: EDA, selection and every fit reuse it.
-    tr3 = reliable_checkpoint(_scale(tr2, pre))
-    te3 = reliable_checkpoint(_scale(te2, pre))
-    eda_long = eda_report_long(tr3.drop("is_test"), TARGET) if eda else None
+    # Cut the lineage once preprocessing is fixed: selection and every fit reuse it.
+    tr3, te3 = reliable_checkpoint(pre.apply(tr)), reliable_checkpoint(pre.apply(te))
     chosen = feature_selection(tr3, feats, TARGET, "mutual_info", k_features, continuous=cont)
+    pre.columns = chosen
+    n_train = tr3.count()
 
     def fit(mt):
         return mt, train(tr3, chosen, TARGET, mt, "classification", RF_PARAMS if mt == "random_forest" else LR_PARAMS)
@@ -121,7 +121,9 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     for p in parts[1:]:
         preds = preds.unionByName(p)
     preds = preds.withColumn("prediction", F.col("prediction").cast("int"))
+    preds = materialise(preds.drop("probability"), "test-predictions")
     metrics, best = model_comparison(preds, "model", "label", "prediction", "score")
+    metrics = materialise(metrics, "test-metrics")
     cv = None
     if cv_folds:
         cvs = [cross_validate(tr3, chosen, TARGET, KEY, mt, "classification",
@@ -134,22 +136,16 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
         pre.save(f"{out_dir}/preprocessor")
         if eda_long is not None:
             save_eda_report(eda_long, f"{out_dir}/eda")
+        got: dict[str, dict] = {}
+        for r in metrics.collect():  # models x metrics
+            got.setdefault(r["model"], {})[r["metric"]] = r["value"]
         for mt, m in models.items():
-            save_model(m, f"{out_dir}/models/{mt}", {"model_type": mt, "problem_type": "classification",
-                                                     "features_count": len(chosen)},
-                       registry_dir=f"{out_dir}/registry")
-    return TrainingResult(metrics, best, cv, eda_long, chosen, pre, models)
-
-
-def _tail(df: DataFrame, pre: Preprocessor) -> DataFrame:
-    from ..operators.encode import apply_onehot
-    from ..operators.outliers import apply_outliers
-    return apply_onehot(apply_outliers(df, pre.tables["outliers"]), pre.tables["onehot"])
-
-
-def _scale(df: DataFrame, pre: Preprocessor) -> DataFrame:
-    from ..operators.scale import apply_scaler
-    return apply_scaler(df, pre.tables["scale"])
+            save_model(m, f"{out_dir}/models/{mt}", {
+                "model_type": mt, "problem_type": "classification", "features_count": len(chosen),
+                "features": chosen, "dataset_size": n_train, "evaluation_metrics": got[mt],
+                "hyperparameters": RF_PARAMS if mt == "random_forest" else LR_PARAMS},
+                registry_dir=f"{out_dir}/registry")
+    return TrainingResult(metrics, best, cv, eda_long, chosen, pre, models, preds)
 
 
 def scoring_job(spark: SparkSession, model_path: str, df: DataFrame, output_path: str,
@@ -161,11 +157,19 @@ def scoring_job(spark: SparkSession, model_path: str, df: DataFrame, output_path
 
 
 def batch_scoring_job(spark: SparkSession, model_path: str, data_path: str, output_path: str,
-                      key_cols: list[str], batch_size: int = 1000) -> str:
+                      key_cols: list[str], batch_size: int | None = None) -> str:
     """Q3: large-file scoring."""
     return batch_predict(spark, model_path, data_path, output_path, key_cols, batch_size)
 
 
+def cross_validation_job(model_path: str, df: DataFrame, key_cols: list[str], label: str, cv_folds: int = 5,
+                         seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """Q5: k-fold CV of a saved model's type, features and hyperparameters on a table."""
+    meta = load_metadata(df.sparkSession, model_path)
+    return cross_validate(df, meta["features"], label, key_cols, meta["model_type"], meta["problem_type"],
+                          meta.get("hyperparameters"), cv_folds, seed, parallelism)
+
+
 def validation_job(model_path: str, df: DataFrame, key_cols: list[str], label: str) -> dict[str, DataFrame]:
     """Q4: predictions -> metrics, classification report and confusion matrix."""
     m = load_model(model_path)

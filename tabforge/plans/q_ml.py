@@ -213,3 +213,21 @@ def scoring_job(spark, d):
     path = M.save_model(m, f"{base}/model")
     out = Q.scoring_job(spark, path, c360(spark, d).select(*KEY, *FEATS), f"{base}/predictions", KEY)
     return spark.read.parquet(out).drop("prediction_timestamp")
+
+
+_TEST_ROWS = with_views(["c360"], """SELECT CAST(sum(ceil(CAST(0.3 AS DOUBLE) * n)) AS BIGINT) AS n_test,
+CAST(0 AS BIGINT) AS n_different FROM (SELECT churn, count(*) AS n FROM c360 GROUP BY churn)""")
+
+
+@query("train_then_infer", _TEST_ROWS)
+def train_then_infer(spark, d):
+    """The training job's saved model and preprocessor, loaded again and applied to raw
+    rows, predict what the job predicted: test rows and how many differ (0)."""
+    base = scratch_path(spark, "train-then-infer")
+    res = Q.churn_training_job(spark, d, base, model_types=("logistic_regression",), cv_folds=None, eda=False)
+    raw = c360(spark, d).join(res.predictions.select(*KEY), KEY, "left_semi")
+    back = infer(f"{base}/models/logistic_regression", raw, KEY, Preprocessor.load(spark, f"{base}/preprocessor"))
+    both = res.predictions.select(*KEY, F.col("prediction").alias("told")).join(
+        back.select(*KEY, F.col("prediction").cast("int").alias("got")), KEY, "left")
+    return both.agg(F.count(F.lit(1)).alias("n_test"),
+                    F.count_if(~F.col("told").eqNullSafe(F.col("got"))).alias("n_different"))

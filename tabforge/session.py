@@ -8,11 +8,12 @@ gets a fresh folder of its own.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -61,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     path = current or configured
     if not path:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(f"{_CKPT_KEY} must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tabforge-ckpt-")
         spark.conf.set(_CKPT_KEY, path)
@@ -70,10 +71,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_scratch: dict[str, list[str]] = {}
+
+
+def _delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove an application's scratch tables when the program ends."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the session has ended before: the folder is left to the cluster's cleaner
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location for an intermediate table under the shared folder."""
+    """A fresh, unique location for an intermediate table under the shared folder,
+    deleted when the program ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tabforge-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/tabforge-scratch/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        _scratch[app] = []
+        atexit.register(_delete_scratch, spark, _scratch[app])
+    _scratch[app].append(path)
+    return path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared scratch folder and read back: downstream branches do
+    not recompute, a lost executor costs only its own running tasks, and the size of
+    the table is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reliable_checkpoint(df):

@@ -43,11 +43,10 @@ def test_c360_cutoff_reaches_the_scans(spark, sf_dir):
 
 def test_profile_windows_are_partitioned(spark, sf_dir):
     from tabforge.functions.columns import unpivot_numeric
-    from tabforge.functions.ranks import exact_quantiles
+    from tabforge.functions.ranks import _prefix_quantiles
     from tabforge.plans.fixtures import table
     li = table(spark, sf_dir, "lineitem")
-    q = exact_quantiles(unpivot_numeric(li, ["l_quantity", "l_extendedprice"]), ["feature"], [0.5],
-                        method="prefix")
+    q = _prefix_quantiles(unpivot_numeric(li, ["l_quantity", "l_extendedprice"]), ["feature"], [0.5], "value", None)
     plan = _plan(q)
     args = [ln for ln in plan.splitlines() if ln.startswith("Arguments:") and "windowspecdefinition" in ln]
     assert args
