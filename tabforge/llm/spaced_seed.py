@@ -9,7 +9,7 @@ places.
 
 Tokens are white-space words, A-Z lower-cased.  The training side is scanned once; a
 bit table of the test hashes (``FILTER_BITS``, a constant size however large the
-benchmark is) keeps windows that cannot join from being shuffled.  Documents with a
+benchmark is, three bits per hash) keeps windows that cannot join from being shuffled.  Documents with a
 surviving window keep their token hashes for the comparison; all others leave no row.
 
 Defined results: NULL or empty texts match nothing; items of fewer than ``MIN_TOKENS``
@@ -36,6 +36,7 @@ MIN_TOKENS = 5
 WINDOW = 16
 MIN_AGREE = 0.8
 FILTER_BITS = 1 << 24
+PROBES = (0, 20, 40)  # shifts of a hash that give its bits
 
 
 def _masks() -> list[list[int]]:
@@ -112,9 +113,11 @@ def _suspects(docs: DataFrame, bits, short: set[int], id_col: str, text_col: str
                 room, lens = _room(first)
                 masks, ats, hs = [], [], []
                 for m, at, h in _windows(tok, room, short, True):
-                    slot = h & np.uint64(FILTER_BITS - 1)
-                    hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-                    masks.append(np.full(int(hit.sum()), m, np.int32))
+                    hit = np.arange(len(h))
+                    for shift in PROBES:
+                        slot = (h[hit] >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
+                        hit = hit[(bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0]
+                    masks.append(np.full(len(hit), m, np.int32))
                     ats.append(at[hit])
                     hs.append(h[hit])
                 if not masks or not sum(map(len, masks)):
@@ -172,9 +175,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     seeds = _seed_rows(items)
     short = {r[0] for r in items.where(F.size("tokens") < min(map(len, MASKS))).select(F.size("tokens")).distinct().collect()}
     # At most FILTER_BITS / 64 rows reach the driver.
-    slot = F.col("h").bitwiseAND(FILTER_BITS - 1)
-    words = (seeds.select(F.shiftright(slot, 6).alias("w"),
-                          F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int")).alias("b"))
+    slots = F.array(*[F.shiftrightunsigned("h", shift).bitwiseAND(FILTER_BITS - 1) for shift in PROBES])
+    words = (seeds.select(F.explode(slots).alias("slot"))
+             .select(F.shiftright("slot", 6).alias("w"),
+                     F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int")).alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
     for r in words:
