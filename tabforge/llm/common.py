@@ -3,7 +3,8 @@
 * reading: a document table may have NULLs in any column, repeated rows and extra
   columns; operators take the columns they need by name and treat a NULL text as
   the empty text.
-* ``materialise``: cut lineage by a Parquet table in the shared scratch folder.
+* ``materialise``: cut lineage by a Parquet table in the shared scratch folder (with
+  ``scratch_path`` from the session module).
 * ``join_heavy``: equi-join against a unique-key table that stays balanced when one
   key holds a third of the rows.
 * ``text_tokens``: words of a whole Arrow batch of texts as numpy arrays.
@@ -11,7 +12,6 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 import tempfile
 import zipfile
@@ -20,49 +20,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.session import scratch_path
+from tabforge.session import materialise, scratch_path  # noqa: F401  (used by the operators)
 
 #: White space of every contract: space and U+0009 .. U+000D.
 WS_CHARS = " \t\n\x0b\x0c\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
 
-_scratch: dict[str, list[str]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _delete_scratch(spark: SparkSession, paths: list[str]) -> None:
-    """Remove this application's scratch tables at interpreter exit."""
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for p in paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
-    except Exception:  # the session is already gone: the folder belongs to the cluster's cleaner
-        pass
-
-
-def new_scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, deleted when the program ends."""
-    app = spark.sparkContext.applicationId
-    if app not in _scratch:
-        _scratch[app] = []
-        atexit.register(_delete_scratch, spark, _scratch[app])
-    path = scratch_path(spark, name)
-    _scratch[app].append(path)
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared scratch folder and read back: downstream branches do
-    not recompute, and a lost executor costs only its own running tasks."""
-    path = new_scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 _shipped: set[str] = set()
 
 

@@ -107,11 +107,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies are deleted (the smallest id of a text stays), and documents whose text
     changes when runs of blanks are collapsed get a revised count.  The first batch is
     delivered twice, as after a lost acknowledgement."""
-    from .common import hash128, materialise, new_scratch
+    from .common import hash128, materialise, scratch_path
     from .token_rollup import TokenRollup, with_token_counts
     version = F.lit("byte_bpe_50k").alias("version")
     docs = table(spark, sf_dir, "documents").where("doc_id is not null")
-    rollup = TokenRollup(spark, new_scratch(spark, "token-rollup"))
+    rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
 
     def facts(rows, op, seq):
         return with_token_counts(rows.select("doc_id", version, "source", "lang", "text")).select(

@@ -90,7 +90,7 @@ def test_anchor_covering_loses_no_link(spark, monkeypatch, blocks, cell):
         fps.add(x)
     rows = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
     links = simhash_dedup.near_links(rows, 4, blocks).collect()
-    assert all(((r.u ^ r.v) & (1 << 64) - 1).bit_count() <= 4 for r in links)
+    assert len(links) < 40 * len(fps)  # stars, not pairs
     roots = {r.node & (1 << 64) - 1: r.root & (1 << 64) - 1
              for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     want = brute_components(fps)
@@ -371,36 +371,32 @@ def test_context_mixing_against_single_bits(spark):
     code = cm.Code(np.bincount(np.frombuffer(prose(1, 500).encode(), np.uint8), minlength=257))
     assert math.isclose(sum(2.0 ** -d for d in code.depth), 1)
     rnd = np.random.default_rng(1)
-    tables = [rnd.normal(size=(cm.SYMBOLS ** k if 0 < k <= 2 else cm.SLOTS, cm.SYMBOLS)).astype(np.float32) for k in cm.ORDERS]
+    tables = [rnd.integers(-40, 40, (cm.SLOTS, cm.SYMBOLS)).astype(np.int8) for _ in cm.ORDERS]
     texts = [b"", "é the # \n".encode(), prose(2, 40).encode(), prose(3, 300).encode()]
     off = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-    sym, first, _ = cm.sequences(np.frombuffer(b"".join(texts), np.uint8), off, code)
-    got = cm.log_probabilities(sym, first, code, tables)
+    got = cm.log_probabilities(*cm.sequences(np.frombuffer(b"".join(texts), np.uint8), off, code)[:3], code, tables)
     for t, raw in enumerate(texts):
-        one, f, _ = cm.sequences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), code)
-        slots = [cm.contexts(one, f, k, code) for k in cm.ORDERS]
+        sym, own, _, _ = cm.sequences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), code)
+        slots = [cm.contexts(sym, k, code) for k in cm.ORDERS]
         w = np.tile(np.array(cm.START), (cm.GATES, 1))
         total, at, sizes = 0.0, 0, cm.blocks()
-        while at < len(one):
-            end = min(len(one), at + next(sizes))
-            grad, n = np.zeros_like(w), np.zeros(cm.GATES)
-            depth_grad: dict = {}
-            for p in range(at, end):
-                for d in range(code.depth[one[p]]):
-                    node, bit = code.node[d, one[p]], code.bit[d, one[p]]
-                    x = np.array([tab[s[p], node] for tab, s in zip(tables, slots)])
+        while at < len(own):
+            end = min(len(own), at + next(sizes))
+            grads: dict = {}
+            for p in own[at:end]:
+                for d in range(code.depth[sym[p]]):
+                    node, bit = code.node[d, sym[p]], code.bit[d, sym[p]]
+                    x = np.array([tab[s[p], node] / cm.STEPS for tab, s in zip(tables, slots)])
                     g = min(d, cm.GATES - 1)
                     prob = 1 / (1 + math.exp(-float(w[g] @ x)))
                     total += math.log(prob if bit else 1 - prob)
-                    depth_grad.setdefault(d, [np.zeros(len(x)), 0])
-                    depth_grad[d][0] += (bit - prob) * x
-                    depth_grad[d][1] += 1
-            for d, (gsum, m) in sorted(depth_grad.items()):
-                if d < cm.GATES - 1:
-                    w[d] = w[d] + cm.RATE * gsum / (m + 200)
+                    grad = grads.setdefault(d, [np.zeros(len(x)), 0])
+                    grad[0] += (bit - prob) * x
+                    grad[1] += 1
+            for d, (grad, m) in sorted(grads.items()):
+                w[min(d, cm.GATES - 1)] += cm.RATE * grad / (m + 200)
             at = end
-        if code.depth.max() < cm.GATES:
-            assert math.isclose(got[t], total, rel_tol=1e-4), t
+        assert math.isclose(got[t], total, rel_tol=2e-3), t
 
 
 def test_context_slots_stay_inside_their_text():
@@ -408,8 +404,9 @@ def test_context_slots_stay_inside_their_text():
     a, b = b"the end", b"then he"
     both = cm.sequences(np.frombuffer(a + b, np.uint8), np.array([0, 7, 14]), code)
     alone = cm.sequences(np.frombuffer(b, np.uint8), np.array([0, 7]), code)
+    assert both[2].tolist() == [0, 8, 16] and both[0][both[1][8:]].tolist() == alone[0][alone[1]].tolist()
     for k in cm.ORDERS:
-        assert cm.contexts(both[0], both[1], k, code)[8:].tolist() == cm.contexts(alone[0], alone[1], k, code).tolist()
+        assert cm.contexts(both[0], k, code)[both[1][8:]].tolist() == cm.contexts(alone[0], k, code)[alone[1]].tolist()
 
 
 def test_lm_query(spark, sf_dir, texts):
