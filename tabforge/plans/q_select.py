@@ -18,9 +18,9 @@ MI_ALL = MI_DISCRETE + MI_CONT
 def _mi_features() -> list[tuple[str, str]]:
     feats = [(x, x) for x in MI_DISCRETE]
     for x in MI_CONT:
-        mn, mx = f"(SELECT min({x}) FROM c360)", f"(SELECT max({x}) FROM c360)"
-        feats.append((x, f"CASE WHEN {x} IS NULL THEN NULL WHEN {mx} = {mn} THEN 0 ELSE "
-                         f"CAST(least(floor((CAST({x} AS DOUBLE) - {mn}) / ({mx} - {mn}) * 10), 9) AS INTEGER) END"))
+        cuts = [f"(SELECT quantile_cont(CAST({x} AS DOUBLE), {k / 10}) FROM c360)" for k in range(1, 10)]
+        code = " + ".join(f"CASE WHEN {x} > {q} THEN 1 ELSE 0 END" for q in cuts)
+        feats.append((x, f"CASE WHEN {x} IS NULL THEN NULL ELSE {code} END"))
     return feats
 
 

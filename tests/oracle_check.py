@@ -109,7 +109,7 @@ def main(argv):
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from tabforge.session import build_session
-        spark = build_session("local[8]", 8)
+        spark = build_session(f"local[{os.environ.get('ORACLE_CPUS', '8')}]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     names = argv or list(qs)
     con = duck(sf)
