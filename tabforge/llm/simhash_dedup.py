@@ -17,7 +17,8 @@ where buckets of the shorter code would fill up.
 Per anchor.  Exact copies are one fingerprint beforehand.  Anchors holding more than
 ``CELL`` fingerprints are divided into cells and every pair of cells is a group of its
 own, so no task gets an unbounded group.  Within a group a breadth-first search over
-the not yet linked fingerprints emits a spanning forest, never all pairs.
+the not yet reached fingerprints finds the components of its links; each member is
+joined to the smallest one (never all pairs).
 
 Defined results: NULL or wordless texts have fingerprint zero and are linked like any
 other; a NULL ``doc_id`` sorts after all others; rows that share an id are separate
@@ -120,19 +121,19 @@ def _anchor_rows(blocks: int, max_bits: int):
     return run
 
 
-def _forest(fp: np.ndarray, max_bits: int) -> tuple[list, list]:
-    """Spanning forest of the links among distinct fingerprints."""
+def _stars(fp: np.ndarray, max_bits: int) -> tuple[list, list]:
+    """Components of the links among sorted distinct fingerprints, as edges from every
+    member to its component's smallest."""
     child, parent = [], []
     rest = fp
     while len(rest) > 1:
-        queue, rest = [rest[0]], rest[1:]
+        root, queue, rest = rest[0], [rest[0]], rest[1:]
         while queue and len(rest):
-            x = queue.pop()
-            near = np.bitwise_count(rest ^ x) <= max_bits
+            near = np.bitwise_count(rest ^ queue.pop()) <= max_bits
             if near.any():
                 got = rest[near]
                 child.append(got)
-                parent.append(np.full(len(got), x))
+                parent.append(np.full(len(got), root))
                 queue.extend(got)
                 rest = rest[~near]
     return child, parent
@@ -167,7 +168,7 @@ def _links(max_bits: int):
                     v.append(fp[1:])
                     n += 1
             else:
-                c, p = _forest(np.unique(fp), max_bits)
+                c, p = _stars(np.unique(fp), max_bits)
                 u += c
                 v += p
                 n += sum(map(len, c))
