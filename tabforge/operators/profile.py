@@ -238,10 +238,7 @@ def eda_key_findings(corr_long: DataFrame, cramers_long: DataFrame, importance:
     with V > 0.5, and the top features by importance (comma separated, best first)."""
     nc = corr_long.agg(F.count_if(F.abs("correlation") >= corr_threshold).alias("n")).first()["n"]
     na = cramers_long.agg(F.count_if(F.col("cramers_v") > assoc_threshold).alias("n")).first()["n"]
-    # importance has one row per feature: bounded.
-    tf = importance.agg(F.sort_array(F.collect_list(F.struct((-F.col("mi")).alias("k"), "feature")))
-                        .alias("s")).select(
-        F.array_join(F.slice(F.transform("s", lambda x: x["feature"]), 1, top), ",").alias("t")).first()["t"]
+    tf = ",".join(r["feature"] for r in importance.orderBy(F.desc("mi"), "feature").limit(top).collect())
     spark = corr_long.sparkSession
     return spark.createDataFrame([(int(nc), int(na), tf)],
                                  "n_high_correlations bigint, n_high_associations bigint, top_features string")

@@ -14,12 +14,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import c, is_numeric, numeric, unpivot_numeric
+from ..functions.columns import c, is_numeric, numeric, unpivot_numeric, unpivot_strings
 from ..functions.ranks import quantile_table
+from ..session import materialise
 
 
 def discretised(df: DataFrame, cols: list[str], continuous: list[str], bins: int = 10) -> DataFrame:
@@ -65,6 +66,40 @@ def mutual_information(df: DataFrame, features: list[str], target: str,
     return mi.select("feature", F.greatest(F.col("mi"), F.lit(0.0)).alias("mi"))
 
 
+def indicator_information(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """(feature, mi) of the indicator of every category but the lowest of each string
+    column, named ``<column>_<category>``: the dummy-encoded columns' mutual information
+    straight from the (column, category, class) counts, however many categories there
+    are.  A NULL is in no category; rows with a NULL target are left out."""
+    data = df.where(c(target).isNotNull())
+    y = c(target).cast("string").alias("y")
+    classes = materialise(data.groupBy(y).agg(F.count(F.lit(1)).alias("ny")), "classes")
+    n = classes.agg(F.coalesce(F.sum("ny"), F.lit(0)).cast("double")).first()[0]
+    cells = unpivot_strings(data.withColumn("_y", y), cols, keep=["_y"], drop_nulls=True) \
+        .groupBy("feature", "value", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("nvy"))
+    of_value = Window.partitionBy("feature", "value")
+    lows = cells.groupBy("feature").agg(F.min("value").alias("low"))
+    cells = (cells.withColumn("nv", F.sum("nvy").over(of_value)).join(lows, "feature")
+             .where(F.col("value") > F.col("low")).join(classes, "y"))
+    rest = F.lit(n) - F.col("nv")
+    outside = F.when(rest > 0, F.log(F.lit(n) / rest)).otherwise(0.0)
+    left = F.col("ny") - F.col("nvy")
+
+    def term(cell, margin):
+        return F.when(cell > 0, cell / n * F.log(cell * n / (margin * F.col("ny")))).otherwise(0.0)
+
+    # Classes without a row of the category contribute ny / n * outside each: they are
+    # the sum over all classes, less the classes that have rows.
+    per = term(F.col("nvy"), F.col("nv")) + term(left, rest) - F.col("ny") / n * outside
+    return cells.groupBy("feature", "value").agg((F.sum(per) + F.max(outside)).alias("mi")).select(
+        F.concat_ws("_", "feature", "value").alias("feature"), F.greatest("mi", F.lit(0.0)).alias("mi"))
+
+
+def feature_importance(df: DataFrame, target: str, str_cols: list[str], num_cols: list[str]) -> DataFrame:
+    """J17: (feature, mi) of category indicators and numeric columns."""
+    return indicator_information(df, str_cols, target).unionByName(mutual_information(df, num_cols, target))
+
+
 def chi2_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """(feature, chi2) of scikit-learn's chi2 on the min-shifted features (+1)."""
     mins = df.agg(*[F.min(numeric(df, x)).alias(x) for x in features]).first()

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import r6
 from ..operators import clean
 from ..operators import profile as P
-from ..operators.encode import dummy_encode
-from ..operators.select import mutual_information
+from ..operators.select import feature_importance
 from . import sqlgen as S
 from .catalog import query
 from .fixtures import c360, li_nulls, table, with_views
@@ -246,18 +245,9 @@ JOIN mi_y y ON a.feature = y.feature AND a.y = y.y JOIN mi_n n ON a.feature = n.
 GROUP BY a.feature) ORDER BY mi DESC, feature LIMIT {top}""")
 
 
-def feature_importance(df, target: str, str_cols: list[str], num_cols: list[str], top: int | None):
-    """MI of dummy-encoded features with the target, best first; ``top`` keeps the
-    report's top-k (None: all features)."""
-    enc = dummy_encode(df.select(target, *str_cols, *num_cols), str_cols)
-    feats = [x for x in enc.columns if x != target]
-    mi = mutual_information(enc, feats, target).orderBy(F.col("mi").desc(), "feature")
-    return mi.limit(top) if top else mi
-
-
 @query("feature_importance_mi", _importance_sql(15))
 def feature_importance_mi(spark, d):
-    mi = feature_importance(c360(spark, d), "churn", MI_STR, MI_NUM, 15)
+    mi = feature_importance(c360(spark, d), "churn", MI_STR, MI_NUM).orderBy(F.desc("mi"), "feature").limit(15)
     return mi.select("feature", r6(F.col("mi")).alias("mi"))
 
 
@@ -278,7 +268,7 @@ def _key_findings_sql() -> str:
 def eda_key_findings(spark, d):
     from ..operators.assoc import cramers_v_matrix
     df = c360(spark, d)
-    imp = feature_importance(df, "churn", MI_STR, MI_NUM, None)
+    imp = feature_importance(df, "churn", MI_STR, MI_NUM)
     # MI rounded as in the importance report, so ties order the same way as the oracle.
     imp = imp.select("feature", r6(F.col("mi")).alias("mi"))
     return P.eda_key_findings(P.correlation_long(df, C360_CORR), cramers_v_matrix(df, MI_STR), imp)
