@@ -26,7 +26,8 @@ from .common import hash128, materialise, ship, text_buffers, text_slices, text_
 
 TERMS = 1024
 EXTRA = 4
-EXTRA_WEIGHT = 2.0  # of the shares, beside trigram vectors of length 1
+EXTRA_WEIGHT = 5.0  # of the shares, beside trigram vectors of length 1
+DAMP = 10           # words or lines (5 times as many bytes) added to the base of a share: one case in a short text is little
 DIMS = 48
 VOTERS = 15
 MAX_NEIGHBOURS = 4096
@@ -58,12 +59,12 @@ def term_counts(data, off) -> np.ndarray:
             out[i, :TERMS] = np.bincount(h[a:b - 2], minlength=TERMS)
         s, e = first[i], first[i + 1]
         if e - s > 1:
-            out[i, TERMS] = same[s + 1:e].mean()
+            out[i, TERMS] = same[s + 1:e].sum() / (e - s + DAMP)
         if b > a:
             lines = data[a:b].tobytes().split(b"\n")
-            out[i, TERMS + 1] = 1 - len(set(lines)) / len(lines)
-            out[i, TERMS + 2] = (capitals[b] - capitals[a]) / (b - a)
-            out[i, TERMS + 3] = min(1, 3 * (symbols[b] - symbols[a]) / (b - a))
+            out[i, TERMS + 1] = (len(lines) - len(set(lines))) / (len(lines) + DAMP)
+            out[i, TERMS + 2] = (capitals[b] - capitals[a]) / (b - a + 5 * DAMP)
+            out[i, TERMS + 3] = min(1, 3 * (symbols[b] - symbols[a]) / (b - a + 5 * DAMP))
     return out
 
 
