@@ -18,8 +18,8 @@ without a piece, and a literal U+2581, are spelled in byte pieces, so decoding r
 every text exactly.
 
 No piece of such a vocabulary has U+2581 behind another character, so a path has a
-boundary before every word: words are encoded once per worker and kept in a table of
-at most ``CACHE`` entries; a chunk with such a boundary has a rank-one matrix (head
+boundary before every word: words are encoded once per worker and kept in tables of at
+most ``CACHE`` entries, of which the words not met lately go first; a chunk with such a boundary has a rank-one matrix (head
 scores, inner score, tail scores).  A vocabulary without this property is handled by
 the full matrices.  Equal totals are decided for the longest last piece.
 
@@ -39,7 +39,7 @@ from .common import materialise, ship, text_buffers
 
 CHUNK = 1 << 16
 FAN = 256
-CACHE = 300_000
+CACHE = 600_000
 MICRO = 1_000_000
 BYTE_SCORE = -14 * MICRO
 NEVER = -(1 << 60)
@@ -77,11 +77,16 @@ class Pieces:
                 self.bytes[i] = piece.replace(BLANK, " ").encode()
                 rank += 1
         self.longest = max(map(len, self.score))
+        # Score of every piece; 0 for what only begins one, so that a search can stop early.
+        self.reach: dict[str, int] = {p[:n]: 0 for p in self.score for n in range(1, len(p))} | self.score
+        self.by_id = np.full(sp.get_piece_size(), BYTE_SCORE, np.int64)
+        self.by_id[list(self.id.values())] = list(self.score.values())
         words = all(BLANK not in p.lstrip(BLANK) for p in self.score)
         lines = all("\n" not in p for p in self.score)
         self.segment = re.compile(rf"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+" if words and lines else "(?s).+")
         self.cuttable = words and lines
-        self.known: dict[str, tuple[bytes, int]] = {}
+        self.known: dict[str, bytes] = {}   # ids of words, in two generations
+        self.older: dict[str, bytes] = {}
 
     def spell(self, ch: str) -> list[int]:
         code = ord(ch)
@@ -92,25 +97,32 @@ class Pieces:
         """Best scores of reaching each place of ``seg`` from ``start`` (edges begin
         before ``stop``) and the place each best path comes from."""
         n = len(seg)
-        stop = n if stop is None else stop
+        stop = n if stop is None else min(stop, n)
         score, back = [NEVER] * (n + 1), [-1] * (n + 1)
         score[start] = 0
-        get, longest = self.score.get, self.longest
-        for p in range(start, min(stop, n)):
+        get, longest = self.reach.get, self.longest
+        for p in range(start, stop):
             here = score[p]
             if here == NEVER:
                 continue
-            single = False
-            for q in range(p + 1, min(n, p + longest) + 1):
-                s = get(seg[p:q])
-                if s is not None:
-                    single |= q == p + 1
-                    if here + s > score[q]:  # the first to reach a total has the longest last piece
-                        score[q], back[q] = here + s, p
-            if not single:
+            end = p + longest
+            single = get(seg[p], 1)
+            if single >= 0:
                 s = here + BYTE_SCORE * len(self.spell(seg[p]))
-                if s > score[p + 1]:
-                    score[p + 1], back[p + 1] = s, p
+            else:
+                s = here + single
+            if s > score[p + 1]:  # the first to reach a total has the longest last piece
+                score[p + 1], back[p + 1] = s, p
+            if single > 0:
+                continue
+            for q in range(p + 2, (end if end < n else n) + 1):
+                s = get(seg[p:q], 1)
+                if s < 0:
+                    s += here
+                    if s > score[q]:
+                        score[q], back[q] = s, p
+                elif s:
+                    break
         return score, back
 
     def path(self, seg: str, back: list[int], start: int) -> list[int]:
@@ -125,19 +137,23 @@ class Pieces:
 
     def encode(self, t: str) -> tuple[bytes, int]:
         """(int32 ids, score) of a prepared text between two boundaries."""
-        known, ids, total = self.known, [], 0
+        get, ids = self.known.get, []
         for seg in self.segment.findall(t):
-            found = known.get(seg)
-            if found is None:
-                score, back = self.best(seg)
-                found = np.array(self.path(seg, back, 0), np.int32).tobytes(), score[-1]
-                if len(seg) <= 64:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[seg] = found
-            ids.append(found[0])
-            total += found[1]
-        return b"".join(ids), total
+            ids.append(get(seg) or self._word(seg))
+        raw = b"".join(ids)
+        return raw, int(self.by_id[np.frombuffer(raw, np.int32)].sum())
+
+    def _word(self, seg: str) -> bytes:
+        """Ids of a segment that the younger generation does not hold."""
+        found = self.older.get(seg)
+        if found is None:
+            found = np.array(self.path(seg, self.best(seg)[1], 0), np.int32).tobytes()
+        if len(seg) <= 64:
+            if len(self.known) >= CACHE // 2:
+                self.older = dict(self.known)
+                self.known.clear()  # the same dict: callers hold its lookup
+            self.known[seg] = found
+        return found
 
     def decode(self, ids) -> bytes:
         out = b"".join(map(self.bytes.__getitem__, ids))
