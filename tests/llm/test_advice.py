@@ -1,0 +1,13 @@
+"""Tests of the findings of the second review."""
+import numpy as np
+
+from tabforge.llm import context_mixing as cm
+
+
+def test_a_short_context_backs_up_an_unseen_one():
+    code = cm.Code(np.bincount(np.frombuffer(b"the yarn and zebra abc", np.uint8), minlength=257))
+    found = []
+    for raw in (b"zab", b"yab"):
+        sym, own, _, _ = cm.sequences(np.frombuffer(raw, np.uint8), np.array([0, 3]), code)
+        found.append([int(cm.contexts(sym, k, code)[own[-1]]) for k in cm.ORDERS])
+    assert [k for k, a, b in zip(cm.ORDERS, *found) if a == b] == [2]
