@@ -11,3 +11,25 @@ def test_a_short_context_backs_up_an_unseen_one():
         sym, own, _, _ = cm.sequences(np.frombuffer(raw, np.uint8), np.array([0, 3]), code)
         found.append([int(cm.contexts(sym, k, code)[own[-1]]) for k in cm.ORDERS])
     assert [k for k, a, b in zip(cm.ORDERS, *found) if a == b] == [2]
+
+
+def test_contexts_grow_with_the_text_and_do_not_collide(spark):
+    """More contexts than SLOTS, each with its own counts."""
+    rnd = np.random.default_rng(3)
+    texts = ["".join(map(chr, rnd.integers(97, 123, 3000))) for _ in range(100)]
+    code = cm.Code(np.bincount(np.frombuffer("".join(texts).encode(), np.uint8), minlength=257))
+    rows = cm.context_counts(spark.createDataFrame([(t,) for t in texts], "t string"), code).where(f"h >> 56 = {max(cm.ORDERS)}")
+    wide = {("\0" * 5 + t)[i:i + 5] for t in texts for i in range(len(t) + 1)}
+    assert rows.count() == len(wide) > cm.SLOTS
+
+
+def test_rare_bytes_are_predicted(spark):
+    """All 256 byte values are spelled; a byte outside the most frequent is learned."""
+    common = "".join(map(chr, range(32, 94)))
+    rows = [(i, common * 3 + "xé ~é ") for i in range(60)] + [(1000, "xé"), (1001, "xö")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in cm.lm_scores(docs, docs.doc_id < 1000).where("doc_id >= 1000").collect()}
+    assert got[1000] > got[1001] + 1
+    code = cm.Code(np.zeros(257, np.int64))
+    spelled = {tuple(cm.sequences(np.array([b], np.uint8), np.array([0, 1]), code)[0][max(cm.ORDERS):]) for b in range(256)}
+    assert len(spelled) == 256
