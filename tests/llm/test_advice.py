@@ -33,3 +33,18 @@ def test_rare_bytes_are_predicted(spark):
     code = cm.Code(np.zeros(257, np.int64))
     spelled = {tuple(cm.sequences(np.array([b], np.uint8), np.array([0, 1]), code)[0][max(cm.ORDERS):]) for b in range(256)}
     assert len(spelled) == 256
+
+
+def test_short_texts_refine_their_weights():
+    """A predictor that is always wrong costs less and less within 64 symbols, and less
+    again with the stage behind the mixer; both bits of a shifted log-odds add up to 1."""
+    code = cm.Code(np.bincount(np.frombuffer(b"ab" * 50, np.uint8), minlength=257))
+    tables = [np.where(code.under[1][code.symbol[97]] > 0, -40, 40).astype(np.int8)[None].repeat(cm.SLOTS, 0)] * len(cm.ORDERS)
+
+    def cost(n, **kw):
+        data = np.frombuffer(b"a" * n, np.uint8)
+        return -cm.log_probabilities(*cm.sequences(data, np.array([0, n]), code)[:3], code, tables, **kw)[0]
+
+    first, later = cost(16) - cost(0), cost(60) - cost(44)
+    assert later < 0.95 * first
+    assert cost(60, refine=True) < cost(60)
