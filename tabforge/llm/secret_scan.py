@@ -2,12 +2,12 @@
 
 Every candidate value is hashed (the value itself leaves its task in no form) and
 counted by distinct owners and repositories over the whole corpus.  A value seen at
-many owners is a widely copied example; one that stays with few owners and looks random
-is live-looking.  The base kinds (assign, access, hex) are always reported; the method
+many owners, in many repositories or in many documents (of one owner, too) is a widely
+copied example; one that stays with few of each and looks random is live-looking.  The base kinds (assign, access, hex) are always reported; the method
 adds spans of kind ``owned``: long mixed tokens outside the base spans that are
 live-looking.
 
-Counting is three nested aggregations, (value, owner, repository) -> (value, owner) ->
+Counting is nested aggregations, (value, document) -> (value, owner, repository) -> (value, owner) ->
 value, each combined before its shuffle, so a value in a third of all documents reaches
 the last one as one row per owner and task.  The verdicts return to the spans by
 ``join_heavy``.
@@ -39,6 +39,7 @@ WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 OWNED = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 MAX_OWNERS = 2       # a live credential stays with this many owners
+MAX_REPOS, MAX_DOCS = 4, 50
 MIN_BITS = 3.0       # Shannon entropy per character of a live-looking value
 
 
@@ -131,20 +132,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(h, owners, repos, n) over all candidates of the corpus."""
-    return (found.groupBy("h", "owner", "repo").agg(F.count("*").alias("n"))
-            .groupBy("h", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
-            .groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("n")))
+    """(h, owners, repos, docs, n) over all candidates of the corpus."""
+    return (found.groupBy("h", "owner", "repo", "rid").agg(F.count("*").alias("n"))
+            .groupBy("h", "owner", "repo").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+            .groupBy("h", "owner").agg(F.count("*").alias("repos"), F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+            .groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("docs").alias("docs"),
+                              F.sum("n").alias("n")))
 
 
-def secret_spans(docs: DataFrame, max_owners: int = MAX_OWNERS, **cols) -> DataFrame:
+def secret_spans(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS, max_docs: int = MAX_DOCS,
+                 **cols) -> DataFrame:
     """One row per document: doc_id and ``spans``, an array of (start, kind, end, owners,
     repos, live) by start, then kind; kind counts as in ``KINDS``."""
     rows = scan(docs, **cols)
     found = materialise(rows.select("rid", "owner", "repo", F.explode("found").alias("f"))
                         .select("rid", "owner", "repo", "f.*"), "candidates")
     owned = materialise(ownership(found), "ownership")
-    live = (F.col("owners") <= max_owners) & F.col("random")
+    live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos) & (F.col("docs") <= max_docs) & F.col("random")
     judged = (join_heavy(found.select("rid", "start", "kind", "end", "h", "random"), owned, ["h"], found.count())
               .withColumn("live", live).where("kind < 3 or live"))
     spans = judged.groupBy("rid").agg(F.array_sort(F.collect_list(

@@ -2,6 +2,7 @@
 import numpy as np
 
 from tabforge.llm import context_mixing as cm
+from tabforge.llm import secret_scan
 
 
 def test_a_short_context_backs_up_an_unseen_one():
@@ -48,3 +49,12 @@ def test_short_texts_refine_their_weights():
     first, later = cost(16) - cost(0), cost(60) - cost(44)
     assert later < 0.95 * first
     assert cost(60, refine=True) < cost(60)
+
+
+def test_a_value_copied_within_one_source_is_an_example(spark):
+    many, spread, own = "Qw8rT2yU5iO9pA3sD6fG1h", "Mx4nB7vC2zL9kJ5hG8fD3s", "Zk39xQ7mPw2LrT8vYb4NcE"
+    rows = ([(i, f"see {many} here", "en", "s1") for i in range(300)]
+            + [(400 + i, f"see {spread} here", f"l{i}", "s1") for i in range(9)] + [(500, f"see {own} {own} here", "en", "s1")])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: [(s.kind, s.live) for s in r.spans] for r in secret_scan.secret_spans(docs).collect()}
+    assert got[0] == [] and got[400] == [] and got[500] == [(3, True)] * 2
