@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Fixed masks select some of the token positions of a window and ignore the others, so a
-seed survives substitutions at ignored places.  Test and training windows are joined
+seed survives substitutions at ignored places.  The masks are chosen so that every overlap
+that the check accepts (see below) is hit by one of them, wherever its substitutions lie;
+items shorter than ``WINDOW`` have masks of their own length.  Test and training windows are joined
 on (mask, hash); every hit fixes a diagonal (training position minus test position)
 along which the texts are compared token by token.  A pair counts when some stretch of
 ``WINDOW`` tokens (the whole item, if shorter) agrees in at least ``MIN_AGREE`` of its
@@ -13,8 +15,7 @@ benchmark is, three bits per hash) keeps windows that cannot join from being shu
 surviving window keep their token hashes for the comparison; all others leave no row.
 
 Defined results: NULL or empty texts match nothing; items of fewer than ``MIN_TOKENS``
-tokens are not searched for; items with 5 to 7 tokens must match exactly in a seed of
-their whole length; rows sharing a ``doc_id`` are judged by their own texts.
+tokens are not searched for; items of ``MIN_TOKENS`` tokens must match exactly; rows sharing a ``doc_id`` are judged by their own texts.
 """
 
 from __future__ import annotations
@@ -25,13 +26,23 @@ from pyspark.sql import functions as F
 
 from .common import join_heavy, materialise, mix64, ship, text_buffers, text_slices, text_tokens
 
-#: 1 = compared position, 0 = ignored position (weight 8, span 8 to 14).
-MASKS = (
-    "11111111",
-    "110110110101",
-    "1011010011011",
-    "11101001010011",
-)
+#: Fixed values by the item's length (16: that or more): 1 = compared position, 0 = ignored.
+#: Every choice of as many places as MIN_AGREE lets differ in a stretch of that length
+#: leaves some mask a position where it compares none of them.
+MASKS = {
+    5: "11111",
+    6: "11111 111011 101111 110111 111101",
+    7: "111111 1011111 1111011 1111101 1110111 1101111",
+    8: "1111111 11101111 11011111 11111101 11110111 11111011 10111111",
+    9: "11111111 111110111 111111011 111111101 111011111 111101111 110111111 101111111",
+    10: "1111011 11001111 110110011 10101111 111010101",
+    11: "11101111 110111011 1110100111 111110101 11000011111 11011010011 1111111",
+    12: "11101111 1111010011 1010011111 10110110011 1111111",
+    13: "111011111 1111101011 11010011111 111001100111 111111011",
+    14: "1110110111 11011101011 111000111011 10111100111",
+    15: "11101111 11100100111 111110101 110110000111 110101001011 111110011",
+    16: "1110110111 1110010100111 1101001101011 11011001111 111111000011 11110101011 111000111101 101111111",
+}
 MIN_TOKENS = 5
 WINDOW = 16
 MIN_AGREE = 0.8
@@ -39,23 +50,19 @@ FILTER_BITS = 1 << 24
 PROBES = (0, 20, 40)  # shifts of a hash that give its bits
 
 
-def _masks() -> list[list[int]]:
-    """Positions compared by each mask; short whole-item masks first (5, 6, 7 tokens)."""
-    short = [list(range(n)) for n in range(MIN_TOKENS, min(map(len, MASKS)))]
-    return short + [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
+def _masks() -> list[tuple[int, list[int]]]:
+    """Item length and compared positions of each mask."""
+    return [(n, [i for i, c in enumerate(m) if c == "1"]) for n, ms in MASKS.items() for m in ms.split()]
 
 
-def _windows(tokens, room, short: set[int], use_short: bool):
+def _windows(tokens, room, lengths: set[int]):
     """(mask, positions, hashes) of all windows; ``room`` is each token's distance to
-    the end of its text.  Whole-item masks run only for the lengths in ``short``."""
+    the end of its text.  Only masks for the item lengths in ``lengths`` run."""
     odd = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
-    for m, care in enumerate(_masks()):
+    for m, (length, care) in enumerate(_masks()):
         span = care[-1] + 1
-        whole = span < min(map(len, MASKS))
-        if whole and not (use_short and span in short):
-            continue
         n = len(tokens) - span + 1
-        if n <= 0:
+        if length not in lengths or n <= 0:
             continue
         h = np.full(n, np.uint64(m + 1))
         for j, c in enumerate(care):
@@ -94,14 +101,14 @@ def _seed_rows(items: DataFrame) -> DataFrame:
             for item, toks in zip(df["item_id"], df["tokens"]):
                 t = np.asarray(toks, np.int64).view(np.uint64)
                 room = len(t) - np.arange(len(t))
-                for m, at, h in _windows(t, room, {len(t)}, True):
+                for m, at, h in _windows(t, room, {min(len(t), WINDOW)}):
                     yield pd.DataFrame({"mask": np.int32(m), "h": h.view(np.int64), "item_id": item,
                                         "at": at.astype(np.int32)})
 
     return materialise(items.mapInPandas(run, "mask int, h long, item_id long, at int"), "seeds")
 
 
-def _suspects(docs: DataFrame, bits, short: set[int], id_col: str, text_col: str) -> DataFrame:
+def _suspects(docs: DataFrame, bits, lengths: set[int], id_col: str, text_col: str) -> DataFrame:
     """Documents with a window whose hash is in the bit table: their tokens and windows."""
     def run(batches):
         import pyarrow as pa
@@ -112,7 +119,7 @@ def _suspects(docs: DataFrame, bits, short: set[int], id_col: str, text_col: str
                 first, tok, _, _ = text_tokens(part, off[i:j + 1] - off[i])
                 room, lens = _room(first)
                 masks, ats, hs = [], [], []
-                for m, at, h in _windows(tok, room, short, True):
+                for m, at, h in _windows(tok, room, lengths):
                     hit = np.arange(len(h))
                     for shift in PROBES:
                         slot = (h[hit] >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
@@ -173,7 +180,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ship(docs.sparkSession)
     items = _item_rows(benchmark, item_col, "text")
     seeds = _seed_rows(items)
-    short = {r[0] for r in items.where(F.size("tokens") < min(map(len, MASKS))).select(F.size("tokens")).distinct().collect()}
+    lengths = {r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()}  # 12 at most
     # At most FILTER_BITS / 64 rows reach the driver.
     slots = F.array(*[F.shiftrightunsigned("h", shift).bitwiseAND(FILTER_BITS - 1) for shift in PROBES])
     words = (seeds.select(F.explode(slots).alias("slot"))
@@ -183,7 +190,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
     for r in words:
         bits[r.w] = np.int64(r.b).view(np.uint64)
-    found = _suspects(docs, bits, short, id_col, text_col)
+    found = _suspects(docs, bits, lengths, id_col, text_col)
     hits = found.select("rid", F.explode(F.arrays_zip("masks", "ats", "hs")).alias("x")).select(
         "rid", F.col("x.masks").alias("mask"), F.col("x.ats").alias("pos"), F.col("x.hs").alias("h"))
     # Hits of one passage share a diagonal: they are merged before and after the shuffle.

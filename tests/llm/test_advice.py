@@ -1,8 +1,11 @@
 """Tests of the findings of the second review."""
+import itertools
+import math
+
 import numpy as np
 
 from tabforge.llm import context_mixing as cm
-from tabforge.llm import secret_scan
+from tabforge.llm import secret_scan, spaced_seed
 
 
 def test_a_short_context_backs_up_an_unseen_one():
@@ -58,3 +61,28 @@ def test_a_value_copied_within_one_source_is_an_example(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: [(s.kind, s.live) for s in r.spans] for r in secret_scan.secret_spans(docs).collect()}
     assert got[0] == [] and got[400] == [] and got[500] == [(3, True)] * 2
+
+
+def test_masks_hit_every_accepted_overlap():
+    care = {n: [c for k, c in spaced_seed._masks() if k == n] for n in range(6, spaced_seed.WINDOW + 1)}
+    for n, masks in care.items():
+        differ = n - math.ceil(spaced_seed.MIN_AGREE * n - 1e-9)
+        for bad in map(set, itertools.combinations(range(n), differ)):
+            assert any(not bad & {s + c for c in m} for m in masks for s in range(n - m[-1])), (n, bad)
+
+
+def test_substitutions_are_found_as_by_sliding_comparison(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (6, 8, 9, 12, 15, 16, 40)}
+    docs, want = [], set()
+    for n, item in items.items():
+        gaps = [range(p, n, 5) for p in range(5)] + [[p] for p in range(n)] + [[0, n // 3, n - 1]]
+        for gap in gaps:
+            text = [w if k not in gap else "other" for k, w in enumerate(item)]
+            w = min(n, spaced_seed.WINDOW)
+            best = max(sum(a == b for a, b in zip(text[s:s + w], item[s:s + w])) for s in range(n - w + 1))
+            if best >= spaced_seed.MIN_AGREE * w:
+                want.add((len(docs), n))
+            docs.append((len(docs), " ".join(["before", *text, "behind"])))
+    got = spaced_seed.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(
+        [(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
