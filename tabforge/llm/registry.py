@@ -157,3 +157,104 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .context_mixing import lm_scores
     out = lm_scores(table(spark, sf_dir, "documents"), _remainder(7) != 2)
     return out.withColumn("held_out", _remainder(7) == 2)
+
+
+OP12_SQL = """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+OP13_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT doc_id, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                                                    lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda k: 0::BIGINT)),
+                             lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)))
+    AS inverted
+  FROM documents
+), fields AS (
+  SELECT documents.doc_id, lang, n_chars,
+         coalesce(strlen(documents.doc_id::VARCHAR) || ':' || documents.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         n_chars + CASE WHEN xor(inverted, 4294967295::BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS changed
+  FROM documents JOIN crc ON documents.doc_id = crc.doc_id
+), leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS idx,
+         count(*) OVER (PARTITION BY lang) AS n,
+         sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS h,
+         sha256(head || coalesce(strlen(changed::VARCHAR) || ':' || changed, '-') || tail) AS claimed
+  FROM fields
+), nodes AS (
+  SELECT g, 0 AS lvl, idx, n, h FROM leaves
+  UNION ALL
+  SELECT g, lvl + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY g, lvl, idx // 2
+), subroots AS (
+  SELECT g, row_number() OVER (ORDER BY encode(g)) - 1 AS idx, count(*) OVER () AS n, h, lvl AS depth
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lvl, idx, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM tops WHERE n > 1 GROUP BY lvl, idx // 2
+), steps AS (
+  SELECT l.doc_id, x.lvl, l.idx // (1::BIGINT << x.lvl) AS place, s.h AS sib
+  FROM leaves l JOIN (SELECT DISTINCT g, lvl FROM nodes WHERE n > 1) x ON x.g = l.g
+  LEFT JOIN nodes s ON s.g = l.g AND s.lvl = x.lvl AND s.idx = xor(l.idx // (1::BIGINT << x.lvl), 1::BIGINT)
+  UNION ALL
+  SELECT l.doc_id, r.depth + x.lvl, r.idx // (1::BIGINT << x.lvl), s.h
+  FROM leaves l JOIN subroots r ON r.g = l.g CROSS JOIN (SELECT DISTINCT lvl FROM tops WHERE n > 1) x
+  LEFT JOIN tops s ON s.lvl = x.lvl AND s.idx = xor(r.idx // (1::BIGINT << x.lvl), 1::BIGINT)
+), folds AS (
+  SELECT doc_id, 0 AS lvl, claimed AS h FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.lvl + 1,
+         sha256(CASE WHEN s.place % 2 = 1 THEN s.sib || f.h ELSE f.h || coalesce(s.sib, '') END)
+  FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.lvl = f.lvl
+), proofs AS (
+  SELECT doc_id, sha256(coalesce(string_agg(sib, '' ORDER BY lvl), '')) AS proof_sha256 FROM steps GROUP BY doc_id
+), ends AS (SELECT doc_id, arg_max(h, lvl) AS folded_root FROM folds GROUP BY doc_id)
+SELECT l.doc_id, l.h AS leaf, r.h AS subroot, t.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+       e.folded_root, e.folded_root = t.h AS verified
+FROM leaves l JOIN subroots r ON r.g = l.g CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
+LEFT JOIN proofs p ON p.doc_id = l.doc_id JOIN ends e ON e.doc_id = l.doc_id
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; where 7 divides the id's checksum, n_chars is tampered with."""
+    from .merkle_manifest import merkle_manifest, verified
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0  # NULL ids stay as they are
+    tampered = {"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return verified(merkle_manifest(docs, tampered=tampered)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
