@@ -159,6 +159,21 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("held_out", _remainder(7) == 2)
 
 
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii_crf import KINDS, personal_data
+    from .secret_scan import span_text
+    out = personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["added"])
+
+    def count(test):
+        return F.size(F.filter("spans", test)).cast("long")
+
+    per_kind = [count(lambda s, k=k: (s["kind"] == k) & ~s["added"]).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return out.select("doc_id", *per_kind, F.sha2(span_text(base, KINDS), 256).alias("base_sha256"),
+                      span_text(F.col("spans"), KINDS).alias("spans"), count(lambda s: s["added"]).alias("n_added"))
+
+
 OP12_SQL = """
 WITH q AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
