@@ -77,6 +77,7 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
         raise ValueError(f"Unknown arguments for {model_type}: {', '.join(sorted(unknown))}")
     seed = int(hp.get("random_state", 42))
     common = {"featuresCol": "features", "labelCol": label}
+    wkw = {"weightCol": weight_col} if weight_col else {}
     if model_type == "random_forest":
         depth = hp.get("max_depth")
         if depth is not None and int(depth) > MAX_SPARK_DEPTH:
@@ -87,14 +88,13 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
                   maxMemoryInMB=int(hp.get("max_memory_mb", 1024)),
                   # Node ids are cached on the executors (checkpointed every 10 iterations)
                   # instead of shipping the growing trees each level: same model, ~2x faster.
-                  cacheNodeIds=True, checkpointInterval=10, **common)
+                  cacheNodeIds=True, checkpointInterval=10, **wkw, **common)
         if problem_type == "classification":
             return RandomForestClassifier(featureSubsetStrategy="sqrt", **kw)
         return RandomForestRegressor(featureSubsetStrategy="all", **kw)
     if model_type == "linear_regression":
         return LinearRegression(regParam=0.0, solver="normal", **common)
     reg = 1.0 / (float(hp.get("C", 1.0)) * max(n_rows, 1))
-    wkw = {"weightCol": weight_col} if weight_col else {}
     if model_type == "logistic_regression":
         return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False,
                                   maxIter=int(hp.get("max_iter", 1000)), **wkw, **common)
@@ -103,6 +103,13 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
     return svc if n_classes <= 2 else OneVsRest(classifier=svc, **wkw, **common)
 
 
+def _weighted(df: DataFrame, label: str, problem_type: str, hp: dict | None) -> tuple[DataFrame, str | None]:
+    """``df`` with the balanced class weights and their column's name, when asked for."""
+    if (hp or {}).get("class_weight") == "balanced" and problem_type == "classification":
+        return balanced_weights(df, label, "_class_weight"), "_class_weight"
+    return df, None
+
+
 def train(df: DataFrame, features: list[str], label: str, model_type: str = "random_forest",
           problem_type: str = "classification", hyperparameters: dict | None = None) -> PipelineModel:
     """Fit ``VectorAssembler -> estimator``.  Feature columns must be numeric and
@@ -111,11 +118,7 @@ def train(df: DataFrame, features: list[str], label: str, model_type: str = "ran
     ensure_checkpoint_dir(df.sparkSession)  # tree fits checkpoint their node-id cache
     hp = dict(hyperparameters or {})
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
-    data = df
-    weight_col = None
-    if hp.get("class_weight") == "balanced" and problem_type == "classification":
-        data = balanced_weights(df, label, "_class_weight")
-        weight_col = "_class_weight"
+    data, weight_col = _weighted(df, label, problem_type, hp)
     est = build_estimator(model_type, problem_type, hp, stats["n"], stats["k"], label, weight_col)
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     return Pipeline(stages=[asm, est]).fit(data)
@@ -192,7 +195,8 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
     DataFrame(params, mean_score), best params)."""
     _check(model_type, problem_type)
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
-    est = build_estimator(model_type, problem_type, hyperparameters, stats["n"], stats["k"], label)
+    data, weight_col = _weighted(df, label, problem_type, hyperparameters)
+    est = build_estimator(model_type, problem_type, hyperparameters, stats["n"], stats["k"], label, weight_col)
     asm = VectorAssembler(inputCols=features, outputCol="features")
     pipe = Pipeline(stages=[asm, est])
     builder = ParamGridBuilder()
@@ -204,7 +208,7 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
         else:
             builder = builder.addGrid(est.getParam(names.get(k, k)), list(vals))
     grid = builder.build()
-    folds = assign_folds(df, key_cols, cv_folds, seed,
+    folds = assign_folds(data, key_cols, cv_folds, seed,
                          stratify_by=label if problem_type == "classification" else None)
     scoring = scoring or ("accuracy" if problem_type == "classification" else "mse")
     known = SCORING[problem_type]

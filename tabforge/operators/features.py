@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import c, is_numeric
+from ..functions.columns import c, is_numeric, numeric
 
 # ---------------------------------------------------------------- G: flags, counts
 
@@ -190,8 +190,8 @@ def fit_equal_width(df: DataFrame, bins: dict[str, int]) -> dict[str, list[float
     cols = [x for x in bins if _numeric(df, x)]
     if not cols:
         return {}
-    row = df.agg(*[F.min(c(x)).alias(f"mn_{i}") for i, x in enumerate(cols)],
-                 *[F.max(c(x)).alias(f"mx_{i}") for i, x in enumerate(cols)]).first()
+    row = df.agg(*[F.min(numeric(df, x)).alias(f"mn_{i}") for i, x in enumerate(cols)],
+                 *[F.max(numeric(df, x)).alias(f"mx_{i}") for i, x in enumerate(cols)]).first()
     out = {}
     for i, x in enumerate(cols):
         if row[f"mn_{i}"] is not None:
@@ -209,7 +209,7 @@ def binning_features(df: DataFrame, spec: dict[str, int | list[float]],
     for k, v in spec.items():
         if not isinstance(v, int):
             edges[k] = [float(e) for e in v]
-    new = [bin_by_edges(c(k).cast("double"), e).alias(f"{k}_binned") for k, e in edges.items()
+    new = [bin_by_edges(numeric(df, k), e).alias(f"{k}_binned") for k, e in edges.items()
            if k in df.columns]
     return df.select("*", *new), edges
 

@@ -28,13 +28,12 @@ STRING_CONSTANT = "missing_value"
 def most_frequent(long_df: DataFrame) -> DataFrame:
     """Mode per feature, ties -> smallest value: (feature, value, count).
 
-    Value counts are one aggregate; the max count per feature a second (tiny);
-    the tie break a third (tiny).  No window over a whole feature."""
+    Value counts are one aggregate, the best (count, value) per feature another, both
+    combined before their shuffle, so no task sees a feature as a whole."""
     vc = long_df.where(F.col("value").isNotNull()).groupBy("feature", "value") \
         .agg(F.count(F.lit(1)).alias("n"))
-    best = vc.groupBy("feature").agg(F.max("n").alias("n"))
-    return vc.join(best, ["feature", "n"]).groupBy("feature") \
-        .agg(F.min("value").alias("value"), F.first("n").alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("b")
+    return vc.groupBy("feature").agg(best).select("feature", "b.value", (-F.col("b.n")).alias("n"))
 
 
 def fit_impute(df: DataFrame, numeric_strategy: str = "mean",

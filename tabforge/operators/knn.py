@@ -1,4 +1,4 @@
-"""Exact k-nearest-neighbour imputation (C5) without all-pairs comparison.
+"""Exact k-nearest-neighbour imputation (C5) for any number of columns.
 
 Semantics (scikit-learn ``KNNImputer(n_neighbors=5)``, uniform weights): for a row
 ``r`` missing column ``j``, the donors are the rows where ``j`` is present; the
@@ -8,28 +8,26 @@ distance is NaN-Euclidean over the coordinates present in both rows,
 nearest donors with a defined distance (ties: smaller donor key first); a row with
 no such donor gets the column mean.
 
-Distributed exact algorithm:
-
-1. Rows are classified by missingness pattern.  A (receiver pattern, donor pattern,
-   column) combination fixes the co-present set ``S``, so distances inside it are
-   plain Euclidean on ``S`` times ``sqrt(p/|S|)``.
-2. For each ``S`` an equal-frequency grid is cut from approximate per-dimension
-   quantiles (a bounded edge list); cells are assigned by binary search
-   (``Bucketizer``).
-3. Donor points that coincide on ``S`` are reduced to their ``k`` smallest keys by
-   ``k`` rounds of a grouped ``min`` (partial aggregation handles a hot point).
-4. Ring search: in round ``rho`` every unfinished receiver is joined with the donors
-   of the cells at Chebyshev distance exactly ``rho``; its best ``k`` candidates are
-   kept.  It is finished once it has ``k`` candidates and the ``k``-th distance is at
-   most the lower bound for any unvisited cell (distance from the receiver to the
-   border of the visited block), or when the block covers the whole grid.
-5. The best ``k`` over all donor patterns give the mean.
-
-Work per receiver is bounded by the occupancy of the cells it visits.  The grid has at
-most ``MAX_EDGES_PER_DIM`` cuts per dimension (edges are literals of the plan, and the
-quantile sketch resolves no more), so with m co-present columns occupancy stays at
-``TARGET_PER_CELL`` up to ``TARGET_PER_CELL * MAX_EDGES_PER_DIM ** m`` donors and grows
-in proportion to the donors beyond that; results stay exact.
+Method: pivots and bounds.
+
+1. Donors are ordered by their three nearest pivots (a bounded sample of donors; missing
+   coordinates take the column mean for this step only), rows with the same frequent pattern of
+   missing values and equal points side by side, and cut into blocks of ``Layout.block`` rows.
+   A block knows the range of each column, the columns present in all of its rows, its pivot and
+   the largest distance from it.
+2. Two lower bounds hold for the distance of a receiver to every donor of a block: the distance
+   to the block's box, and by the triangle inequality the distance to its pivot less the radius.
+   Both allow for columns that only some donors have.
+3. Receivers travel in bundles of neighbours.  The donor sample gives each (receiver, column) a first
+   k-th distance; the block with the smallest bound improves it; then every block whose bound does
+   not exceed the k-th distance is read.  Where a bound equals it, a block is read only if its smallest
+   donor key comes early enough, so one point that holds a third of the rows costs one block.
+4. The best ``k`` of all blocks give the mean.
+
+No block is left out but by a bound, so results equal brute force; there is no cap on candidates,
+and the plan grows with the number of columns, not with its subsets.  A task holds the bounds of about
+``Layout.maps`` blocks or ``Layout.chunk`` blocks, and a share of the bundles.  The driver holds the
+sample: at most ``Layout.sample`` rows.
 
 ``key`` orders donors at equal distance; NULL and repeated keys are allowed (a row number
 decides among them) and every row comes back once.
@@ -37,284 +35,402 @@ decides among them) and every row comes back once.
 
 from __future__ import annotations
 
-import itertools
 import math
+from typing import NamedTuple
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, c
-from ..session import materialise, reliable_checkpoint
-
-TARGET_PER_CELL = 32
-MAX_EDGES_PER_DIM = 4096
-
-
-def _mask_cols(mask: int, p: int) -> list[int]:
-    return [i for i in range(p) if mask >> i & 1]
-
-
-def _ring(m: int, rho: int) -> list[tuple[int, ...]]:
-    if rho == 0:
-        return [tuple([0] * m)]
-    rng = range(-rho, rho + 1)
-    return [t for t in itertools.product(rng, repeat=m) if max(abs(v) for v in t) == rho]
-
-
-def _bottom_k(df: DataFrame, group: list[str], key: str, k: int) -> DataFrame:
-    """Rows with the k smallest keys of every group, by k rounds of grouped min
-    (map-side combined; no group is sorted in one task).  Group columns may hold
-    NULL (masked coordinates), so every join is null-safe."""
-    most = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_m")).agg(F.max("_m").alias("m")).first()["m"]
-    if most is None or most <= k:
-        return df  # no point has more than k coinciding donors
-
-    def on(left, right):
-        cond = left[key] == right["_pk"]
-        for i, g in enumerate(group):
-            cond = cond & left[g].eqNullSafe(right[f"_pg{i}"])
-        return cond
-
-    picked = None
-    rest = df
-    for _ in range(k):
-        # Each round's picks are materialised: keeps the lineage of the k rounds short.
-        m = reliable_checkpoint(rest.groupBy(*group).agg(F.min(key).alias("_pk"))
-                                .select(*[F.col(g).alias(f"_pg{i}") for i, g in enumerate(group)], "_pk"))
-        picked = m if picked is None else picked.unionByName(m)
-        rest = rest.join(m, on(rest, m), "left_anti")
-    picked = reliable_checkpoint(picked)
-    return df.join(picked, on(df, picked), "left_semi")
-
-
-_CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
-
-
-def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5,
-               donors: DataFrame | None = None) -> DataFrame:
+from ..session import materialise, ship_package
+
+
+class Layout(NamedTuple):
+    block: int = 512      # donors of a block
+    chunk: int = 32       # blocks of a task
+    maps: int = 1024      # bounds of blocks in a task, about
+    bundle: int = 128     # receivers that travel together
+    share: int = 64       # bundles of a task, about
+    pivots: int = 1024
+    sample: int = 4096    # donors that give first thresholds, and the pivots
+
+
+LAST = np.iinfo(np.int64).max
+SLACK = 1 - 1e-9  # for bounds that are not computed by the very steps of a distance
+
+
+# ------------------------------------------------------------------ numbers
+
+def distances(r, x):
+    """NaN-Euclidean distances (rows of r x rows of x), infinite where undefined.  Summed column by
+    column, so that equal differences give equal distances wherever they are computed."""
+    p = r.shape[1]
+    s, m = np.zeros((len(r), len(x))), np.zeros((len(r), len(x)))
+    for i in range(p):
+        d = r[:, i, None] - x[None, :, i]
+        ok = ~np.isnan(d)
+        m += ok
+        s += np.where(ok, d * d, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(m > 0, np.sqrt(p / m * s), np.inf)
+
+
+def box_bound(r, lo, hi, always):
+    """Lower bounds of the distances of receivers to the donors of one block.
+
+    With the same columns present in all donors this is the distance to the nearest point of the box,
+    by the same steps as a distance: never above it, not even by rounding.  Otherwise
+    the mean of squares is smallest over all sometimes-present columns that lower it."""
+    some = ~np.isnan(lo)
+    near = np.clip(r, lo, hi)
+    if (some == always).all():
+        return distances_paired(r, near)
+    p = r.shape[1]
+    gap = (r - near) ** 2
+    has = ~np.isnan(gap)
+    sure, maybe = has & always, np.sort(np.where(has & ~always, gap, np.inf), axis=1)
+    m, s = sure.sum(1).astype(float), np.where(sure, gap, 0.0).sum(1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.where(m > 0, s / m, np.inf)
+        for g in maybe.T:
+            take = g < mean
+            s, m = s + np.where(take, g, 0.0), m + take
+            mean = np.where(take, s / m, mean)
+    return np.sqrt(p * mean) * SLACK
+
+
+def distances_paired(r, x):
+    """``distances`` of row i to row i."""
+    p = r.shape[1]
+    s, m = np.zeros(len(r)), np.zeros(len(r))
+    for i in range(p):
+        d = r[:, i] - x[:, i]
+        ok = ~np.isnan(d)
+        m += ok
+        s += np.where(ok, d * d, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(m > 0, np.sqrt(p / m * s), np.inf)
+
+
+def pivot_bound(r, pivot, radius, some, always):
+    """|r - d| over the shared columns S is at least |r - pivot| over the columns all donors
+    have, less the largest |d - pivot|; there are at most as many shared columns as the block and
+    the receiver have."""
+    diff = np.where(always, r - pivot, np.nan)
+    far = np.sqrt(np.nansum(diff * diff, axis=1))
+    most = (~np.isnan(r) & some).sum(1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(most > 0, np.sqrt(r.shape[1] / most) * np.maximum(far - radius, 0) * SLACK, np.inf)
+
+
+def smallest(d, order, k: int):
+    """(row, column) of up to ``k`` smallest finite entries per row, the leftmost among
+    equals (columns stand in donor order); ``d`` is overwritten."""
+    rows, cols, every = [], [], np.arange(len(d))
+    for _ in range(min(k, d.shape[1])):
+        at = d.argmin(1)
+        ok = np.isfinite(d[every, at])
+        if not ok.any():
+            break
+        rows.append(every[ok]), cols.append(at[ok])
+        d[every, at] = np.inf
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(cols)
+
+
+def tighten(limit, ord_, row, col, dist, o, k: int):
+    """Lower the k-th (distance, donor) of each (receiver, column) by candidates."""
+    if not len(row):
+        return
+    by = np.lexsort((o, dist, col, row))
+    cell = row[by] * limit.shape[1] + col[by]
+    first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    size = np.diff(np.append(first, len(cell)))
+    at = by[(first + k - 1)[size >= k]]
+    r, j = row[at], col[at]
+    better = (dist[at] < limit[r, j]) | ((dist[at] == limit[r, j]) & (o[at] < ord_[r, j]))
+    at, r, j = at[better], r[better], j[better]
+    limit[r, j], ord_[r, j] = dist[at], o[at]
+
+
+class Bundle:
+    """Receivers with their k-th (distance, donor) so far per column."""
+
+    def __init__(self, r, p: int):
+        self.rows = np.frombuffer(r["rows"], "<i8")
+        self.x = np.frombuffer(r["x"], "<f8").reshape(-1, p)
+        self.limit = np.frombuffer(r["lim"], "<f8").reshape(-1, p).copy()
+        self.ord = np.frombuffer(r["ords"], "<i8").reshape(-1, p).copy()
+
+
+BUNDLE = "bundle long, rows binary, x binary, lim binary, ords binary"
+BLOCK = ("block long, chunk long, n int, ords binary, x binary, lo binary, hi binary, always binary, pivot int, "
+         "radius double, first long")
+FOUND = "bundle long, place int, row long, j int, dist double, ord long, value double"
+
+
+def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5, donors: DataFrame | None = None,
+               layout: Layout = Layout()) -> DataFrame:
     """Impute NULLs of ``cols`` (numeric) from the k nearest rows of ``donors`` (the rows
     seen at fit time; by default ``df`` itself); ``key`` is an orderable column that
     breaks distance ties.  Imputed columns are double."""
-    spark = df.sparkSession
-    # Catalyst's constraint rewriting fails on the union of checkpointed candidate
-    # tables used by the ring search (an optimizer bug, not a data issue); it is
-    # switched off while the search runs and everything it builds is materialised.
-    before = spark.conf.get(_CONSTRAINTS, "true")
-    spark.conf.set(_CONSTRAINTS, "false")
-    try:
-        return _knn_impute(df, cols, key, k, donors)
-    finally:
-        spark.conf.set(_CONSTRAINTS, before)
-
-
-def _knn_impute(df: DataFrame, cols: list[str], key: str, k: int, donors: DataFrame | None) -> DataFrame:
-    spark = df.sparkSession
-    p = len(cols)
-    pat = sum((F.col(f"_x{i}").isNotNull().cast("int") * (1 << i)) for i in range(p))
-
-    def points(rows: DataFrame) -> DataFrame:
-        x = [as_double(col, rows.schema[col].dataType).alias(f"_x{i}") for i, col in enumerate(cols)]
-        return rows.select(F.struct(c(key).alias("key"), "_row").alias("_k"), *x).withColumn("_pat", pat)
-
-    def counts(rows: DataFrame) -> dict[int, int]:
-        return {r["_pat"]: r["n"] for r in rows.groupBy("_pat").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spark, p = df.sparkSession, len(cols)
+    if not cols:
+        return df
+    ship_package(spark)
+
+    def point(rows: DataFrame):
+        return F.array(*[F.coalesce(as_double(x, rows.schema[x].dataType), F.lit(math.nan)) for x in cols])
 
     # Row numbers are fixed by writing them once.
     df = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "knn-rows")
-    base = points(df)
-    given = base if donors is None else points(materialise(
-        donors.select(c(key), *[c(x) for x in cols]).withColumn("_row", F.monotonically_increasing_id()), "knn-donors"))
-    full = (1 << p) - 1
-    pats = counts(base)
-    given_pats = pats if donors is None else counts(given)
-    means = given.agg(*[F.avg(f"_x{i}").alias(f"m{i}") for i in range(p)]).first()
-
-    combos = []  # (receiver pattern, donor pattern, j, S)
-    for pr in pats:
-        if pr == full:
-            continue
-        for j in range(p):
-            if pr >> j & 1:
-                continue
-            for pd in given_pats:
-                if pd >> j & 1:
-                    s = pr & pd
-                    if s:
-                        combos.append((pr, pd, j, s))
-    imputed_parts = [_search_all(spark, base, given, p, k, combos, given_pats)] if combos else []
-    # Best k over all donor patterns, per (receiver, column).
-    if imputed_parts:
-        cand = imputed_parts[0]
-        for part in imputed_parts[1:]:
-            cand = cand.unionByName(part)
-        w = Window.partitionBy("_qk", "_j").orderBy("_dist", "_dk")
-        best = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-        vals = best.groupBy("_qk", "_j").agg(F.avg("_xj").alias("_v"))
-        wide = vals.groupBy("_qk").agg(*[F.max(F.when(F.col("_j") == i, F.col("_v"))).alias(f"_v{i}")
-                                         for i in range(p)]).transform(reliable_checkpoint)
-        out = base.join(wide, base["_k"] == wide["_qk"], "left")
-    else:
-        out = base.select("*", *[F.lit(None).cast("double").alias(f"_v{i}") for i in range(p)])
-    filled = [F.coalesce(F.col(f"_x{i}"), F.col(f"_v{i}"), F.lit(means[f"m{i}"])).alias(col)
-              for i, col in enumerate(cols)]
-    res = out.select(F.col("_k._row").alias("_row"), *filled)
-    j = df.drop(*cols).join(res, "_row")
-    return j.select(*[c(x) for x in df.columns if x != "_row"])
-
-
-def _when_s(values: dict[int, object], default=None, col: str = "_s"):
-    """CASE _s WHEN S THEN value ... : one expression covering every subspace."""
-    expr = None
-    for sv, v in values.items():
-        lit = v if hasattr(v, "alias") else F.lit(v)
-        expr = F.when(F.col(col) == sv, lit) if expr is None else expr.when(F.col(col) == sv, lit)
-    if default is not None:
-        expr = expr.otherwise(default if hasattr(default, "alias") else F.lit(default))
-    return expr
-
-
-def _search_all(spark, base: DataFrame, given: DataFrame, p: int, k: int, combos, pats) -> DataFrame:
-    """Ring search for every co-present subspace at once (one loop, shared jobs).
-
-    Rows carry ``_s`` (the subspace bitmask); per-subspace constants (grid edges,
-    cell counts, weights, ring offsets) enter as CASE expressions on ``_s``."""
-    subspaces = sorted({cb[3] for cb in combos})
-    dims = {sv: _mask_cols(sv, p) for sv in subspaces}
-    # Grid edges: equal-frequency cuts per (subspace, dimension), all in one aggregate.
-    g = {}
-    aggs = []
-    for sv in subspaces:
-        n_s = max(1, sum(cnt for pt, cnt in pats.items() if pt & sv == sv))  # rows having all of S
-        m = len(dims[sv])
-        g[sv] = int(min(MAX_EDGES_PER_DIM, max(1, math.ceil((n_s / TARGET_PER_CELL) ** (1.0 / m)))))
-        probs = [i / g[sv] for i in range(1, g[sv])]
-        has = F.expr(" AND ".join(f"_x{i} IS NOT NULL" for i in dims[sv]))
-        for i in dims[sv]:
-            if probs:
-                aggs.append(F.percentile_approx(F.when(has, F.col(f"_x{i}")), probs, 10000).alias(f"e_{sv}_{i}"))
-    row = given.agg(*aggs).first().asDict() if aggs else {}
-    splits, ncell = {}, {}
-    for sv in subspaces:
-        for i in dims[sv]:
-            e = sorted(set(float(v) for v in (row.get(f"e_{sv}_{i}") or []) if v is not None))
-            # Bucketizer needs at least three splits; any grid keeps the search exact.
-            splits[(sv, i)] = [-math.inf] + (e or [0.0]) + [math.inf]
-            ncell[(sv, i)] = len(splits[(sv, i)]) - 1
-    keys = sorted(splits)
-    # One input copy per (subspace, dimension): each has its own splits.
-    buck = Bucketizer(splitsArray=[splits[kk] for kk in keys], inputCols=[f"_in_{kk[0]}_{kk[1]}" for kk in keys],
-                      outputCols=[f"_b_{kk[0]}_{kk[1]}" for kk in keys], handleInvalid="keep")
-
-    def cells(df):
-        """Per-dimension cell of the row in its own subspace (0 off the subspace)."""
-        out = buck.transform(df.select("*", *[F.col(f"_x{kk[1]}").alias(f"_in_{kk[0]}_{kk[1]}") for kk in keys]))
-        cols = []
-        for i in range(p):
-            per = {sv: F.col(f"_b_{sv}_{i}").cast("int") for sv in subspaces if i in dims[sv]}
-            cols.append((_when_s(per, 0) if per else F.lit(0)).alias(f"_c{i}"))
-        return out.select(*[x for x in df.columns], *cols)
-
-    # Mixed-radix cell id per subspace (cells per dimension <= MAX_EDGES_PER_DIM + 1).
-    def cell_id(prefix: str):
-        per = {}
-        for sv in subspaces:
-            e, mult = None, 1
-            for i in dims[sv]:
-                term = F.col(f"{prefix}{i}").cast("long") * F.lit(mult)
-                e = term if e is None else e + term
-                mult *= ncell[(sv, i)]
-            per[sv] = e
-        return _when_s(per)
-
-    combo_df = spark.createDataFrame([(pr, pd, j, sv) for pr, pd, j, sv in combos],
-                                     "_pr int, _pd int, _j int, _s int")
-    xs = [f"_x{i}" for i in range(p)]
-    # Donors: one row per (donor, column j, subspace); coordinates outside S masked.
-    donors = given.join(F.broadcast(combo_df.select("_pd", "_j", "_s").distinct()),
-                        given["_pat"] == F.col("_pd"))
-    masked = [F.when(((F.col("_s").bitwiseAND(F.lit(1 << i))) != 0), F.col(f"_x{i}")).alias(f"_x{i}")
-              for i in range(p)]
-    xj = F.element_at(F.array(*[F.col(x) for x in xs]), F.col("_j") + 1)
-    donors = donors.select("_k", "_pd", "_j", "_s", xj.alias("_xj"), *masked)
-    donors = _bottom_k(donors, ["_s", "_pd", "_j", *xs], "_k", k)
-    donors = cells(donors)
-    donors = reliable_checkpoint(donors.select(
-        F.col("_k").alias("_dk"), "_pd", "_j", "_s", "_xj", *[F.col(f"_x{i}").alias(f"_d{i}") for i in range(p)],
-        cell_id("_c").alias("_cell")))
-    queries = base.join(F.broadcast(combo_df), base["_pat"] == F.col("_pr")) \
-        .select(F.col("_k").alias("_qk"), "_pd", "_j", "_s", *masked)
-    queries = reliable_checkpoint(cells(queries))
-    weight = _when_s({sv: p / len(dims[sv]) for sv in subspaces})
-    edge_arr = {kk: F.array(*[F.lit(v) for v in splits[kk]]) for kk in keys}
-
-    def lower_bound(rho: int):
-        per = {}
-        for sv in subspaces:
-            terms = []
-            for i in dims[sv]:
-                lo_idx = F.col(f"_c{i}") - rho
-                hi_idx = F.col(f"_c{i}") + rho
-                terms.append(F.when(lo_idx <= 0, F.lit(math.inf)).otherwise(
-                    F.col(f"_x{i}") - F.element_at(edge_arr[(sv, i)], lo_idx + 1)))
-                terms.append(F.when(hi_idx >= ncell[(sv, i)] - 1, F.lit(math.inf)).otherwise(
-                    F.element_at(edge_arr[(sv, i)], hi_idx + 2) - F.col(f"_x{i}")))
-            per[sv] = F.least(*terms) if len(terms) > 1 else terms[0]
-        return _when_s(per)
-
-    def inside(prefix: str):
-        per = {}
-        for sv in subspaces:
-            conds = [(F.col(f"{prefix}{i}") >= 0) & (F.col(f"{prefix}{i}") < ncell[(sv, i)]) for i in dims[sv]]
-            e = conds[0]
-            for cnd in conds[1:]:
-                e = e & cnd
-            per[sv] = e
-        return _when_s(per, False)
-
-    kept = None
-    active = queries
-    rho = 0
-    # No round cap: the loop ends at the latest when every visited block covers its
-    # grid (lower bound = inf), so every receiver gets its exact k nearest donors.
-    while True:
-        ring = {}
-        for sv in subspaces:
-            offs = _ring(len(dims[sv]), rho)
-            full_offs = []
-            for o in offs:
-                v = [0] * p
-                for t, i in enumerate(dims[sv]):
-                    v[i] = o[t]
-                full_offs.append(F.struct(*[F.lit(v[i]).alias(f"_o{i}") for i in range(p)]))
-            ring[sv] = F.array(*full_offs)
-        probe = active.select("*", F.inline(_when_s(ring))).select(
-            "_qk", "_pd", "_j", "_s", *xs, *[(F.col(f"_c{i}") + F.col(f"_o{i}")).alias(f"_t{i}") for i in range(p)])
-        probe = probe.where(inside("_t")).select("_qk", "_pd", "_j", "_s", *xs, cell_id("_t").alias("_tcell"))
-        q = probe.alias("q")
-        dd = donors.alias("dd")
-        cond = [F.col("q._pd") == F.col("dd._pd"), F.col("q._j") == F.col("dd._j"),
-                F.col("q._s") == F.col("dd._s"), F.col("q._tcell") == F.col("dd._cell")]
-        sq = None
-        for i in range(p):
-            d = F.col(f"q._x{i}") - F.col(f"dd._d{i}")
-            term = F.coalesce(d * d, F.lit(0.0))
-            sq = term if sq is None else sq + term
-        pairs = q.join(dd, cond).select(
-            F.col("q._qk").alias("_qk"), F.col("q._pd").alias("_pd"), F.col("q._j").alias("_j"),
-            F.col("q._s").alias("_s"), F.col("dd._dk").alias("_dk"), F.col("dd._xj").alias("_xj"),
-            F.sqrt(_when_s({sv: p / len(dims[sv]) for sv in subspaces}, col="q._s") * sq).alias("_dist"))
-        pool = pairs if kept is None else kept.unionByName(pairs)
-        w = Window.partitionBy("_qk", "_pd", "_j", "_s").orderBy("_dist", "_dk")
-        kept = reliable_checkpoint(pool.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r"))
-        stat = kept.groupBy("_qk", "_pd", "_j", "_s").agg(F.count(F.lit(1)).alias("_n"),
-                                                          F.max("_dist").alias("_kd"))
-        chk = active.join(stat, ["_qk", "_pd", "_j", "_s"], "left").withColumn("_lb", lower_bound(rho))
-        # Strict: a donor outside the block may sit exactly on the bound.
-        done = (F.col("_lb") == math.inf) | (
-            (F.col("_n") >= k) & (F.col("_kd") < F.sqrt(weight) * F.col("_lb")))
-        active = reliable_checkpoint(chk.where(~F.coalesce(done, F.lit(False))).select(*queries.columns))
-        if active.isEmpty():
-            break
-        rho += 1
-    return kept.select("_qk", "_j", "_dk", "_xj", "_dist")
+    source = df if donors is None else donors.withColumn("_row", F.monotonically_increasing_id())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    given = source.select(c(key).alias("_key"), "_row", point(source).alias("x"))
+    given = materialise(  # donors numbered in key order
+        given.repartitionByRange(parts, "_key", "_row").sortWithinPartitions("_key", "_row")
+        .select(F.monotonically_increasing_id().alias("ord"), "x"), "knn-donors")
+
+    def present(i: int):
+        v = F.col("x")[i]
+        return F.when(~F.isnan(v), v)
+
+    stat = given.agg(F.count(F.lit(1)).alias("n"), *[F.avg(present(i)).alias(f"m{i}") for i in range(p)]).first()
+    means = [stat[f"m{i}"] for i in range(p)]
+    asked = df.select(F.col("_row").alias("row"), point(df).alias("x")).where(F.exists("x", F.isnan))
+    fills = None
+    if stat["n"]:
+        found = _search(given, asked, stat["n"], np.array([m if m is not None else 0.0 for m in means]), p, k, layout)
+        w = Window.partitionBy("row", "j").orderBy("dist", "ord")
+        best = found.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
+        vals = best.groupBy("row", "j").agg(F.avg("value").alias("v"))
+        fills = materialise(vals.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("_fill"))
+                            .withColumnRenamed("row", "_row"), "knn-values")
+    out = df.withColumn("_fill", F.lit(None).cast("map<int,double>")) if fills is None else df.join(fills, "_row", "left")
+
+    def filled(i: int, x: str):
+        return F.coalesce(as_double(x, df.schema[x].dataType), F.col("_fill")[i], F.lit(means[i])).alias(x)
+
+    at = {x: i for i, x in enumerate(cols)}
+    return out.select(*[filled(at[x], x) if x in at else c(x) for x in df.columns if x != "_row"])
+
+
+def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, layout: Layout) -> DataFrame:
+    """(row, j, dist, ord, value): the nearest donors of every receiver and missing column."""
+    sample = given.orderBy(F.xxhash64("ord")).limit(layout.sample).collect()
+    sample = sorted(sample, key=lambda r: r["ord"])
+    sx = np.array([r["x"] for r in sample], dtype=float).reshape(-1, p)
+    so = np.array([r["ord"] for r in sample], dtype=np.int64)
+    points = np.unique(np.where(np.isnan(sx), means, sx), axis=0)
+    count = min(layout.pivots, max(1, math.isqrt(n)), len(points))
+    pivots = points[np.linspace(0, len(points) - 1, count).astype(int)]
+    spread_by = np.random.default_rng(7).integers(1, 2 ** 62, p, dtype=np.int64) | 1
+
+    def near_pivots(x):
+        full = np.where(np.isnan(x), means, x)
+        d = (full * full).sum(1)[:, None] - 2 * full @ pivots.T + (pivots * pivots).sum(1)
+        first = np.argsort(d, axis=1, kind="stable")[:, :3].astype(np.int32)
+        return np.pad(first, ((0, 0), (0, 3 - first.shape[1])), mode="edge")
+
+    def pattern(x):
+        with np.errstate(over="ignore"):
+            return ((~np.isnan(x)) * spread_by).sum(1)
+
+    def stack(col):
+        return np.array(col.tolist(), dtype=float).reshape(len(col), p)
+
+    def patterns(batches):
+        import pandas as pd
+        for b in batches:
+            got, times = np.unique(pattern(stack(b["x"])), return_counts=True)
+            yield pd.DataFrame({"pattern": got, "n": times})
+
+    seen = given.select("x").mapInPandas(patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    often = [r["pattern"] for r in seen.where(F.col("n") > n / 1024).collect()]  # fewer than 1024
+
+    def place(batches):
+        for b in batches:
+            x = stack(b["x"])
+            b["p1"], b["p2"], b["p3"] = near_pivots(x).T
+            pat = pattern(x)
+            b["rare"] = ~np.isin(pat, often)
+            b["pattern"] = pat
+            yield b
+
+    keys = ["p1", "rare", "pattern", "p2", "p3", "same", "ord"]
+    extra = "p1 int, p2 int, p3 int, rare boolean, pattern long"
+    parts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + n // (16 * layout.block))
+    placed = given.mapInPandas(place, f"ord long, x array<double>, {extra}").withColumn("same", F.xxhash64("x"))
+
+    def cut(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+        part, seq, held = TaskContext.get().partitionId(), 0, None
+
+        def close(rows):
+            nonlocal seq
+            rows = rows.sort_values("ord")
+            x = stack(rows["x"])
+            pivot = int(rows["p1"].iloc[0])
+            gap = x - pivots[pivot]
+            some = ~np.isnan(x)
+            lo = np.where(some.any(0), np.where(some, x, np.inf).min(0), np.nan)
+            hi = np.where(some.any(0), np.where(some, x, -np.inf).max(0), np.nan)
+            seq += 1
+            return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + (seq - 1) // layout.chunk, "n": len(rows),
+                    "ords": rows["ord"].to_numpy("<i8").tobytes(), "x": x.astype("<f8").tobytes(), "lo": lo.tobytes(),
+                    "hi": hi.tobytes(), "always": some.all(0).tobytes(), "pivot": pivot,
+                    "radius": float(np.sqrt(np.nansum(gap * gap, axis=1)).max()), "first": int(rows["ord"].iloc[0])}
+
+        for b in batches:
+            held = b if held is None or not len(held) else pd.concat([held, b], ignore_index=True)
+            out = []
+            while len(held):
+                cell, rare = held["p1"].to_numpy(), held["rare"].to_numpy()
+                other = (cell != cell[0]) | (rare != rare[0])
+                if not rare[0]:
+                    other |= held["pattern"].to_numpy() != held["pattern"].iloc[0]
+                same = int(np.argmax(np.append(other, True)))
+                if same < layout.block and same == len(held):
+                    break  # the block may go on in the next batch
+                size = min(layout.block, same)
+                out.append(close(held.iloc[:size]))
+                held = held.iloc[size:]
+            if out:
+                yield pd.DataFrame(out)
+        if held is not None and len(held):
+            yield pd.DataFrame([close(held)])
+
+    blocks = materialise(placed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInPandas(cut, BLOCK),
+                         "knn-blocks")
+
+    def bundles(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+        part, seq = TaskContext.get().partitionId(), 0
+        for b in batches:
+            out = []
+            for i in range(0, len(b), layout.bundle):
+                rows = b.iloc[i:i + layout.bundle]
+                x = stack(rows["x"])
+                limit = np.where(np.isnan(x), np.inf, -1.0)
+                ords = np.full(x.shape, LAST)
+                d = distances(x, sx)
+                for j in np.flatnonzero(np.isnan(x).any(0)):
+                    who = np.flatnonzero(np.isnan(x[:, j]))
+                    has = np.flatnonzero(~np.isnan(sx[:, j]))
+                    a, at = smallest(d[np.ix_(who, has)], None, k)
+                    tighten(limit, ords, who[a], np.full(len(a), j), d[who[a], has[at]], so[has[at]], k)
+                out.append({"bundle": (part << 32) + seq, "rows": rows["row"].to_numpy("<i8").tobytes(), "x": x.tobytes(),
+                            "lim": limit.tobytes(), "ords": ords.astype("<i8").tobytes()})
+                seq += 1
+            yield pd.DataFrame(out, columns=["bundle", "rows", "x", "lim", "ords"])
+
+    total = asked.count()
+    rparts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + total // (8 * layout.bundle))
+    homes = asked.withColumnRenamed("row", "ord").mapInPandas(place, f"ord long, x array<double>, {extra}")
+    homes = homes.repartitionByRange(rparts, "p1", "p2", "p3", "ord").sortWithinPartitions("p1", "p2", "p3", "ord")
+    sent = materialise(homes.select(F.col("ord").alias("row"), "x").mapInPandas(bundles, BUNDLE), "knn-bundles")
+    shares = 1 + sent.count() // layout.share
+    maps = 1 + blocks.count() // layout.maps
+    zones = blocks.select("block", "chunk", "lo", "hi", "always", "pivot", "radius", "first")
+
+    def visits(bundled: DataFrame, nearest_only: bool) -> DataFrame:
+        """(bundle, chunk, block, bounds): the blocks a bundle has to read."""
+        def choose(key, left, right):
+            import pandas as pd
+            out = []
+            zone = []
+            for r in left.to_dict("records"):
+                lo, hi = np.frombuffer(r["lo"]), np.frombuffer(r["hi"])
+                zone.append((lo, hi, ~np.isnan(lo), np.frombuffer(r["always"], bool), r))
+            for b in right.to_dict("records"):
+                mine = Bundle(b, p)
+                low = np.empty((len(mine.rows), len(zone)))
+                for z, (lo, hi, some, always, r) in enumerate(zone):
+                    low[:, z] = np.maximum(box_bound(mine.x, lo, hi, always),
+                                           pivot_bound(mine.x, pivots[r["pivot"]], r["radius"], some, always))
+                for z, (lo, hi, some, always, r) in enumerate(zone):
+                    bound = low[:, z, None]
+                    want = some & ((bound < mine.limit) | ((bound == mine.limit) & (r["first"] <= mine.ord)))
+                    want &= np.isfinite(bound)
+                    if nearest_only:
+                        want &= (low.argmin(1) == z)[:, None]
+                    if want.any():
+                        out.append((b["bundle"], r["chunk"], r["block"], bound[:, 0].tobytes(), key[1]))
+            return pd.DataFrame(out, columns=["bundle", "chunk", "block", "bounds", "share"])
+
+        def deal(rows, name, m):
+            return rows.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+
+        left = deal(zones.withColumn("map", F.pmod(F.xxhash64("chunk"), F.lit(maps)).cast("int")), "share", shares)
+        right = deal(bundled.withColumn("share", F.pmod(F.xxhash64("bundle"), F.lit(shares)).cast("int")), "map", maps)
+        return materialise(left.groupBy("map", "share").cogroup(right.groupBy("map", "share")).applyInPandas(
+            choose, "bundle long, chunk long, block long, bounds binary, share int"), "knn-visits")
+
+    def read(bundled: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The best ``k`` donors of every chunk per receiver and column."""
+        def visit(key, left, right):
+            import pandas as pd
+            body = {r["block"]: r for r in left.to_dict("records")}
+            out = []
+            for b in right.to_dict("records"):
+                mine = Bundle(b, p)
+                rows: list = []
+                todo = sorted(zip(b["asks"], b["lows"]), key=lambda t: np.frombuffer(t[1]).min())
+                for block, low in todo:
+                    r, low = body[block], np.frombuffer(low)[:, None]
+                    x = np.frombuffer(r["x"]).reshape(-1, p)
+                    ords = np.frombuffer(r["ords"], "<i8")
+                    open_ = ((low < mine.limit) | ((low == mine.limit) & (r["first"] <= mine.ord)))
+                    live = np.flatnonzero(open_.any(1))
+                    if not len(live):
+                        continue
+                    d = distances(mine.x[live], x)
+                    for j in np.flatnonzero(open_.any(0)):
+                        who = np.flatnonzero(open_[live, j])
+                        has = np.flatnonzero(~np.isnan(x[:, j]))
+                        if not len(has) or not len(who):
+                            continue
+                        some = d[np.ix_(who, has)]
+                        a, at = smallest(some.copy(), None, k)
+                        dist, o, at_row = some[a, at], ords[has[at]], live[who[a]]
+                        ok = (dist < mine.limit[at_row, j]) | ((dist == mine.limit[at_row, j]) & (o <= mine.ord[at_row, j]))
+                        a, at, dist, o, at_row = a[ok], at[ok], dist[ok], o[ok], at_row[ok]
+                        rows.append((at_row, np.full(len(a), j), dist, o, x[has[at], j]))
+                        tighten(mine.limit, mine.ord, at_row, np.full(len(a), j), dist, o, k)
+                if rows:
+                    r, j, dist, o, v = (np.concatenate(y) for y in zip(*rows))
+                    by = np.lexsort((o, dist, j, r))
+                    r, j, dist, o, v = r[by], j[by], dist[by], o[by], v[by]
+                    cell = r * p + j
+                    top = np.arange(len(r)) - np.searchsorted(cell, cell) < k
+                    out.append(pd.DataFrame({"bundle": b["bundle"], "place": r[top].astype("int32"), "row": mine.rows[r[top]],
+                                             "j": j[top].astype("int32"), "dist": dist[top], "ord": o[top], "value": v[top]}))
+            return pd.concat(out) if out else pd.DataFrame(
+                {x.split()[0]: [] for x in FOUND.split(", ")}).astype({"bundle": "int64", "row": "int64", "ord": "int64",
+                                                                      "place": "int32", "j": "int32"})
+
+        asks = wanted.groupBy("bundle", "chunk", "share").agg(F.collect_list(F.struct("block", "bounds")).alias("q"))
+        asks = asks.select("bundle", F.col("chunk").alias("to"), F.col("share").alias("from"),
+                           F.col("q.block").alias("asks"), F.col("q.bounds").alias("lows")).join(bundled, "bundle")
+        pairs = wanted.select(F.col("block").alias("b"), "share").distinct()
+        bodies = blocks.join(pairs, F.col("block") == F.col("b")).select("chunk", "share", "block", "ords", "x", "first")
+        return bodies.groupBy("chunk", "share").cogroup(asks.groupBy("to", "from")).applyInPandas(visit, FOUND)
+
+    def improve(key, left, right):
+        b = left.iloc[0].to_dict()
+        mine = Bundle(b, p)
+        if len(right):
+            tighten(mine.limit, mine.ord, right["place"].to_numpy(np.int64), right["j"].to_numpy(np.int64),
+                    right["dist"].to_numpy(), right["ord"].to_numpy(np.int64), k)
+        left = left.iloc[:1].copy()
+        left["lim"], left["ords"] = [mine.limit.tobytes()], [mine.ord.astype("<i8").tobytes()]
+        return left
+
+    near = materialise(read(sent, visits(sent, True)).withColumnRenamed("bundle", "of"), "knn-near")
+    better = sent.groupBy("bundle").cogroup(near.groupBy("of")).applyInPandas(improve, BUNDLE)
+    better = materialise(better, "knn-bundles")
+    return read(better, visits(better, False)).select("row", "j", "dist", "ord", "value")

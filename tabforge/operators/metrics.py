@@ -14,8 +14,9 @@ from ..session import materialise
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Share of equal pairs among the ``n`` rows that have both values."""
     return pred.agg(F.avg((c(label) == c(prediction)).cast("double")).alias("accuracy"),
-                    F.count(F.lit(1)).alias("n"))
+                    F.count(c(label) == c(prediction)).alias("n"))
 
 
 def _counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -128,8 +129,14 @@ def roc_curve(pred: DataFrame, label: str = "label", score: str = "score", posit
                      F.try_divide(ge_pos.cast("double"), F.col("tot_pos")).alias("tpr"))
 
 
-def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def _pairs(pred: DataFrame, label: str, prediction: str):
+    """Label and prediction; a row without a prediction counts in no part of a metric."""
     y, p = numeric(pred, label), numeric(pred, prediction)
+    return F.when(p.isNotNull(), y), p
+
+
+def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    y, p = _pairs(pred, label, prediction)
     e = y - p
     return pred.agg(F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"),
                     F.avg(F.abs(e)).alias("mae"),
@@ -139,7 +146,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 def residual_stats(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """MAPE %, explained variance and residual mean / population std / min / max."""
-    y, p = numeric(pred, label), numeric(pred, prediction)
+    y, p = _pairs(pred, label, prediction)
     e = y - p
     return pred.agg(
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
@@ -173,7 +180,7 @@ def model_comparison(preds: DataFrame, model_col: str = "model", label: str = "l
             m = m.join(auc, "model", "left")
             names.append("roc_auc")
     else:
-        y, p = numeric(preds, label), numeric(preds, prediction)
+        y, p = _pairs(preds, label, prediction)
         e = y - p
         m = preds.groupBy(c(model_col).alias("model")).agg(
             F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),

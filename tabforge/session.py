@@ -12,6 +12,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers once per application, so that code in tasks
+    also runs where it is not installed on the executors."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        top = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tabforge-code-")), "tabforge.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        file = os.path.join(folder, name)
+                        z.write(file, os.path.relpath(file, os.path.dirname(top)))
+        sc.addPyFile(path)
+        _shipped.add(sc.applicationId)
+    return spark
+
+
 _scratch: dict[str, list[str]] = {}
 
 

@@ -123,8 +123,8 @@ def test_models_learn_a_planted_label(spark, sf_dir):
     df = li.withColumn("y", (v > med).cast("int")).withColumn("k", F.monotonically_increasing_id())
     tr, te = L.train_test(df, ["l_orderkey", "l_linenumber", "k"], 0.3, 1)
     feats = ["l_quantity", "l_discount", "l_tax"]
-    for mt in ["random_forest", "logistic_regression"]:
-        m = M.train(tr, feats, "y", mt, "classification", {"n_estimators": 20, "max_depth": 5, "C": 10.0})
+    for mt, hp in (("random_forest", {"n_estimators": 20, "max_depth": 5}), ("logistic_regression", {"C": 10.0})):
+        m = M.train(tr, feats, "y", mt, "classification", hp)
         p = M.predict(m, te, ["k"], "y")
         sums = p.select(F.aggregate("probability", F.lit(0.0), lambda a, b: a + b).alias("s")).collect()
         assert all(abs(r["s"] - 1) < 1e-9 for r in sums)
