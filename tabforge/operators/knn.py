@@ -76,55 +76,61 @@ def distances(r, x):
         return np.where(m > 0, np.sqrt(p / m * s), np.inf)
 
 
-def box_bound(r, lo, hi, always):
-    """Lower bounds of the distances of receivers to the donors of one block.
+class Zones:
+    """Bounds of several blocks as arrays."""
 
-    With the same columns present in all donors this is the distance to the nearest point of the box,
-    by the same steps as a distance: never above it, not even by rounding.  Otherwise
-    the mean of squares is smallest over all sometimes-present columns that lower it."""
-    some = ~np.isnan(lo)
-    near = np.clip(r, lo, hi)
-    if (some == always).all():
-        return distances_paired(r, near)
-    p = r.shape[1]
-    gap = (r - near) ** 2
-    has = ~np.isnan(gap)
-    sure, maybe = has & always, np.sort(np.where(has & ~always, gap, np.inf), axis=1)
-    m, s = sure.sum(1).astype(float), np.where(sure, gap, 0.0).sum(1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mean = np.where(m > 0, s / m, np.inf)
-        for g in maybe.T:
-            take = g < mean
-            s, m = s + np.where(take, g, 0.0), m + take
-            mean = np.where(take, s / m, mean)
-    return np.sqrt(p * mean) * SLACK
+    def __init__(self, lo, hi, always, missing, pivot, radius):
+        self.lo, self.hi, self.always, self.missing = lo, hi, always, missing  # most columns a donor misses
+        self.pivot, self.radius = pivot, radius
+        self.some = ~np.isnan(lo)
+        self.plain = (self.some == always).all(1)  # the same columns present in all donors
 
 
-def distances_paired(r, x):
-    """``distances`` of row i to row i."""
+def box_bound(r, z: Zones):
+    """Lower bounds (receivers x blocks) of the distances to the donors of a block.
+
+    With the same columns present in all donors this is the distance to the nearest point of the box,
+    by the same steps as a distance: never above it, not even by rounding.  Otherwise a donor lacks
+    at most ``missing`` columns, so the mean of squares is at least that without so many of the
+    largest gaps."""
     p = r.shape[1]
-    s, m = np.zeros(len(r)), np.zeros(len(r))
+    out = np.empty((len(r), len(z.lo)))
+    at = np.flatnonzero(z.plain)
+    s, m = np.zeros((len(r), len(at))), np.zeros((len(r), len(at)))
     for i in range(p):
-        d = r[:, i] - x[:, i]
+        d = r[:, i, None] - np.clip(r[:, i, None], z.lo[None, at, i], z.hi[None, at, i])
         ok = ~np.isnan(d)
         m += ok
         s += np.where(ok, d * d, 0.0)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(m > 0, np.sqrt(p / m * s), np.inf)
-
-
-def pivot_bound(r, pivot, radius, some, always):
+        out[:, at] = np.where(m > 0, np.sqrt(p / m * s), np.inf)
+        at = np.flatnonzero(~z.plain)
+        for i in range(0, len(at), 256):
+            zone = at[i:i + 256]
+            gap = (r[:, None, :] - np.clip(r[:, None, :], z.lo[None, zone], z.hi[None, zone])) ** 2
+            gap = np.sort(np.where(np.isnan(gap), np.inf, gap), axis=2)
+            shared = np.isfinite(gap).sum(2)
+            mean = np.cumsum(gap, axis=2) / np.arange(1, p + 1)
+            left = np.arange(1, p + 1)[None, None, :]
+            kept = (left <= shared[:, :, None]) & (left >= np.maximum(shared - z.missing[None, zone], 1)[:, :, None])
+            out[:, zone] = np.sqrt(p * np.where(kept, mean, np.inf).min(2)) * SLACK
+    return out
+
+
+def pivot_bound(r, z: Zones):
     """|r - d| over the shared columns S is at least |r - pivot| over the columns all donors
     have, less the largest |d - pivot|; there are at most as many shared columns as the block and
-    the receiver have."""
-    diff = np.where(always, r - pivot, np.nan)
-    far = np.sqrt(np.nansum(diff * diff, axis=1))
-    most = (~np.isnan(r) & some).sum(1)
+    the receiver have.  Squares by matrix products, less their rounding error."""
+    has = ~np.isnan(r)
+    x, c = np.where(has, r, 0.0), np.where(z.always, z.pivot, 0.0)
+    a, b = (x * x) @ z.always.T.astype(float), has.astype(float) @ (c * c).T
+    far = np.sqrt(np.maximum(a - 2 * x @ c.T + b - 1e-12 * (a + b), 0.0))
+    most = has.astype(float) @ z.some.T.astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(most > 0, np.sqrt(r.shape[1] / most) * np.maximum(far - radius, 0) * SLACK, np.inf)
+        return np.where(most > 0, np.sqrt(r.shape[1] / most) * np.maximum(far - z.radius, 0) * SLACK, np.inf)
 
 
-def smallest(d, order, k: int):
+def smallest(d, k: int):
     """(row, column) of up to ``k`` smallest finite entries per row, the leftmost among
     equals (columns stand in donor order); ``d`` is overwritten."""
     rows, cols, every = [], [], np.arange(len(d))
@@ -166,8 +172,8 @@ class Bundle:
 
 
 BUNDLE = "bundle long, rows binary, x binary, lim binary, ords binary"
-BLOCK = ("block long, chunk long, n int, ords binary, x binary, lo binary, hi binary, always binary, pivot int, "
-         "radius double, first long")
+BLOCK = ("block long, chunk long, n int, ords binary, x binary, lo binary, hi binary, always binary, missing int, "
+         "pivot int, radius double, first long")
 FOUND = "bundle long, place int, row long, j int, dist double, ord long, value double"
 
 
@@ -281,7 +287,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
             seq += 1
             return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + (seq - 1) // layout.chunk, "n": len(rows),
                     "ords": rows["ord"].to_numpy("<i8").tobytes(), "x": x.astype("<f8").tobytes(), "lo": lo.tobytes(),
-                    "hi": hi.tobytes(), "always": some.all(0).tobytes(), "pivot": pivot,
+                    "hi": hi.tobytes(), "always": some.all(0).tobytes(), "missing": int((~some).sum(1).max()), "pivot": pivot,
                     "radius": float(np.sqrt(np.nansum(gap * gap, axis=1)).max()), "first": int(rows["ord"].iloc[0])}
 
         for b in batches:
@@ -321,7 +327,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                 for j in np.flatnonzero(np.isnan(x).any(0)):
                     who = np.flatnonzero(np.isnan(x[:, j]))
                     has = np.flatnonzero(~np.isnan(sx[:, j]))
-                    a, at = smallest(d[np.ix_(who, has)], None, k)
+                    a, at = smallest(d[np.ix_(who, has)], k)
                     tighten(limit, ords, who[a], np.full(len(a), j), d[who[a], has[at]], so[has[at]], k)
                 out.append({"bundle": (part << 32) + seq, "rows": rows["row"].to_numpy("<i8").tobytes(), "x": x.tobytes(),
                             "lim": limit.tobytes(), "ords": ords.astype("<i8").tobytes()})
@@ -335,31 +341,33 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
     sent = materialise(homes.select(F.col("ord").alias("row"), "x").mapInPandas(bundles, BUNDLE), "knn-bundles")
     shares = 1 + sent.count() // layout.share
     maps = 1 + blocks.count() // layout.maps
-    zones = blocks.select("block", "chunk", "lo", "hi", "always", "pivot", "radius", "first")
+    zones = blocks.select("block", "chunk", "lo", "hi", "always", "missing", "pivot", "radius", "first")
 
     def visits(bundled: DataFrame, nearest_only: bool) -> DataFrame:
         """(bundle, chunk, block, bounds): the blocks a bundle has to read."""
         def choose(key, left, right):
             import pandas as pd
             out = []
-            zone = []
-            for r in left.to_dict("records"):
-                lo, hi = np.frombuffer(r["lo"]), np.frombuffer(r["hi"])
-                zone.append((lo, hi, ~np.isnan(lo), np.frombuffer(r["always"], bool), r))
-            for b in right.to_dict("records"):
+            left = left.sort_values("first")  # the earliest donors come first among equal bounds
+            first, many = left["first"].to_numpy(np.int64), len(left)
+            zone = Zones(np.frombuffer(b"".join(left["lo"])).reshape(many, p),
+                         np.frombuffer(b"".join(left["hi"])).reshape(many, p),
+                         np.frombuffer(b"".join(left["always"]), bool).reshape(many, p), left["missing"].to_numpy(),
+                         pivots[left["pivot"].to_numpy()], left["radius"].to_numpy())
+            names = left[["chunk", "block"]].to_numpy()
+            for b in right.to_dict("records") if many else ():
                 mine = Bundle(b, p)
-                low = np.empty((len(mine.rows), len(zone)))
-                for z, (lo, hi, some, always, r) in enumerate(zone):
-                    low[:, z] = np.maximum(box_bound(mine.x, lo, hi, always),
-                                           pivot_bound(mine.x, pivots[r["pivot"]], r["radius"], some, always))
-                for z, (lo, hi, some, always, r) in enumerate(zone):
+                low = np.maximum(box_bound(mine.x, zone), pivot_bound(mine.x, zone))
+                asks = np.isnan(mine.x)
+                loosest = np.where(asks, mine.limit, -1.0).max(1)
+                near = (low <= loosest[:, None]) & np.isfinite(low)
+                if nearest_only:
+                    near &= np.arange(many) == low.argmin(1)[:, None]
+                for z in np.flatnonzero(near.any(0)):
                     bound = low[:, z, None]
-                    want = some & ((bound < mine.limit) | ((bound == mine.limit) & (r["first"] <= mine.ord)))
-                    want &= np.isfinite(bound)
-                    if nearest_only:
-                        want &= (low.argmin(1) == z)[:, None]
-                    if want.any():
-                        out.append((b["bundle"], r["chunk"], r["block"], bound[:, 0].tobytes(), key[1]))
+                    want = (bound < mine.limit) | ((bound == mine.limit) & (first[z] <= mine.ord))
+                    if (want & zone.some[z] & near[:, z, None]).any():
+                        out.append((b["bundle"], *names[z], bound[:, 0].tobytes(), key[1]))
             return pd.DataFrame(out, columns=["bundle", "chunk", "block", "bounds", "share"])
 
         def deal(rows, name, m):
@@ -395,7 +403,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                         if not len(has) or not len(who):
                             continue
                         some = d[np.ix_(who, has)]
-                        a, at = smallest(some.copy(), None, k)
+                        a, at = smallest(some.copy(), k)
                         dist, o, at_row = some[a, at], ords[has[at]], live[who[a]]
                         ok = (dist < mine.limit[at_row, j]) | ((dist == mine.limit[at_row, j]) & (o <= mine.ord[at_row, j]))
                         a, at, dist, o, at_row = a[ok], at[ok], dist[ok], o[ok], at_row[ok]

@@ -171,3 +171,49 @@ def impute_knn(spark, d):
     from ..operators.knn import knn_impute
     out = knn_impute(part_nulls(spark, d), KNN_COLS, "p_partkey", k=5)
     return out.select("p_partkey", *[r6(F.col(x)).alias(x) for x in KNN_COLS])
+
+
+# ------------------------------------------------------------------ C5 on many columns
+
+WIDE = 20
+
+
+def vector_nulls(spark, d):
+    """The first 20 components of the vectors as columns, some missing by a rule on the id."""
+    k = F.col("vec_id")
+    return table(spark, d, "embeddings").select("vec_id", *[
+        F.when((k * (i + 3)) % 17 == 5, F.lit(None)).otherwise(F.col("embedding")[i].cast("double")).alias(f"x{i}")
+        for i in range(WIDE)])
+
+
+VECTOR_NULLS_SQL = "SELECT vec_id, " + ", ".join(
+    f"CASE WHEN (vec_id * {i + 3}) % 17 = 5 THEN NULL ELSE CAST(embedding[{i + 1}] AS DOUBLE) END AS x{i}"
+    for i in range(WIDE)) + " FROM embeddings"
+
+
+def _knn_wide_sql(k: int = 5) -> str:
+    both = [f"(r.x{i} IS NOT NULL AND d.x{i} IS NOT NULL)" for i in range(WIDE)]
+    m = " + ".join(f"CAST({b} AS INTEGER)" for b in both)
+    ssq = " + ".join(f"coalesce((r.x{i} - d.x{i}) * (r.x{i} - d.x{i}), 0.0)" for i in range(WIDE))
+    missing = " OR ".join(f"x{i} IS NULL" for i in range(WIDE))
+    asked = " UNION ALL ".join(
+        f"SELECT {j} AS j, rk, dk, x{j} AS v, dist FROM pairs WHERE r{j} AND x{j} IS NOT NULL" for j in range(WIDE))
+    fill = ", ".join(f"round(coalesce(t.x{j}, max(CASE WHEN imp.j = {j} THEN imp.v END), "
+                     f"(SELECT avg(x{j}) FROM t)), 6) AS x{j}" for j in range(WIDE))
+    return f"""WITH t AS ({VECTOR_NULLS_SQL}),
+pairs AS (SELECT r.vec_id AS rk, d.vec_id AS dk, {", ".join(f"r.x{i} IS NULL AS r{i}" for i in range(WIDE))},
+                 {", ".join(f"d.x{i} AS x{i}" for i in range(WIDE))},
+                 CASE WHEN ({m}) > 0 THEN sqrt(({WIDE}.0 / ({m})) * ({ssq})) END AS dist
+          FROM (SELECT * FROM t WHERE {missing}) r JOIN t d ON r.vec_id <> d.vec_id),
+asked AS ({asked}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY j, rk ORDER BY dist, dk) AS rn FROM asked WHERE dist IS NOT NULL),
+imp AS (SELECT j, rk, avg(v) AS v FROM ranked WHERE rn <= {k} GROUP BY j, rk)
+SELECT t.vec_id, {fill} FROM t LEFT JOIN imp ON imp.rk = t.vec_id
+GROUP BY t.vec_id, {", ".join(f"t.x{j}" for j in range(WIDE))}"""
+
+
+@query("impute_knn_wide", _knn_wide_sql())
+def impute_knn_wide(spark, d):
+    from ..operators.knn import knn_impute
+    out = knn_impute(vector_nulls(spark, d), [f"x{i}" for i in range(WIDE)], "vec_id", k=5)
+    return out.select("vec_id", *[r6(F.col(f"x{i}")).alias(f"x{i}") for i in range(WIDE)])

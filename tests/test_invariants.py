@@ -196,6 +196,52 @@ def test_knn_matches_brute_force_with_a_hot_point(spark):
         assert got[key] == pytest.approx(vals, rel=1e-12, abs=1e-12), key
 
 
+def _wide_rows(n, p, seed):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(0, 5, (12, p))
+    x = centers[rng.integers(0, 12, n)] + rng.normal(0, 1, (n, p))
+    x[rng.random(n) < 0.3] = centers[0]                          # a third of the rows at one point
+    x[:, 1] = np.round(x[:, 1])
+    holes = rng.random((n, p)) < np.where(rng.random((n, 1)) < 0.5, 0.2, 0.0)  # many patterns
+    holes[:5] = True                                             # rows with nothing to compare
+    holes[5:9, 1:] = True
+    return [(i, *[None if h else float(v) for v, h in zip(r, hs)]) for i, (r, hs) in enumerate(zip(x, holes))]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_knn_with_many_columns_and_patterns(spark, small):
+    from tabforge.operators import knn
+    rows = _wide_rows(500, 14, 3)
+    cols = [f"c{i}" for i in range(14)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{x} double" for x in cols))
+    layout = knn.Layout(block=8, chunk=3, maps=6, bundle=16, share=3, pivots=9, sample=20) if small else knn.Layout()
+    got = {r["id"]: [r[x] for x in cols] for r in knn.knn_impute(df, cols, "id", 4, layout=layout).collect()}
+    exp = _knn_brute(rows, 4)
+    assert len(got) == len(rows)
+    for key, vals in exp.items():
+        assert got[key] == pytest.approx(vals, rel=1e-9, abs=1e-9), key
+
+
+def test_knn_bounds_hold():
+    from tabforge.operators import knn
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        x = np.round(rng.normal(0, 1, (6, 5)), 1)
+        x[rng.random(x.shape) < rng.choice([0, .3, .7])] = np.nan
+        r = np.round(rng.normal(0, 1, (9, 5)), 1)
+        r[rng.random(r.shape) < .3] = np.nan
+        some = ~np.isnan(x)
+        lo = np.where(some.any(0), np.where(some, x, np.inf).min(0), np.nan)
+        hi = np.where(some.any(0), np.where(some, x, -np.inf).max(0), np.nan)
+        least = knn.distances(r, x).min(1)
+        pivot = rng.normal(0, 1, 5)
+        radius = np.sqrt(np.nansum((x - pivot) ** 2, axis=1)).max()
+        zone = knn.Zones(lo[None], hi[None], some.all(0)[None], np.array([(~some).sum(1).max()]), pivot[None],
+                         np.array([radius]))
+        assert (knn.box_bound(r, zone)[:, 0] <= least).all()
+        assert (knn.pivot_bound(r, zone)[:, 0] <= least).all()
+
+
 def test_registry_roundtrip(spark, sf_dir, tmp_path):
     from tabforge.ml import registry as P
     li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax").limit(200) \
