@@ -1,10 +1,10 @@
 """Feature selection (section I).
 
-* mutual information (I1): plug-in estimate in nats from counts,
-  ``sum p(x,y) ln(p(x,y) / (p(x) p(y)))``.  Discrete columns are exact; continuous
-  columns (by default every float or decimal column, so that an ID-like column of
-  unique values does not look informative) are first cut into ``bins`` quantile bins
-  (documented divergence from the reference's nearest-neighbour estimator).
+* mutual information (I1) in nats.  Discrete columns: the plug-in estimate from counts,
+  ``sum p(x,y) ln(p(x,y) / (p(x) p(y)))``, exact.  Continuous columns (by default every float or
+  decimal column, so that an ID-like column of unique values does not look
+  informative): the nearest-neighbour estimate of :mod:`.neighbour_mi`, or with
+  ``estimator="bins"`` the plug-in estimate over ``bins`` quantile bins.
 * chi2 (I2): scikit-learn's ``chi2`` on ``X - min + 1``: observed = per-class sums,
   expected = class share x column total.
 * variance threshold (I4): population variance strictly above the threshold.
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.columns import c, is_numeric, numeric, unpivot_numeric, unpivot_strings
 from ..functions.ranks import quantile_table
 from ..session import materialise
+from .neighbour_mi import neighbour_information
 
 
 def discretised(df: DataFrame, cols: list[str], continuous: list[str], bins: int = 10) -> DataFrame:
@@ -46,12 +47,20 @@ def continuous_columns(df: DataFrame, cols: list[str]) -> list[str]:
 
 
 def mutual_information(df: DataFrame, features: list[str], target: str,
-                       continuous: list[str] | None = None, bins: int = 10) -> DataFrame:
+                       continuous: list[str] | None = None, bins: int = 10, estimator: str = "neighbours",
+                       n_neighbors: int = 3) -> DataFrame:
     """(feature, mi) for every feature against a class target; rows with a NULL
     feature value or target are left out of that feature's estimate.  ``continuous``
-    names the columns to bin (None: :func:`continuous_columns`)."""
+    names the continuous columns (None: :func:`continuous_columns`), ``estimator`` how they
+    are treated: ``neighbours`` or ``bins``."""
+    if estimator not in ("neighbours", "bins"):
+        raise ValueError(f"Unknown estimator: {estimator}")
     continuous = (continuous_columns(df, features) if continuous is None else
                   [x for x in continuous if x in features])
+    if estimator == "neighbours" and continuous:
+        near = neighbour_information(df, continuous, target, n_neighbors)
+        rest = [x for x in features if x not in continuous]
+        return near.unionByName(mutual_information(df, rest, target, [])) if rest else near
     vals = discretised(df, features, continuous, bins)
     arr = F.array(*[F.struct(F.lit(x).alias("feature"), v.alias("x")) for x, v in zip(features, vals)])
     long = df.select(c(target).cast("string").alias("y"), F.inline(arr)) \
@@ -95,9 +104,11 @@ def indicator_information(df: DataFrame, cols: list[str], target: str) -> DataFr
         F.concat_ws("_", "feature", "value").alias("feature"), F.greatest("mi", F.lit(0.0)).alias("mi"))
 
 
-def feature_importance(df: DataFrame, target: str, str_cols: list[str], num_cols: list[str]) -> DataFrame:
+def feature_importance(df: DataFrame, target: str, str_cols: list[str], num_cols: list[str],
+                       estimator: str = "neighbours") -> DataFrame:
     """J17: (feature, mi) of category indicators and numeric columns."""
-    return indicator_information(df, str_cols, target).unionByName(mutual_information(df, num_cols, target))
+    return indicator_information(df, str_cols, target).unionByName(
+        mutual_information(df, num_cols, target, estimator=estimator))
 
 
 def chi2_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -132,16 +143,16 @@ def select_k_best(scores: DataFrame, features: list[str], k: int, score_col: str
 
 
 def feature_selection(df: DataFrame, features: list[str], target: str, method: str = "mutual_info",
-                      k: int = 20, continuous: list[str] | None = None) -> list[str]:
+                      k: int = 20, continuous: list[str] | None = None, estimator: str = "neighbours") -> list[str]:
     """Return the selected column names (apply with ``select``)."""
     if method == "mutual_info":
-        return select_k_best(mutual_information(df, features, target, continuous), features, k, "mi")
+        return select_k_best(mutual_information(df, features, target, continuous, estimator=estimator), features, k, "mi")
     if method == "chi2":
         return select_k_best(chi2_scores(df, features, target), features, k, "chi2")
     if method == "variance":
         kept = variance_select(df, features)
         if len(kept) > k:
-            return select_k_best(mutual_information(df, kept, target, continuous), kept, k, "mi")
+            return select_k_best(mutual_information(df, kept, target, continuous, estimator=estimator), kept, k, "mi")
         return kept
     if method == "rfe":
         from ..ml.models import rfe_select

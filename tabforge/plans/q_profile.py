@@ -247,7 +247,7 @@ GROUP BY a.feature) ORDER BY mi DESC, feature LIMIT {top}""")
 
 @query("feature_importance_mi", _importance_sql(15))
 def feature_importance_mi(spark, d):
-    mi = feature_importance(c360(spark, d), "churn", MI_STR, MI_NUM).orderBy(F.desc("mi"), "feature").limit(15)
+    mi = feature_importance(c360(spark, d), "churn", MI_STR, MI_NUM, estimator="bins").orderBy(F.desc("mi"), "feature").limit(15)
     return mi.select("feature", r6(F.col("mi")).alias("mi"))
 
 
@@ -268,7 +268,7 @@ def _key_findings_sql() -> str:
 def eda_key_findings(spark, d):
     from ..operators.assoc import cramers_v_matrix
     df = c360(spark, d)
-    imp = feature_importance(df, "churn", MI_STR, MI_NUM)
+    imp = feature_importance(df, "churn", MI_STR, MI_NUM, estimator="bins")
     # MI rounded as in the importance report, so ties order the same way as the oracle.
     imp = imp.select("feature", r6(F.col("mi")).alias("mi"))
     return P.eda_key_findings(P.correlation_long(df, C360_CORR), cramers_v_matrix(df, MI_STR), imp)

@@ -27,7 +27,7 @@ def _mi_features() -> list[tuple[str, str]]:
 @query("mutual_information", with_views(["c360"], f"SELECT feature, round(mi, 6) AS mi FROM "
                                         f"{S.mi_sql('c360', _mi_features(), 'churn')}"))
 def mutual_information(spark, d):
-    mi = I.mutual_information(c360(spark, d), MI_ALL, "churn", continuous=MI_CONT, bins=10)
+    mi = I.mutual_information(c360(spark, d), MI_ALL, "churn", continuous=MI_CONT, bins=10, estimator="bins")
     return mi.select("feature", r6(F.col("mi")).alias("mi"))
 
 
@@ -72,6 +72,49 @@ def variance_select(spark, d):
   ORDER BY m.mi DESC, m.feature LIMIT 3)"""))
 def select_k_best(spark, d):
     df = c360(spark, d)
-    chosen = I.select_k_best(I.mutual_information(df, MI_ALL, "churn", continuous=MI_CONT), MI_ALL, 3, "mi")
+    chosen = I.select_k_best(I.mutual_information(df, MI_ALL, "churn", continuous=MI_CONT, estimator="bins"),
+                             MI_ALL, 3, "mi")
     # chosen is the k names in input order (bounded by k).
     return spark.createDataFrame([(x, MI_ALL.index(x)) for x in chosen], "feature string, position int")
+
+
+# ------------------------------------------------------------------ I1 by neighbours
+
+NEAR = {"price_cents": "CAST(round(o_totalprice * 100) AS BIGINT)", "customer": "o_custkey",
+        "order_day": "date_diff('day', TIMESTAMP '1990-01-01', CAST(o_orderdate AS TIMESTAMP))"}
+
+
+def _near_sql(k: int = 3) -> str:
+    def psi(n):
+        y = f"({n} + 10.0)"
+        steps = " - ".join(f"1.0 / ({n} + {i})" for i in range(10))
+        return (f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} * {y}) + 1 / (120 * {y} * {y} * {y} * {y})"
+                f" - 1 / (252 * {y} * {y} * {y} * {y} * {y} * {y}) - {steps})")
+    parts = []
+    for name, expr in NEAR.items():
+        parts.append(f"""SELECT '{name}' AS feature, (SELECT greatest(0.0, {psi("sum(n)")}
+    + sum(n * ({psi(f"least({k}, ny - 1)")} - {psi("ny")} - {psi("m")})) / sum(n)) FROM (
+  SELECT v.n, v.ny, (SELECT sum(o.n) FROM all_{name} o WHERE abs(o.x - v.x) < v.r OR (v.r = 0 AND o.x = v.x)) AS m
+  FROM (SELECT a.y, a.x, any_value(a.n) AS n, any_value(a.ny) AS ny,
+               min(CASE WHEN b.upto - 1 >= least({k}, a.ny - 1) THEN b.dist END) AS r
+        FROM by_{name} a JOIN (
+          SELECT p.y, p.x, abs(q.x - p.x) AS dist,
+                 sum(q.n) OVER (PARTITION BY p.y, p.x ORDER BY abs(q.x - p.x)) AS upto
+          FROM by_{name} p JOIN by_{name} q ON p.y = q.y AND q.i BETWEEN p.i - {k} AND p.i + {k}) b
+        ON a.y = b.y AND a.x = b.x GROUP BY a.y, a.x) v)) AS mi""")
+    views = ", ".join(f"""by_{name} AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY x) AS i,
+    sum(n) OVER (PARTITION BY y) AS ny FROM (SELECT o_orderpriority AS y, {expr} AS x, count(*) AS n FROM orders GROUP BY ALL)),
+  all_{name} AS (SELECT x, sum(n) AS n FROM by_{name} GROUP BY x)""" for name, expr in NEAR.items())
+    return (f"WITH {views} "
+            f"SELECT feature, round(mi, 6) AS mi FROM ({' UNION ALL '.join(parts)})")
+
+
+@query("mutual_information_neighbours", _near_sql())
+def mutual_information_neighbours(spark, d):
+    """Price, customer number and day of all orders against their priority."""
+    rows = table(spark, d, "orders").select(
+        "o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("double").alias("price_cents"),
+        F.col("o_custkey").cast("double").alias("customer"),
+        F.datediff(F.col("o_orderdate").cast("timestamp"), F.lit("1990-01-01")).cast("double").alias("order_day"))
+    mi = I.mutual_information(rows, list(NEAR), "o_orderpriority", continuous=list(NEAR))
+    return mi.select("feature", r6(F.col("mi")).alias("mi"))

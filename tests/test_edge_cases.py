@@ -182,3 +182,28 @@ def test_target_strategy_routes_to_target_encoding(spark):
 ])
 def test_pearson_p_value_matches_student_t(r, n, expected):
     assert assoc.pearson_p_value(r, n) == pytest.approx(expected, abs=2e-5)
+
+
+def test_missing_predictions_count_in_no_metric(spark):
+    rows = [(1.0, 1.5), (2.0, 1.5), (3.0, 3.5), (100.0, None), (-50.0, float("nan"))]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    m = metrics.regression_metrics(df).first()
+    assert m["r2"] == pytest.approx(1 - 0.75 / 2.0) and m["mse"] == pytest.approx(0.25)
+    s = metrics.residual_stats(df).first()
+    assert s["explained_variance"] == pytest.approx(1 - (0.25 - (1 / 6) ** 2) / (2 / 3))
+    long, _ = metrics.model_comparison(df.withColumn("model", F.lit("a")), score=None, problem_type="regression")
+    assert {r.metric: r.value for r in long.collect()}["r2"] == pytest.approx(0.625)
+    acc = metrics.accuracy(spark.createDataFrame([(1, 1), (0, 1), (1, None)], "label int, prediction int")).first()
+    assert acc["accuracy"] == 0.5 and acc["n"] == 2
+
+
+def test_equal_width_bins_skip_nan(spark):
+    df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (float("nan"),), (None,)], "a double")
+    out, edges = features.binning_features(df, {"a": 2})
+    assert [r["a_binned"] for r in out.collect()] == [0, 0, 1, None, None]
+
+
+def test_mode_takes_the_smallest_of_the_most_frequent(spark):
+    from tabforge.operators.impute import most_frequent
+    df = spark.createDataFrame([("f", "b"), ("f", "a"), ("f", "b"), ("f", "a"), ("f", "c"), ("g", None)], "feature string, value string")
+    assert [tuple(r) for r in most_frequent(df).collect()] == [("f", "a", 2)]

@@ -247,3 +247,65 @@ def test_label_and_generic_features_survive_saving(spark):
     a, b = pre.apply(df), Preprocessor.load(spark, path).apply(df)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert {(r.s, r.v_binned) for r in b.collect()} == {(1, 0), (0, 0), (2, 1)}
+
+
+def _neighbour_mi(x, y, k=3):
+    """Ross' estimator by all pairs."""
+    keep = np.array([(y == c).sum() > 1 for c in y])
+    x, y = x[keep], y[keep]
+    h = np.concatenate(([0.0], np.cumsum(1 / np.arange(1, len(x) + 2))))  # psi(n) = h[n - 1] - gamma
+    total = 0.0
+    for xi, yi in zip(x, y):
+        same = np.sort(np.abs(x[y == yi] - xi))
+        kk = min(k, len(same) - 1)
+        r = same[kk]  # itself comes first
+        m = (np.abs(x - xi) < r).sum() if r else (x == xi).sum()
+        total += h[kk - 1] - h[len(same) - 1] - h[m - 1]
+    return max(0.0, h[len(x) - 1] + total / len(x))
+
+
+@pytest.mark.parametrize("partitions", [8, 40])
+def test_neighbour_information_against_all_pairs(spark, partitions):
+    rng = np.random.default_rng(6)
+    n = 700
+    y = rng.choice(["a", "b", "c", "rare"], n, p=[.6, .3, .099, .001])
+    y[:3] = ["one", "two", "two"]
+    a = np.where(y == "a", 0, 3) + rng.integers(-2560, 2560, n) / 1024  # exact differences
+    hot = np.where(rng.random(n) < .4, 7.0, rng.integers(0, 9, n))      # a hot value
+    noise = rng.integers(0, 10 ** 6, n).astype(float)
+    rows = [(str(c), float(p), float(q), float(r)) for c, p, q, r in zip(y, a, hot, noise)]
+    rows += [(None, 1.0, 1.0, 1.0), ("a", None, None, float("nan"))]
+    df = spark.createDataFrame(rows, "y string, a double, hot double, noise double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {r.feature: r.mi for r in S.mutual_information(df, ["a", "hot", "noise"], "y").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for name, x in (("a", a), ("hot", hot), ("noise", noise)):
+        assert got[name] == pytest.approx(_neighbour_mi(x, y), abs=1e-9), name
+    assert got["a"] > 0.2 > got["noise"]
+
+
+def test_neighbour_information_edges(spark):
+    none = spark.createDataFrame([], "y string, a double")
+    assert [tuple(r) for r in S.mutual_information(none, ["a"], "y").collect()] == [("a", 0.0)]
+    with pytest.raises(ValueError):
+        S.mutual_information(none, ["a"], "y", estimator="magic")
+
+
+def test_balanced_weights_change_forests(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(rng.normal(2.0 if i % 12 == 0 else 0.0, 1.5)), int(i % 12 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, a double, y int")
+
+    def share(hp):
+        m = M.train(df, ["a"], "y", "random_forest", "classification", {"n_estimators": 10, "max_depth": 4} | hp)
+        return M.predict(m, df, ["k"], "y").agg(F.avg(F.col("prediction"))).first()[0]
+
+    assert share({"class_weight": "balanced"}) > share({}) + 0.1
+    best, results, _ = M.grid_search(df, ["a"], "y", ["k"], "random_forest", "classification", {"max_depth": [4]}, 3,
+                                     hyperparameters={"n_estimators": 10, "class_weight": "balanced"}, scoring="recall")
+    plain = M.grid_search(df, ["a"], "y", ["k"], "random_forest", "classification", {"max_depth": [4]}, 3,
+                          hyperparameters={"n_estimators": 10}, scoring="recall")[1]
+    assert results.first()["mean_score"] < plain.first()["mean_score"] - 0.02  # more rows are called positive
