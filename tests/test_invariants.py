@@ -43,6 +43,27 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, seed, sketch):
             assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("bracket, few", [(10 ** 6, 10), (30, 10), (5, 10)])
+def test_exact_quantiles_by_brackets(spark, monkeypatch, bracket, few):
+    """Brackets in use from the first rows, and narrowed until they hold few."""
+    from tabforge.functions import ranks
+    for name, value in (("SKETCH", 300), ("NEAR", 6.0 / 300), ("FEW", few), ("BRACKET", bracket)):
+        monkeypatch.setattr(ranks, name, value)
+    rng = np.random.default_rng(9)
+    values = {"a": rng.normal(0, 1, 3000), "hot": np.where(rng.random(2000) < .4, 1.5, rng.integers(0, 40, 2000) / 8),
+              "one": np.array([4.0]), "same": np.full(500, 2.0), None: rng.exponential(1, 900), "few": rng.normal(0, 1, 9)}
+    rows = [(g, float(v)) for g, x in values.items() for v in x] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, value double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.26, 0.5, 0.75, 0.99, 1.0]
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, ["g"], probs).collect()}
+    assert len(got) == len(values) * len(probs)
+    for g, x in values.items():
+        for p in probs:
+            assert got[(g, p)] == pytest.approx(float(np.quantile(x, p)), rel=1e-12, abs=1e-12), (g, p)
+    whole = exact_quantiles(df.select("value"), [], [0.5]).first()["quantile"]
+    assert whole == pytest.approx(float(np.quantile(np.concatenate(list(values.values())), 0.5)))
+
+
 def test_prefix_sums_and_ranks_match_brute_force(spark):
     rows = _rows(3, 1500)
     df = spark.createDataFrame(rows, "id long, g string, value double")
