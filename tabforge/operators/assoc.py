@@ -1,8 +1,9 @@
 """Association measures (section K).
 
-* Pearson (K1): upper triangle in one aggregate, pairwise-complete, NULL for constants.
-* Spearman (K2): average ranks per pair over its complete rows (as pandas), from
-  distributed value counts, joined back by value, then Pearson on ranks.
+* Pearson (K1): upper triangle in one aggregate, pairwise-complete, NULL for constants; many
+  columns by masked Gram matrices (:mod:`.gram`).
+* Spearman (K2): average ranks per pair over its complete rows (as pandas), computed once per
+  column and class of partners with the same missing rows, then Gram matrices of the ranks.
 * Cramér's V (K4/K5): chi-square from observed cells only,
   ``chi2 = sum(O^2 / E) - n`` (zero cells contribute nothing), and for 2x2 tables the
   Yates-corrected form ``max(|d| - 0.5, 0)^2 * n * sum(1/r_i) * sum(1/c_j)`` where
@@ -22,41 +23,28 @@ from ..functions.columns import c, numeric, numeric_columns, string_columns
 from ..functions.ranks import average_ranks
 from ..functions.columns import as_double, unpivot_numeric
 from ..functions.stats import pearson, rnd
+from .gram import pearson_wide, spearman_wide
 from .profile import correlation_long, pair_list
 
 
 
+NARROW = 12  # columns whose pairs still fit into one aggregate as expressions
+
+
 def pearson_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """(feature1, feature2, correlation) of all pairs, pairwise-complete; by Gram matrices
+    when there are too many pairs for one aggregate (same results)."""
     cols = cols if cols is not None else numeric_columns(df)
-    return correlation_long(df, cols)
+    return correlation_long(df, cols) if len(cols) <= NARROW else pearson_wide(df, cols)
 
 
 def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Spearman r per pair, exactly as pandas: each pair is ranked over its own
-    complete rows (average ranks for ties).
-
-    One explode of the pairs per row, average ranks from per-(pair, side) value
-    counts (distributed prefix sums), two joins that attach the ranks, and one
-    grouped Pearson aggregate; no per-pair loop."""
+    complete rows (average ranks for ties)."""
     cols = cols if cols is not None else numeric_columns(df)
-    pairs = pair_list(cols)
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    arr = F.array(*[F.struct(F.lit(i).alias("_p"), as_double(a, types[a]).alias("_va"),
-                             as_double(b, types[b]).alias("_vb")) for i, (a, b) in enumerate(pairs)])
-    long = df.select(F.inline(arr)).where(F.col("_va").isNotNull() & F.col("_vb").isNotNull())
-    sides = long.select("_p", F.lit("a").alias("_side"), F.col("_va").alias("value")).unionByName(
-        long.select("_p", F.lit("b").alias("_side"), F.col("_vb").alias("value")))
-    ranks = average_ranks(sides, ["_p", "_side"]).select("_p", "_side", "value", "rank")
-    ra = ranks.where(F.col("_side") == "a").select("_p", F.col("value").alias("_va"), F.col("rank").alias("_ra"))
-    rb = ranks.where(F.col("_side") == "b").select("_p", F.col("value").alias("_vb"), F.col("rank").alias("_rb"))
-    j = long.join(ra, ["_p", "_va"]).join(rb, ["_p", "_vb"])
-    r = j.groupBy("_p").agg(pearson(F.col("_ra"), F.col("_rb")).alias("correlation"))
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                            "_p int, feature1 string, feature2 string")
-    # names has one row per pair: bounded.
-    return F.broadcast(names).join(r, "_p", "left").select("feature1", "feature2", "correlation")
+    return spearman_wide(df, cols)
 
 
 def high_correlations(corr_long: DataFrame, threshold: float = 0.7, decimals: int = 3) -> DataFrame:

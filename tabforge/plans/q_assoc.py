@@ -19,6 +19,23 @@ def pearson_matrix(spark, d):
     return m.select("feature1", "feature2", r6(F.col("correlation")).alias("correlation"))
 
 
+COMPONENTS = 64  # of every vector
+
+
+@query("pearson_matrix_wide", f"""WITH long AS (
+  SELECT vec_id, unnest(range({COMPONENTS})) AS i, unnest(embedding[1:{COMPONENTS}])::DOUBLE AS x FROM embeddings)
+SELECT 'x' || a.i AS feature1, 'x' || b.i AS feature2, round(
+  (count(*) * sum(a.x * b.x) - sum(a.x) * sum(b.x))
+  / sqrt((count(*) * sum(a.x * a.x) - sum(a.x) * sum(a.x)) * (count(*) * sum(b.x * b.x) - sum(b.x) * sum(b.x))), 6)
+  AS correlation
+FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""")
+def pearson_matrix_wide(spark, d):
+    """All 2,016 pairs of the vectors' components."""
+    x = table(spark, d, "embeddings").select(*[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(COMPONENTS)])
+    m = K.pearson_matrix(x, x.columns)
+    return m.select("feature1", "feature2", r6(F.col("correlation")).alias("correlation"))
+
+
 SPEAR_COLS = ["p_partkey", "p_size", "p_retailprice"]
 
 

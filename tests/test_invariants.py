@@ -2,9 +2,11 @@
 partitioning, splits are exact, disjoint and complete, fit-then-apply equals the
 one-shot operator, and models learn a planted signal."""
 
+import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,6 +325,49 @@ def test_operators_do_not_depend_on_partitioning(spark, sf_dir, op):
     assert a == b
 
 
+def _holed(n, p, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 1, (n, p)) + rng.normal(0, 1, (n, 1)) + 1e6
+    x[:, 1] = np.where(rng.random(n) < .5, 7.0, np.round(x[:, 0]))  # a hot value
+    x[:, 2] = 3.25                                                  # constant
+    x[rng.random((n, p)) < .05] = np.nan
+    x[:, p // 2:][rng.random(n) < .2] = np.nan                      # columns missing together
+    return pd.DataFrame(x, columns=[f"c{i}" for i in range(p)])
+
+
+@pytest.mark.parametrize("p", [10, 40])
+def test_gram_matrices_match_pandas(spark, p):
+    from tabforge.operators import gram
+    from tabforge.operators.profile import correlation_long
+    frame = _holed(400, p, p)
+    frame.loc[:, "c3":"c6"] = np.where(frame[["c0"]].isna(), np.nan, np.round(frame.loc[:, "c3":"c6"], 1))
+    df = spark.createDataFrame(frame).repartition(6)
+    for method, out in (("pearson", gram.pearson_wide(df, list(frame))), ("spearman", gram.spearman_wide(df, list(frame)))):
+        got = {(r.feature1, r.feature2): r.correlation for r in out.collect()}
+        exp = frame.corr(method=method)
+        assert len(got) == p * (p - 1) // 2
+        for (a, b), r in got.items():
+            assert (r is None) == math.isnan(exp[a][b]) and (r is None or r == pytest.approx(exp[a][b], abs=1e-9)), (a, b)
+    if p == 10:
+        old = {(r.feature1, r.feature2): r.correlation for r in correlation_long(df, list(frame)).collect()}
+        new = {(r.feature1, r.feature2): r.correlation for r in gram.pearson_wide(df, list(frame)).collect()}
+        assert old.keys() == new.keys() and all(old[k] == pytest.approx(new[k], abs=1e-9) for k in old if old[k] is not None)
+
+
+def test_wide_correlations_plan_and_edges(spark):
+    from tabforge.operators import gram
+    from tabforge.operators import assoc
+    frame = _holed(60, 300, 1)
+    out = assoc.pearson_matrix(spark.createDataFrame(frame), list(frame))
+    got = {(r.feature1, r.feature2): r.correlation for r in out.collect()}
+    exp = frame.corr()
+    assert len(got) == 300 * 299 // 2 and got[("c0", "c299")] == pytest.approx(exp["c0"]["c299"], abs=1e-9)
+    none = spark.createDataFrame([], "a double, b double, c double")
+    for out in (gram.pearson_wide(none, ["a", "b", "c"]), gram.spearman_wide(none, ["a", "b", "c"])):
+        assert [r.correlation for r in out.collect()] == [None] * 3
+    assert assoc.spearman_matrix(none, ["a"]).count() == 0
+
+
 def test_spearman_matches_pandas_with_nulls(spark):
     import pandas as pd
     from tabforge.operators import assoc
