@@ -9,8 +9,10 @@ Parameter mapping from the reference's estimator arguments:
   Spark equivalent and is accepted without effect.  Unknown arguments raise.
 * logistic regression / linear SVM: C -> regParam = 1 / (C * n) (scikit-learn sums
   the loss, Spark averages it), max_iter -> maxIter, class_weight='balanced' -> a
-  weight column n / (k * n_class).  The SVM is linear (RBF kernels have no
-  distributed form); more than two classes use one-vs-rest.
+  weight column n / (k * n_class).  The SVM's kernel is ``rbf`` by default (``gamma``: scale,
+  auto or a number), by ``n_components`` random Fourier features before a linear SVM
+  (:mod:`.kernel`; the kernel's error falls with the root of their number), or ``linear``; more than
+  two classes use one-vs-rest.
 * linear regression: ordinary least squares (regParam 0, normal equations).
 
 Every fit is a distributed Spark ML job; only loops over a bounded number of fits
@@ -37,6 +39,7 @@ from ..functions.columns import c
 from ..operators.metrics import balanced_weights, model_comparison
 from ..operators.split import assign_folds, hash_positions
 from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from .kernel import RandomFourierFeatures, default_gamma
 
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
 REGRESSORS = ("random_forest", "linear_regression")
@@ -45,7 +48,7 @@ HYPERPARAMETERS = {
     "random_forest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "random_state",
                       "max_memory_mb", "class_weight"},
     "logistic_regression": {"C", "max_iter", "class_weight", "random_state"},
-    "svm": {"C", "max_iter", "class_weight", "random_state"},
+    "svm": {"C", "max_iter", "class_weight", "random_state", "kernel", "gamma", "n_components"},
     "linear_regression": set(),
 }
 
@@ -68,6 +71,24 @@ def _check(model_type: str, problem_type: str):
         raise UnsupportedModelError(f"Unsupported problem type: {problem_type}")
 
 
+def _rbf(model_type: str, hp: dict | None) -> bool:
+    kernel = (hp or {}).get("kernel", "rbf")
+    if kernel not in ("rbf", "linear"):
+        raise ValueError(f"Unknown kernel: {kernel}")
+    return model_type == "svm" and kernel == "rbf"
+
+
+def _stages(df: DataFrame, features: list[str], model_type: str, hp: dict | None, est, invalid: str) -> list:
+    """Assembler, the kernel's features for an RBF SVM, estimator."""
+    stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid)]
+    if _rbf(model_type, hp):
+        hp = hp or {}
+        stages.append(RandomFourierFeatures(
+            size=len(features), gamma=default_gamma(df, [c(x) for x in features], hp.get("gamma", "scale")),
+            components=int(hp.get("n_components", 256)), seed=int(hp.get("random_state", 42))))
+    return [*stages, est]
+
+
 def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows: int,
                     n_classes: int = 2, label: str = "label", weight_col: str | None = None):
     _check(model_type, problem_type)
@@ -76,7 +97,7 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
     if unknown:
         raise ValueError(f"Unknown arguments for {model_type}: {', '.join(sorted(unknown))}")
     seed = int(hp.get("random_state", 42))
-    common = {"featuresCol": "features", "labelCol": label}
+    common = {"featuresCol": "kernel_features" if _rbf(model_type, hp) else "features", "labelCol": label}
     wkw = {"weightCol": weight_col} if weight_col else {}
     if model_type == "random_forest":
         depth = hp.get("max_depth")
@@ -98,8 +119,8 @@ def build_estimator(model_type: str, problem_type: str, hp: dict | None, n_rows:
     if model_type == "logistic_regression":
         return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False,
                                   maxIter=int(hp.get("max_iter", 1000)), **wkw, **common)
-    svc = LinearSVC(regParam=reg, maxIter=int(hp.get("max_iter", 1000)), standardization=False, **wkw,
-                    **common)
+    svc = LinearSVC(regParam=reg, maxIter=int(hp.get("max_iter", 1000)), tol=1e-3,  # tolerance as scikit-learn's SVC
+                    standardization=False, **wkw, **common)
     return svc if n_classes <= 2 else OneVsRest(classifier=svc, **wkw, **common)
 
 
@@ -120,8 +141,7 @@ def train(df: DataFrame, features: list[str], label: str, model_type: str = "ran
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
     data, weight_col = _weighted(df, label, problem_type, hp)
     est = build_estimator(model_type, problem_type, hp, stats["n"], stats["k"], label, weight_col)
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[asm, est]).fit(data)
+    return Pipeline(stages=_stages(data, features, model_type, hp, est, "error")).fit(data)
 
 
 def predict(model: PipelineModel, df: DataFrame, key_cols: list[str], label: str | None = None,
@@ -197,8 +217,7 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(c(label)).alias("k")).first()
     data, weight_col = _weighted(df, label, problem_type, hyperparameters)
     est = build_estimator(model_type, problem_type, hyperparameters, stats["n"], stats["k"], label, weight_col)
-    asm = VectorAssembler(inputCols=features, outputCol="features")
-    pipe = Pipeline(stages=[asm, est])
+    pipe = Pipeline(stages=_stages(data, features, model_type, hyperparameters, est, "error"))
     builder = ParamGridBuilder()
     names = {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode",
              "max_iter": "maxIter"}

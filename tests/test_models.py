@@ -309,3 +309,39 @@ def test_balanced_weights_change_forests(spark):
     plain = M.grid_search(df, ["a"], "y", ["k"], "random_forest", "classification", {"max_depth": [4]}, 3,
                           hyperparameters={"n_estimators": 10}, scoring="recall")[1]
     assert results.first()["mean_score"] < plain.first()["mean_score"] - 0.02  # more rows are called positive
+
+
+def test_rbf_svm_separates_rings(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    angle, ring = rng.uniform(0, 2 * np.pi, 500), np.arange(500) % 2
+    radius = 1 + 2 * ring + rng.normal(0, .1, 500)
+    rows = [(i, float(r * np.cos(a)), float(r * np.sin(a)), int(y)) for i, (r, a, y) in enumerate(zip(radius, angle, ring))]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int")
+
+    def right(model):
+        return M.predict(model, df, ["k"], "y").agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+
+    model = M.train(df, ["a", "b"], "y", "svm", "classification", {"C": 10.0, "max_iter": 100})
+    assert right(model) > 0.98
+    assert right(M.train(df, ["a", "b"], "y", "svm", "classification", {"kernel": "linear", "max_iter": 50})) < 0.7
+    M.save_model(model, str(tmp_path / "rings"))
+    again = M.load_model(str(tmp_path / "rings"))
+    one, two = ([tuple(r) for r in M.predict(m, df, ["k"], "y").select("k", "prediction").orderBy("k").collect()]
+                for m in (model, again))
+    assert one == two
+    with pytest.raises(ValueError):
+        M.train(df, ["a", "b"], "y", "svm", "classification", {"kernel": "poly"})
+
+
+def test_fourier_features_approximate_the_kernel(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from tabforge.ml.kernel import RandomFourierFeatures
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (40, 3))
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(
+        spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "k long, a double, b double, c double"))
+    exact = np.exp(-0.4 * ((x[:, None] - x[None]) ** 2).sum(2))
+    for size in (256, 4096):
+        out = RandomFourierFeatures(size=3, gamma=0.4, components=size, seed=5).transform(df).orderBy("k").collect()
+        z = np.array([r.kernel_features.toArray() for r in out])
+        assert np.sqrt(((z @ z.T - exact) ** 2).mean()) < 1 / np.sqrt(size)
