@@ -215,12 +215,10 @@ def check_quality(rows, docs, labels):
         copies.setdefault(t, []).append(d)
     raw, target = Counter(), Counter()
     for t, ds in copies.items():
-        if all(d is None for d in ds):
-            continue
         marks = [min(q) == 1 for d in ds if d is not None and (q := [x for x in labels.get(d, []) if x is not None])]
-        for _ in range(ds.count(min(d for d in ds if d is not None))):
+        for d in ds:  # every row is a row of the raw corpus
             raw.update(grams(t))
-            if marks and all(marks):
+            if d is not None and marks and all(marks):
                 target.update(grams(t))
     nr, nt, k = sum(raw.values()), sum(target.values()), quality_llr.SMOOTH
     for r, t in rows:
@@ -249,6 +247,15 @@ def test_quality_edges(spark, edge_docs, edge_labels):
     check_quality([(r, r["row"].text or "") for r in rows], [(r[0], r[1] or "") for r in edge_rows()], labels)
 
 
+def test_copied_junk_is_no_evidence_for_itself(spark, sf_dir):
+    """A foreign text that fills much of the corpus is part of the raw multinomial with all its copies."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    junk = " ".join("zqx" + chr(97 + i % 26) + "wvk" + chr(97 + i * 7 % 26) for i in range(120))
+    more = spark.range(500).select((F.col("id") + 10 ** 6).alias("doc_id"), F.lit(junk).alias("text"))
+    out = quality_llr.quality_rules(docs.unionByName(more), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert out.where("row.doc_id >= 1000000 and kept").count() == 0
+
+
 # ---------------------------------------------------------------- 5
 
 def test_secret_base_spans():
