@@ -150,10 +150,20 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
 
 def scoring_job(spark: SparkSession, model_path: str, df: DataFrame, output_path: str,
                 key_cols: list[str], n_classes: int = 2) -> str:
-    """Q2: score a table with a saved model and write predictions with metadata."""
+    """Q2: score a table with a saved model and write predictions with metadata.  With saved
+    metadata the model's features must be there, and the number of classes is the model's own;
+    the predictions carry its type and training date."""
     from ..sources.files import save_predictions
+    meta = load_metadata(spark, model_path)
+    missing = [x for x in meta.get("features") or [] if x not in df.columns]
+    if missing:
+        raise ValueError(f"The model needs the columns {', '.join(missing)}")
     pred = predict(load_model(model_path), df, key_cols)
-    return save_predictions(pred, output_path, key_cols, "prediction", "probability", n_classes)
+    told = {k: meta[k] for k in ("model_type", "training_date") if meta.get(k)}
+    pred = pred.withColumns({k: F.lit(str(v)) for k, v in told.items()})
+    return save_predictions(pred, output_path, [*key_cols, *told], "prediction",
+                            "probability" if "probability" in pred.columns else None,
+                            len(meta.get("classes") or []) or n_classes)
 
 
 def batch_scoring_job(spark: SparkSession, model_path: str, data_path: str, output_path: str,

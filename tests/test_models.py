@@ -345,3 +345,13 @@ def test_fourier_features_approximate_the_kernel(spark):
         out = RandomFourierFeatures(size=3, gamma=0.4, components=size, seed=5).transform(df).orderBy("k").collect()
         z = np.array([r.kernel_features.toArray() for r in out])
         assert np.sqrt(((z @ z.T - exact) ** 2).mean()) < 1 / np.sqrt(size)
+
+
+def test_scoring_job_uses_the_metadata(spark, planted):
+    m = M.train(planted, ["a", "b"], "y", "logistic_regression", "classification", {"C": 1.0})
+    base = scratch_path(spark, "test-scoring")
+    M.save_model(m, f"{base}/m", {"model_type": "logistic_regression", "features": ["a", "b"], "training_date": "2024-05-01"})
+    row = spark.read.parquet(Q.scoring_job(spark, f"{base}/m", planted, f"{base}/out", KEY)).first()
+    assert row.model_type == "logistic_regression" and row.training_date == "2024-05-01" and row.total_predictions == 400
+    with pytest.raises(ValueError, match="needs the columns b"):
+        Q.scoring_job(spark, f"{base}/m", planted.drop("b"), f"{base}/out", KEY)
