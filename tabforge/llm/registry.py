@@ -169,7 +169,10 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(test):
         return F.size(F.filter("spans", test)).cast("long")
 
-    per_kind = [count(lambda s, k=k: (s["kind"] == k) & ~s["added"]).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    def of_kind(k: int):  # a lambda's second argument would be the place in the array
+        return lambda s: (s["kind"] == k) & ~s["added"]
+
+    per_kind = [count(of_kind(k)).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return out.select("doc_id", *per_kind, F.sha2(span_text(base, KINDS), 256).alias("base_sha256"),
                       span_text(F.col("spans"), KINDS).alias("spans"), count(lambda s: s["added"]).alias("n_added"))
 
