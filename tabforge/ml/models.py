@@ -13,7 +13,8 @@ Parameter mapping from the reference's estimator arguments:
   auto or a number), by ``n_components`` random Fourier features before a linear SVM
   (:mod:`.kernel`; the kernel's error falls with the root of their number), or ``linear``; more than
   two classes use one-vs-rest.
-* linear regression: ordinary least squares (regParam 0, normal equations).
+* linear regression: ordinary least squares (regParam 0, normal equations); its cross-validation and
+  learning curve need no fit per subset (:mod:`.linear_folds`).
 
 Every fit is a distributed Spark ML job; only loops over a bounded number of fits
 (folds, grid points, RFE steps) run on the driver.
@@ -38,8 +39,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import c
 from ..operators.metrics import balanced_weights, model_comparison
 from ..operators.split import assign_folds, hash_positions
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..session import ensure_checkpoint_dir, materialise, reliable_checkpoint
 from .kernel import RandomFourierFeatures, default_gamma
+from .linear_folds import curve_scores, fold_scores
 
 CLASSIFIERS = ("random_forest", "logistic_regression", "svm")
 REGRESSORS = ("random_forest", "linear_regression")
@@ -274,7 +276,13 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
                    hyperparameters: dict | None = None, cv_folds: int = 5, seed: int = 42,
                    parallelism: int = 1) -> DataFrame:
     """Per-fold train and test scores plus mean and population std per (side, metric):
-    (fold, side, metric, value) with fold = -1 for 'mean' and -2 for 'std' rows."""
+    (fold, side, metric, value) with fold = -1 for 'mean' and -2 for 'std' rows.  All folds of a
+    linear regression come from one pass (:mod:`.linear_folds`)."""
+    if model_type == "linear_regression":
+        _check(model_type, problem_type)
+        build_estimator(model_type, problem_type, hyperparameters, 0)  # unknown arguments raise
+        return _with_summary(materialise(fold_scores(assign_folds(df, key_cols, cv_folds, seed), features, label, cv_folds),
+                                         "fold-scores"))
     preds, folds = _fold_predictions(df, features, label, key_cols, model_type, problem_type,
                                      hyperparameters, cv_folds, seed, parallelism)
     # All fold predictions are materialised once (reliable checkpoint) before the
@@ -285,6 +293,10 @@ def cross_validate(df: DataFrame, features: list[str], label: str, key_cols: lis
                                "score" if problem_type == "classification" else None, problem_type)
     per = long.select(F.split("model", r"\|")[0].cast("int").alias("fold"),
                       F.split("model", r"\|")[1].alias("side"), "metric", "value")
+    return _with_summary(per)
+
+
+def _with_summary(per: DataFrame) -> DataFrame:
     summ = per.groupBy("side", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     return per.unionByName(summ.select(F.lit(-1).alias("fold"), "side", "metric", F.col("mean").alias("value"))) \
         .unionByName(summ.select(F.lit(-2).alias("fold"), "side", "metric", F.col("std").alias("value")))
@@ -298,6 +310,8 @@ def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: lis
     order) of the fold's training part, score that subset and the test fold.
     Returns (train_size, side, mean, std) over folds."""
     sizes = train_sizes or [round(0.1 * i, 1) for i in range(1, 11)]
+    if model_type == "linear_regression":
+        return _linear_curve(df, features, label, key_cols, sizes, cv_folds, seed, metric, problem_type)
     folds = reliable_checkpoint(assign_folds(df, key_cols, cv_folds, seed,
                                              stratify_by=label if problem_type == "classification" else None))
     tasks = []
@@ -333,6 +347,25 @@ def learning_curve(df: DataFrame, features: list[str], label: str, key_cols: lis
     return per.groupBy("train_size", "side").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
+def _linear_curve(df, features, label, key_cols, sizes, k, seed, metric, problem_type) -> DataFrame:
+    """The learning curve of least squares: the same subsets, all models from one pass over their rows."""
+    _check("linear_regression", problem_type)
+    steps = reliable_checkpoint(assign_folds(df.select(*[c(x) for x in dict.fromkeys([*key_cols, *features, label])]),
+                                             key_cols, k, seed))
+    n = {r["fold"]: r["count"] for r in steps.groupBy("fold").count().collect()}
+    order = sorted(sizes)
+    for i in range(k):
+        rest = sum(n.values()) - n.get(i, 0)
+        steps = hash_positions(steps.withColumn("_tests", F.col("fold") == i), key_cols, seed + i, "_tests", "_pos")
+        step = F.lit(len(order))
+        for j in reversed(range(len(order))):
+            step = F.when(F.col("_pos") < int(math.ceil(order[j] * rest)), j).otherwise(step)
+        steps = steps.withColumn(f"_step{i}", F.when(F.col("_tests"), -1).otherwise(step)).drop("_tests", "_pos")
+    steps = steps.withColumn("_steps", F.array(*[F.col(f"_step{i}") for i in range(k)]))
+    per = curve_scores(steps, features, label, order, k, "_steps").where(F.col("metric") == metric)
+    return per.groupBy("train_size", "side").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+
+
 def rfe_select(df: DataFrame, features: list[str], label: str, k: int, step: int = 1,
                n_trees: int = 50, seed: int = 42) -> list[str]:
     """Recursive feature elimination with forest importances: drop the weakest

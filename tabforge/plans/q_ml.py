@@ -100,6 +100,25 @@ def cross_validate(spark, d):
     return cv.select("fold", "side", "metric", r6(F.col("value")).alias("value"))
 
 
+_FOLDED = """folded AS (SELECT x, y, (row_number() OVER (ORDER BY md5(concat(k, '|42')), k) - 1) % 4 AS fold
+FROM (SELECT CAST(customer_id AS VARCHAR) AS k, n_orders AS x, total_charges AS y FROM c360)),
+fits AS (SELECT f.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM folded t
+  JOIN (SELECT DISTINCT fold FROM folded) f ON t.fold <> f.fold GROUP BY f.fold),
+scored AS (SELECT f.fold, CASE WHEN t.fold = f.fold THEN 'test' ELSE 'train' END AS side, y, y - a - b * x AS e
+  FROM folded t, fits f)"""
+
+
+@query("cross_validate_linear", with_views(["c360"], f"""SELECT * FROM (WITH {_FOLDED}
+SELECT CAST(fold AS INTEGER) AS fold, side, round(avg(abs(e)) / 1000, 6) AS mae,
+  round(1 - sum(e * e) / (var_pop(y) * count(y)), 6) AS r2 FROM scored GROUP BY fold, side)"""))
+def cross_validate_linear(spark, d):
+    """N10 for least squares: mean absolute error (in thousands) and r2 of all folds."""
+    df = c360(spark, d).select(F.col("customer_id").cast("string").alias("k"), "n_orders", "total_charges")
+    cv = M.cross_validate(df, ["n_orders"], "total_charges", ["k"], "linear_regression", "regression", {}, cv_folds=4)
+    one = {m: F.max(F.when(F.col("metric") == m, F.col("value"))) for m in ("mae", "r2")}
+    return cv.where("fold >= 0").groupBy("fold", "side").agg(r6(one["mae"] / 1000).alias("mae"), r6(one["r2"]).alias("r2"))
+
+
 @query("learning_curve")
 def learning_curve(spark, d):
     df = c360(spark, d).select(*KEY, *FEATS, "churn")

@@ -194,6 +194,58 @@ def test_learning_curve_sizes(planted):
     assert len(lc) == 4 and (lc["mean"] > 0.8).all() and (lc["std"] >= 0).all()
 
 
+def test_linear_folds_equal_single_fits(planted):
+    """All folds from one pass against a fit by numpy per fold; two equal columns change nothing."""
+    df = planted.withColumn("c", F.col("c") + 1e4).withColumn("twin", F.col("b"))
+    cv = M.cross_validate(df, ["a", "b", "c"], "z", KEY, "linear_regression", "regression", {}, 4)
+    got = {(r.fold, r.side, r.metric): r.value for r in cv.where("fold >= 0").collect()}
+    rows = M.assign_folds(df, KEY, 4, 42).select("fold", "a", "b", "c", "z").toPandas()
+    for i in range(4):
+        tr = rows[rows.fold != i]
+
+        def design(x):
+            return np.column_stack([np.ones(len(x)), x[["a", "b", "c"]]])
+
+        beta = np.linalg.lstsq(design(tr), tr.z, rcond=None)[0]
+        for side, part in (("train", tr), ("test", rows[rows.fold == i])):
+            e = part.z - design(part) @ beta
+            want = {"mse": (e * e).mean(), "rmse": math.sqrt((e * e).mean()), "mae": e.abs().mean(),
+                    "r2": 1 - (e * e).sum() / ((part.z - part.z.mean()) ** 2).sum()}
+            for metric, value in want.items():
+                assert got[i, side, metric] == pytest.approx(value, rel=1e-6)
+    twin = M.cross_validate(df, ["a", "b", "c", "twin"], "z", KEY, "linear_regression", "regression", {}, 4)
+    for r in twin.where("fold >= 0").collect():
+        assert r.value == pytest.approx(got[r.fold, r.side, r.metric], rel=1e-6)
+
+
+def test_linear_folds_refuse_missing_values(planted):
+    with pytest.raises(ValueError, match="missing"):
+        M.cross_validate(planted.withColumn("a", F.when(F.col("k") > 3, F.col("a"))), ["a"], "z", KEY, "linear_regression",
+                         "regression", {}, 3)
+    with pytest.raises(ValueError, match="Unknown"):
+        M.cross_validate(planted, ["a"], "z", KEY, "linear_regression", "regression", {"C": 1}, 3)
+
+
+def test_linear_curve_equals_single_fits(planted):
+    """The curve of least squares against fits on the same subsets."""
+    lc = M.learning_curve(planted, ["a", "c"], "z", KEY, "linear_regression", "regression", [1.0, 0.05], 3, metric="mse")
+    got = {(r.train_size, r.side): (r["mean"], r["std"]) for r in lc.collect()}
+    folds = M.assign_folds(planted, KEY, 3, 42).cache()
+    want: dict = {}
+    for i in range(3):
+        tr = M.hash_positions(folds.where(F.col("fold") != i), KEY, 42 + i).toPandas()
+        te = folds.where(F.col("fold") == i).toPandas()
+        for size in (1.0, 0.05):
+            sub = tr[tr._pos < math.ceil(size * len(tr))]
+            beta = np.linalg.lstsq(np.column_stack([np.ones(len(sub)), sub[["a", "c"]]]), sub.z, rcond=None)[0]
+            for side, part in (("train", sub), ("test", te)):
+                e = part.z - np.column_stack([np.ones(len(part)), part[["a", "c"]]]) @ beta
+                want.setdefault((size, side), []).append((e * e).mean())
+    assert got.keys() == want.keys()
+    for key, values in want.items():
+        assert got[key] == pytest.approx((np.mean(values), np.std(values)), rel=1e-6)
+
+
 # ---------------------------------------------------------------- saving and scoring
 
 def test_saved_model_scores_the_same_everywhere(spark, planted):
