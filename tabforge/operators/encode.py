@@ -6,9 +6,10 @@
 * label (D2): code = position of ``coalesce(value, 'nan')`` among the sorted
   distinct strings; computed with distributed prefix sums, applied by a join.
 * auto routing (D3), smoothed target encoding (D4), frequency encoding (D5),
-  dummy encoding with drop-first (D6).
+  dummy encoding with drop-first (D6), as columns up to a limit that raises, or as one sparse
+  vector for any number of categories.
 
-Category lists that go through the driver are bounded by ``max_categories``.
+Category lists that go through the driver are bounded by ``max_categories`` (``max_columns`` for dummies).
 Per-value maps (label, target, frequency) stay DataFrames and are joined; Spark
 chooses the join by the map's size in bytes and splits skewed keys at run time.
 """
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import c, string_columns, unpivot_strings
 from ..functions.params import params_from_rows
 from ..functions.ranks import prefix_sums
+from ..session import materialise
 
 NULL_LABEL = "nan"
+MAX_DUMMY_COLUMNS = 10_000
 
 
 def _join_map(df: DataFrame, m: DataFrame, left_col, right_col: str) -> DataFrame:
@@ -86,14 +89,76 @@ def onehot_encode(df: DataFrame, cols: list[str] | None = None, max_categories:
     return apply_onehot(df, p), p
 
 
-def dummy_encode(df: DataFrame, cols: list[str] | None = None, as_type: str = "int") -> DataFrame:
+def dummy_encode(df: DataFrame, cols: list[str] | None = None, as_type: str = "int",
+                 max_columns: int = MAX_DUMMY_COLUMNS) -> DataFrame:
     """``pd.get_dummies(drop_first=True)``: all categories of every string column, the
-    lowest dropped; NULL gets no column (its row is all zeros)."""
+    lowest dropped; NULL gets no column (its row is all zeros).  More than ``max_columns`` new
+    columns raise: :func:`dummy_vector` takes any number."""
     cols = cols if cols is not None else string_columns(df)
+    wide = sum(max(n - 1, 0) for n in distinct_counts(df, cols).values())
+    if wide > max_columns:
+        raise ValueError(f"{wide} dummy columns are more than {max_columns}; use dummy_vector")
     p = fit_onehot(df, cols, max_categories=2 ** 31 - 1, drop_first=True, include_null=False)
     return apply_onehot(df, p, as_type)
 
 
+def fit_dummy_positions(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, value, position, code, size): the place of every dummy column among those of all ``cols``
+    (in the order of ``cols``, then of the values; the lowest value of a feature has none), its place within
+    its feature and the feature's number of places.  The list of categories stays distributed; one
+    number per column reaches the driver."""
+    values = unpivot_strings(df, cols, drop_nulls=True).distinct().withColumn("_one", F.lit(1))
+    ranked = materialise(prefix_sums(values, ["feature"], "value", ["_one"]).select(
+        "feature", "value", (F.col("cum__one") - 2).alias("code"), (F.col("tot__one") - 1).alias("size")), "dummy-codes")
+    sizes = {r["feature"]: r["size"] for r in ranked.groupBy("feature").agg(F.first("size").alias("size")).collect()}
+    before, starts = 0, []
+    for x in cols:
+        starts.append(F.when(F.col("feature") == x, F.lit(before)))
+        before += sizes.get(x, 0)
+    return ranked.where("code >= 0").select("feature", "value", (F.coalesce(*starts) + F.col("code")).cast("long")
+                                            .alias("position"), F.col("code").cast("long").alias("code"),
+                                            F.col("size").cast("long").alias("size"))
+
+
+def apply_dummy_positions(df: DataFrame, positions: DataFrame, cols: list[str], out: str = "dummies",
+                          which: str = "position") -> DataFrame:
+    """``df`` without ``cols`` and with ``out``, an array of the row's positions (``code``: of its place within each
+    column, in the order of ``cols``, NULL for none).  NULL, lowest and unseen values have none."""
+    names = [f"_dummy{i}" for i in range(len(cols))]
+    res = df
+    for x, name in zip(cols, names):
+        one = positions.where(F.col("feature") == x).select(F.col("value").alias("_dv"), F.col(which).alias(name))
+        res = _join_map(res, one, c(x).cast("string"), "_dv")
+    found = F.array(*[F.col(n) for n in names]).cast("array<bigint>")
+    if which == "position":
+        found = F.array_compact(found)
+    return res.select(*[c(x) for x in df.columns if x not in cols], found.alias(out))
+
+
+def dummy_vector(df: DataFrame, cols: list[str] | None = None, out: str = "dummies",
+                 positions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Drop-first dummies as one sparse vector column for models, any number of categories: every value's code
+    comes by a join, Spark's encoder and assembler make the vector.  Returns (rows, positions); ``positions``
+    of an earlier call re-applies its columns."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    cols = cols if cols is not None else string_columns(df)
+    if positions is None:
+        positions = materialise(fit_dummy_positions(df, cols), "dummy-positions")
+    sizes = {r["feature"]: r["size"] for r in positions.groupBy("feature").agg(F.first("size").alias("size")).collect()}
+    wide = [x for x in cols if sizes.get(x)]
+    if not wide:
+        raise ValueError("no column has two values")
+    rows = apply_dummy_positions(df, positions, cols, "_codes", "code")
+    codes, vectors = [f"_code{i}" for i in range(len(wide))], [f"_vector{i}" for i in range(len(wide))]
+    # A code one past the last stands for no category; the encoder leaves it (handleInvalid, dropLast) all zeros.
+    rows = rows.select("*", *[F.coalesce(F.get("_codes", F.lit(cols.index(x))), F.lit(sizes[x])).cast("double").alias(n)
+                              for x, n in zip(wide, codes)])
+    largest = df.sparkSession.createDataFrame([tuple(float(sizes[x] - 1) for x in wide)], [*codes])
+    encoder = OneHotEncoder(inputCols=codes, outputCols=vectors, handleInvalid="keep", dropLast=True).fit(largest)
+    rows = VectorAssembler(inputCols=vectors, outputCol=out).transform(encoder.transform(rows))
+    return rows.drop("_codes", *codes, *vectors), positions
+
+
 def fit_label(df: DataFrame, col: str) -> DataFrame:
     """(value, code): code = index of the value among sorted distinct strings, NULL
     counted as the text ``nan``.  Distinct values -> prefix sums (no global window)."""

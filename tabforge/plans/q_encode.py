@@ -43,6 +43,32 @@ def dummy_encode(spark, d):
     return D.dummy_encode(_orders_nulled(spark, d), ["o_orderpriority", "o_orderstatus"])
 
 
+def _positions(table: str, cols: list[str]) -> str:
+    """Places of drop-first dummies, as a subquery (feature, value, position)."""
+    long = " UNION ".join(f"SELECT {i} AS i, '{x}' AS feature, CAST({x} AS VARCHAR) AS value FROM {table} WHERE {x} IS NOT NULL"
+                          for i, x in enumerate(cols))
+    return f"""(SELECT feature, value, row_number() OVER (ORDER BY i, value) - 1 AS position FROM (SELECT *, row_number()
+  OVER (PARTITION BY i ORDER BY value) AS r FROM ({long})) WHERE r > 1)"""
+
+
+_SPARSE = ["o_custkey", "o_orderpriority", "o_orderdate"]
+_SPARSE_ROWS = """(SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+  CAST(o_orderdate AS DATE) AS o_orderdate FROM orders)"""
+
+
+@query("dummy_encode_sparse", f"""SELECT o_orderkey, coalesce(string_agg(CAST(position AS VARCHAR), ',' ORDER BY position), '')
+  AS positions FROM (SELECT o_orderkey, unnest([{', '.join(f"'{x}'" for x in _SPARSE)}]) AS feature,
+  unnest([{', '.join(f'CAST({x} AS VARCHAR)' for x in _SPARSE)}]) AS value FROM {_SPARSE_ROWS})
+  LEFT JOIN {_positions(_SPARSE_ROWS, _SPARSE)} USING (feature, value) GROUP BY o_orderkey""")
+def dummy_encode_sparse(spark, d):
+    """D6 for many categories: places of the ones in every row's dummy vector."""
+    df = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.to_date("o_orderdate").alias("o_orderdate"))
+    out = D.apply_dummy_positions(df, D.fit_dummy_positions(df, _SPARSE), _SPARSE)
+    return out.select("o_orderkey", F.array_join("dummies", ",").alias("positions"))
+
+
 @query("label_encode", """SELECT p_partkey,
   CAST(dense_rank() OVER (ORDER BY coalesce(p_brand, 'nan')) - 1 AS INTEGER) AS p_brand FROM part""")
 def label_encode(spark, d):

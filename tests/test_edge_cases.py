@@ -207,3 +207,31 @@ def test_mode_takes_the_smallest_of_the_most_frequent(spark):
     from tabforge.operators.impute import most_frequent
     df = spark.createDataFrame([("f", "b"), ("f", "a"), ("f", "b"), ("f", "a"), ("f", "c"), ("g", None)], "feature string, value string")
     assert [tuple(r) for r in most_frequent(df).collect()] == [("f", "a", 2)]
+
+
+def test_dummy_vector_equals_the_wide_form(spark):
+    """Sparse vectors against the columns of the wide form, NULLs, a constant and an empty column included."""
+    rows = [(i, "abcd"[i % 4] if i % 5 else None, f"v{i % 7}", "same", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, one string, none string")
+    cols = ["b", "one", "a", "none"]
+    vectors, positions = encode.dummy_vector(df, cols)
+    names = [f"{r.feature}_{r.value}" for r in positions.orderBy("position").collect()]
+    wide = {r.k: r for r in encode.dummy_encode(df, cols).collect()}
+    got = vectors.collect()
+    assert vectors.columns == ["k", "dummies"] and len(got) == 40 and len(names) == 9
+    for r in got:
+        assert r.dummies.toArray().tolist() == [wide[r.k][n] for n in names]
+    unseen = spark.createDataFrame([(1, "zz", "v3", "same", "x")], df.schema)
+    again, _ = encode.dummy_vector(unseen, cols, positions=positions)
+    assert [names[i] for i in again.first().dummies.indices] == ["b_v3"]
+
+
+def test_many_dummies_stay_off_the_driver(spark):
+    """A hundred thousand categories: the wide form raises, the sparse one has a place for each."""
+    df = spark.range(100_000).select("id", F.concat(F.lit("c"), F.format_string("%06d", "id")).alias("name"))
+    with pytest.raises(ValueError, match="dummy_vector"):
+        encode.dummy_encode(df, ["name"])
+    out, _ = encode.dummy_vector(df, ["name"])
+    row = out.where("id = 70000").first().dummies
+    assert (row.size, list(row.indices)) == (99_999, [69_999])
+    assert out.where("id = 0").first().dummies.numNonzeros() == 0
