@@ -1,10 +1,12 @@
 """Toxicity by noisy-channel deobfuscation.
 
 1. A character trigram model is counted over the words of all documents.
-2. Obfuscated spots (a digit or symbol inside a word, a letter three times in a row,
-   letters spaced out one by one) are read as lattices: every character may stand for
+2. Every token with a letter and a digit, symbol or doubled letter, and every run of three or more
+   one-character tokens, is read as a lattice, however long: every character may stand for
    itself, for the letters it imitates, or for nothing; runs may shrink to one or two
-   letters.  The Viterbi path under the character model is the restored text.
+   letters; a blank between single characters may end a word or stand for nothing.  The Viterbi
+   path under the character model is the restored text.  Symbols at a token's edges may be punctuation
+   or letters: both readings are decoded.  A token without any letter is a number or punctuation.
 3. Restored and ordinary words and their beginnings (4, 5 and 6 bytes) are the features
    of a logistic regression on labelled documents; those that occur in clean documents
    as often as in toxic ones are left out beforehand.
@@ -22,6 +24,7 @@ of both kinds all scores are 0; repeated rows are scored each.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,13 +42,13 @@ MIN_LIFT = 1.0    # log-odds over the prior
 PRIOR_ROWS = 5.0
 RIDGE = 0.0002
 PREFIXES = (4, 5, 6)
-MAX_SPOT = 40  # longest obfuscated spot that is decoded, in characters; longer ones are not words
+CACHED_SPOT = 80  # restored spots up to this many characters are remembered by a task
 
 #: Letters a character imitates.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "", "#": "h"}
 SEPARATORS = set(".-_*~'^/\\ ·")
-SUBSTITUTE, DROP, COLLAPSE = -1.0, -1.0, -0.5  # log channel costs
+SUBSTITUTE, DROP, COLLAPSE, WORD_END = -1.0, -1.0, -0.5, -1.0  # log channel costs
 
 
 def _letter_classes():
@@ -96,107 +99,151 @@ def fit_characters(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     counts = np.zeros(ALPHABET ** 3)
     counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     counts = counts.reshape(ALPHABET, ALPHABET, ALPHABET)
+    same = np.arange(1, 59)
+    counts[same, same, same] = 0  # a letter three times in a row is repetition, not spelling
     pair = counts.sum(axis=0) + 0.5  # back-off: the class after one other
     back = pair / pair.sum(axis=1, keepdims=True)
     return np.log((counts + 20 * back[None]) / (counts.sum(axis=2, keepdims=True) + 20))
 
 
-def _options(ch: str, inner: bool) -> list[tuple[str, float]]:
-    """Letters that a character may stand for, with channel costs; '' drops it."""
+def _options(ch: str, inner: bool) -> list[tuple[str, int, float]]:
+    """Letters that a character may stand for, their classes and channel costs; '' drops it, a blank
+    ends a word."""
     out = [(ch, 0.0)] if ch.isalpha() else []
     out += [(x, SUBSTITUTE) for x in LEET.get(ch, "")]
     if inner and ch in SEPARATORS:
         out.append(("", DROP / 2 if ch == " " else DROP))
-    return out
+        if ch == " ":
+            out.append((" ", WORD_END))
+    return [(x, int(_CLASS[min(ord(x[0]), 0x180)]) if x else 0, cost) for x, cost in out]
+
+
+_known: dict = {"logp": None, "key": None, "nested": None, "spots": {}}
+
+
+def _model(logp: np.ndarray):
+    """The character model as nested lists; what was restored under another model is forgotten."""
+    if _known["logp"] is not logp:
+        key = logp.tobytes()
+        if key != _known["key"]:
+            _known.update(key=key, nested=logp.tolist(), spots={})
+        _known["logp"] = logp
+    return _known["nested"]
+
+
+_BREAK = re.compile(r"\s{2,}|[\t-\r]")
 
 
 def restore(spot: str, logp: np.ndarray) -> str:
     """Most likely letters behind an obfuscated spot.  States are the last two classes;
     a letter equal to the one before it may also be swallowed (repetition).  A character
-    with no reading at all stays as an edge between words."""
-    low = spot.lower()
-    paths = {(0, 0): (0.0, "")}
+    with no reading at all, a line's end and several blanks stay as an edge between words.  Paths share
+    what they have in common, so memory grows with the spot's length alone."""
+    table = _model(logp)
+    low = _BREAK.sub("\n", spot.strip().lower())
+    memo: dict = {}
+    paths: dict = {(0, 0): (0.0, None)}  # score, (last letter, what precedes it)
     for i, ch in enumerate(low):
-        options = _options(ch, 0 < i < len(low) - 1)
+        key = (ch, 0 < i < len(low) - 1)
+        options = memo.get(key)
+        if options is None:
+            options = memo[key] = _options(*key)
         step: dict = {}
 
-        def offer(state, score, text):
-            if state not in step or (score, text) > step[state]:
-                step[state] = (score, text)
+        def offer(state, score, node):
+            if state not in step or score > step[state][0]:
+                step[state] = (score, node)
 
-        for (a, b), (score, text) in paths.items():
+        for (a, b), (score, node) in paths.items():
+            row = table[a][b]
+            last = node[0] if node else " "
             if not options:
-                offer((0, 0), score + float(logp[a, b, 0]), text + " " if text and text[-1] != " " else text)
-            for letter, cost in options:
+                offer((0, 0), score + row[0], node if last == " " else (" ", node))
+            for letter, c, cost in options:
                 if not letter:
-                    offer((a, b), score + cost, text)
-                    continue
-                c = int(_CLASS[min(ord(letter[0]), 0x180)])
-                offer((b, c), score + cost + float(logp[a, b, c]), text + letter)
-                if text and text[-1] == letter and c:
-                    offer((a, b), score + cost + COLLAPSE, text)
+                    offer((a, b), score + cost, node)
+                elif letter == " ":
+                    if last != " ":
+                        offer((0, 0), score + cost + row[0], (" ", node))
+                else:
+                    offer((b, c), score + cost + row[c], (letter, node))
+                    if last == letter and c:
+                        offer((a, b), score + cost + COLLAPSE, node)
         paths = step
-    return max((score + float(logp[a, b, 0]), text) for (a, b), (score, text) in paths.items())[1]
+    _, node = max(((score + table[a][b][0], node) for (a, b), (score, node) in paths.items()), key=lambda x: x[0])
+    out = []
+    while node:
+        out.append(node[0])
+        node = node[1]
+    return "".join(reversed(out))
+
+
+def _bytes(*values) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for v in values:
+        out[list(v)] = True
+    return out
+
+
+_IS_LETTER = _bytes(range(65, 91), range(97, 123), range(128, 256))
+_IMITATES = _bytes(b"".join(k.encode() for k, v in LEET.items() if v))
+_DIGIT = _bytes(b"0123456789@$")
+_CONTINUES = _bytes(range(0x80, 0xC0))
 
 
-_IS_LETTER = np.zeros(256, bool)
-_IS_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_IS_CONTENT = _IS_LETTER.copy()
-_IS_CONTENT[list(b"0123456789@$")] = True
-_GLUE = np.zeros(256, bool)  # symbols that may stand inside an obfuscated word
-_GLUE[list(b"0123456789@$!|+(<*#.-_~'^/\\")] = True
+def _ends(mask, starts, ends):
+    """First marked byte of each token and the byte behind its last one (empty: its start twice)."""
+    pos = np.append(np.flatnonzero(mask), len(mask))
+    lo, hi = np.searchsorted(pos, starts), np.searchsorted(pos, ends)
+    some = hi > lo
+    return np.where(some, pos[lo], starts), np.where(some, pos[np.maximum(hi - 1, 0)] + 1, starts)
 
 
 def spots(data, off) -> list[tuple[int, int, int]]:
-    """(text, start, end) of obfuscated spots, in bytes of ``data``."""
+    """(text, start, end) of what is read as a lattice, in bytes of ``data``; equal tokens of a text once."""
     n = len(data)
-    if n < 3:
-        return []
-    letter, content = _IS_LETTER[data], _IS_CONTENT[data]
-    first, _, starts, ends = text_tokens(data, off)
+    first, whole, starts, ends = text_tokens(data, off)
     if not len(starts):
         return []
-    lens = ends - starts
-    inside = np.zeros(n + 1, np.int64)
-    np.cumsum(letter, out=inside[1:])
-    letters = inside[ends] - inside[starts]
-    # first and last content byte of each token
-    pos = np.flatnonzero(content)
-    lo = np.searchsorted(pos, starts)
-    hi = np.searchsorted(pos, ends) - 1
-    some = (hi >= lo) & (letters > 0) & (lens <= 4 * MAX_SPOT)
-    a = np.where(some, pos[np.minimum(lo, len(pos) - 1)], starts) if len(pos) else starts
-    b = np.where(some, pos[np.maximum(hi, 0)] + 1, starts) if len(pos) else starts
-    # trailing content that is no letter ($$$) is dropped: go back to the last letter
-    lpos = np.flatnonzero(letter)
-    lhi = np.searchsorted(lpos, ends) - 1
-    last = np.where(some, lpos[np.maximum(lhi, 0)] + 1, starts) if len(lpos) else starts
-    mixed = some & (inside[last] - inside[np.minimum(a, last)] < last - a) & (2 * letters >= last - a)
+    letter = _IS_LETTER[data]
+
+    def total(mask):
+        return np.concatenate(([0], np.cumsum(mask)))
+
+    letters = total(letter)
     low = data | np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
-    triple = np.flatnonzero((low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & letter[2:])
-    if len(triple):
-        t = np.searchsorted(starts, triple, side="right") - 1
-        ok = triple + 2 < ends[t]
-        mixed[t[ok]] |= some[t[ok]]
-    out = []
-    which = np.flatnonzero(mixed)
-    doc = np.searchsorted(first, which, side="right") - 1
-    out += list(zip(doc.tolist(), a[which].tolist(), last[which].tolist()))
-    # letters spaced out one by one: at least three single-letter tokens in a row
-    single = (lens == 1) & (letters == 1)
+    twice = np.zeros(n, bool)
+    twice[:-1] = (low[1:] == low[:-1]) & letter[1:] & (data[:-1] < 128)
+    if n > 3:
+        twice[:-3] |= (data[:-3] >= 0xC3) & (data[2:-1] == data[:-3]) & (data[3:] == data[1:-2])  # two-byte letters
+    doubled = total(twice)
+    double = doubled[ends - 1] > doubled[starts]
+    word = letters[ends] > letters[starts]
+    doc = np.searchsorted(first, np.arange(len(starts)), side="right") - 1
+    _, once = np.unique(whole ^ mix64(doc.astype(np.uint64)), return_index=True)
+    seen = np.zeros(len(starts), bool)
+    seen[once] = True
+
+    def chosen(a, b):
+        return seen & word & (b > a) & ((letters[b] - letters[a] < b - a) | double)
+
+    a, b = _ends(letter | _IMITATES[data], starts, ends)  # symbols at the edges are letters
+    inner, _ = _ends(letter | _DIGIT[data], starts, ends)  # or punctuation
+    _, last = _ends(letter, starts, ends)
+    one, two = chosen(a, b), chosen(inner, last)
+    two &= ~one | (inner != a) | (last != b)
+    out = [(doc[one], a[one], b[one]), (doc[two], inner[two], last[two])]
+    # Runs of one-character tokens, whatever stands between them.
+    heads = total(~_CONTINUES[data])
+    single = (heads[ends] - heads[starts] == 1) & (letter | _IMITATES[data])[starts]
     joined = np.zeros(len(starts), bool)
-    joined[1:] = single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1) & (data[ends[:-1]] == 32)
-    joined[first[(first > 0) & (first < len(starts))]] = False
+    joined[1:] = single[1:] & single[:-1] & (doc[1:] == doc[:-1])
     begin = np.flatnonzero(single & ~joined)
-    if len(begin):
-        stop = np.searchsorted(np.flatnonzero(~joined), begin, side="right")
-        edges = np.append(np.flatnonzero(~joined), len(starts))
-        run_end = edges[stop]
-        long = run_end - begin >= 3
-        for s, e in zip(begin[long], run_end[long]):
-            if starts[s] < ends[e - 1] <= starts[s] + 2 * MAX_SPOT:
-                out.append((int(np.searchsorted(first, s, side="right") - 1), int(starts[s]), int(ends[e - 1])))
-    return [(d, s, e) for d, s, e in out if e > s]
+    edges = np.append(np.flatnonzero(~joined), len(starts))
+    stop = edges[np.searchsorted(edges, begin, side="right")]
+    run = (stop - begin >= 3) & (letters[ends[stop - 1]] > letters[starts[begin]])
+    out.append((doc[begin[run]], starts[begin[run]], ends[stop[run] - 1]))
+    return list(zip(*(np.concatenate(x).tolist() for x in zip(*out))))
 
 
 _SALT = {p: np.uint64(0xA0761D6478BD642F * p & (1 << 64) - 1) for p in PREFIXES}
@@ -221,29 +268,29 @@ def features(data, off):
     return doc, np.stack(cols, axis=1) if len(whole) else np.zeros((0, 1 + len(PREFIXES)), np.uint64)
 
 
-_restored: dict[str, str] = {}
-
-
 def word_features(data, off, logp):
     """Features of a slice of texts: ordinary words and those of the restored spots."""
     doc, feats = features(data, off)
     found = spots(data, off)
     if not found:
         return doc, feats
-    texts: dict[int, list[str]] = {}
+    _model(logp)
+    known, raw = _known["spots"], data.tobytes()
+    texts: dict[int, dict] = {}
     for d, s, e in found:
-        spot = data[s:e].tobytes().decode("utf-8", "replace")
-        if len(spot) > 2 * MAX_SPOT:
-            continue
-        if spot not in _restored:
-            if len(_restored) > 200_000:
-                _restored.clear()
-            _restored[spot] = restore(spot, logp)
-        texts.setdefault(d, []).append(_restored[spot])
+        spot = raw[s:e]
+        text = known.get(spot)
+        if text is None:
+            text = restore(spot.decode("utf-8", "replace"), logp)
+            if len(spot) <= CACHED_SPOT:
+                if len(known) > 200_000:
+                    known.clear()
+                known[spot] = text
+        texts.setdefault(d, {})[text] = None
     docs = sorted(texts)
-    raw = [" ".join(dict.fromkeys(texts[d])).encode() for d in docs]
-    more_off = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
-    more_doc, more = features(np.frombuffer(b"".join(raw), np.uint8), more_off)
+    joined = [" ".join(texts[d]).encode() for d in docs]
+    more_off = np.concatenate(([0], np.cumsum([len(r) for r in joined]))).astype(np.int64)
+    more_doc, more = features(np.frombuffer(b"".join(joined), np.uint8), more_off)
     return np.concatenate((doc, np.array(docs, np.int64)[more_doc])), np.concatenate((feats, more))
 
 
