@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -60,10 +62,13 @@ def candidate_spans(text: str) -> list[tuple[int, int, int, str]]:
     """Base spans and the long mixed tokens that overlap none of them."""
     base = base_spans(text)
     out = list(base)
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[2] for b in base), max))  # the furthest end of the spans up to here
     for m in OWNED.finditer(text):
         v = m[0]
         mixed = re.search("[A-Za-z]", v) and re.search("[0-9]", v)
-        if mixed and not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+        before = bisect_left(starts, m.end())  # base spans that begin before the token ends
+        if mixed and not (before and reach[before - 1] > m.start()):
             out.append((m.start(), 3, m.end(), v))
     return sorted(out)
 
