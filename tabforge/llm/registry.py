@@ -106,11 +106,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the corpus after three batches: every document is inserted, exact
     copies are deleted (the smallest id of a text stays), and documents whose text
     changes when runs of blanks are collapsed get a revised count.  The first batch is
-    delivered twice, as after a lost acknowledgement."""
+    delivered twice, as after a lost acknowledgement.  A row without id is named by a hash of its
+    text, source and language, so it counts too (equal such rows once)."""
     from .common import hash128, materialise, scratch_path
     from .token_rollup import TokenRollup, with_token_counts
     version = F.lit("byte_bpe_50k").alias("version")
-    docs = table(spark, sf_dir, "documents").where("doc_id is not null")
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", *hash128(text))
+    name = F.concat_ws(":", F.lit("row"), F.col("h1"), F.col("h2"), F.xxhash64("source", "lang"))
+    docs = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("doc_id").cast("string"), name).alias("doc_id"),
+                       "source", "lang", "text", "h1", "h2")
     rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
 
     def facts(rows, op, seq):
@@ -120,10 +125,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     inserts = facts(docs, "set", 1)
     rollup.apply(1, inserts)
     rollup.apply(1, inserts)
-    text = F.coalesce("text", F.lit(""))
-    hashed = docs.select("doc_id", "source", "lang", *hash128(text))
-    firsts = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
-    copies = materialise(hashed.join(firsts.select("doc_id"), "doc_id", "left_anti"), "copies")
+    hashed = docs.select("id", "doc_id", "source", "lang", "h1", "h2")
+    firsts = hashed.groupBy("h1", "h2").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("f"))
+    copies = materialise(hashed.join(firsts.select("f.doc_id"), "doc_id", "left_anti"), "copies")
     rollup.apply(2, copies.select("doc_id", version, "source", "lang", F.lit("delete").alias("op"),
                                   F.lit(0).cast("long").alias("n_tokens"), F.lit(1).alias("seq")))
     clean = F.regexp_replace(text, r"[\x20\t]{2,}", " ")

@@ -11,7 +11,8 @@ overwritten on a retry; they are computed from earlier batches only) and then th
 marker ``commits/batch=N``.  Readers use marked batches only; applying a marked batch
 again changes nothing.  Batches are numbered in the order they must be applied.
 
-Defined results: documents without id cannot be revised or deleted and are not counted;
+Defined results: ids may be of any type and are kept as text; facts without id cannot be revised or deleted
+and are not counted (the query names rows without id by a hash of their content first);
 of several facts about one document and version in a batch, the last by ``seq`` counts
 (the larger count on a tie), so a repeated row counts once; deleting an unknown
 document does nothing; NULL source and language are groups of their own; a NULL text
@@ -27,7 +28,7 @@ from .common import ship, text_buffers
 
 KEY = ["doc_id", "version"]
 GROUP = ["source", "lang", "version"]
-LEDGER = "doc_id long, version string, source string, lang string, d_docs long, d_tokens long"
+LEDGER = "doc_id string, version string, source string, lang string, d_docs long, d_tokens long"
 DELTAS = "source string, lang string, version string, d_docs long, d_tokens long"
 
 
@@ -56,12 +57,13 @@ class TokenRollup:
             return False
         if done and batch < done[-1]:
             raise ValueError(f"batch {batch} comes after batch {done[-1]} was committed")
-        last = (facts.where("doc_id is not null").groupBy(*KEY)
+        last = (facts.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("string")).groupBy(*KEY)
                 .agg(F.max(F.struct("seq", "n_tokens", "op", "source", "lang")).alias("f"))
                 .select(*KEY, "f.*"))
-        before = (self._read("ledger", done, LEDGER).groupBy(*KEY, "source", "lang")
-                  .agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-                  .where("d_docs <> 0 or d_tokens <> 0").join(last.select(*KEY), KEY, "left_semi"))
+        # Only the batch's documents are looked up, before anything is summed.
+        before = (self._read("ledger", done, LEDGER).join(last.select(*KEY), KEY, "left_semi")
+                  .groupBy(*KEY, "source", "lang").agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+                  .where("d_docs <> 0 or d_tokens <> 0"))
         minus = before.select(*KEY, "source", "lang", (-F.col("d_docs")).alias("d_docs"),
                               (-F.col("d_tokens")).alias("d_tokens"))
         plus = last.where("op <> 'delete'").select(*KEY, "source", "lang", F.lit(1).cast("long").alias("d_docs"),

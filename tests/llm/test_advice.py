@@ -112,3 +112,14 @@ def test_owned_tokens_overlap_no_base_span():
         secret_scan.candidate_spans(t)
         took.append(time.perf_counter() - start)
     assert took[1] < 30 * took[0]
+
+
+def test_rows_without_id_are_counted(spark, tmp_path):
+    """Totals with rows that have no id: the copies of a text go, the one with the smallest id stays."""
+    from tabforge.llm import registry
+    rows = [(10, "one two", "s", "en"), (9, "one two", "t", "en"), (None, "one two", "u", "en"), (None, "alone  here", "u", "de"),
+            (None, "alone  here", "u", "de"), (None, None, None, None), (11, "x y z", "s", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").selectExpr(
+        "doc_id", "text", "lang", "source", "cast(length(text) as long) n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.source, r.lang): r.n_docs for r in registry.REGISTRY["op3_token_counts"][0](spark, str(tmp_path)).collect()}
+    assert got == {("t", "en"): 1, ("u", "de"): 1, ("s", "en"): 1, (None, None): 1}
