@@ -14,8 +14,9 @@ bit table of the test hashes (``FILTER_BITS``, a constant size however large the
 benchmark is, three bits per hash) keeps windows that cannot join from being shuffled.  Documents with a
 surviving window keep their token hashes for the comparison; all others leave no row.
 
-Defined results: NULL or empty texts match nothing; items of fewer than ``MIN_TOKENS``
-tokens are not searched for; items of ``MIN_TOKENS`` tokens must match exactly; rows sharing a ``doc_id`` are judged by their own texts.
+Defined results: NULL or empty texts match nothing; items of 5 tokens or fewer must match exactly;
+rows sharing a ``doc_id`` are judged by their own texts.  The filter ``drop_contaminated`` leaves items
+under ``MIN_DROP`` tokens aside: so few words stand in many documents by chance.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from .common import join_heavy, materialise, mix64, ship, text_buffers, text_sli
 #: Every choice of as many places as MIN_AGREE lets differ in a stretch of that length
 #: leaves some mask a position where it compares none of them.
 MASKS = {
+    1: "1",
+    2: "11",
+    3: "111",
+    4: "1111",
     5: "11111",
     6: "11111 111011 101111 110111 111101",
     7: "111111 1011111 1111011 1111101 1110111 1101111",
@@ -43,7 +48,8 @@ MASKS = {
     15: "11101111 11100100111 111110101 110110000111 110101001011 111110011",
     16: "1110110111 1110010100111 1101001101011 11011001111 111111000011 11110101011 111000111101 101111111",
 }
-MIN_TOKENS = 5
+MIN_TOKENS = 1   # of items that are searched for
+MIN_DROP = 5     # of items whose passages make a document go; shorter ones occur by chance
 WINDOW = 16
 MIN_AGREE = 0.8
 FILTER_BITS = 1 << 24
@@ -77,7 +83,7 @@ def _room(first):
     return ends - np.arange(first[0], first[-1]), lens
 
 
-def _item_rows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _item_rows(items: DataFrame, id_col: str, text_col: str, min_tokens: int) -> DataFrame:
     """(item_id, tokens) of distinct items long enough to be searched for."""
     def run(batches):
         import pyarrow as pa
@@ -90,7 +96,7 @@ def _item_rows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     rows = (items.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
             .mapInArrow(run, "item_id long, tokens array<long>"))
-    return materialise(rows.where(F.size("tokens") >= MIN_TOKENS).distinct(), "items")
+    return materialise(rows.where(F.size("tokens") >= max(min_tokens, 1)).distinct(), "items")
 
 
 def _seed_rows(items: DataFrame) -> DataFrame:
@@ -153,34 +159,38 @@ def _suspects(docs: DataFrame, bits, lengths: set[int], id_col: str, text_col: s
 
 
 def _verify(window: int, min_agree: float):
+    """The best accepted diagonal of each document and item: most equal tokens, then first."""
     def run(frames):
         import pandas as pd
         for df in frames:
-            agree, start, keep = [], [], []
-            for doc, item, diag in zip(df["tokens"], df["item"], df["diagonal"]):
-                lo, hi = max(0, -diag), min(len(item), len(doc) - diag)
-                same = np.asarray(doc)[lo + diag:hi + diag] == np.asarray(item)[lo:hi]
-                w = min(window, len(item))
-                total = np.concatenate(([0], np.cumsum(same)))
-                best = int((total[w:] - total[:-w]).max()) if len(same) >= w else 0
-                keep.append(best >= min_agree * w)
-                agree.append(int(total[-1]))
-                start.append(lo + diag)
-            out = df[["doc_id", "th", "item_id"]].assign(
-                n_agree=np.array(agree, np.int64), start=np.array(start, np.int64),
-                item_tokens=[len(x) for x in df["item"]])
-            yield out[np.array(keep, bool)]
+            rows = []
+            for doc_id, th, item_id, doc, item, diagonals in zip(*(df[x] for x in (
+                    "doc_id", "th", "item_id", "tokens", "item", "diagonals"))):
+                doc, item = np.asarray(doc), np.asarray(item)
+                w, best = min(window, len(item)), None
+                for diag in diagonals.tolist():
+                    lo, hi = max(0, -diag), min(len(item), len(doc) - diag)
+                    if hi - lo < w:
+                        continue
+                    total = np.concatenate(([0], np.cumsum(doc[lo + diag:hi + diag] == item[lo:hi])))
+                    if int((total[w:] - total[:-w]).max()) >= min_agree * w:
+                        found = (int(total[-1]), -(lo + diag))
+                        best = found if best is None else max(best, found)
+                if best is not None:
+                    rows.append((doc_id, th, item_id, best[0], -best[1], len(item)))
+            yield pd.DataFrame(rows, columns=["doc_id", "th", "item_id", "n_agree", "start", "item_tokens"])
     return run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", window: int = WINDOW, min_agree: float = MIN_AGREE) -> DataFrame:
+                 item_col: str = "item_id", window: int = WINDOW, min_agree: float = MIN_AGREE,
+                 min_tokens: int = MIN_TOKENS) -> DataFrame:
     """One row per contaminated document row text and item: doc_id, th (text hash),
     item_id, n_agree (equal tokens on the best diagonal), item_tokens, start (token)."""
     ship(docs.sparkSession)
-    items = _item_rows(benchmark, item_col, "text")
+    items = _item_rows(benchmark, item_col, "text", min_tokens)
     seeds = _seed_rows(items)
-    lengths = {r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()}  # 12 at most
+    lengths = {r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()}  # 16 at most
     # At most FILTER_BITS / 64 rows reach the driver.
     slots = F.array(*[F.shiftrightunsigned("h", shift).bitwiseAND(FILTER_BITS - 1) for shift in PROBES])
     words = (seeds.select(F.explode(slots).alias("slot"))
@@ -193,15 +203,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = _suspects(docs, bits, lengths, id_col, text_col)
     hits = found.select("rid", F.explode(F.arrays_zip("masks", "ats", "hs")).alias("x")).select(
         "rid", F.col("x.masks").alias("mask"), F.col("x.ats").alias("pos"), F.col("x.hs").alias("h"))
-    # Hits of one passage share a diagonal: they are merged before and after the shuffle.
-    lines = (hits.join(seeds, ["mask", "h"]).groupBy("rid", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"))
-             .agg(F.count("*").alias("hits")))
+    # Hits of one passage share a diagonal: they are merged before and after the shuffle.  A document's
+    # tokens are read once per item, with all its diagonals.
+    lines = (hits.join(seeds, ["mask", "h"]).groupBy("rid", "item_id")
+             .agg(F.collect_set(F.col("pos") - F.col("at")).alias("diagonals")))
     lines = materialise(lines, "diagonals")
     pairs = materialise(lines.join(found.select("rid", "doc_id", "th", "tokens"), "rid"), "pairs")
     used = pairs.groupBy("item_id").agg(F.count("*").alias("n"))
     wanted = materialise(items.join(used, "item_id").select("item_id", F.col("tokens").alias("item"), "n"), "wanted")
     checked = (join_heavy(pairs, wanted, ["item_id"], pairs.count())
-               .select("doc_id", "th", "item_id", "diagonal", "tokens", "item")
+               .select("doc_id", "th", "item_id", "diagonals", "tokens", "item")
                .mapInPandas(_verify(window, min_agree),
                             "doc_id long, th long, item_id long, n_agree long, start long, item_tokens long"))
     best = F.max(F.struct("n_agree", (-F.col("start")).alias("neg"), "item_tokens")).alias("b")
@@ -210,9 +221,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      **kw) -> DataFrame:
+                      min_tokens: int = MIN_DROP, **kw) -> DataFrame:
     """Pipeline form: the rows of ``docs`` without a benchmark passage."""
-    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **kw).select(
+    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, min_tokens=min_tokens, **kw).select(
         F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"))

@@ -123,3 +123,25 @@ def test_rows_without_id_are_counted(spark, tmp_path):
         "doc_id", "text", "lang", "source", "cast(length(text) as long) n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     got = {(r.source, r.lang): r.n_docs for r in registry.REGISTRY["op3_token_counts"][0](spark, str(tmp_path)).collect()}
     assert got == {("t", "en"): 1, ("u", "de"): 1, ("s", "en"): 1, (None, None): 1}
+
+
+def test_short_items_are_searched_for(spark):
+    """Items of one to five tokens as exact word sequences, against a plain search; many diagonals in one document."""
+    items = {1: "zeta", 2: "alpha beta", 3: "a b a", 4: "one two three four", 5: "v w x y z", 6: ""}
+    docs = [(0, "Alpha beta gamma"), (1, "alphabeta"), (2, "a b a b a b a"), (3, "one two three"), (4, "x one two three four"),
+            (5, "v w x y q"), (6, "v w x y z v w x y z"), (7, "zeta " * 3000 + "alpha beta"), (8, ""), (9, None)]
+
+    def seq(t):
+        return (t or "").lower().split()
+
+    def holds(d, i):
+        return any(d[k:k + len(i)] == i for k in range(len(d) - len(i) + 1)) if i else False
+
+    want = {(d, n) for d, t in docs for n, i in items.items() if holds(seq(t), seq(i))}
+    frames = (spark.createDataFrame(docs, "doc_id long, text string"),
+              spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    got = spaced_seed.contaminated(*frames).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert {(r.doc_id, r.item_id): (r.n_agree, r.start) for r in got}[6, 5] == (5, 0)
+    kept = {r.doc_id for r in spaced_seed.drop_contaminated(*frames).collect()}
+    assert kept == set(range(10)) - {6}
