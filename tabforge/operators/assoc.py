@@ -67,8 +67,12 @@ def contingency_counts(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame
 def cramers_v_pairs(df: DataFrame, pairs: list[tuple[str, str]], decimals: int | None = 3) -> DataFrame:
     """(feature1, feature2, cramers_v, chi2, n) with scipy's default Yates correction
     for 2x2 tables; degenerate tables (one row or column) give V = 0."""
+    return cramers_v_counts(contingency_counts(df, pairs), decimals)
+
+
+def cramers_v_counts(o: DataFrame, decimals: int | None = 3) -> DataFrame:
+    """:func:`cramers_v_pairs` from the cells (feature1, feature2, v1, v2, o)."""
     k = ["feature1", "feature2"]
-    o = contingency_counts(df, pairs)
 
     def margin(*by):
         return Window.partitionBy(*k, *by)

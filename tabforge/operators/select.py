@@ -83,9 +83,14 @@ def indicator_information(df: DataFrame, cols: list[str], target: str) -> DataFr
     data = df.where(c(target).isNotNull())
     y = c(target).cast("string").alias("y")
     classes = materialise(data.groupBy(y).agg(F.count(F.lit(1)).alias("ny")), "classes")
-    n = classes.agg(F.coalesce(F.sum("ny"), F.lit(0)).cast("double")).first()[0]
     cells = unpivot_strings(data.withColumn("_y", y), cols, keep=["_y"], drop_nulls=True) \
         .groupBy("feature", "value", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("nvy"))
+    return indicator_information_counts(cells, classes)
+
+
+def indicator_information_counts(cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """:func:`indicator_information` from the counts (feature, value, y, nvy) and (y, ny)."""
+    n = classes.agg(F.coalesce(F.sum("ny"), F.lit(0)).cast("double")).first()[0]
     of_value = Window.partitionBy("feature", "value")
     lows = cells.groupBy("feature").agg(F.min("value").alias("low"))
     cells = (cells.withColumn("nv", F.sum("nvy").over(of_value)).join(lows, "feature")

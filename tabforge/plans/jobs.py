@@ -22,7 +22,7 @@ from ..operators.encode import fit_frequency, fit_onehot, fit_target_encoding
 from ..operators.impute import fit_impute
 from ..operators.metrics import classification_report, confusion_matrix, model_comparison
 from ..operators.outliers import fit_outliers
-from ..operators.profile import eda_report_long
+from ..operators.report import full_report
 from ..operators.scale import fit_scaler
 from ..operators.select import feature_selection
 from ..operators.split import split
@@ -95,7 +95,7 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
                                       categorical_cols=TARGET_ENCODED + ONEHOT)
     tr1 = reliable_checkpoint(pre.apply(tr, ["domain", "impute"]))
     # The report describes the cleaned table, before anything is encoded, capped or scaled.
-    eda_long = materialise(eda_report_long(tr1.drop("is_test", *KEY), TARGET), "eda") if eda else None
+    eda_long, eda_summary = full_report(tr1.drop("is_test", *KEY), TARGET) if eda else (None, None)
     pre.target_mean, target_map = fit_target_encoding(tr1, TARGET_ENCODED, TARGET)
     pre.tables["target"] = materialise(target_map, "target-map")
     pre.tables["frequency"] = materialise(fit_frequency(tr1, TARGET_ENCODED + ONEHOT), "frequency-map")
@@ -135,7 +135,7 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     if out_dir:
         pre.save(f"{out_dir}/preprocessor")
         if eda_long is not None:
-            save_eda_report(eda_long, f"{out_dir}/eda")
+            save_eda_report(eda_long, f"{out_dir}/eda", eda_summary)
         got: dict[str, dict] = {}
         for r in metrics.collect():  # models x metrics
             got.setdefault(r["model"], {})[r["metric"]] = r["value"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import r6
 from ..operators import clean
 from ..operators import profile as P
+from ..operators import report as R
 from ..operators.select import feature_importance
 from . import sqlgen as S
 from .catalog import query
@@ -272,3 +273,34 @@ def eda_key_findings(spark, d):
     # MI rounded as in the importance report, so ties order the same way as the oracle.
     imp = imp.select("feature", r6(F.col("mi")).alias("mi"))
     return P.eda_key_findings(P.correlation_long(df, C360_CORR), cramers_v_matrix(df, MI_STR), imp)
+
+
+_CAT = ["l_linestatus", "l_status2", "l_quantity_text"]
+_CAT_ROWS = """(SELECT l_returnflag, CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE l_linestatus END AS l_linestatus,
+  CAST(l_linenumber AS VARCHAR) AS l_status2, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS l_quantity_text FROM lineitem)"""
+
+
+def _category_sql() -> str:
+    parts = []
+    for x in _CAT:
+        counts = f"(SELECT {x} AS v, count(*) AS n FROM {_CAT_ROWS} GROUP BY 1)"
+        for stat, e in (("n_unique", "count(*)"), ("most_frequent_count", "max(n)"), ("least_frequent_count", "min(n)")):
+            parts.append(f"SELECT 'univariate' AS section, '{x}' AS feature, '{stat}' AS stat, "
+                         f"CAST({e} AS DOUBLE) AS value FROM {counts} WHERE v IS NOT NULL")
+        parts.append(f"SELECT 'level', '{x}' || coalesce('=' || v, ''), 'n', CAST(n AS DOUBLE) FROM {counts}")
+        cross = f"""(SELECT {x} AS v, l_returnflag AS y, count(*) AS n, sum(count(*)) OVER (PARTITION BY {x}) AS total
+          FROM {_CAT_ROWS} WHERE {x} IS NOT NULL GROUP BY 1, 2)"""
+        parts.append(f"SELECT 'crosstab', '{x}=' || v || '|' || y, 'n', CAST(n AS DOUBLE) FROM {cross}")
+        parts.append(f"SELECT 'crosstab', '{x}=' || v || '|' || y, 'pct', round(n * 100.0 / total, 6) FROM {cross}")
+    return " UNION ALL ".join(parts)
+
+
+@query("eda_category_sections", _category_sql())
+def eda_category_sections(spark, d):
+    """A9: levels, univariate statistics and crosstabs from the report's one table of cells."""
+    li = table(spark, d, "lineitem").select(
+        "l_returnflag", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_linestatus")).alias("l_linestatus"),
+        F.col("l_linenumber").cast("string").alias("l_status2"), F.col("l_quantity").cast("long").cast("string").alias("l_quantity_text"))
+    got = R.category_sections(R.category_cells(li, _CAT, "l_returnflag"), "l_returnflag")
+    out = got["univariate"].unionByName(got["level"]).unionByName(got["crosstab"])
+    return out.select("section", "feature", "stat", r6(F.col("value")).alias("value"))

@@ -407,3 +407,43 @@ def test_scoring_job_uses_the_metadata(spark, planted):
     assert row.model_type == "logistic_regression" and row.training_date == "2024-05-01" and row.total_predictions == 400
     with pytest.raises(ValueError, match="needs the columns b"):
         Q.scoring_job(spark, f"{base}/m", planted.drop("b"), f"{base}/out", KEY)
+
+
+# ---------------------------------------------------------------- full EDA report
+
+def test_full_report_agrees_with_the_single_operators(spark, tmp_path):
+    """Every section against the operator it stands for; report and summary are written."""
+    from tabforge.operators import assoc, profile, report
+    from tabforge.sources.files import save_eda_report
+    rnd = np.random.default_rng(8)
+    rows = [(float(x), float(x * 2 + rnd.normal()), None if i % 7 == 0 else "pqr"[i % 3], "uv"[int(x > 0)], int(x + rnd.normal() > 0))
+            for i, x in enumerate(rnd.normal(size=300))]
+    df = spark.createDataFrame(rows, "a double, b double, s string, t string, y int").cache()
+    rep, summary = report.full_report(df, "y")
+    got = {(r.section, r.feature, r.stat): r.value for r in rep.collect()}
+    assert len(got) == rep.count()
+    for r in assoc.cramers_v_matrix(df, ["s", "t"]).collect():
+        assert got["cramers", f"{r.feature1}|{r.feature2}", "cramers_v"] == r.cramers_v
+    for r in assoc.target_association(df, "y", ["s", "t"]).collect():
+        assert got["association", r.feature, "cramers_v"] == pytest.approx(r.cramers_v)
+    for r in assoc.spearman_matrix(df, ["a", "b"]).collect():
+        assert got["spearman", "a|b", "correlation"] == pytest.approx(r.correlation)
+    for r in profile.crosstab_pct(df, "y", ["s", "t"]).collect():
+        key = f"{r.feature}={r.value}|{r.target}"
+        assert got["crosstab", key, "n"] == r.n and got["crosstab", key, "pct"] == pytest.approx(r.pct)
+    importance = {r.feature: r.mi for r in S.feature_importance(df, "y", ["s", "t"], ["a", "b"]).collect()}
+    assert {k[1]: v for k, v in got.items() if k[0] == "importance"} == pytest.approx(importance)
+    assert got["level", "s", "n"] == 43 and got["univariate", "s", "n_unique"] == 3
+    line = summary.first()
+    assert line.n_high_correlations == 1 and line.top_features.split(",")[0] == max(importance, key=importance.get)
+    paths = save_eda_report(rep, str(tmp_path), summary)
+    assert spark.read.parquet(paths["full_parquet"]).count() == len(got)
+    assert spark.read.json(paths["summary"]).first().top_features == line.top_features
+
+
+def test_full_report_without_target_or_categories(spark):
+    from tabforge.operators import report
+    rep, summary = report.full_report(spark.createDataFrame([(1.0, 2), (2.0, 4), (4.0, 8)], "a double, b int"))
+    assert {r.section for r in rep.select("section").distinct().collect()} == {"overview", "missing", "describe", "shape",
+                                                                               "correlation", "spearman"}
+    assert tuple(summary.first()) == (1, 0, "")
