@@ -2,10 +2,14 @@
 trusted-target and the raw-corpus multinomial, length-normalised, with one threshold
 for every document.  DataFrame functions only.
 
-n-grams: the character trigrams at both edges of every word (first and last three code
-points, marked with ``^`` and ``$``), hashed into ``BUCKETS`` buckets.  Word edges show
-case, punctuation runs, symbols and separators as well as the language's affixes, and
-their set saturates early, so rare words of clean documents do not look foreign.
+n-grams, hashed into ``BUCKETS`` buckets per kind, each kind a multinomial of its own:
+
+* words: every word and every pair of neighbouring words; the end of the text is the last
+  word's neighbour;
+* characters: the trigrams at both edges of every word (first and last three code points,
+  marked with ``^`` and ``$``).  They show case, punctuation runs, symbols and separators as
+  well as the language's affixes, and their set saturates early, so rare words of clean
+  documents do not look foreign.
 
 * raw corpus: every row of the documents, copies and repeated rows included, so widely copied
   junk counts as often as it is there (equal texts are read once and weighted);
@@ -15,7 +19,8 @@ their set saturates early, so rare words of clean documents do not look foreign.
   the raw count scaled to the target's total.  What is too rare to be expected in the
   target is no evidence, and a small target decides little.  In whole millionths, so
   that the sum does not depend on the order of rows;
-* verdict: the mean llr of the document's n-grams is at least ``MIN_MEAN_LLR`` nats.
+* verdict: the mean llr of all the document's n-grams is at least ``MIN_MEAN_LLR`` nats, and so
+  is that of the edges alone.
 
 Defined results: a NULL or empty text has no words (``base_failed``); without a trusted
 label the ratio is zero and the base rules decide alone; documents without id
@@ -43,11 +48,24 @@ def words_of(text: Column) -> Column:
 
 
 def edge_buckets(word: Column, buckets: int = BUCKETS) -> Column:
-    """The two bucket numbers of a word."""
+    """The two bucket numbers of a word's edges."""
     return F.array(F.pmod(F.xxhash64(F.concat(F.lit("^"), F.substring(word, 1, 3))), F.lit(buckets)),
                    F.pmod(F.xxhash64(F.concat(F.substring(word, -3, 3), F.lit("$"))), F.lit(buckets)))
 
 
+def word_buckets(word: Column, following: Column, buckets: int = BUCKETS) -> Column:
+    """The bucket numbers of a word and of the pair it makes with the following one (empty at
+    the end); they come after those of the edges."""
+    return F.array(F.pmod(F.xxhash64(word), F.lit(buckets)) + buckets,
+                   F.pmod(F.xxhash64(word, following), F.lit(buckets)) + buckets)
+
+
+def followed(words: Column) -> Column:
+    """Every word ``w`` with the one after it, ``following``, empty at the end."""
+    ends = F.concat(F.slice(words, F.lit(2), F.size(words)), F.array(F.lit("")))
+    return F.when(F.size(words) > 0, F.arrays_zip(words.alias("w"), ends.alias("following")))
+
+
 def n_repeat_words(words: Column) -> Column:
     """Words inside a 3-word window that occurs twice or more.
 
@@ -99,7 +117,8 @@ def base_stats(txt: str = "txt", words: str = "words") -> list[Column]:
 
 def fit_llr(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             buckets: int = BUCKETS) -> list[int]:
-    """llr in whole millionths by bucket: ``buckets`` numbers, whatever the corpus."""
+    """llr in whole millionths by bucket: ``buckets`` numbers for the edges, then as many for the
+    words, whatever the corpus."""
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
     marks = labels.groupBy(F.col("doc_id").alias("id")).agg((F.min("quality") == 1).alias("good"))
     # Equal texts are read once, with the number of their rows as weight; they are trusted if some
@@ -115,42 +134,53 @@ def fit_llr(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     # Rows without an id can have no label; each is a row of the raw corpus.
     read = read.unionByName(base.where(F.col("id").isNull()).select(
         F.lit(False).alias("good"), F.lit(1.0).alias("weight"), "txt"))
-    counts = (read.select("good", "weight", F.explode(words_of(F.col("txt"))).alias("w"))
-              .select("good", "weight", F.explode(edge_buckets(F.col("w"), buckets)).alias("bucket"))
+    word, following = F.col("f.w"), F.col("f.following")
+    counts = (read.select("good", "weight", words_of(F.col("txt")).alias("words"))
+              .select("good", "weight", F.explode(followed(F.col("words"))).alias("f"))
+              .select("good", "weight", F.explode(F.concat(edge_buckets(word, buckets),
+                                                           word_buckets(word, following, buckets))).alias("bucket"))
               .groupBy("bucket").agg(F.sum("weight").alias("raw"),
                                      F.coalesce(F.sum(F.when(F.col("good"), F.col("weight"))), F.lit(0.0)).alias("target"))
-              .collect())  # at most `buckets` rows
-    raw, target = [0] * buckets, [0] * buckets
+              .collect())  # at most 2 * `buckets` rows
+    raw, target = [0] * (2 * buckets), [0] * (2 * buckets)
     for r in counts:  # whole numbers of rows, up to the rounding of the weights
         raw[r.bucket], target[r.bucket] = round(r.raw), round(r.target)
-    n_raw, n_target = sum(raw), sum(target)
+    n_raw, n_target = sum(raw[:buckets]), sum(target[:buckets])  # both kinds have two n-grams a word
     if not n_target:
-        return [0] * buckets
+        return [0] * (2 * buckets)
     return [round(MICRO * math.log((t + SMOOTH) / (r * n_target / n_raw + SMOOTH))) for r, t in zip(raw, target)]
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   buckets: int = BUCKETS, min_mean_llr: float = MIN_MEAN_LLR) -> DataFrame:
     """Columns: ``row`` (the input row as a struct), n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, base_failed, n_grams, llr_sum (millionths), kept.
+    n_dup_lines, n_repeat_words, n_grams, llr_sum (of the edges, millionths), word_llr_sum (of
+    the words and pairs, as many n-grams), base_failed, kept.
 
     Scoring is a projection: the bounded ratio table is a constant of the plan, so the
     texts are neither shuffled nor joined."""
     llr = fit_llr(docs, labels, id_col, text_col, buckets)
     ratios = F.split(F.lit(",".join(map(str, llr))), ",").cast("array<bigint>")
 
+    # Each bucket number is used once, so the arrays vanish from the plan.
+    def of(table, b):
+        return F.get(table, b[0].cast("int")) + F.get(table, b[1].cast("int"))
+
     def llr_sum(table):
-        def add(total, w):
-            b = edge_buckets(w, buckets)
-            return let(b, lambda x: total + F.get(table, x[0].cast("int")) + F.get(table, x[1].cast("int")))
-        return F.aggregate("words", F.lit(0).cast("long"), add)
+        return F.aggregate("words", F.lit(0).cast("long"), lambda total, w: total + of(table, edge_buckets(w, buckets)))
+
+    def word_llr_sum(table):
+        pairs = F.transform("words", lambda w, i: of(table, word_buckets(
+            w, F.coalesce(F.get("words", i + 1), F.lit("")), buckets)))
+        return F.aggregate(pairs, F.lit(0).cast("long"), lambda total, x: total + x)
 
     scored = (docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
               .withColumn("words", words_of(F.col("txt")))
               .select("row", *base_stats(), (2 * F.size("words")).cast("long").alias("n_grams"),
-                      let(ratios, llr_sum).alias("llr_sum")))
+                      let(ratios, llr_sum).alias("llr_sum"), let(ratios, word_llr_sum).alias("word_llr_sum")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    good = F.col("llr_sum") >= F.lit(round(min_mean_llr * MICRO)) * F.col("n_grams")
+    least = F.lit(round(min_mean_llr * MICRO)) * F.col("n_grams")
+    good = (F.col("llr_sum") >= least) & (F.col("llr_sum") + F.col("word_llr_sum") >= 2 * least)
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & good)
 
 
