@@ -25,8 +25,10 @@ Method: pivots and bounds.
 4. The best ``k`` of all blocks give the mean.
 
 No block is left out but by a bound, so results equal brute force; there is no cap on candidates,
-and the plan grows with the number of columns, not with its subsets.  A task holds the bounds of about
-``Layout.maps`` blocks or ``Layout.chunk`` blocks, and a share of the bundles.  The driver holds the
+and the plan grows with the number of columns, not with its subsets.  Receivers of a bundle that miss the same
+columns are bounded together first; only blocks that such a group may need are bounded for each receiver.  What
+travels between the steps is a list of blocks per bundle and chunk; bounds are computed again where they are used.
+A task holds the bounds of about ``Layout.maps`` blocks or of the blocks of a chunk, and a share of the bundles.  The driver holds the
 sample: at most ``Layout.sample`` rows.
 
 ``key`` orders donors at equal distance; NULL and repeated keys are allowed (a row number
@@ -48,7 +50,7 @@ from ..session import materialise, ship_package
 
 class Layout(NamedTuple):
     block: int = 512      # donors of a block
-    chunk: int = 32       # blocks of a task
+    chunk: int = 32       # a task reads the donors of so many full blocks, in as many blocks as they make
     maps: int = 1024      # bounds of blocks in a task, about
     bundle: int = 128     # receivers that travel together
     share: int = 64       # bundles of a task, about
@@ -85,6 +87,18 @@ class Zones:
         self.some = ~np.isnan(lo)
         self.plain = (self.some == always).all(1)  # the same columns present in all donors
 
+    @staticmethod
+    def of(rows, pivots):
+        """From block rows."""
+        n, p = len(rows), pivots.shape[1]
+        return Zones(np.frombuffer(b"".join(rows["lo"])).reshape(n, p), np.frombuffer(b"".join(rows["hi"])).reshape(n, p),
+                     np.frombuffer(b"".join(rows["always"]), bool).reshape(n, p), rows["missing"].to_numpy(),
+                     pivots[rows["pivot"].to_numpy()], rows["radius"].to_numpy())
+
+    def at(self, places):
+        return Zones(self.lo[places], self.hi[places], self.always[places], self.missing[places], self.pivot[places],
+                     self.radius[places])
+
 
 def box_bound(r, z: Zones):
     """Lower bounds (receivers x blocks) of the distances to the donors of a block.
@@ -130,6 +144,29 @@ def pivot_bound(r, z: Zones):
         return np.where(most > 0, np.sqrt(r.shape[1] / most) * np.maximum(far - z.radius, 0) * SLACK, np.inf)
 
 
+def group_bound(x, z: Zones):
+    """Lower bounds (one per block) of the distances of any of the receivers ``x``, which miss the same
+    columns, to the donors of a block: gaps between boxes over the columns that all of them have."""
+    has = ~np.isnan(x[0])
+    lo, hi = x[:, has].min(0), x[:, has].max(0)
+    gap = np.maximum(np.maximum(z.lo[:, has] - hi, lo - z.hi[:, has]), 0.0)
+    far = np.where(z.always[:, has], gap * gap, 0.0).sum(1)
+    most = z.some[:, has].sum(1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(most > 0, np.sqrt(x.shape[1] / most * far) * SLACK, np.inf)
+
+
+def worth_bounding(x, loosest, z: Zones):
+    """Places of the blocks that some receiver of ``x`` may need, as ``loosest`` (its largest k-th distance) allows."""
+    some, of = np.unique(np.isnan(x), axis=0, return_inverse=True)
+    of = of.ravel()
+    need = np.zeros(len(z.lo), bool)
+    for i in range(len(some)):
+        if not some[i].all():
+            need |= group_bound(x[of == i], z) <= loosest[of == i].max()
+    return np.flatnonzero(need)
+
+
 def smallest(d, k: int):
     """(row, column) of up to ``k`` smallest finite entries per row, the leftmost among
     equals (columns stand in donor order); ``d`` is overwritten."""
@@ -270,13 +307,20 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
     parts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + n // (16 * layout.block))
     placed = given.mapInPandas(place, f"ord long, x array<double>, {extra}").withColumn("same", F.xxhash64("x"))
 
+    # Small tables are cut finer, so that there are tasks enough.
+    chunk_rows = min(layout.chunk * layout.block, max(layout.block, n // 64))
+
     def cut(batches):
         import pandas as pd
         from pyspark import TaskContext
         part, seq, held = TaskContext.get().partitionId(), 0, None
+        chunk, size_of_chunk = 0, 0
 
         def close(rows):
-            nonlocal seq
+            nonlocal seq, chunk, size_of_chunk
+            if size_of_chunk >= chunk_rows:
+                chunk, size_of_chunk = chunk + 1, 0
+            size_of_chunk += len(rows)
             rows = rows.sort_values("ord")
             x = stack(rows["x"])
             pivot = int(rows["p1"].iloc[0])
@@ -285,7 +329,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
             lo = np.where(some.any(0), np.where(some, x, np.inf).min(0), np.nan)
             hi = np.where(some.any(0), np.where(some, x, -np.inf).max(0), np.nan)
             seq += 1
-            return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + (seq - 1) // layout.chunk, "n": len(rows),
+            return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + chunk, "n": len(rows),
                     "ords": rows["ord"].to_numpy("<i8").tobytes(), "x": x.astype("<f8").tobytes(), "lo": lo.tobytes(),
                     "hi": hi.tobytes(), "always": some.all(0).tobytes(), "missing": int((~some).sum(1).max()), "pivot": pivot,
                     "radius": float(np.sqrt(np.nansum(gap * gap, axis=1)).max()), "first": int(rows["ord"].iloc[0])}
@@ -344,31 +388,34 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
     zones = blocks.select("block", "chunk", "lo", "hi", "always", "missing", "pivot", "radius", "first")
 
     def visits(bundled: DataFrame, nearest_only: bool) -> DataFrame:
-        """(bundle, chunk, block, bounds): the blocks a bundle has to read."""
+        """(bundle, chunk, blocks): the blocks of a chunk that a bundle has to read."""
         def choose(key, left, right):
             import pandas as pd
             out = []
             left = left.sort_values("first")  # the earliest donors come first among equal bounds
             first, many = left["first"].to_numpy(np.int64), len(left)
-            zone = Zones(np.frombuffer(b"".join(left["lo"])).reshape(many, p),
-                         np.frombuffer(b"".join(left["hi"])).reshape(many, p),
-                         np.frombuffer(b"".join(left["always"]), bool).reshape(many, p), left["missing"].to_numpy(),
-                         pivots[left["pivot"].to_numpy()], left["radius"].to_numpy())
+            zones = Zones.of(left, pivots)
             names = left[["chunk", "block"]].to_numpy()
             for b in right.to_dict("records") if many else ():
                 mine = Bundle(b, p)
+                loosest = np.where(np.isnan(mine.x), mine.limit, -1.0).max(1)
+                places = worth_bounding(mine.x, loosest, zones)
+                if not len(places):
+                    continue
+                zone = zones.at(places)
                 low = np.maximum(box_bound(mine.x, zone), pivot_bound(mine.x, zone))
-                asks = np.isnan(mine.x)
-                loosest = np.where(asks, mine.limit, -1.0).max(1)
                 near = (low <= loosest[:, None]) & np.isfinite(low)
                 if nearest_only:
-                    near &= np.arange(many) == low.argmin(1)[:, None]
+                    near &= np.arange(len(places)) == low.argmin(1)[:, None]
+                asked: dict = {}
                 for z in np.flatnonzero(near.any(0)):
                     bound = low[:, z, None]
-                    want = (bound < mine.limit) | ((bound == mine.limit) & (first[z] <= mine.ord))
+                    want = (bound < mine.limit) | ((bound == mine.limit) & (first[places[z]] <= mine.ord))
                     if (want & zone.some[z] & near[:, z, None]).any():
-                        out.append((b["bundle"], *names[z], bound[:, 0].tobytes(), key[1]))
-            return pd.DataFrame(out, columns=["bundle", "chunk", "block", "bounds", "share"])
+                        chunk, block = names[places[z]]
+                        asked.setdefault(chunk, []).append(block)
+                out += [(b["bundle"], chunk, blocks, key[1]) for chunk, blocks in asked.items()]
+            return pd.DataFrame(out, columns=["bundle", "chunk", "blocks", "share"])
 
         def deal(rows, name, m):
             return rows.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
@@ -376,20 +423,23 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
         left = deal(zones.withColumn("map", F.pmod(F.xxhash64("chunk"), F.lit(maps)).cast("int")), "share", shares)
         right = deal(bundled.withColumn("share", F.pmod(F.xxhash64("bundle"), F.lit(shares)).cast("int")), "map", maps)
         return materialise(left.groupBy("map", "share").cogroup(right.groupBy("map", "share")).applyInPandas(
-            choose, "bundle long, chunk long, block long, bounds binary, share int"), "knn-visits")
+            choose, "bundle long, chunk long, blocks array<long>, share int"), "knn-visits")
 
     def read(bundled: DataFrame, wanted: DataFrame) -> DataFrame:
         """The best ``k`` donors of every chunk per receiver and column."""
         def visit(key, left, right):
             import pandas as pd
-            body = {r["block"]: r for r in left.to_dict("records")}
+            body = left.to_dict("records")
+            places = {r["block"]: i for i, r in enumerate(body)}
+            zones = Zones.of(left, pivots)
             out = []
             for b in right.to_dict("records"):
                 mine = Bundle(b, p)
                 rows: list = []
-                todo = sorted(zip(b["asks"], b["lows"]), key=lambda t: np.frombuffer(t[1]).min())
-                for block, low in todo:
-                    r, low = body[block], np.frombuffer(low)[:, None]
+                asks = np.array([places[x] for x in b["asks"]])
+                lows = np.maximum(box_bound(mine.x, zones.at(asks)), pivot_bound(mine.x, zones.at(asks)))
+                for i in np.argsort(lows.min(0), kind="stable"):
+                    r, low = body[asks[i]], lows[:, i, None]
                     x = np.frombuffer(r["x"]).reshape(-1, p)
                     ords = np.frombuffer(r["ords"], "<i8")
                     open_ = ((low < mine.limit) | ((low == mine.limit) & (r["first"] <= mine.ord)))
@@ -421,11 +471,11 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                 {x.split()[0]: [] for x in FOUND.split(", ")}).astype({"bundle": "int64", "row": "int64", "ord": "int64",
                                                                       "place": "int32", "j": "int32"})
 
-        asks = wanted.groupBy("bundle", "chunk", "share").agg(F.collect_list(F.struct("block", "bounds")).alias("q"))
-        asks = asks.select("bundle", F.col("chunk").alias("to"), F.col("share").alias("from"),
-                           F.col("q.block").alias("asks"), F.col("q.bounds").alias("lows")).join(bundled, "bundle")
-        pairs = wanted.select(F.col("block").alias("b"), "share").distinct()
-        bodies = blocks.join(pairs, F.col("block") == F.col("b")).select("chunk", "share", "block", "ords", "x", "first")
+        asks = wanted.select("bundle", F.col("chunk").alias("to"), F.col("share").alias("from"),
+                             F.col("blocks").alias("asks")).join(bundled, "bundle")
+        pairs = wanted.select(F.explode("blocks").alias("b"), "share").distinct()
+        bodies = blocks.join(pairs, F.col("block") == F.col("b")).select(
+            "chunk", "share", "block", "ords", "x", "lo", "hi", "always", "missing", "pivot", "radius", "first")
         return bodies.groupBy("chunk", "share").cogroup(asks.groupBy("to", "from")).applyInPandas(visit, FOUND)
 
     def improve(key, left, right):
