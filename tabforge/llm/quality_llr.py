@@ -47,72 +47,91 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
 
 
+def bucket(h: Column, buckets: int) -> Column:
+    """Bucket number of a hash; the usual power of two takes the low bits, which is the same number."""
+    return h.bitwiseAND(F.lit(buckets - 1)) if buckets & (buckets - 1) == 0 else F.pmod(h, F.lit(buckets))
+
+
 def edge_buckets(word: Column, buckets: int = BUCKETS) -> Column:
     """The two bucket numbers of a word's edges."""
-    return F.array(F.pmod(F.xxhash64(F.concat(F.lit("^"), F.substring(word, 1, 3))), F.lit(buckets)),
-                   F.pmod(F.xxhash64(F.concat(F.substring(word, -3, 3), F.lit("$"))), F.lit(buckets)))
+    return F.array(bucket(F.xxhash64(F.concat(F.lit("^"), F.substring(word, 1, 3))), buckets),
+                   bucket(F.xxhash64(F.concat(F.substring(word, -3, 3), F.lit("$"))), buckets))
 
 
 def word_buckets(word: Column, following: Column, buckets: int = BUCKETS) -> Column:
     """The bucket numbers of a word and of the pair it makes with the following one (empty at
     the end); they come after those of the edges."""
-    return F.array(F.pmod(F.xxhash64(word), F.lit(buckets)) + buckets,
-                   F.pmod(F.xxhash64(word, following), F.lit(buckets)) + buckets)
+    return F.array(bucket(F.xxhash64(word), buckets) + buckets,
+                   bucket(F.xxhash64(word, following), buckets) + buckets)
+
+
+def following_words(words: Column) -> Column:
+    """For every word the one after it, empty at the end."""
+    return F.when(F.size(words) > 0, F.concat(F.slice(words, F.lit(2), F.size(words)), F.array(F.lit("")))) \
+        .otherwise(F.slice(words, 1, 0))
 
 
 def followed(words: Column) -> Column:
     """Every word ``w`` with the one after it, ``following``, empty at the end."""
-    ends = F.concat(F.slice(words, F.lit(2), F.size(words)), F.array(F.lit("")))
-    return F.when(F.size(words) > 0, F.arrays_zip(words.alias("w"), ends.alias("following")))
+    return F.arrays_zip(words.alias("w"), following_words(words).alias("following"))
 
 
-def n_repeat_words(words: Column) -> Column:
-    """Words inside a 3-word window that occurs twice or more.
+def pair_hashes(words: Column) -> Column:
+    """Hash of every word with the one after it."""
+    return F.zip_with(words, following_words(words), lambda w, following: F.xxhash64(w, following))
 
-    Each window becomes one long: its hash in the high bits, its position in just as
-    many low bits as the document needs.  Sorted, equal windows are neighbours; a
+
+def n_repeat_words(words: Column, pairs: Column) -> Column:
+    """Words inside a 3-word window that occurs twice or more; ``pairs`` are the words' pair hashes.
+
+    Each window becomes one long: the hash of its two pairs in the high bits, its position in
+    just as many low bits as the document needs.  Sorted, equal windows are neighbours; a
     neighbour counts only if the words themselves agree.  The covered words are the
     union of the windows' intervals, taken from their sorted positions.
     """
-    def count(ws):
-        n = F.size(ws)
-        bits = F.ceil(F.log2(n + 1.0)).cast("int")
-        # SQL shifts take a column amount through call_function
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    n = F.size(words)
+
+    def shift(name, value, by):  # SQL shifts take a column amount through call_function
+        return F.call_function(name, value, by)
 
-        def packed(i):
-            h = F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2))
-            return F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long"))
+    def count(bits, low):
+        def packed(h, i):
+            both = h.bitwiseXOR(shift("shiftleft", F.get(pairs, i + 1), F.lit(1)))
+            return shift("shiftleft", both, bits).bitwiseOR(i.cast("long"))
 
         def repeated(keys):
-            def same(x, y):
-                i, j = (x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int"))
-                return ((F.call_function("shiftright", x, bits) == F.call_function("shiftright", y, bits))
-                        & (F.get(ws, i) == F.get(ws, j)) & (F.get(ws, i + 1) == F.get(ws, j + 1))
-                        & (F.get(ws, i + 2) == F.get(ws, j + 2)))
-            hit = F.filter(keys, lambda x, i: F.coalesce(same(x, F.get(keys, i - 1)), F.lit(False))
-                           | F.coalesce(same(x, F.get(keys, i + 1)), F.lit(False)))
-            return F.sort_array(F.transform(hit, lambda x: x.bitwiseAND(low)))
+            def same(k):
+                x, y = F.get(keys, k), F.get(keys, k + 1)
+                i, j = x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int")
+                return ((shift("shiftright", x.bitwiseXOR(y), bits) == 0)
+                        & (F.get(words, i) == F.get(words, j)) & (F.get(words, i + 1) == F.get(words, j + 1))
+                        & (F.get(words, i + 2) == F.get(words, j + 2)))
+            hit = F.filter(F.sequence(F.lit(0), n - 4), same)
+            both = F.transform(hit, lambda k: F.array(F.get(keys, k).bitwiseAND(low), F.get(keys, k + 1).bitwiseAND(low)))
+            return F.sort_array(F.array_distinct(F.flatten(both)))
 
         def covered(pos):
             gaps = F.transform(pos, lambda p, i: F.least(F.lit(3).cast("long"),
                                                          F.coalesce(F.get(pos, i + 1) - p, F.lit(3).cast("long"))))
             return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-        keys = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), packed))
-        return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(let(keys, repeated), covered))
+        keys = F.sort_array(F.transform(F.slice(pairs, F.lit(1), n - 2), packed))
+        return let(let(keys, repeated), covered)
 
-    return let(words, count)
+    # Computed once per document, not once per window.
+    bits = F.ceil(F.log2(n + 1.0)).cast("int")
+    counted = let(bits, lambda b: let(shift("shiftleft", F.lit(1).cast("long"), b) - 1, lambda low: count(b, low)))
+    return F.when(n < 4, F.lit(0).cast("long")).otherwise(counted)
 
 
-def base_stats(txt: str = "txt", words: str = "words") -> list[Column]:
+def base_stats(txt: str = "txt", words: str = "words", pairs: str = "pairs") -> list[Column]:
     t = F.col(txt)
     worded = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return [F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
             let(worded, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
-            n_repeat_words(F.col(words)).alias("n_repeat_words")]
+            n_repeat_words(F.col(words), F.col(pairs)).alias("n_repeat_words")]
 
 
 def fit_llr(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -158,26 +177,34 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     the words and pairs, as many n-grams), base_failed, kept.
 
     Scoring is a projection: the bounded ratio table is a constant of the plan, so the
-    texts are neither shuffled nor joined."""
+    texts are neither shuffled nor joined.  Its columns leave through ``inline``: a filter on
+    them would else be pushed below, where the optimizer puts the whole split of the text in
+    place of every mention of a word."""
     llr = fit_llr(docs, labels, id_col, text_col, buckets)
     ratios = F.split(F.lit(",".join(map(str, llr))), ",").cast("array<bigint>")
+    none = F.lit(0).cast("long")
 
     # Each bucket number is used once, so the arrays vanish from the plan.
     def of(table, b):
-        return F.get(table, b[0].cast("int")) + F.get(table, b[1].cast("int"))
+        return F.get(table, b.cast("int"))
 
     def llr_sum(table):
-        return F.aggregate("words", F.lit(0).cast("long"), lambda total, w: total + of(table, edge_buckets(w, buckets)))
+        def more(total, w):
+            edges = edge_buckets(w, buckets)
+            return total + of(table, edges[0]) + of(table, edges[1])
+        return F.aggregate("words", none, more)
 
     def word_llr_sum(table):
-        pairs = F.transform("words", lambda w, i: of(table, word_buckets(
-            w, F.coalesce(F.get("words", i + 1), F.lit("")), buckets)))
-        return F.aggregate(pairs, F.lit(0).cast("long"), lambda total, x: total + x)
+        def more(total, h):
+            return total + of(table, bucket(h, buckets) + buckets)
+        return (F.aggregate("words", none, lambda total, w: more(total, F.xxhash64(w)))
+                + F.aggregate("pairs", none, more))
 
     scored = (docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
-              .withColumn("words", words_of(F.col("txt")))
-              .select("row", *base_stats(), (2 * F.size("words")).cast("long").alias("n_grams"),
-                      let(ratios, llr_sum).alias("llr_sum"), let(ratios, word_llr_sum).alias("word_llr_sum")))
+              .withColumn("words", words_of(F.col("txt"))).withColumn("pairs", pair_hashes(F.col("words")))
+              .select("row", F.inline(F.array(F.struct(
+                  *base_stats(), (2 * F.size("words")).cast("long").alias("n_grams"),
+                  let(ratios, llr_sum).alias("llr_sum"), let(ratios, word_llr_sum).alias("word_llr_sum"))))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     least = F.lit(round(min_mean_llr * MICRO)) * F.col("n_grams")
     good = (F.col("llr_sum") >= least) & (F.col("llr_sum") + F.col("word_llr_sum") >= 2 * least)
