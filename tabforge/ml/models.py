@@ -229,8 +229,9 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
         else:
             builder = builder.addGrid(est.getParam(names.get(k, k)), list(vals))
     grid = builder.build()
+    # All folds read one cached table instead of ranking the rows again for each.
     folds = assign_folds(data, key_cols, cv_folds, seed,
-                         stratify_by=label if problem_type == "classification" else None)
+                         stratify_by=label if problem_type == "classification" else None).cache()
     scoring = scoring or ("accuracy" if problem_type == "classification" else "mse")
     known = SCORING[problem_type]
     if scoring not in known:
@@ -240,6 +241,7 @@ def grid_search(df: DataFrame, features: list[str], label: str, key_cols: list[s
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=cv_folds,
                         foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = cv.fit(folds)
+    folds.unpersist()
     spark = df.sparkSession
     rows = [(json.dumps({p.name: v for p, v in pm.items()}), float(m)) for pm, m in zip(grid, fitted.avgMetrics)]
     results = spark.createDataFrame(rows, "params string, mean_score double")
