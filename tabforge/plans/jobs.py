@@ -54,6 +54,7 @@ class TrainingResult:
     preprocessor: Preprocessor
     models: dict
     predictions: DataFrame      # test rows: key, label, prediction, score, model
+    source: DataFrame           # the customer table as read, before any step
 
 
 RATIOS = [["total_charges", "tenure_months", "avg_monthly_charges"], ["avg_charges", "n_orders", "charges_per_order"]]
@@ -84,7 +85,8 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
     part of the saved preprocessor, and both parts go through its ``apply``."""
     ensure_checkpoint_dir(spark)
     # The customer table comes out of two large joins: materialise it once.
-    base = reliable_checkpoint(prepare(c360(spark, sf_dir)))
+    source = c360(spark, sf_dir)
+    base = reliable_checkpoint(prepare(source))
     s = reliable_checkpoint(split(base, KEY, test_size, seed, stratify_by=TARGET))
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     # Fit every step on the training part only, each on the output of those before it.
@@ -145,7 +147,7 @@ def churn_training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = N
                 "features": chosen, "dataset_size": n_train, "evaluation_metrics": got[mt],
                 "hyperparameters": RF_PARAMS if mt == "random_forest" else LR_PARAMS},
                 registry_dir=f"{out_dir}/registry")
-    return TrainingResult(metrics, best, cv, eda_long, chosen, pre, models, preds)
+    return TrainingResult(metrics, best, cv, eda_long, chosen, pre, models, preds, source)
 
 
 def scoring_job(spark: SparkSession, model_path: str, df: DataFrame, output_path: str,

@@ -244,7 +244,7 @@ def train_then_infer(spark, d):
     rows, predict what the job predicted: test rows and how many differ (0)."""
     base = scratch_path(spark, "train-then-infer")
     res = Q.churn_training_job(spark, d, base, model_types=("logistic_regression",), cv_folds=None, eda=False)
-    raw = c360(spark, d).join(res.predictions.select(*KEY), KEY, "left_semi")
+    raw = res.source.join(res.predictions.select(*KEY), KEY, "left_semi")
     back = infer(f"{base}/models/logistic_regression", raw, KEY, Preprocessor.load(spark, f"{base}/preprocessor"))
     both = res.predictions.select(*KEY, F.col("prediction").alias("told")).join(
         back.select(*KEY, F.col("prediction").cast("int").alias("got")), KEY, "left")
