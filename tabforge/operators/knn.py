@@ -18,6 +18,9 @@ Method: pivots and bounds.
 2. Two lower bounds hold for the distance of a receiver to every donor of a block: the distance
    to the block's box, and by the triangle inequality the distance to its pivot less the radius.
    Both allow for columns that only some donors have.
+   Receivers that miss the same columns as many others (``OWN``) have blocks of their own: donors of one
+   of these columns, ordered without them.  Else a receiver would have to read blocks all along the columns
+   that it misses, more and more of them as the rows grow.
 3. Receivers travel in bundles of neighbours.  The donor sample gives each (receiver, column) a first
    k-th distance; the block with the smallest bound improves it; then every block whose bound does
    not exceed the k-th distance is read.  Where a bound equals it, a block is read only if its smallest
@@ -59,6 +62,7 @@ class Layout(NamedTuple):
 
 
 LAST = np.iinfo(np.int64).max
+OWN = 8  # sets of missing columns that more than 1 / OWN of the receivers share have their own blocks
 SLACK = 1 - 1e-9  # for bounds that are not computed by the very steps of a distance
 
 
@@ -208,8 +212,8 @@ class Bundle:
         self.ord = np.frombuffer(r["ords"], "<i8").reshape(-1, p).copy()
 
 
-BUNDLE = "bundle long, rows binary, x binary, lim binary, ords binary"
-BLOCK = ("block long, chunk long, n int, ords binary, x binary, lo binary, hi binary, always binary, missing int, "
+BUNDLE = "bundle long, plan int, rows binary, x binary, lim binary, ords binary"
+BLOCK = ("block long, chunk long, plan int, n int, ords binary, x binary, lo binary, hi binary, always binary, missing int, "
          "pivot int, radius double, first long")
 FOUND = "bundle long, place int, row long, j int, dist double, ord long, value double"
 
@@ -260,22 +264,35 @@ def knn_impute(df: DataFrame, cols: list[str], key: str, k: int = 5, donors: Dat
     return out.select(*[filled(at[x], x) if x in at else c(x) for x in df.columns if x != "_row"])
 
 
+def _pivots(points, n: int, layout: Layout):
+    points = np.unique(points, axis=0)
+    count = min(layout.pivots, max(1, math.isqrt(n)), len(points))
+    return points[np.linspace(0, len(points) - 1, count).astype(int)]
+
+
 def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, layout: Layout) -> DataFrame:
     """(row, j, dist, ord, value): the nearest donors of every receiver and missing column."""
     sample = given.orderBy(F.xxhash64("ord")).limit(layout.sample).collect()
     sample = sorted(sample, key=lambda r: r["ord"])
     sx = np.array([r["x"] for r in sample], dtype=float).reshape(-1, p)
     so = np.array([r["ord"] for r in sample], dtype=np.int64)
-    points = np.unique(np.where(np.isnan(sx), means, sx), axis=0)
-    count = min(layout.pivots, max(1, math.isqrt(n)), len(points))
-    pivots = points[np.linspace(0, len(points) - 1, count).astype(int)]
+    total = asked.count()
+    misses = asked.groupBy(F.transform("x", F.isnan).alias("miss")).count().where(F.col("count") * OWN > total)
+    plans = sorted((tuple(r["miss"]), r["count"]) for r in misses.collect())  # fewer than OWN
+    others = total > sum(m for _, m in plans)
+    # A plan's columns that its receivers miss; the last plan is that of all other receivers.
+    plans = [np.array(miss, bool) for miss, _ in plans] + [np.zeros(p, bool)] * others
+    pivots = [_pivots(np.where(miss, 0.0, np.where(np.isnan(sx), means, sx)), n, layout) for miss in plans]
     spread_by = np.random.default_rng(7).integers(1, 2 ** 62, p, dtype=np.int64) | 1
 
-    def near_pivots(x):
-        full = np.where(np.isnan(x), means, x)
-        d = (full * full).sum(1)[:, None] - 2 * full @ pivots.T + (pivots * pivots).sum(1)
-        first = np.argsort(d, axis=1, kind="stable")[:, :3].astype(np.int32)
-        return np.pad(first, ((0, 0), (0, 3 - first.shape[1])), mode="edge")
+    def near_pivots(x, plan):
+        full = np.where(plans[plan], 0.0, np.where(np.isnan(x), means, x))
+        d = (full * full).sum(1)[:, None] - 2 * full @ pivots[plan].T + (pivots[plan] * pivots[plan]).sum(1)
+        first, every = [], np.arange(len(x))
+        for _ in range(min(3, d.shape[1])):
+            first.append(d.argmin(1).astype(np.int32))
+            d[every, first[-1]] = np.inf
+        return np.pad(np.stack(first, 1), ((0, 0), (0, 3 - len(first))), mode="edge")
 
     def pattern(x):
         with np.errstate(over="ignore"):
@@ -293,19 +310,35 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
     seen = given.select("x").mapInPandas(patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     often = [r["pattern"] for r in seen.where(F.col("n") > n / 1024).collect()]  # fewer than 1024
 
-    def place(batches):
-        for b in batches:
-            x = stack(b["x"])
-            b["p1"], b["p2"], b["p3"] = near_pivots(x).T
-            pat = pattern(x)
-            b["rare"] = ~np.isin(pat, often)
-            b["pattern"] = pat
-            yield b
-
-    keys = ["p1", "rare", "pattern", "p2", "p3", "same", "ord"]
-    extra = "p1 int, p2 int, p3 int, rare boolean, pattern long"
-    parts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + n // (16 * layout.block))
-    placed = given.mapInPandas(place, f"ord long, x array<double>, {extra}").withColumn("same", F.xxhash64("x"))
+    def place(plan_of):
+        def run(batches):
+            for b in batches:
+                x = stack(b["x"])
+                for plan, mine in enumerate(plan_of(x)):
+                    if mine.any():
+                        rows = b[mine].copy()
+                        rows["plan"] = plan
+                        rows["p1"], rows["p2"], rows["p3"] = near_pivots(x[mine], plan).T
+                        rows["pattern"] = pattern(x[mine])
+                        rows["rare"] = ~np.isin(rows["pattern"], often)
+                        with np.errstate(over="ignore"):  # brings rows together that are equal but for what the plan leaves out
+                            rows["same"] = np.bitwise_xor.reduce(
+                                (np.where(plans[plan], 0.0, x[mine]) + 0.0).view(np.int64) * spread_by, axis=1)
+                        yield rows
+        return run
+
+    def of_donor(x):
+        """Plans in which a donor has one of the missing values."""
+        return [(~np.isnan(x[:, miss])).any(1) if miss.any() else np.ones(len(x), bool) for miss in plans]
+
+    def of_receiver(x):
+        at = [(np.isnan(x) == miss).all(1) if miss.any() else np.ones(len(x), bool) for miss in plans]
+        return [mine & ~np.any(at[:i], axis=0) if i else mine for i, mine in enumerate(at)]
+
+    keys = ["plan", "p1", "rare", "pattern", "p2", "p3", "same", "ord"]
+    extra = "plan int, p1 int, p2 int, p3 int, rare boolean, pattern long, same long"
+    parts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + n * len(plans) // (16 * layout.block))
+    placed = given.mapInPandas(place(of_donor), f"ord long, x array<double>, {extra}")
 
     # Small tables are cut finer, so that there are tasks enough.
     chunk_rows = min(layout.chunk * layout.block, max(layout.block, n // 64))
@@ -314,22 +347,23 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
         import pandas as pd
         from pyspark import TaskContext
         part, seq, held = TaskContext.get().partitionId(), 0, None
-        chunk, size_of_chunk = 0, 0
+        chunk, size_of_chunk, plan_of_chunk = 0, 0, None
 
         def close(rows):
-            nonlocal seq, chunk, size_of_chunk
-            if size_of_chunk >= chunk_rows:
-                chunk, size_of_chunk = chunk + 1, 0
+            nonlocal seq, chunk, size_of_chunk, plan_of_chunk
+            plan = int(rows["plan"].iloc[0])
+            if size_of_chunk >= chunk_rows or plan != plan_of_chunk:
+                chunk, size_of_chunk, plan_of_chunk = chunk + 1, 0, plan
             size_of_chunk += len(rows)
             rows = rows.sort_values("ord")
             x = stack(rows["x"])
             pivot = int(rows["p1"].iloc[0])
-            gap = x - pivots[pivot]
+            gap = (x - pivots[plan][pivot])[:, ~plans[plan]]  # receivers lack the other columns
             some = ~np.isnan(x)
             lo = np.where(some.any(0), np.where(some, x, np.inf).min(0), np.nan)
             hi = np.where(some.any(0), np.where(some, x, -np.inf).max(0), np.nan)
             seq += 1
-            return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + chunk, "n": len(rows),
+            return {"block": (part << 32) + seq - 1, "chunk": (part << 32) + chunk, "plan": plan, "n": len(rows),
                     "ords": rows["ord"].to_numpy("<i8").tobytes(), "x": x.astype("<f8").tobytes(), "lo": lo.tobytes(),
                     "hi": hi.tobytes(), "always": some.all(0).tobytes(), "missing": int((~some).sum(1).max()), "pivot": pivot,
                     "radius": float(np.sqrt(np.nansum(gap * gap, axis=1)).max()), "first": int(rows["ord"].iloc[0])}
@@ -339,7 +373,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
             out = []
             while len(held):
                 cell, rare = held["p1"].to_numpy(), held["rare"].to_numpy()
-                other = (cell != cell[0]) | (rare != rare[0])
+                other = (cell != cell[0]) | (rare != rare[0]) | (held["plan"].to_numpy() != held["plan"].iloc[0])
                 if not rare[0]:
                     other |= held["pattern"].to_numpy() != held["pattern"].iloc[0]
                 same = int(np.argmax(np.append(other, True)))
@@ -362,8 +396,9 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
         part, seq = TaskContext.get().partitionId(), 0
         for b in batches:
             out = []
-            for i in range(0, len(b), layout.bundle):
-                rows = b.iloc[i:i + layout.bundle]
+            cuts = [0, *(np.flatnonzero(np.diff(b["plan"])) + 1).tolist(), len(b)]
+            for i, end in ((i, end) for begin, end in zip(cuts, cuts[1:]) for i in range(begin, end, layout.bundle)):
+                rows = b.iloc[i:min(i + layout.bundle, end)]
                 x = stack(rows["x"])
                 limit = np.where(np.isnan(x), np.inf, -1.0)
                 ords = np.full(x.shape, LAST)
@@ -373,28 +408,28 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                     has = np.flatnonzero(~np.isnan(sx[:, j]))
                     a, at = smallest(d[np.ix_(who, has)], k)
                     tighten(limit, ords, who[a], np.full(len(a), j), d[who[a], has[at]], so[has[at]], k)
-                out.append({"bundle": (part << 32) + seq, "rows": rows["row"].to_numpy("<i8").tobytes(), "x": x.tobytes(),
+                out.append({"bundle": (part << 32) + seq, "plan": int(rows["plan"].iloc[0]), "rows": rows["row"].to_numpy("<i8").tobytes(), "x": x.tobytes(),
                             "lim": limit.tobytes(), "ords": ords.astype("<i8").tobytes()})
                 seq += 1
-            yield pd.DataFrame(out, columns=["bundle", "rows", "x", "lim", "ords"])
+            yield pd.DataFrame(out, columns=["bundle", "plan", "rows", "x", "lim", "ords"])
 
-    total = asked.count()
     rparts = min(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + total // (8 * layout.bundle))
-    homes = asked.withColumnRenamed("row", "ord").mapInPandas(place, f"ord long, x array<double>, {extra}")
-    homes = homes.repartitionByRange(rparts, "p1", "p2", "p3", "ord").sortWithinPartitions("p1", "p2", "p3", "ord")
-    sent = materialise(homes.select(F.col("ord").alias("row"), "x").mapInPandas(bundles, BUNDLE), "knn-bundles")
-    shares = 1 + sent.count() // layout.share
-    maps = 1 + blocks.count() // layout.maps
-    zones = blocks.select("block", "chunk", "lo", "hi", "always", "missing", "pivot", "radius", "first")
+    homes = asked.withColumnRenamed("row", "ord").mapInPandas(place(of_receiver), f"ord long, x array<double>, {extra}")
+    homes = homes.repartitionByRange(rparts, "plan", "p1", "p2", "p3", "same", "ord") \
+        .sortWithinPartitions("plan", "p1", "p2", "p3", "same", "ord")
+    sent = materialise(homes.select(F.col("ord").alias("row"), "plan", "x").mapInPandas(bundles, BUNDLE), "knn-bundles")
+    shares = 1 + sent.count() // (layout.share * max(1, len(plans)))
+    maps = 1 + blocks.count() // (layout.maps * max(1, len(plans)))
+    zones = blocks.select("plan", "block", "chunk", "lo", "hi", "always", "missing", "pivot", "radius", "first")
 
     def visits(bundled: DataFrame, nearest_only: bool) -> DataFrame:
-        """(bundle, chunk, blocks): the blocks of a chunk that a bundle has to read."""
+        """(bundle, chunk, blocks, share): the blocks of a chunk that a bundle has to read."""
         def choose(key, left, right):
             import pandas as pd
             out = []
             left = left.sort_values("first")  # the earliest donors come first among equal bounds
             first, many = left["first"].to_numpy(np.int64), len(left)
-            zones = Zones.of(left, pivots)
+            zones = Zones.of(left, pivots[int(left["plan"].iloc[0])] if many else pivots[0])
             names = left[["chunk", "block"]].to_numpy()
             for b in right.to_dict("records") if many else ():
                 mine = Bundle(b, p)
@@ -414,7 +449,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                     if (want & zone.some[z] & near[:, z, None]).any():
                         chunk, block = names[places[z]]
                         asked.setdefault(chunk, []).append(block)
-                out += [(b["bundle"], chunk, blocks, key[1]) for chunk, blocks in asked.items()]
+                out += [(b["bundle"], chunk, blocks, key[2]) for chunk, blocks in asked.items()]
             return pd.DataFrame(out, columns=["bundle", "chunk", "blocks", "share"])
 
         def deal(rows, name, m):
@@ -422,7 +457,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
 
         left = deal(zones.withColumn("map", F.pmod(F.xxhash64("chunk"), F.lit(maps)).cast("int")), "share", shares)
         right = deal(bundled.withColumn("share", F.pmod(F.xxhash64("bundle"), F.lit(shares)).cast("int")), "map", maps)
-        return materialise(left.groupBy("map", "share").cogroup(right.groupBy("map", "share")).applyInPandas(
+        return materialise(left.groupBy("plan", "map", "share").cogroup(right.groupBy("plan", "map", "share")).applyInPandas(
             choose, "bundle long, chunk long, blocks array<long>, share int"), "knn-visits")
 
     def read(bundled: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -431,7 +466,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
             import pandas as pd
             body = left.to_dict("records")
             places = {r["block"]: i for i, r in enumerate(body)}
-            zones = Zones.of(left, pivots)
+            zones = Zones.of(left, pivots[int(left["plan"].iloc[0])])
             out = []
             for b in right.to_dict("records"):
                 mine = Bundle(b, p)
@@ -475,7 +510,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                              F.col("blocks").alias("asks")).join(bundled, "bundle")
         pairs = wanted.select(F.explode("blocks").alias("b"), "share").distinct()
         bodies = blocks.join(pairs, F.col("block") == F.col("b")).select(
-            "chunk", "share", "block", "ords", "x", "lo", "hi", "always", "missing", "pivot", "radius", "first")
+            "plan", "chunk", "share", "block", "ords", "x", "lo", "hi", "always", "missing", "pivot", "radius", "first")
         return bodies.groupBy("chunk", "share").cogroup(asks.groupBy("to", "from")).applyInPandas(visit, FOUND)
 
     def improve(key, left, right):
