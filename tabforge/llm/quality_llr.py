@@ -44,7 +44,7 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(text, WORD_SPLIT), "")
 
 
 def bucket(h: Column, buckets: int) -> Column:
@@ -81,57 +81,63 @@ def pair_hashes(words: Column) -> Column:
     return F.zip_with(words, following_words(words), lambda w, following: F.xxhash64(w, following))
 
 
-def n_repeat_words(words: Column, pairs: Column) -> Column:
-    """Words inside a 3-word window that occurs twice or more; ``pairs`` are the words' pair hashes.
+def _shift(name: str, value: Column, by: Column) -> Column:
+    return F.call_function(name, value, by)  # SQL shifts take a column amount through call_function
 
-    Each window becomes one long: the hash of its two pairs in the high bits, its position in
-    just as many low bits as the document needs.  Sorted, equal windows are neighbours; a
-    neighbour counts only if the words themselves agree.  The covered words are the
-    union of the windows' intervals, taken from their sorted positions.
+
+def position_bits(words: Column) -> Column:
+    """So many bits hold every position in ``words``."""
+    return F.ceil(F.log2(F.size(words) + 1.0)).cast("int")
+
+
+def window_keys(pairs: Column, bits: Column) -> Column:
+    """One long per 3-word window, sorted: the hash of its two pairs in the high bits, its position in
+    the ``bits`` low ones.  Never null, so that they are sorted as plain numbers."""
+    def packed(h, i):
+        both = h.bitwiseXOR(_shift("shiftleft", F.get(pairs, i + 1), F.lit(1)))
+        return F.coalesce(_shift("shiftleft", both, bits).bitwiseOR(i.cast("long")), F.lit(0).cast("long"))
+
+    return F.sort_array(F.transform(F.slice(pairs, F.lit(1), F.greatest(F.size(pairs) - 2, F.lit(0))), packed))
+
+
+def n_repeat_words(words: Column, keys: Column, bits: Column) -> Column:
+    """Words inside a 3-word window that occurs twice or more; ``keys`` are the ``window_keys`` with
+    ``bits`` for the position.
+
+    Sorted, equal windows are neighbours; a neighbour counts only if the words themselves agree.
+    The covered words are the union of the windows' intervals, taken from their sorted positions.
     """
     n = F.size(words)
 
-    def shift(name, value, by):  # SQL shifts take a column amount through call_function
-        return F.call_function(name, value, by)
-
-    def count(bits, low):
-        def packed(h, i):
-            both = h.bitwiseXOR(shift("shiftleft", F.get(pairs, i + 1), F.lit(1)))
-            return shift("shiftleft", both, bits).bitwiseOR(i.cast("long"))
-
-        def repeated(keys):
-            def same(k):
-                x, y = F.get(keys, k), F.get(keys, k + 1)
-                i, j = x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int")
-                return ((shift("shiftright", x.bitwiseXOR(y), bits) == 0)
-                        & (F.get(words, i) == F.get(words, j)) & (F.get(words, i + 1) == F.get(words, j + 1))
-                        & (F.get(words, i + 2) == F.get(words, j + 2)))
-            hit = F.filter(F.sequence(F.lit(0), n - 4), same)
-            both = F.transform(hit, lambda k: F.array(F.get(keys, k).bitwiseAND(low), F.get(keys, k + 1).bitwiseAND(low)))
-            return F.sort_array(F.array_distinct(F.flatten(both)))
+    def count(low):
+        def same(k):
+            x, y = F.get(keys, k), F.get(keys, k + 1)
+            i, j = x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int")
+            return ((_shift("shiftright", x.bitwiseXOR(y), bits) == 0)
+                    & (F.get(words, i) == F.get(words, j)) & (F.get(words, i + 1) == F.get(words, j + 1))
+                    & (F.get(words, i + 2) == F.get(words, j + 2)))
 
         def covered(pos):
             gaps = F.transform(pos, lambda p, i: F.least(F.lit(3).cast("long"),
                                                          F.coalesce(F.get(pos, i + 1) - p, F.lit(3).cast("long"))))
             return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-        keys = F.sort_array(F.transform(F.slice(pairs, F.lit(1), n - 2), packed))
-        return let(let(keys, repeated), covered)
+        hit = F.filter(F.sequence(F.lit(0), n - 4), same)
+        both = F.transform(hit, lambda k: F.array(F.get(keys, k).bitwiseAND(low), F.get(keys, k + 1).bitwiseAND(low)))
+        return let(F.sort_array(F.array_distinct(F.flatten(both))), covered)
 
-    # Computed once per document, not once per window.
-    bits = F.ceil(F.log2(n + 1.0)).cast("int")
-    counted = let(bits, lambda b: let(shift("shiftleft", F.lit(1).cast("long"), b) - 1, lambda low: count(b, low)))
+    counted = let(_shift("shiftleft", F.lit(1).cast("long"), bits) - 1, count)  # once per document, not once per window
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(counted)
 
 
-def base_stats(txt: str = "txt", words: str = "words", pairs: str = "pairs") -> list[Column]:
+def base_stats(txt: str = "txt", words: str = "words", keys: str = "keys", bits: str = "bits") -> list[Column]:
     t = F.col(txt)
     worded = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return [F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
             let(worded, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
-            n_repeat_words(F.col(words), F.col(pairs)).alias("n_repeat_words")]
+            n_repeat_words(F.col(words), F.col(keys), F.col(bits)).alias("n_repeat_words")]
 
 
 def fit_llr(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -181,7 +187,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     them would else be pushed below, where the optimizer puts the whole split of the text in
     place of every mention of a word."""
     llr = fit_llr(docs, labels, id_col, text_col, buckets)
-    ratios = F.split(F.lit(",".join(map(str, llr))), ",").cast("array<bigint>")
+
+    def ratios(part):
+        return F.split(F.lit(",".join(map(str, part))), ",").cast("array<bigint>")
+
     none = F.lit(0).cast("long")
 
     # Each bucket number is used once, so the arrays vanish from the plan.
@@ -196,15 +205,19 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def word_llr_sum(table):
         def more(total, h):
-            return total + of(table, bucket(h, buckets) + buckets)
+            return total + of(table, bucket(h, buckets))
         return (F.aggregate("words", none, lambda total, w: more(total, F.xxhash64(w)))
                 + F.aggregate("pairs", none, more))
 
     scored = (docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
-              .withColumn("words", words_of(F.col("txt"))).withColumn("pairs", pair_hashes(F.col("words")))
+              .withColumn("words", words_of(F.col("txt")))
+              .withColumns({"pairs": pair_hashes(F.col("words")), "bits": position_bits(F.col("words"))})
+              # Sorted as a column of its own, outside any lambda, the keys stay plain numbers.
+              .withColumn("keys", window_keys(F.col("pairs"), F.col("bits")))
               .select("row", F.inline(F.array(F.struct(
                   *base_stats(), (2 * F.size("words")).cast("long").alias("n_grams"),
-                  let(ratios, llr_sum).alias("llr_sum"), let(ratios, word_llr_sum).alias("word_llr_sum"))))))
+                  let(ratios(llr[:buckets]), llr_sum).alias("llr_sum"),
+                  let(ratios(llr[buckets:]), word_llr_sum).alias("word_llr_sum"))))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     least = F.lit(round(min_mean_llr * MICRO)) * F.col("n_grams")
     good = (F.col("llr_sum") >= least) & (F.col("llr_sum") + F.col("word_llr_sum") >= 2 * least)
