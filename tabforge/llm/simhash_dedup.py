@@ -187,7 +187,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -
     sizes = rows.groupBy("block", "anchor").count().where("count > 1")
     cells = F.ceil(F.col("count") / CELL).cast("int")
     own = F.pmod(F.xxhash64("fp"), cells).cast("int")
-    pairs = (rows.join(sizes, ["block", "anchor"])
+    # Both sides are made by Python from a small file and look as small to Spark: without a hint one is broadcast.
+    pairs = (rows.join(sizes.hint("merge"), ["block", "anchor"])
              .select("block", "anchor", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), cells - 1)).alias("o"))
              .select("block", "anchor", "fp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j")))
     return (pairs.repartition("block", "anchor", "i", "j").sortWithinPartitions("block", "anchor", "i", "j")
@@ -202,7 +203,7 @@ def simhash_groups(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_
     me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
     distinct = materialise(rows.groupBy("fp").agg(F.min(me).alias("first"), F.count("*").alias("n")), "distinct-fp")
     roots = materialise(connected_components(near_links(distinct, max_bits, blocks)), "components")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
+    rooted = distinct.join(roots.hint("merge"), distinct.fp == roots.node, "left").select(
         "fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"), F.count("*").alias("n_fp"))
     # A root with many fingerprints is a hot key here, but only a (fp, first) pair wide.
