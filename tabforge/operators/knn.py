@@ -25,12 +25,13 @@ Method: pivots and bounds.
    k-th distance; the block with the smallest bound improves it; then every block whose bound does
    not exceed the k-th distance is read.  Where a bound equals it, a block is read only if its smallest
    donor key comes early enough, so one point that holds a third of the rows costs one block.
-4. The best ``k`` of all blocks give the mean.
+4. A bundle meets all blocks that it asked of a chunk at once: matrix products leave out pairs that are too far even with
+   their rounding error, the distances of the few others are computed exactly.  The best ``k`` of all chunks give the mean.
 
 No block is left out but by a bound, so results equal brute force; there is no cap on candidates,
 and the plan grows with the number of columns, not with its subsets.  Receivers of a bundle that miss the same
 columns are bounded together first; only blocks that such a group may need are bounded for each receiver.  What
-travels between the steps is a list of blocks per bundle and chunk; bounds are computed again where they are used.
+travels between the steps is a list of blocks per bundle and chunk.
 A task holds the bounds of about ``Layout.maps`` blocks or of the blocks of a chunk, and a share of the bundles.  The driver holds the
 sample: at most ``Layout.sample`` rows.
 
@@ -56,6 +57,7 @@ class Layout(NamedTuple):
     chunk: int = 32       # a task reads the donors of so many full blocks, in as many blocks as they make
     maps: int = 1024      # bounds of blocks in a task, about
     bundle: int = 128     # receivers that travel together
+    tile: int = 2048      # donors that a bundle is held against at a time
     share: int = 64       # bundles of a task, about
     pivots: int = 1024
     sample: int = 4096    # donors that give first thresholds, and the pivots
@@ -82,6 +84,42 @@ def distances(r, x):
         return np.where(m > 0, np.sqrt(p / m * s), np.inf)
 
 
+def pair_distances(r, x):
+    """NaN-Euclidean distances of the pairs (row of r, row of x), by the same steps as ``distances``."""
+    p = r.shape[1]
+    s, m = np.zeros(len(r)), np.zeros(len(r))
+    for i in range(p):
+        d = r[:, i] - x[:, i]
+        ok = ~np.isnan(d)
+        m += ok
+        s += np.where(ok, d * d, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(m > 0, np.sqrt(p / m * s), np.inf)
+
+
+class Near:
+    """Finds the rows that may be within a distance of rows of ``r``, by matrix products."""
+
+    def __init__(self, r):
+        self.has = (~np.isnan(r)).astype(float)
+        self.x = np.where(np.isnan(r), 0.0, r)
+        self.square = self.x * self.x
+
+    def within(self, limit, x):
+        """(row of r, row of x) of every pair whose distance is not above ``limit`` (one per row of r), and of some
+        others: squares are compared less their rounding error.  What cannot be compared is a pair too."""
+        some = (~np.isnan(x)).astype(float)
+        y = np.where(np.isnan(x), 0.0, x)
+        with np.errstate(over="ignore", invalid="ignore"):
+            sums = self.square @ some.T
+            sums += self.has @ (y * y).T
+            least = self.x @ y.T
+            least *= -2
+            least += sums * (1 - 1e-12)
+            most = (limit * limit / self.x.shape[1] * (1 + 1e-9))[:, None] * (self.has @ some.T)
+            return np.nonzero(~(least > most))
+
+
 class Zones:
     """Bounds of several blocks as arrays."""
 
@@ -464,36 +502,28 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
         """The best ``k`` donors of every chunk per receiver and column."""
         def visit(key, left, right):
             import pandas as pd
-            body = left.to_dict("records")
-            places = {r["block"]: i for i, r in enumerate(body)}
-            zones = Zones.of(left, pivots[int(left["plan"].iloc[0])])
+            places = {b: i for i, b in enumerate(left["block"])}
+            points = [np.frombuffer(x).reshape(-1, p) for x in left["x"]]
+            names = [np.frombuffer(x, "<i8") for x in left["ords"]]
             out = []
             for b in right.to_dict("records"):
                 mine = Bundle(b, p)
+                miss = np.isnan(mine.x)
+                near = Near(mine.x)
+                asks = [places[x] for x in b["asks"]]
+                donors, donor_ords = np.concatenate([points[i] for i in asks]), np.concatenate([names[i] for i in asks])
                 rows: list = []
-                asks = np.array([places[x] for x in b["asks"]])
-                lows = np.maximum(box_bound(mine.x, zones.at(asks)), pivot_bound(mine.x, zones.at(asks)))
-                for i in np.argsort(lows.min(0), kind="stable"):
-                    r, low = body[asks[i]], lows[:, i, None]
-                    x = np.frombuffer(r["x"]).reshape(-1, p)
-                    ords = np.frombuffer(r["ords"], "<i8")
-                    open_ = ((low < mine.limit) | ((low == mine.limit) & (r["first"] <= mine.ord)))
-                    live = np.flatnonzero(open_.any(1))
-                    if not len(live):
-                        continue
-                    d = distances(mine.x[live], x)
-                    for j in np.flatnonzero(open_.any(0)):
-                        who = np.flatnonzero(open_[live, j])
-                        has = np.flatnonzero(~np.isnan(x[:, j]))
-                        if not len(has) or not len(who):
-                            continue
-                        some = d[np.ix_(who, has)]
-                        a, at = smallest(some.copy(), k)
-                        dist, o, at_row = some[a, at], ords[has[at]], live[who[a]]
-                        ok = (dist < mine.limit[at_row, j]) | ((dist == mine.limit[at_row, j]) & (o <= mine.ord[at_row, j]))
-                        a, at, dist, o, at_row = a[ok], at[ok], dist[ok], o[ok], at_row[ok]
-                        rows.append((at_row, np.full(len(a), j), dist, o, x[has[at], j]))
-                        tighten(mine.limit, mine.ord, at_row, np.full(len(a), j), dist, o, k)
+                for begin in range(0, len(donors), layout.tile):
+                    x, ords = donors[begin:begin + layout.tile], donor_ords[begin:begin + layout.tile]
+                    who, at = near.within(mine.limit.max(1), x)
+                    dist = pair_distances(mine.x[who], x[at])
+                    of, j = np.nonzero(miss[who] & ~np.isnan(x[at]) & (dist[:, None] <= mine.limit[who]) & np.isfinite(dist)[:, None])
+                    r, dist, o, v = who[of], dist[of], ords[at[of]], x[at[of], j]
+                    ok = (dist < mine.limit[r, j]) | (o <= mine.ord[r, j])
+                    r, j, dist, o, v = r[ok], j[ok], dist[ok], o[ok], v[ok]
+                    if len(r):
+                        rows.append((r, j, dist, o, v))
+                        tighten(mine.limit, mine.ord, r, j, dist, o, k)
                 if rows:
                     r, j, dist, o, v = (np.concatenate(y) for y in zip(*rows))
                     by = np.lexsort((o, dist, j, r))
@@ -510,7 +540,7 @@ def _search(given: DataFrame, asked: DataFrame, n: int, means, p: int, k: int, l
                              F.col("blocks").alias("asks")).join(bundled, "bundle")
         pairs = wanted.select(F.explode("blocks").alias("b"), "share").distinct()
         bodies = blocks.join(pairs, F.col("block") == F.col("b")).select(
-            "plan", "chunk", "share", "block", "ords", "x", "lo", "hi", "always", "missing", "pivot", "radius", "first")
+            "chunk", "share", "block", "ords", "x")
         return bodies.groupBy("chunk", "share").cogroup(asks.groupBy("to", "from")).applyInPandas(visit, FOUND)
 
     def improve(key, left, right):
